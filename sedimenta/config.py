@@ -18,7 +18,8 @@ class PipelineConfig:
     ``base_uri`` is any URI Hadoop file systems understand; on a cluster it
     must be shared storage. ``silver_order`` is ``global`` (one range shuffle,
     the whole table sorted by order id) or ``files`` (each file sorted, no
-    shuffle). ``staging_uri`` overrides where a run stages its checked rows.
+    shuffle). ``broadcast_limit`` is the largest dimension, in counted bytes,
+    that is broadcast. ``staging_uri`` overrides where a run stages its checked rows.
     """
 
     base_uri: str
@@ -31,6 +32,7 @@ class PipelineConfig:
     anomaly_rate: float = 0.03
     silver_order: str = "global"
     silver_rows_per_file: int = 8_000_000
+    broadcast_limit: int = 128 << 20
     drop_null_gold_keys: bool = True
     quarantine_raw_text: bool = True
     staging_uri: str | None = None

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.numeric import cents, money_sum
+from sedimenta.operators.gates import BROADCAST_LIMIT, key_lookups
 from sedimenta.operators.gold import gold_top
 from sedimenta.operators.quality import REASON, reason_counts
 
@@ -87,14 +88,17 @@ def silver_validity(silver: DataFrame) -> DataFrame:
     )
 
 
+def _keys(clientes: DataFrame, produtos: DataFrame) -> list[DataFrame]:
+    return key_lookups(BROADCAST_LIMIT, clientes=(clientes, "cliente_id"), produtos=(produtos, "product_id"))
+
+
 def silver_orphans(silver: DataFrame, clientes: DataFrame, produtos: DataFrame) -> DataFrame:
     """Q6: joined rows whose customer or product is missing; 0 for a sound silver layer."""
-    customer = clientes.select(F.col("cliente_id").alias("__customer"))
-    product = produtos.select(F.col("product_id").alias("__product"))
+    customers, products = _keys(clientes, produtos)
     joined = (
         silver.select("cliente_id", "product_id")
-        .join(customer, F.col("cliente_id") == F.col("__customer"), "left")
-        .join(product, F.col("product_id") == F.col("__product"), "left")
+        .join(customers.withColumnRenamed("cliente_id", "__customer"), F.col("cliente_id") == F.col("__customer"), "left")
+        .join(products.withColumnRenamed("product_id", "__product"), F.col("product_id") == F.col("__product"), "left")
     )
     missing = F.col("__customer").isNull() | F.col("__product").isNull()
     return joined.where(missing).agg(F.count(F.lit(1)).alias("silver_sem_cliente_ou_produto"))
@@ -102,11 +106,12 @@ def silver_orphans(silver: DataFrame, clientes: DataFrame, produtos: DataFrame)
 
 def orphan_detail(facts: DataFrame, clientes: DataFrame, produtos: DataFrame) -> DataFrame:
     """Facts without their customer and facts without their product, one row for each missing key."""
-    def orphans(dimension: DataFrame, key: str, name: str) -> DataFrame:
-        return facts.join(dimension.select(key), key, "left_anti").select(
+    def orphans(keys: DataFrame, key: str, name: str) -> DataFrame:
+        return facts.join(keys, key, "left_anti").select(
             "pedido_id", F.lit(name).alias("dimensao"), F.col(key).alias("chave"))
 
-    return orphans(clientes, "cliente_id", "clientes").unionByName(orphans(produtos, "product_id", "produtos"))
+    customers, products = _keys(clientes, produtos)
+    return orphans(customers, "cliente_id", "clientes").unionByName(orphans(products, "product_id", "produtos"))
 
 
 def silver_against_gold(silver: DataFrame, gold: DataFrame) -> DataFrame:

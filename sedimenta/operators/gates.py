@@ -1,11 +1,18 @@
-"""Checks that fail a run."""
+"""Checks that fail a run, and the measured size of the dimensions."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# A dimension up to this many counted bytes is sent whole to every executor.
+BROADCAST_LIMIT = 128 << 20
+# About what a row and a text cost in a hash relation beside their own bytes.
+ROW_OVERHEAD, TEXT_OVERHEAD = 32, 16
 
 
 class DuplicateKeyError(ValueError):
@@ -20,21 +27,66 @@ class ReconciliationError(RuntimeError):
     """Raw rows are not exactly the silver rows plus the quarantined rows."""
 
 
+@dataclass(frozen=True)
+class Dimension:
+    """A dimension with unique keys whose size in memory has been counted."""
+
+    frame: DataFrame
+    rows: int
+    bytes: int
+
+    def sized_for_join(self, broadcast_limit: int) -> DataFrame:
+        """The frame, marked for broadcast only if its counted bytes are within the limit.
+
+        Beyond it Spark shuffles both sides, and AQE splits the hot keys.
+        """
+        return F.broadcast(self.frame) if self.bytes <= broadcast_limit else self.frame
+
+
 def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
     """Keys held by more than one row, with their counts. Nulls count as one key."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("ocorrencias")).where("ocorrencias > 1")
 
 
-def require_unique_keys(**dimensions: tuple[DataFrame, str]) -> None:
-    """Raise if any of ``name=(frame, key)`` repeats a key. One job for all of them."""
-    found = [
-        duplicate_keys(df, key).select(F.lit(name).alias("dimensao"), F.col(key).cast("string").alias("chave"))
+def _profile(name: str, df: DataFrame, key: str) -> DataFrame:
+    size = F.lit(ROW_OVERHEAD)
+    for column in df.schema:
+        is_text = isinstance(column.dataType, T.StringType)
+        size = size + (F.coalesce(F.octet_length(column.name), F.lit(0)) + TEXT_OVERHEAD if is_text else F.lit(8))
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("long")).alias("b"))
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("linhas"),
+        F.coalesce(F.sum("b"), F.lit(0)).alias("tamanho"),
+        F.max("n").alias("maior"),
+        F.max_by(F.col(key).cast("string"), "n").alias("chave"),
+    ).select(F.lit(name).alias("dimensao"), "linhas", "tamanho", "maior", "chave")
+
+
+def measure_dimensions(**dimensions: tuple[DataFrame, str]) -> dict[str, Dimension]:
+    """Count rows and bytes of each ``name=(frame, key)`` and raise if one repeats a key.
+
+    One job and one result row per dimension, whatever their size.
+    """
+    profiles = reduce(DataFrame.unionByName, [_profile(n, df, key) for n, (df, key) in dimensions.items()])
+    measured = {}
+    for row in profiles.collect():
+        if row.maior is not None and row.maior > 1:
+            raise DuplicateKeyError(f"key {row.chave} occurs {row.maior} times in dimension {row.dimensao}: "
+                                    "the join would multiply rows")
+        measured[row.dimensao] = Dimension(dimensions[row.dimensao][0], row.linhas, row.tamanho)
+    return measured
+
+
+def key_lookups(broadcast_limit: int, **dimensions: tuple[DataFrame, str]) -> list[DataFrame]:
+    """Only the keys of each ``name=(frame, key)``, marked for broadcast if their counted rows fit the limit."""
+    counts = reduce(DataFrame.unionAll, [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("dimensao"), "n")
+        for name, (df, _) in dimensions.items()])
+    rows = {r.dimensao: r.n for r in counts.collect()}
+    return [
+        Dimension(df.select(key), rows[name], rows[name] * (ROW_OVERHEAD + 8)).sized_for_join(broadcast_limit)
         for name, (df, key) in dimensions.items()
     ]
-    first = reduce(DataFrame.unionByName, found).limit(1).collect()
-    if first:
-        raise DuplicateKeyError(f"duplicate key {first[0].chave} in dimension {first[0].dimensao}: "
-                                "the join would multiply rows")
 
 
 def require_join_conserved(rows_before: int, rows_after: int) -> None:

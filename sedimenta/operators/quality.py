@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.numeric import safe_number
+from sedimenta.operators.gates import BROADCAST_LIMIT, key_lookups
+from sedimenta.operators.silver import CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES
 
 REASON = "motivo_rejeicao"
 REASON_SEPARATOR = "; "
@@ -39,7 +41,8 @@ class ExistsRule:
     """Violated unless the column's value is a key of ``reference``; a null violates it.
 
     ``attributes`` maps output names to reference columns carried to the row.
-    A reference that gives attributes must have unique keys (see ``gates``).
+    A reference that gives attributes must have unique keys (see ``gates``);
+    without attributes its keys are made distinct here.
     """
 
     name: str
@@ -116,8 +119,8 @@ def check_rows(rows: DataFrame, rules: Sequence[Rule]) -> CheckedRows:
 
 def order_rules(clientes: DataFrame, produtos: DataFrame, enrich: bool = False) -> list[Rule]:
     """The three order rules. With ``enrich`` they also bring the dimension columns of the silver fact."""
-    customer = {"nome_cliente": "nome", "uf": "uf", "cidade": "cidade"} if enrich else {}
-    product = {c: c for c in ("nome_produto", "categoria", "preco")} if enrich else {}
+    customer = CUSTOMER_ATTRIBUTES if enrich else {}
+    product = PRODUCT_ATTRIBUTES if enrich else {}
     return [
         PositiveRule(BAD_QUANTITY, "quantidade"),
         ExistsRule(UNKNOWN_CUSTOMER, "cliente_id", clientes, "cliente_id", customer),
@@ -125,9 +128,17 @@ def order_rules(clientes: DataFrame, produtos: DataFrame, enrich: bool = False)
     ]
 
 
+def check_orders(pedidos: DataFrame, clientes: DataFrame, produtos: DataFrame,
+                 broadcast_limit: int = BROADCAST_LIMIT) -> CheckedRows:
+    """The order rules against the keys of the dimensions, which may repeat."""
+    customers, products = key_lookups(
+        broadcast_limit, clientes=(clientes, "cliente_id"), produtos=(produtos, "product_id"))
+    return check_rows(pedidos, order_rules(customers, products))
+
+
 def apply_quality(pedidos: DataFrame, clientes: DataFrame, produtos: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split orders into (valid, rejected); a rejected row carries all its reasons."""
-    checked = check_rows(pedidos, order_rules(clientes, produtos))
+    checked = check_orders(pedidos, clientes, produtos)
     return checked.valid(), checked.rejected()
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.numeric import round2, safe_number
-from sedimenta.operators.gates import require_join_conserved, require_unique_keys
+from sedimenta.operators.gates import BROADCAST_LIMIT, Dimension, measure_dimensions, require_join_conserved
 from sedimenta.schemas import SILVER, SILVER_COLUMNS
 
 
@@ -29,25 +29,33 @@ def silver_projection(enriched: DataFrame, *extra: str | Column) -> DataFrame:
     return priced.select(*typed, *extra)
 
 
-def join_dimensions(valid: DataFrame, clientes: DataFrame, produtos: DataFrame) -> DataFrame:
-    """Inner equi-joins with the pruned, renamed dimensions."""
-    customer = clientes.select("cliente_id", F.col("nome").alias("nome_cliente"), "uf", "cidade")
-    product = produtos.select("product_id", "nome_produto", "categoria", "preco")
-    return valid.join(customer, "cliente_id", "inner").join(product, "product_id", "inner")
+# Dimension columns of the fact: name in the fact -> name in the dimension.
+CUSTOMER_ATTRIBUTES = {"nome_cliente": "nome", "uf": "uf", "cidade": "cidade"}
+PRODUCT_ATTRIBUTES = {"nome_produto": "nome_produto", "categoria": "categoria", "preco": "preco"}
+
+
+def measure_order_dimensions(clientes: DataFrame, produtos: DataFrame) -> tuple[Dimension, Dimension]:
+    """The two dimensions, cut to the columns of the fact, with unique keys and a counted size."""
+    measured = measure_dimensions(
+        clientes=(clientes.select("cliente_id", *CUSTOMER_ATTRIBUTES.values()), "cliente_id"),
+        produtos=(produtos.select("product_id", *PRODUCT_ATTRIBUTES.values()), "product_id"))
+    return measured["clientes"], measured["produtos"]
 
 
 def build_silver(valid: DataFrame, clientes: DataFrame, produtos: DataFrame, *extra: str,
-                 verify: bool = True) -> DataFrame:
-    """Silver fact of valid orders. ``extra`` names order columns to keep beside the twelve.
+                 verify_count: bool = True, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Silver fact of valid orders by inner joins. ``extra`` names order columns to keep beside the twelve.
 
-    ``verify`` runs the gates at once: unique dimension keys, and a join that
-    keeps every row (this one counts both sides). A pipeline run checks both
-    without the extra pass, from the rows it stages.
+    Raises if a dimension repeats a key or, with ``verify_count``, if the joins
+    lose rows. That check counts both sides; the process job takes the counts
+    from the rows it stages instead.
     """
-    if verify:
-        require_unique_keys(clientes=(clientes, "cliente_id"), produtos=(produtos, "product_id"))
-    joined = join_dimensions(valid, clientes, produtos)
-    if verify:
+    customer, product = (d.sized_for_join(broadcast_limit) for d in measure_order_dimensions(clientes, produtos))
+    joined = (
+        valid.join(customer.withColumnRenamed("nome", "nome_cliente"), "cliente_id", "inner")
+        .join(product, "product_id", "inner")
+    )
+    if verify_count:
         require_join_conserved(valid.count(), joined.count())
     return silver_projection(joined, *extra)
 

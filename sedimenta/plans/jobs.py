@@ -12,7 +12,7 @@ from sedimenta.operators import gates
 from sedimenta.operators.audit import AUDITS
 from sedimenta.operators.gold import build_gold
 from sedimenta.operators.quality import REASON, check_rows, order_rules
-from sedimenta.operators.silver import silver_projection, sort_silver
+from sedimenta.operators.silver import measure_order_dimensions, silver_projection, sort_silver
 from sedimenta.schemas import (
     GOLD_TABLE, QUARANTINE_TABLE, RAW_CLIENTES, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_TABLE,
 )
@@ -87,9 +87,10 @@ def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, clientes: Dat
 def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
     """Raw to quarantine, silver and gold. Gates run first, so a failing run publishes nothing."""
     clientes, produtos = read_raw(spark, cfg, RAW_CLIENTES), read_raw(spark, cfg, RAW_PRODUTOS)
-    gates.require_unique_keys(clientes=(clientes, "cliente_id"), produtos=(produtos, "product_id"))
+    customer, product = (d.sized_for_join(cfg.broadcast_limit)
+                         for d in measure_order_dimensions(clientes, produtos))
 
-    staged, raw_rows = stage_checked_orders(spark, cfg, clientes, produtos)
+    staged, raw_rows = stage_checked_orders(spark, cfg, customer, product)
     reasons = {r[REASON]: r["n"] for r in staged.groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()}
     valid_rows = reasons.pop("", 0)
     rejected_rows = sum(reasons.values())

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from sedimenta.config import PipelineConfig
 from sedimenta.operators import audit, gates
+from sedimenta.operators.gates import BROADCAST_LIMIT
 from sedimenta.operators.gold import build_gold, gold_top
 from sedimenta.operators.quality import (
-    REASON, CheckedRows, ExistsRule, PositiveRule, apply_quality, check_rows, order_rules, reason_counts,
+    REASON, CheckedRows, ExistsRule, PositiveRule, apply_quality, check_orders, check_rows, order_rules,
+    reason_counts,
 )
-from sedimenta.operators.silver import build_silver, silver_projection
+from sedimenta.operators.silver import build_silver, measure_order_dimensions, silver_projection
 from sedimenta.plans.jobs import run_audit, run_process, write_raw
 from sedimenta.schemas import GOLD_TABLE, PEDIDOS, QUARANTINE_TABLE, RAW_PEDIDOS, SILVER_COLUMNS, SILVER_TABLE
 from sedimenta.sinks.layers import quarantine_projection, write_partition
@@ -37,14 +39,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # --- frames shared by the queries ---------------------------------------------------------
 
-def _checked(raw: RawFrames, enrich: bool = False) -> CheckedRows:
-    if enrich:
-        gates.require_unique_keys(clientes=(raw.clientes, "cliente_id"), produtos=(raw.produtos, "product_id"))
-    return check_rows(raw.pedidos, order_rules(raw.clientes, raw.produtos, enrich))
+def _checked(raw: RawFrames) -> CheckedRows:
+    return check_orders(raw.pedidos, raw.clientes, raw.produtos)
+
+
+def _enriched(raw: RawFrames) -> DataFrame:
+    """Valid orders with their dimension columns: one join per dimension checks and enriches."""
+    customer, product = (d.sized_for_join(BROADCAST_LIMIT)
+                         for d in measure_order_dimensions(raw.clientes, raw.produtos))
+    return check_rows(raw.pedidos, order_rules(customer, product, enrich=True)).valid(with_attributes=True)
 
 
 def _silver(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    return silver_projection(_checked(raw_frames(spark, sf_dir), enrich=True).valid(with_attributes=True), *extra)
+    return silver_projection(_enriched(raw_frames(spark, sf_dir)), *extra)
 
 
 def _rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +120,7 @@ def dq_text_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.concat(number, F.lit("d")), F.concat(F.lit("-"), number), F.lit(""), F.lit(None).cast("string")]
     text = F.element_at(F.array(*forms), (F.col("pedido_id") % len(forms) + 1).cast("int"))
     raw = replace(raw, pedidos=raw.pedidos.withColumn("quantidade", text))
-    valid = silver_projection(_checked(raw, enrich=True).valid(with_attributes=True), "linha")
+    valid = silver_projection(_enriched(raw), "linha")
     good = valid.select("pedido_id", "linha", "quantidade", "valor_total", F.lit("").alias(REASON))
     bad = quarantine_projection(_checked(raw).rejected()).select(
         "pedido_id", F.lit(None).cast("long").alias("linha"), "quantidade",
@@ -298,7 +305,7 @@ def gen_pedidos_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many generated orders as there are order lines: exactly k rows break each rule."""
     clientes = generate_customers(spark, _count(spark, sf_dir, "customer"), INGEST_DATE, SEED)
     produtos = generate_products(spark, _count(spark, sf_dir, "part"), SEED)
-    return check_rows(_generated_orders(spark, sf_dir), order_rules(clientes, produtos)).rule_totals()
+    return check_orders(_generated_orders(spark, sf_dir), clientes, produtos).rule_totals()
 
 
 def gen_pedidos_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
