@@ -31,7 +31,7 @@ class PipelineConfig:
     n_pedidos: int = 5000
     anomaly_rate: float = 0.03
     silver_order: str = "global"
-    silver_rows_per_file: int = 8_000_000
+    silver_rows_per_file: int = 4_000_000
     broadcast_limit: int = 128 << 20
     drop_null_gold_keys: bool = True
     quarantine_raw_text: bool = True

@@ -35,12 +35,15 @@ class Dimension:
     rows: int
     bytes: int
 
+    def fits(self, broadcast_limit: int) -> bool:
+        return self.bytes <= broadcast_limit
+
     def sized_for_join(self, broadcast_limit: int) -> DataFrame:
         """The frame, marked for broadcast only if its counted bytes are within the limit.
 
         Beyond it Spark shuffles both sides, and AQE splits the hot keys.
         """
-        return F.broadcast(self.frame) if self.bytes <= broadcast_limit else self.frame
+        return F.broadcast(self.frame) if self.fits(broadcast_limit) else self.frame
 
 
 def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:

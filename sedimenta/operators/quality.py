@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions.numeric import safe_number
 from sedimenta.operators.gates import BROADCAST_LIMIT, key_lookups
-from sedimenta.operators.silver import CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES
+from sedimenta.operators.silver import CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, measure_order_dimensions
 
 REASON = "motivo_rejeicao"
 REASON_SEPARATOR = "; "
@@ -40,17 +40,22 @@ class PositiveRule:
 class ExistsRule:
     """Violated unless the column's value is a key of ``reference``; a null violates it.
 
-    ``attributes`` maps output names to reference columns carried to the row.
-    A reference that gives attributes must have unique keys (see ``gates``);
-    without attributes its keys are made distinct here.
+    ``attributes`` maps output names to reference columns carried to the row;
+    that needs ``unique_keys``, as ``gates`` checks them. Keys that may repeat
+    are made distinct here.
     """
 
     name: str
     column: str
     reference: DataFrame
     key: str
+    unique_keys: bool = False
     attributes: Mapping[str, str] = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.attributes and not self.unique_keys:
+            raise ValueError(f"rule {self.name} carries attributes, so its reference needs unique keys")
+
 
 Rule = PositiveRule | ExistsRule
 
@@ -109,7 +114,7 @@ def check_rows(rows: DataFrame, rules: Sequence[Rule]) -> CheckedRows:
                 raise ValueError(f"attributes of rule {rule.name} clash with other columns: {sorted(clash)}")
             carried = [F.col(source).alias(name) for name, source in rule.attributes.items()]
             reference = rule.reference.select(F.col(rule.key).alias(key), *carried)
-            if not carried:
+            if not rule.unique_keys:
                 reference = reference.distinct()
             frame = frame.join(reference, F.col(rule.column) == F.col(key), "left")
             violated[rule.name] = F.col(key).isNull()
@@ -117,14 +122,14 @@ def check_rows(rows: DataFrame, rules: Sequence[Rule]) -> CheckedRows:
     return CheckedRows(frame, tuple(rows.columns), tuple(attributes), violated)
 
 
-def order_rules(clientes: DataFrame, produtos: DataFrame, enrich: bool = False) -> list[Rule]:
-    """The three order rules. With ``enrich`` they also bring the dimension columns of the silver fact."""
-    customer = CUSTOMER_ATTRIBUTES if enrich else {}
-    product = PRODUCT_ATTRIBUTES if enrich else {}
+def order_rules(clientes: DataFrame, produtos: DataFrame, unique_keys: bool = False,
+                customer_attributes: Mapping[str, str] | None = None,
+                product_attributes: Mapping[str, str] | None = None) -> list[Rule]:
+    """The three order rules; the existence rules can bring dimension columns of the silver fact."""
     return [
         PositiveRule(BAD_QUANTITY, "quantidade"),
-        ExistsRule(UNKNOWN_CUSTOMER, "cliente_id", clientes, "cliente_id", customer),
-        ExistsRule(UNKNOWN_PRODUCT, "product_id", produtos, "product_id", product),
+        ExistsRule(UNKNOWN_CUSTOMER, "cliente_id", clientes, "cliente_id", unique_keys, customer_attributes or {}),
+        ExistsRule(UNKNOWN_PRODUCT, "product_id", produtos, "product_id", unique_keys, product_attributes or {}),
     ]
 
 
@@ -136,6 +141,13 @@ def check_orders(pedidos: DataFrame, clientes: DataFrame, produtos: DataFrame,
     return check_rows(pedidos, order_rules(customers, products))
 
 
+def check_and_enrich(pedidos: DataFrame, clientes: DataFrame, produtos: DataFrame,
+                     broadcast_limit: int = BROADCAST_LIMIT) -> CheckedRows:
+    """The order rules, with all dimension columns brought along by the same two joins."""
+    customer, product = (d.sized_for_join(broadcast_limit) for d in measure_order_dimensions(clientes, produtos))
+    return check_rows(pedidos, order_rules(customer, product, True, CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES))
+
+
 def apply_quality(pedidos: DataFrame, clientes: DataFrame, produtos: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split orders into (valid, rejected); a rejected row carries all its reasons."""
     checked = check_orders(pedidos, clientes, produtos)

@@ -42,6 +42,17 @@ def measure_order_dimensions(clientes: DataFrame, produtos: DataFrame) -> tuple[
     return measured["clientes"], measured["produtos"]
 
 
+def join_dimensions(valid: DataFrame, customer: Dimension, product: Dimension, broadcast_limit: int) -> DataFrame:
+    """Inner joins with each measured dimension whose columns the rows do not carry yet."""
+    joined = valid
+    for key, dimension, attributes in (("cliente_id", customer, CUSTOMER_ATTRIBUTES),
+                                       ("product_id", product, PRODUCT_ATTRIBUTES)):
+        if not set(attributes) <= set(valid.columns):
+            columns = [F.col(source).alias(name) for name, source in attributes.items()]
+            joined = joined.join(dimension.sized_for_join(broadcast_limit).select(key, *columns), key, "inner")
+    return joined
+
+
 def build_silver(valid: DataFrame, clientes: DataFrame, produtos: DataFrame, *extra: str,
                  verify_count: bool = True, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Silver fact of valid orders by inner joins. ``extra`` names order columns to keep beside the twelve.
@@ -50,24 +61,22 @@ def build_silver(valid: DataFrame, clientes: DataFrame, produtos: DataFrame, *ex
     lose rows. That check counts both sides; the process job takes the counts
     from the rows it stages instead.
     """
-    customer, product = (d.sized_for_join(broadcast_limit) for d in measure_order_dimensions(clientes, produtos))
-    joined = (
-        valid.join(customer.withColumnRenamed("nome", "nome_cliente"), "cliente_id", "inner")
-        .join(product, "product_id", "inner")
-    )
+    joined = join_dimensions(valid, *measure_order_dimensions(clientes, produtos), broadcast_limit)
     if verify_count:
         require_join_conserved(valid.count(), joined.count())
     return silver_projection(joined, *extra)
 
 
-def sort_silver(silver: DataFrame, order: str, files: int, spread: str | None = None) -> DataFrame:
-    """Rows in order of ``pedido_id`` for writing.
+def range_by_order(rows: DataFrame, min_files: int = 1, spread: str | None = None) -> DataFrame:
+    """Range-partition by ``pedido_id``, so that locally sorted pieces make a globally sorted table.
 
-    ``global`` range-partitions the table into ``files`` sorted pieces. A
-    column of distinct values named by ``spread`` breaks ties, so that the
-    copies of one order id can span many files; it is not written.
+    There are as many pieces as the session's shuffle partitions, merged by AQE
+    where small, or ``min_files`` if that is more. A column of distinct values
+    named by ``spread`` breaks ties, so the copies of one order id can span
+    many pieces.
     """
-    keys = ["pedido_id", spread] if spread else ["pedido_id"]
-    if order == "global":
-        silver = silver.repartitionByRange(files, *[F.col(k).asc_nulls_last() for k in keys])
-    return silver.sortWithinPartitions(F.asc_nulls_last("pedido_id")).select(*SILVER_COLUMNS)
+    ranges = [F.col(k).asc_nulls_last() for k in ("pedido_id", spread) if k]
+    session_partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if min_files > session_partitions:
+        return rows.repartitionByRange(min_files, *ranges)
+    return rows.repartitionByRange(*ranges)

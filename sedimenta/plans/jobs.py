@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from sedimenta.config import PipelineConfig
 from sedimenta.operators import gates
 from sedimenta.operators.audit import AUDITS
+from sedimenta.operators.gates import Dimension
 from sedimenta.operators.gold import build_gold
 from sedimenta.operators.quality import REASON, check_rows, order_rules
-from sedimenta.operators.silver import measure_order_dimensions, silver_projection, sort_silver
+from sedimenta.operators.silver import (
+    CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, join_dimensions, measure_order_dimensions, range_by_order,
+    silver_projection,
+)
 from sedimenta.schemas import (
     GOLD_TABLE, QUARANTINE_TABLE, RAW_CLIENTES, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_TABLE,
 )
@@ -65,30 +69,36 @@ def staging_path(spark: SparkSession, cfg: PipelineConfig) -> str:
     return f"{root.rstrip('/')}/sedimenta/{lake}/{cfg.ingest_date}"
 
 
-def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, clientes: DataFrame, produtos: DataFrame
+def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dimension, product: Dimension
                          ) -> tuple[DataFrame, int]:
-    """Check and enrich all raw orders once and write them as Parquet, split by verdict.
+    """Check all raw orders once and write them as Parquet, split by verdict.
 
-    Both routes read their part from there, so the CSV is parsed and joined
+    Both routes read their part from there, so the CSV is parsed and checked
     once, a lost executor costs no recomputation, and nothing is published
-    before the gates have seen the counts. Returns the staged rows and the
-    number of raw rows seen by the scan.
+    before the gates have seen the counts. A dimension too large to broadcast
+    brings its silver columns along in this one shuffle join; one that fits is
+    only probed here and joined again, without a shuffle, when silver is
+    written, which keeps the staged rows narrow. Returns the staged rows and
+    the number of raw rows seen by the scan.
     """
+    limit = cfg.broadcast_limit
+    rules = order_rules(
+        customer.sized_for_join(limit), product.sized_for_join(limit), unique_keys=True,
+        customer_attributes=None if customer.fits(limit) else CUSTOMER_ATTRIBUTES,
+        product_attributes=None if product.fits(limit) else PRODUCT_ATTRIBUTES)
     seen = Observation("raw orders")
     pedidos = read_raw(spark, cfg, RAW_PEDIDOS).observe(seen, F.count(F.lit(1)).alias("rows"))
-    flagged = check_rows(pedidos, order_rules(clientes, produtos, enrich=True)).flagged()
     verdict = F.when(F.col(REASON) == "", VALID).otherwise(REJECTED)
+    flagged = check_rows(pedidos, rules).flagged().withColumn(VERDICT, verdict)
     path = staging_path(spark, cfg)
-    staged = flagged.withColumn(VERDICT, verdict)
-    staged.write.mode("overwrite").partitionBy(VERDICT).parquet(path)
-    return spark.read.schema(staged.schema).parquet(path), seen.get["rows"]
+    flagged.write.mode("overwrite").partitionBy(VERDICT).parquet(path)
+    return spark.read.schema(flagged.schema).parquet(path), seen.get["rows"]
 
 
 def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
     """Raw to quarantine, silver and gold. Gates run first, so a failing run publishes nothing."""
-    clientes, produtos = read_raw(spark, cfg, RAW_CLIENTES), read_raw(spark, cfg, RAW_PRODUTOS)
-    customer, product = (d.sized_for_join(cfg.broadcast_limit)
-                         for d in measure_order_dimensions(clientes, produtos))
+    customer, product = measure_order_dimensions(
+        read_raw(spark, cfg, RAW_CLIENTES), read_raw(spark, cfg, RAW_PRODUTOS))
 
     staged, raw_rows = stage_checked_orders(spark, cfg, customer, product)
     reasons = {r[REASON]: r["n"] for r in staged.groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -99,7 +109,11 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
         raw_rows = read_raw(spark, cfg, RAW_PEDIDOS, normalise=False).count()
     gates.require_join_conserved(raw_rows, valid_rows + rejected_rows)
 
-    publish(spark, cfg, staged, valid_rows)
+    write_quarantine(cfg, staged)
+    write_silver(spark, cfg, staged, valid_rows, customer, product)
+    gold = build_gold(read_layer(spark, cfg, SILVER_TABLE), cfg.drop_null_gold_keys)
+    write_partition(gold, cfg, GOLD_TABLE)
+
     silver_rows = read_layer(spark, cfg, SILVER_TABLE).count()
     quarantined_rows = read_layer(spark, cfg, QUARANTINE_TABLE).count()
     gates.require_reconciled(raw_rows, silver_rows, quarantined_rows)
@@ -107,21 +121,23 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
                          read_layer(spark, cfg, GOLD_TABLE).count(), reasons)
 
 
-def publish(spark: SparkSession, cfg: PipelineConfig, staged: DataFrame, valid_rows: int) -> None:
-    """Write the three derived layers; gold reads five columns of the silver files just written."""
+def write_quarantine(cfg: PipelineConfig, staged: DataFrame) -> None:
     rejected = staged.where(F.col(VERDICT) == REJECTED)
     write_partition(quarantine_projection(rejected, cfg.quarantine_raw_text), cfg, QUARANTINE_TABLE)
 
-    # A hash of the staged row's place is unique and the same after a retry, so equal
-    # rows spread over the sorted files.
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__place")
-    valid = staged.where(F.col(VERDICT) == VALID).select("*", place)
-    files = max(1, -(-valid_rows // cfg.silver_rows_per_file))
-    silver = sort_silver(silver_projection(valid, "__place"), cfg.silver_order, files, spread="__place")
-    write_partition(silver, cfg, SILVER_TABLE)
 
-    gold = build_gold(read_layer(spark, cfg, SILVER_TABLE), cfg.drop_null_gold_keys)
-    write_partition(gold, cfg, GOLD_TABLE)
+def write_silver(spark: SparkSession, cfg: PipelineConfig, staged: DataFrame, valid_rows: int,
+                 customer: Dimension, product: Dimension) -> None:
+    """Silver sorted by order id. The narrow staged rows are shuffled, before the broadcast joins widen them."""
+    valid = staged.where(F.col(VERDICT) == VALID)
+    if cfg.silver_order == "global":
+        # A hash of the staged row's place is unique and the same after a retry, so
+        # equal rows spread over the sorted files.
+        place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__place")
+        files = -(-valid_rows // cfg.silver_rows_per_file)
+        valid = range_by_order(valid.select("*", place), files, spread="__place")
+    silver = silver_projection(join_dimensions(valid, customer, product, cfg.broadcast_limit))
+    write_partition(silver.sortWithinPartitions(F.asc_nulls_last("pedido_id")), cfg, SILVER_TABLE)
 
 
 def run_audit(spark: SparkSession, cfg: PipelineConfig, export: bool = True) -> dict[str, DataFrame]:

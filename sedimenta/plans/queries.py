@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 
 from sedimenta.config import PipelineConfig
 from sedimenta.operators import audit, gates
-from sedimenta.operators.gates import BROADCAST_LIMIT
 from sedimenta.operators.gold import build_gold, gold_top
 from sedimenta.operators.quality import (
-    REASON, CheckedRows, ExistsRule, PositiveRule, apply_quality, check_orders, check_rows, order_rules,
+    REASON, CheckedRows, ExistsRule, PositiveRule, apply_quality, check_and_enrich, check_orders, check_rows,
     reason_counts,
 )
-from sedimenta.operators.silver import build_silver, measure_order_dimensions, silver_projection
+from sedimenta.operators.silver import build_silver, silver_projection
 from sedimenta.plans.jobs import run_audit, run_process, write_raw
 from sedimenta.schemas import GOLD_TABLE, PEDIDOS, QUARANTINE_TABLE, RAW_PEDIDOS, SILVER_COLUMNS, SILVER_TABLE
 from sedimenta.sinks.layers import quarantine_projection, write_partition
@@ -44,10 +43,7 @@ def _checked(raw: RawFrames) -> CheckedRows:
 
 
 def _enriched(raw: RawFrames) -> DataFrame:
-    """Valid orders with their dimension columns: one join per dimension checks and enriches."""
-    customer, product = (d.sized_for_join(BROADCAST_LIMIT)
-                         for d in measure_order_dimensions(raw.clientes, raw.produtos))
-    return check_rows(raw.pedidos, order_rules(customer, product, enrich=True)).valid(with_attributes=True)
+    return check_and_enrich(raw.pedidos, raw.clientes, raw.produtos).valid(with_attributes=True)
 
 
 def _silver(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:

@@ -20,7 +20,6 @@ def recommended_conf(input_bytes: int = 0) -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.maxConcurrentOutputFileWriters": "4",
         "spark.sql.session.timeZone": "UTC",
     }
 
