@@ -16,9 +16,10 @@ class PipelineConfig:
     """Parameters of one run.
 
     ``base_uri`` is any URI Hadoop file systems understand; on a cluster it
-    must be shared storage. ``silver_order`` is ``global`` (one range shuffle,
-    the whole table sorted by order id) or ``files`` (each file sorted, no
-    shuffle). ``broadcast_limit`` is the largest dimension, in counted bytes,
+    must be shared storage. ``silver_order`` is ``global`` (one range shuffle of
+    the narrow checked rows, the whole table sorted by order id) or ``files``
+    (each file sorted, no shuffle), which is the better choice for the largest
+    inputs. ``broadcast_limit`` is the largest dimension, in counted bytes,
     that is broadcast. ``staging_uri`` overrides where a run stages its checked rows.
     """
 
@@ -31,7 +32,7 @@ class PipelineConfig:
     n_pedidos: int = 5000
     anomaly_rate: float = 0.03
     silver_order: str = "global"
-    silver_rows_per_file: int = 4_000_000
+    silver_rows_per_file: int = 16_000_000
     broadcast_limit: int = 128 << 20
     drop_null_gold_keys: bool = True
     quarantine_raw_text: bool = True

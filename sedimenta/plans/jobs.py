@@ -61,7 +61,10 @@ def write_raw(cfg: PipelineConfig, clientes: DataFrame, produtos: DataFrame, ped
 
 
 def staging_path(spark: SparkSession, cfg: PipelineConfig) -> str:
-    """Where a run keeps its checked rows: shared storage, one folder per lake and date, replaced by each run."""
+    """Where a run keeps its checked rows: shared storage, one folder per lake and date.
+
+    A run replaces it, and empties it once its layers are reconciled.
+    """
     root = cfg.staging_uri or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         return f"{cfg.base_uri.rstrip('/')}/_staging/{cfg.ingest_date}"
@@ -117,6 +120,7 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
     silver_rows = read_layer(spark, cfg, SILVER_TABLE).count()
     quarantined_rows = read_layer(spark, cfg, QUARANTINE_TABLE).count()
     gates.require_reconciled(raw_rows, silver_rows, quarantined_rows)
+    spark.createDataFrame([], staged.schema).write.mode("overwrite").parquet(staging_path(spark, cfg))
     return ProcessReport(raw_rows, valid_rows, rejected_rows, silver_rows,
                          read_layer(spark, cfg, GOLD_TABLE).count(), reasons)
 

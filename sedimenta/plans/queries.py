@@ -19,7 +19,7 @@ from sedimenta.operators.silver import build_silver, silver_projection
 from sedimenta.plans.jobs import run_audit, run_process, write_raw
 from sedimenta.schemas import GOLD_TABLE, PEDIDOS, QUARANTINE_TABLE, RAW_PEDIDOS, SILVER_COLUMNS, SILVER_TABLE
 from sedimenta.sinks.layers import quarantine_projection, write_partition
-from sedimenta.sources.adapters import RawFrames, orders, raw_frames
+from sedimenta.sources.adapters import RawFrames, orders, raw_frames, read_table
 from sedimenta.sources.catalog import catalog_layers, create_catalog, table_name
 from sedimenta.sources.generate import (
     BAD_QUANTITIES, CITIES_BY_UF, EMAIL_DOMAIN, PRODUCT_CATALOG, generate_customers, generate_orders,
@@ -99,8 +99,8 @@ def dq_rule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_customer_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule engine on another table, with its own rules."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey", "c_acctbal")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").where("n_regionkey <> 2")
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    nation = read_table(spark, sf_dir, "nation").where("n_regionkey <> 2")
     rules = [
         PositiveRule("SALDO_INVALIDO", "c_acctbal"),
         ExistsRule("NACAO_INEXISTENTE", "c_nationkey", nation, "n_nationkey"),
@@ -157,7 +157,7 @@ def _without_some_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- gates and audits ---------------------------------------------------------------------
 
 def gate_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = read_table(spark, sf_dir, "lineitem")
     return gates.duplicate_keys(lines, "l_orderkey", "l_linenumber")
 
 
@@ -214,7 +214,8 @@ def audit_gold_lost_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _published(spark, sf_dir)
-    return run_audit(spark, cfg, export=False)["Q1"]
+    create_catalog(spark, cfg)
+    return audit.physical_files(catalog_layers(spark, cfg))
 
 
 def audit_files_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,7 +290,7 @@ def catalog_quarantine_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- generator ----------------------------------------------------------------------------
 
 def _count(spark: SparkSession, sf_dir: str, table: str) -> int:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
+    return read_table(spark, sf_dir, table).count()
 
 
 def _generated_orders(spark: SparkSession, sf_dir: str):

@@ -12,6 +12,18 @@ from pyspark.sql import functions as F
 
 SIGNUP_DATE = "2020-01-01"
 
+# Declared, so that reading a table looks at no file before the query runs.
+TABLE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 @dataclass(frozen=True)
 class RawFrames:
@@ -20,9 +32,13 @@ class RawFrames:
     pedidos: DataFrame
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
+    customer = read_table(spark, sf_dir, "customer")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         F.col("c_custkey").alias("cliente_id"),
         F.col("c_name").alias("nome"),
@@ -34,7 +50,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
+    return read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("nome_produto"),
         F.col("p_type").alias("categoria"),
@@ -44,9 +60,9 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders(spark: SparkSession, sf_dir: str, anomalies: bool = True) -> DataFrame:
     """Order lines; ``pedido_id`` repeats. With ``anomalies``, about 3 % of the rows break each rule."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    lines = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    heads = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    heads = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     order, line, part, supp = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
 
     def hit(score):

@@ -1,10 +1,13 @@
 """Generated data: exact anomaly counts, domains, determinism."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.functions.picks import exact_k_mask
 from sedimenta.operators.quality import check_orders
+from sedimenta.sources import generate
 from sedimenta.sources.generate import (
     CITIES_BY_UF, PRODUCT_CATALOG, generate_customers, generate_orders, generate_products,
 )
@@ -26,7 +29,6 @@ def test_mask_arithmetic_is_exact_for_huge_ids(spark):
     ids = [1, 2, 3, n // 2, n - 1, n] + [n - 7919 * i for i in range(1, 200)]
     got = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "id long").select(
         exact_k_mask(F.col("id"), n, k, seed)).collect()]
-    import math
     a = int(n * (0.381966 + 0.0173 * (seed % 13))) % n
     while math.gcd(a, n) != 1:
         a += 1
@@ -64,16 +66,15 @@ def test_no_rows(spark):
     assert generated.orders.count() == 0 and set(generated.injected.values()) == {0}
 
 
-def test_values_do_not_depend_on_partitioning_but_on_the_seed(spark):
-    def total(parts, seed):
-        spark.conf.set("spark.sql.leafNodeDefaultParallelism", parts)
-        try:
-            rows = generate_orders(spark, 3000, 200, 50, D, 0.03, seed).orders
-            return rows.agg(F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first()[0]
-        finally:
-            spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+def test_values_do_not_depend_on_partitioning_but_on_the_seed(spark, monkeypatch):
+    def total(rows_per_task, seed):
+        monkeypatch.setattr(generate, "MAX_ROWS_PER_TASK", rows_per_task)
+        rows = generate_orders(spark, 3000, 200, 50, D, 0.03, seed).orders
+        return rows.rdd.getNumPartitions(), rows.agg(
+            F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first()[0]
 
-    assert total(1, 42) == total(7, 42) != total(1, 43)
+    (one, a), (many, b), (_, c) = total(10_000, 42), total(500, 42), total(10_000, 43)
+    assert (one, many) == (1, 6) and a == b != c
 
 
 def test_customers(spark):
