@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ class ReconciliationError(RuntimeError):
 
 @dataclass(frozen=True)
 class Dimension:
-    """A dimension with unique keys whose size in memory has been counted."""
+    """A frame to join with, whose size in memory has been counted."""
 
     frame: DataFrame
     rows: int
@@ -51,12 +51,16 @@ def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("ocorrencias")).where("ocorrencias > 1")
 
 
-def _profile(name: str, df: DataFrame, key: str) -> DataFrame:
-    size = F.lit(ROW_OVERHEAD)
+def _row_bytes(df: DataFrame) -> Column:
+    size = F.lit(ROW_OVERHEAD).cast("long")
     for column in df.schema:
         is_text = isinstance(column.dataType, T.StringType)
         size = size + (F.coalesce(F.octet_length(column.name), F.lit(0)) + TEXT_OVERHEAD if is_text else F.lit(8))
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("long")).alias("b"))
+    return size
+
+
+def _profile(name: str, df: DataFrame, key: str) -> DataFrame:
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("linhas"),
         F.coalesce(F.sum("b"), F.lit(0)).alias("tamanho"),
@@ -81,15 +85,15 @@ def measure_dimensions(**dimensions: tuple[DataFrame, str]) -> dict[str, Dimensi
 
 
 def key_lookups(broadcast_limit: int, **dimensions: tuple[DataFrame, str]) -> list[DataFrame]:
-    """Only the keys of each ``name=(frame, key)``, marked for broadcast if their counted rows fit the limit."""
-    counts = reduce(DataFrame.unionAll, [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("dimensao"), "n")
-        for name, (df, _) in dimensions.items()])
-    rows = {r.dimensao: r.n for r in counts.collect()}
-    return [
-        Dimension(df.select(key), rows[name], rows[name] * (ROW_OVERHEAD + 8)).sized_for_join(broadcast_limit)
-        for name, (df, key) in dimensions.items()
-    ]
+    """Only the keys of each ``name=(frame, key)``, marked for broadcast if their counted bytes fit the limit."""
+    keys = {name: df.select(key) for name, (df, key) in dimensions.items()}
+    sizes = reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("linhas"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("tamanho"))
+        .select(F.lit(name).alias("dimensao"), "linhas", "tamanho")
+        for name, df in keys.items()])
+    counted = {r.dimensao: r for r in sizes.collect()}
+    return [Dimension(df, counted[name].linhas, counted[name].tamanho).sized_for_join(broadcast_limit)
+            for name, df in keys.items()]
 
 
 def require_join_conserved(rows_before: int, rows_after: int) -> None:

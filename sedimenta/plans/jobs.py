@@ -12,7 +12,7 @@ from sedimenta.operators import gates
 from sedimenta.operators.audit import AUDITS
 from sedimenta.operators.gates import Dimension
 from sedimenta.operators.gold import build_gold
-from sedimenta.operators.quality import REASON, check_rows, order_rules
+from sedimenta.operators.quality import REASON, check_rows, order_rules, reason_counts
 from sedimenta.operators.silver import (
     CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, join_dimensions, measure_order_dimensions, range_by_order,
     silver_projection,
@@ -90,12 +90,15 @@ def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dim
         customer_attributes=None if customer.fits(limit) else CUSTOMER_ATTRIBUTES,
         product_attributes=None if product.fits(limit) else PRODUCT_ATTRIBUTES)
     seen = Observation("raw orders")
-    pedidos = read_raw(spark, cfg, RAW_PEDIDOS).observe(seen, F.count(F.lit(1)).alias("rows"))
+    pedidos = read_raw(spark, cfg, RAW_PEDIDOS)
+    observed = pedidos.observe(seen, F.count(F.lit(1)).alias("rows"))
     verdict = F.when(F.col(REASON) == "", VALID).otherwise(REJECTED)
-    flagged = check_rows(pedidos, rules).flagged().withColumn(VERDICT, verdict)
+    flagged = check_rows(observed, rules).flagged().withColumn(VERDICT, verdict)
     path = staging_path(spark, cfg)
     flagged.write.mode("overwrite").partitionBy(VERDICT).parquet(path)
-    return spark.read.schema(flagged.schema).parquet(path), seen.get["rows"]
+    # AQE drops an empty input from the plan, and its observation with it.
+    raw_rows = 0 if pedidos.isEmpty() else seen.get["rows"]
+    return spark.read.schema(flagged.schema).parquet(path), raw_rows
 
 
 def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
@@ -104,7 +107,8 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
         read_raw(spark, cfg, RAW_CLIENTES), read_raw(spark, cfg, RAW_PRODUTOS))
 
     staged, raw_rows = stage_checked_orders(spark, cfg, customer, product)
-    reasons = {r[REASON]: r["n"] for r in staged.groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()}
+    # At most one row per combination of the three rules.
+    reasons = {r[REASON]: r["qtd"] for r in reason_counts(staged).collect()}
     valid_rows = reasons.pop("", 0)
     rejected_rows = sum(reasons.values())
     if raw_rows != valid_rows + rejected_rows:

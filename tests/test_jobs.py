@@ -188,6 +188,26 @@ def test_no_orders_at_all(spark, lake):
     assert {r.tabela for r in reports["Q1"].collect()} == {"raw_clientes", "raw_produtos"}
 
 
+@pytest.mark.parametrize("limit", [128 << 20, -1])
+@pytest.mark.parametrize("orders, changes, expected", [
+    ("", {}, (0, 0, 0)),
+    ("", {"customers": "", "products": ""}, (0, 0, 0)),
+    ("1,1,10,1,2026-01-01\n", {"customers": ""}, (1, 0, 1)),
+    ("1,1,10,1,2026-01-01\n", {"customers": "", "products": ""}, (1, 0, 1)),
+])
+def test_empty_tables_with_and_without_broadcast(spark, lake, limit, orders, changes, expected):
+    cfg = config(lake, broadcast_limit=limit)
+    put_raw(cfg, orders, **changes)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if limit < 0:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = run_process(spark, cfg)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert (report.raw, report.silver, report.rejected) == expected
+
+
 def test_another_date_adds_a_partition_and_changes_nothing_else(spark, lake):
     cfg = config(lake)
     put_raw(cfg, "1,1,10,1,2026-01-01\n")
