@@ -73,18 +73,16 @@ def _money(column: str, table: str) -> str:
 
 def _validity(source: str) -> str:
     return f"""SELECT count(*) AS linhas_silver,
-       CAST(sum(CASE WHEN quantidade <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS linhas_quantidade_invalida,
-       CAST(sum(CASE WHEN abs(valor_total - quantidade * preco) > 0.01 THEN 1 ELSE 0 END) AS BIGINT)
+       count(*) FILTER (WHERE quantidade <= 0) AS linhas_quantidade_invalida,
+       count(*) FILTER (WHERE valor_total NOT BETWEEN quantidade * preco - 0.01 AND quantidade * preco + 0.01)
          AS linhas_valor_total_divergente,
        CAST(sum(CAST(valor_total AS DECIMAL(18, 2))) AS DOUBLE) AS receita_total
 FROM {source}"""
 
 
 def _orphans(source: str) -> str:
-    return f"""SELECT count(*) AS silver_sem_cliente_ou_produto
-FROM {source} s LEFT JOIN clientes c ON s.cliente_id = c.cliente_id
-     LEFT JOIN produtos d ON s.product_id = d.product_id
-WHERE c.cliente_id IS NULL OR d.product_id IS NULL"""
+    return f"""SELECT count(*) AS silver_sem_cliente_ou_produto FROM {source}
+WHERE cliente_id NOT IN (SELECT cliente_id FROM clientes) OR product_id NOT IN (SELECT product_id FROM produtos)"""
 
 
 def _revenue(silver: str, gold: str) -> str:

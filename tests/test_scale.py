@@ -188,7 +188,9 @@ def test_dimension_join_is_broadcast_only_within_the_limit(spark, lake):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         within = plan(check_and_enrich(orders, clientes, produtos, broadcast_limit=1 << 20).flagged())
         beyond = plan(check_and_enrich(orders, clientes, produtos, broadcast_limit=1000).flagged())
+        keys = plan(check_orders(orders, clientes, produtos).flagged())
     assert within.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in within
+    assert keys.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in keys
     assert "BroadcastHashJoin" not in beyond and beyond.count("SortMergeJoin") == 2
 
 
