@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+LONG_CENTS = 9e16
+
 
 def round2(value: Column) -> Column:
     """Two decimals, ties to even after scaling: scale, ``rint``, unscale.
@@ -16,7 +18,10 @@ def round2(value: Column) -> Column:
 
 
 def cents(value: Column) -> Column:
-    return F.rint(value * 100).cast("long")
+    """Whole cents as a decimal. Amounts that fit a long take the cheap conversion."""
+    scaled = F.rint(value * 100)
+    whole = "decimal(38,0)"
+    return F.when(F.abs(value) < LONG_CENTS, scaled.cast("long").cast(whole)).otherwise(scaled.cast(whole))
 
 
 def money_sum(value: Column) -> Column:
@@ -26,7 +31,7 @@ def money_sum(value: Column) -> Column:
     total; a sum of doubles would not. The buffer is a decimal because a long
     would overflow near 9.2e16 currency units.
     """
-    return (F.sum(cents(value).cast("decimal(19,0)")) / 100).cast("double")
+    return (F.sum(cents(value)) / 100).cast("double")
 
 
 def safe_number(column: str, data_type: T.DataType) -> Column:

@@ -116,8 +116,8 @@ def orphan_detail(facts: DataFrame, clientes: DataFrame, produtos: DataFrame) ->
 
 def silver_against_gold(silver: DataFrame, gold: DataFrame) -> DataFrame:
     """Q7: revenue of both layers and their difference."""
-    rows = _tagged("silver", silver, cents(F.col("valor_total")).cast("decimal(19,0)").alias("centavos")).unionAll(
-        _tagged("gold", gold, cents(F.col("receita_total")).cast("decimal(19,0)").alias("centavos")))
+    rows = _tagged("silver", silver, cents(F.col("valor_total")).alias("centavos")).unionAll(
+        _tagged("gold", gold, cents(F.col("receita_total")).alias("centavos")))
     totals = rows.agg(*[
         F.sum(F.when(F.col("camada") == tag, F.col("centavos"))).alias(tag) for tag in ("silver", "gold")
     ])

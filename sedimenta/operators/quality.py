@@ -23,6 +23,7 @@ from sedimenta.operators.silver import CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES,
 
 REASON = "motivo_rejeicao"
 REASON_SEPARATOR = "; "
+TOO_LARGE = 2.0**63
 BAD_QUANTITY = "QUANTIDADE_INVALIDA"
 UNKNOWN_CUSTOMER = "CLIENTE_INEXISTENTE"
 UNKNOWN_PRODUCT = "PRODUTO_INEXISTENTE"
@@ -30,7 +31,7 @@ UNKNOWN_PRODUCT = "PRODUTO_INEXISTENTE"
 
 @dataclass(frozen=True)
 class PositiveRule:
-    """Violated unless the column holds a finite number above zero; null and text violate it."""
+    """Violated unless the column holds a number above zero that fits a long; null and text violate it."""
 
     name: str
     column: str
@@ -105,7 +106,7 @@ def check_rows(rows: DataFrame, rules: Sequence[Rule]) -> CheckedRows:
         if isinstance(rule, PositiveRule):
             value = safe_number(rule.column, rows.schema[rule.column].dataType)
             # NaN sorts above infinity in Spark, so the upper bound removes both.
-            good = (value > 0) & (value < float("inf"))
+            good = (value > 0) & (value < TOO_LARGE)
             violated[rule.name] = ~F.coalesce(good, F.lit(False))
         else:
             key = f"__key_{number}"

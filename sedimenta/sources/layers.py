@@ -18,14 +18,15 @@ CSV_OPTIONS = {
 
 
 def blank_missing(df: DataFrame) -> DataFrame:
-    """Null for every text that means "missing", and for NaN numbers."""
+    """Null for every text that means "missing", and for numbers that are not finite."""
 
     def cleaned(field: T.StructField) -> Column:
         value = F.col(field.name)
         if isinstance(field.dataType, T.StringType):
             return F.when(~value.isin(*NA_STRINGS), value).alias(field.name)
         if isinstance(field.dataType, T.DoubleType):
-            return F.when(~F.isnan(value), value).alias(field.name)
+            # NaN compares as larger than infinity.
+            return F.when(F.abs(value) < float("inf"), value).alias(field.name)
         return value
 
     return df.select(*[cleaned(f) for f in df.schema])

@@ -133,6 +133,17 @@ def test_missing_markers_become_null(spark, lake):
     assert read_raw(spark, cfg, RAW_CLIENTES, normalise=False).first().nome == "NA"
 
 
+def test_extreme_values_do_not_stop_a_run(spark, lake):
+    cfg = config(lake)
+    put_raw(cfg, "1,1,10,1e300,2026-01-01\n2,1,11,3,2026-01-01\n3,1,12,9000000000000000000,2026-01-01\n4,1,13,1,\n",
+            products="10,a,Casa,2.5\n11,b,Casa,Infinity\n12,c,Som,1000000\n13,d,Som,-Inf\n")
+    assert run_process(spark, cfg).reasons == {Q: 1}
+    rows = {r.pedido_id: (r.quantidade, r.valor_total) for r in read_layer(spark, cfg, SILVER_TABLE).collect()}
+    assert rows == {2: (3, None), 3: (9 * 10**18, pytest.approx(9e24)), 4: (1, None)}
+    gold = {r.categoria: r.receita_total for r in read_layer(spark, cfg, GOLD_TABLE).collect()}
+    assert gold == {"Casa": 0.0, "Som": pytest.approx(9e24)}
+
+
 def test_csv_keeps_quotes_commas_blanks_and_accents(spark, lake):
     cfg = config(lake)
     names = ['plain', 'with, comma', 'say "hi"', ' blanks ', 'João Ávila', 'back\\slash']

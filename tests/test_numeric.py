@@ -26,3 +26,10 @@ def test_money_sum_passes_the_range_of_long_cents(spark):
 
 def test_money_sum_without_rows_is_null(spark):
     assert spark.range(0).select(F.lit(1.0).alias("x")).agg(money_sum(F.col("x"))).first()[0] is None
+
+
+def test_money_sum_of_single_amounts_beyond_long_cents(spark):
+    rows = spark.createDataFrame([(3e17,), (-1e17,), (0.25,)], "x double")
+    assert rows.agg(money_sum(F.col("x"))).first()[0] == 2e17
+    rows = spark.createDataFrame([(0.1,)] * 3 + [(None,)], "x double")
+    assert rows.agg(money_sum(F.col("x"))).first()[0] == 0.3

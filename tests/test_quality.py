@@ -21,6 +21,7 @@ CASES = [
     ("not a number", 1, 10, "NaN", Q),
     ("infinite", 1, 10, "inf", Q),
     ("infinite word", 1, 10, "Infinity", Q),
+    ("beyond a long", 1, 10, "1e300", Q),
     ("fraction", 1, 10, "0.5", ""),
     ("exponent", 1, 10, "1e2", ""),
     ("blanks", 1, 10, " 4 ", ""),
