@@ -95,10 +95,12 @@ def _keys(clientes: DataFrame, produtos: DataFrame) -> list[DataFrame]:
 def silver_orphans(silver: DataFrame, clientes: DataFrame, produtos: DataFrame) -> DataFrame:
     """Q6: joined rows whose customer or product is missing; 0 for a sound silver layer."""
     customers, products = _keys(clientes, produtos)
+    customers = customers.withColumnRenamed("cliente_id", "__customer")
+    products = products.withColumnRenamed("product_id", "__product")
     joined = (
         silver.select("cliente_id", "product_id")
-        .join(customers.withColumnRenamed("cliente_id", "__customer"), F.col("cliente_id") == F.col("__customer"), "left")
-        .join(products.withColumnRenamed("product_id", "__product"), F.col("product_id") == F.col("__product"), "left")
+        .join(customers, F.col("cliente_id") == F.col("__customer"), "left")
+        .join(products, F.col("product_id") == F.col("__product"), "left")
     )
     missing = F.col("__customer").isNull() | F.col("__product").isNull()
     return joined.where(missing).agg(F.count(F.lit(1)).alias("silver_sem_cliente_ou_produto"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -121,12 +122,20 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
     gold = build_gold(read_layer(spark, cfg, SILVER_TABLE), cfg.drop_null_gold_keys)
     write_partition(gold, cfg, GOLD_TABLE)
 
-    silver_rows = read_layer(spark, cfg, SILVER_TABLE).count()
-    quarantined_rows = read_layer(spark, cfg, QUARANTINE_TABLE).count()
-    gates.require_reconciled(raw_rows, silver_rows, quarantined_rows)
+    written = published_rows(spark, cfg)
+    gates.require_reconciled(raw_rows, written[SILVER_TABLE.name], written[QUARANTINE_TABLE.name])
     spark.createDataFrame([], staged.schema).write.mode("overwrite").parquet(staging_path(spark, cfg))
-    return ProcessReport(raw_rows, valid_rows, rejected_rows, silver_rows,
-                         read_layer(spark, cfg, GOLD_TABLE).count(), reasons)
+    return ProcessReport(raw_rows, valid_rows, rejected_rows, written[SILVER_TABLE.name],
+                         written[GOLD_TABLE.name], reasons)
+
+
+def published_rows(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
+    """Rows of the three derived layers as they lie on storage, counted in one job."""
+    tables = (SILVER_TABLE, QUARANTINE_TABLE, GOLD_TABLE)
+    tagged = reduce(DataFrame.unionAll, [
+        read_layer(spark, cfg, t).select(F.lit(t.name).alias("tabela")) for t in tables])
+    counts = {r.tabela: r["count"] for r in tagged.groupBy("tabela").count().collect()}
+    return {t.name: counts.get(t.name, 0) for t in tables}
 
 
 def write_quarantine(cfg: PipelineConfig, staged: DataFrame) -> None:

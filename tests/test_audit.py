@@ -6,7 +6,7 @@ from frames import C, P, Q, customers, products
 from sedimenta.operators import audit, gates
 from sedimenta.operators.gold import build_gold, gold_top
 from sedimenta.operators.silver import build_silver
-from sedimenta.schemas import GOLD, QUARANTINE, SILVER
+from sedimenta.schemas import GOLD, PEDIDOS, QUARANTINE, SILVER
 
 
 def silver(spark, rows):
@@ -16,7 +16,8 @@ def silver(spark, rows):
          for o, c, uf, p, cat, q, price, total in rows], SILVER)
 
 
-SOUND = [(1, 1, "SP", 10, "Casa", 2, 2.5, 5.0), (1, 1, "SP", 10, "Casa", 1, 2.5, 2.5), (2, 2, "RJ", 10, "Casa", 4, 2.5, 10.0)]
+SOUND = [(1, 1, "SP", 10, "Casa", 2, 2.5, 5.0), (1, 1, "SP", 10, "Casa", 1, 2.5, 2.5),
+         (2, 2, "RJ", 10, "Casa", 4, 2.5, 10.0)]
 
 
 def test_gold_counts_orders_once(spark):
@@ -51,7 +52,8 @@ def test_ticket_divides_the_unrounded_revenue_half_even(spark):
 
 
 def test_gold_top_breaks_ties_by_name(spark):
-    gold = spark.createDataFrame([(uf, "Casa", 1, 1, 5.0, 5.0) for uf in "DBCA"] + [("Z", "Casa", 1, 1, 6.0, 6.0)], GOLD)
+    tied = [(uf, "Casa", 1, 1, 5.0, 5.0) for uf in "DBCA"]
+    gold = spark.createDataFrame([*tied, ("Z", "Casa", 1, 1, 6.0, 6.0)], GOLD)
     assert [r.uf for r in gold_top(gold, 3).collect()] == ["Z", "A", "B"]
 
 
@@ -91,8 +93,7 @@ def test_quarantine_sample_puts_null_ids_last(spark):
 
 
 def test_build_silver_gates(spark):
-    valid = spark.createDataFrame([(1, 1, 10, 3, "2026-01-01"), (2, 7, 10, 3, "2026-01-01")],
-                                  "pedido_id long, cliente_id long, product_id long, quantidade long, data_pedido string")
+    valid = spark.createDataFrame([(1, 1, 10, 3, "2026-01-01"), (2, 7, 10, 3, "2026-01-01")], PEDIDOS)
     with pytest.raises(gates.JoinLossError):
         build_silver(valid, customers(spark), products(spark))
     assert build_silver(valid, customers(spark), products(spark), verify_count=False).count() == 1

@@ -15,7 +15,8 @@ from sedimenta.sources.generate import (
 D = "2026-09-20"
 
 
-@pytest.mark.parametrize("n, k", [(1, 1), (2, 1), (12, 5), (5000, 150), (4096, 122), (99991, 3000), (1000, 0), (60, 60)])
+@pytest.mark.parametrize("n, k", [
+    (1, 1), (2, 1), (12, 5), (5000, 150), (4096, 122), (99991, 3000), (1000, 0), (60, 60)])
 @pytest.mark.parametrize("seed", [0, 42, 43, 44])
 def test_mask_picks_exactly_k(spark, n, k, seed):
     ids = spark.range(1, n + 1)

@@ -67,7 +67,7 @@ def test_full_run_with_default_sizes(spark, lake):
     sample = [r.pedido_id for r in reports["Q4"].collect()]
     assert len(sample) == 10 and sample == sorted(sample)
     q5 = reports["Q5"].first()
-    assert (q5.linhas_silver, q5.linhas_quantidade_invalida, q5.linhas_valor_total_divergente) == (processed.silver, 0, 0)
+    assert tuple(q5)[:3] == (processed.silver, 0, 0)
     assert reports["Q6"].first()[0] == 0
     q7 = reports["Q7"].first()
     assert q7.diferenca == 0.0 and q7.receita_silver == q7.receita_gold == q5.receita_total
@@ -165,7 +165,8 @@ def test_json_keeps_accents(spark, lake):
 def test_a_foreign_header_fails_the_scan(spark, lake):
     cfg = config(lake)
     put_raw(cfg, "1,1,10,1,2026-01-01\n")
-    put(cfg, RAW_PEDIDOS, "pedidos.csv", "pedido_id,product_id,cliente_id,quantidade,data_pedido\n1,1,10,1,2026-01-01\n")
+    swapped = "pedido_id,product_id,cliente_id,quantidade,data_pedido\n1,1,10,1,2026-01-01\n"
+    put(cfg, RAW_PEDIDOS, "pedidos.csv", swapped)
     with pytest.raises(Exception, match="header does not conform"):
         run_process(spark, cfg)
     assert published(cfg) == []

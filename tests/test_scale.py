@@ -141,7 +141,8 @@ def run(spark, lake, order="global", limit=128 << 20, **more):
 @pytest.fixture(scope="module")
 def reference_layers(spark, tmp_path_factory):
     cfg, report = run(spark, str(tmp_path_factory.mktemp("lake")))
-    return {t: sorted(map(str, read_layer(spark, cfg, t).collect())) for t in (SILVER_TABLE, GOLD_TABLE, QUARANTINE_TABLE)}, report
+    tables = (SILVER_TABLE, GOLD_TABLE, QUARANTINE_TABLE)
+    return {t: sorted(map(str, read_layer(spark, cfg, t).collect())) for t in tables}, report
 
 
 @pytest.mark.parametrize("order, limit", [("files", 128 << 20), ("global", -1), ("files", -1), ("global", 200_000)])
@@ -154,7 +155,8 @@ def test_layers_are_the_same_however_they_are_joined_and_ordered(spark, lake, re
 
 
 def test_silver_files_are_sorted_and_a_hot_order_id_spans_several(spark, lake):
-    with settings(spark, spark__sql__shuffle__partitions="8", spark__sql__adaptive__coalescePartitions__enabled="false"):
+    with settings(spark, spark__sql__shuffle__partitions="8",
+                  spark__sql__adaptive__coalescePartitions__enabled="false"):
         cfg, report = run(spark, lake)
     files = sorted(Path(cfg.partition_path(SILVER_TABLE)).glob("*.parquet"))
     pieces = [[r.pedido_id for r in spark.read.parquet(str(f)).select("pedido_id").collect()] for f in files]
