@@ -96,7 +96,9 @@ def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dim
     verdict = F.when(F.col(REASON) == "", VALID).otherwise(REJECTED)
     flagged = check_rows(observed, rules).flagged().withColumn(VERDICT, verdict)
     path = staging_path(spark, cfg)
-    flagged.write.mode("overwrite").partitionBy(VERDICT).parquet(path)
+    # Whatever the session says, all of an earlier run's staging goes.
+    writer = flagged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(VERDICT).parquet(path)
     # AQE drops an empty input from the plan, and its observation with it.
     raw_rows = 0 if pedidos.isEmpty() else seen.get["rows"]
     return spark.read.schema(flagged.schema).parquet(path), raw_rows

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,18 @@ def create_table(spark: SparkSession, cfg: PipelineConfig, table: LayerTable) ->
         args={"t": table_name(cfg, table), "place": cfg.table_path(table)})
 
 
+def require_location(spark: SparkSession, cfg: PipelineConfig, table: LayerTable) -> None:
+    """Raise if the table, created earlier, lies over another lake: its audit would be of that one."""
+    described = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:t)", args={"t": table_name(cfg, table)})
+    location = described.where("col_name = 'Location'").first().data_type
+
+    def place(uri: str) -> str:
+        return re.sub(r"^[A-Za-z0-9+.-]+:", "", uri).strip("/")
+
+    if place(location) != place(cfg.table_path(table)):
+        raise ValueError(f"table {table_name(cfg, table)} lies in {location}, not in {cfg.table_path(table)}")
+
+
 def register_partitions(spark: SparkSession, cfg: PipelineConfig, table: LayerTable) -> None:
     """Add the partitions found on storage, and forget file lists of rewritten ones."""
     spark.sql("MSCK REPAIR TABLE IDENTIFIER(:t)", args={"t": table_name(cfg, table)})
@@ -42,6 +56,7 @@ def create_catalog(spark: SparkSession, cfg: PipelineConfig) -> None:
     create_database(spark, cfg)
     for table in LAYER_TABLES:
         create_table(spark, cfg, table)
+        require_location(spark, cfg, table)
         register_partitions(spark, cfg, table)
 
 

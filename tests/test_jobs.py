@@ -258,6 +258,34 @@ def test_catalog_declares_every_table(spark, lake):
     assert spark.table(table_name(cfg, SILVER_TABLE)).columns[:-1] == SILVER_COLUMNS
 
 
+def test_a_database_of_another_lake_is_refused(spark, lake, tmp_path):
+    cfg = config(lake)
+    put_raw(cfg, "1,1,10,1,2026-01-01\n")
+    run_process(spark, cfg)
+    create_catalog(spark, cfg)
+    create_catalog(spark, replace(cfg, base_uri=f"file://{lake}/"))
+    with pytest.raises(ValueError, match="lies in"):
+        create_catalog(spark, replace(cfg, base_uri=str(tmp_path)))
+
+
+def test_a_failed_run_leaves_nothing_in_the_next_ones_layers(spark, lake, monkeypatch):
+    """Also where the session overwrites partitions dynamically."""
+    cfg = config(lake)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        put_raw(cfg, "1,9,10,1,2026-01-01\n")
+        with monkeypatch.context() as patch:
+            patch.setattr(jobs, "write_quarantine", lambda *args: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                run_process(spark, cfg)
+        put_raw(cfg, "2,1,10,1,2026-01-01\n")
+        report = run_process(spark, cfg)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert (report.raw, report.silver, report.rejected) == (1, 1, 0)
+    assert read_layer(spark, cfg, QUARANTINE_TABLE).count() == 0
+
+
 # --- gates --------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("changes", [
