@@ -46,3 +46,9 @@ def safe_number(column: str, data_type: T.DataType) -> Column:
         return value.cast("double")
     suffixed = F.lower(F.right(F.rtrim(value), F.lit(1))).isin("d", "f")
     return F.coalesce(value.try_cast("long").cast("double"), F.when(~suffixed, value.try_cast("double")))
+
+
+def whole_number(column: str) -> Column:
+    """A text column as a long, also where it is written like ``7.0``; null where it is no whole number."""
+    number = safe_number(column, T.StringType())
+    return F.coalesce(F.col(column).try_cast("long"), F.when(F.rint(number) == number, number.try_cast("long")))

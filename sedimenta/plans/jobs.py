@@ -116,7 +116,7 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
     rejected_rows = sum(reasons.values())
     if raw_rows != valid_rows + rejected_rows:
         # A recomputed scan task is observed twice; only a real count may fail the run.
-        raw_rows = read_raw(spark, cfg, RAW_PEDIDOS, normalise=False).count()
+        raw_rows = read_raw(spark, cfg, RAW_PEDIDOS, blank_missing=False).count()
     gates.require_join_conserved(raw_rows, valid_rows + rejected_rows)
 
     write_quarantine(cfg, staged)

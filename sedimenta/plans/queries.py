@@ -264,7 +264,7 @@ def idempotent_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_raw(cfg, raw.clientes, raw.produtos, raw.pedidos)
     run_process(spark, cfg)
     return audit.reconciliation(
-        read_raw(spark, cfg, RAW_PEDIDOS, normalise=False),
+        read_raw(spark, cfg, RAW_PEDIDOS, blank_missing=False),
         read_layer(spark, cfg, SILVER_TABLE), read_layer(spark, cfg, QUARANTINE_TABLE))
 
 

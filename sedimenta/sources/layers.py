@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.config import PipelineConfig
+from sedimenta.functions.numeric import whole_number
 from sedimenta.schemas import NA_STRINGS, PEDIDOS_TEXT, RAW_PEDIDOS, LayerTable
 
 # Quotes are doubled inside quoted fields, and blanks belong to the value. A header that
@@ -17,29 +18,31 @@ CSV_OPTIONS = {
 }
 
 
-def blank_missing(df: DataFrame) -> DataFrame:
-    """Null for every text that means "missing", and for numbers that are not finite."""
+def _raw_column(field: T.StructField, blank_missing: bool) -> Column:
+    value = F.col(field.name)
+    if isinstance(field.dataType, T.LongType):
+        value = whole_number(field.name)
+    elif isinstance(field.dataType, T.DoubleType):
+        # NaN compares as larger than infinity.
+        value = F.when(F.abs(value) < float("inf"), value)
+    elif blank_missing:
+        value = F.when(~value.isin(*NA_STRINGS), value)
+    return value.alias(field.name)
 
-    def cleaned(field: T.StructField) -> Column:
-        value = F.col(field.name)
-        if isinstance(field.dataType, T.StringType):
-            return F.when(~value.isin(*NA_STRINGS), value).alias(field.name)
-        if isinstance(field.dataType, T.DoubleType):
-            # NaN compares as larger than infinity.
-            return F.when(F.abs(value) < float("inf"), value).alias(field.name)
-        return value
 
-    return df.select(*[cleaned(f) for f in df.schema])
+def read_raw(spark: SparkSession, cfg: PipelineConfig, table: LayerTable, blank_missing: bool = True) -> DataFrame:
+    """One date of a raw table, addressed by its folder, so other dates are not even listed.
 
-
-def read_raw(spark: SparkSession, cfg: PipelineConfig, table: LayerTable, normalise: bool = True) -> DataFrame:
-    """One date of a raw table. Order quantities come as text, for the rules to judge.
-
-    The scan addresses the folder of the date, so other dates are not even listed.
+    Whole numbers are scanned as text and may be written like ``7.0``. Order
+    quantities stay text, for the rules to judge. Numbers that are not finite
+    become null, and so do, unless ``blank_missing`` is off, the texts that
+    mean "missing".
     """
     schema = PEDIDOS_TEXT if table is RAW_PEDIDOS else table.schema
-    rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv(cfg.partition_path(table))
-    return blank_missing(rows) if normalise else rows
+    scanned = T.StructType([
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.LongType) else f.dataType) for f in schema])
+    rows = spark.read.schema(scanned).options(**CSV_OPTIONS).csv(cfg.partition_path(table))
+    return rows.select(*[_raw_column(f, blank_missing) for f in schema])
 
 
 def read_layer(spark: SparkSession, cfg: PipelineConfig, table: LayerTable) -> DataFrame:

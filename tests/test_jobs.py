@@ -130,7 +130,17 @@ def test_missing_markers_become_null(spark, lake):
     put_raw(cfg, "1,1,10,1,2026-01-01\n", customers='1,NA,n/a,"",null, SP \n', products="10,None,NaN,NaN\n")
     assert tuple(read_raw(spark, cfg, RAW_CLIENTES).first()) == (1, None, None, None, None, " SP ")
     assert tuple(read_raw(spark, cfg, RAW_PRODUTOS).first()) == (10, None, None, None)
-    assert read_raw(spark, cfg, RAW_CLIENTES, normalise=False).first().nome == "NA"
+    assert read_raw(spark, cfg, RAW_CLIENTES, blank_missing=False).first().nome == "NA"
+
+
+def test_whole_numbers_may_be_written_as_fractions(spark, lake):
+    cfg = config(lake)
+    put_raw(cfg, "1.0,1.0,10.0,2.0,2026-01-01\n2,,10,1,2026-01-01\n3,1.5,10,1,2026-01-01\n4,1d,10,1,2026-01-01\n"
+                 "5,inf,10,1,2026-01-01\n9007199254740993,1,10,1,2026-01-01\n",
+            customers="1.0,Ana,a@x,SP,Campinas,2020-01-01\n")
+    assert run_process(spark, cfg).reasons == {C: 4}
+    rows = {(r.pedido_id, r.cliente_id, r.quantidade) for r in read_layer(spark, cfg, SILVER_TABLE).collect()}
+    assert rows == {(1, 1, 2), (9007199254740993, 1, 1)}
 
 
 def test_extreme_values_do_not_stop_a_run(spark, lake):
