@@ -38,8 +38,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import BLOCK_BYTES, plain_text, shuffle_partitions, take_ragged, text_blocks
-from sedimenta.llm.vocab import spaced_pieces
+from sedimenta.llm.common import plain_text, ragged_rows, shuffle_partitions, text_blocks
+from sedimenta.llm.vocab import TEXT_BYTES, spaced_pieces
 
 PACKED = "block long, bucket int, words long, data binary"
 ENCODED = "doc_id long, ids binary"
@@ -101,7 +101,7 @@ def _bucket_of(words: list[bytes], buckets: int) -> np.ndarray:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes], np.ndarray, np.ndarray]]:
     """Number, doc_ids, distinct words, codes and row offsets of every block of the task's texts."""
     part = TaskContext.get().partitionId()
-    for number, block in enumerate(text_blocks(batches, "text", 4 * BLOCK_BYTES)):
+    for number, block in enumerate(text_blocks(batches, "text", TEXT_BYTES)):
         codes, words, offsets = spaced_pieces(plain_text(block.column("text")))
         yield (part << 32) + number, block.column("doc_id").to_pylist(), [
             w.encode() for w in words.to_pylist()], codes, offsets
@@ -168,15 +168,7 @@ def _reassemble(positions: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     doc_ids = np.frombuffer(data, "<i8", docs, 16 + docs)
     ends = np.concatenate([[0], np.cumsum(np.frombuffer(data, "<i8", docs, 16 + 9 * docs))])
     codes = np.frombuffer(data, "<u4", offset=16 + 17 * docs)
-    rows = []
-    step = 1 << 19
-    first = 0
-    while first < docs:  # a few documents at a time, to keep the gathered arrays small
-        last = max(int(np.searchsorted(ends, ends[first] + step, side="right")) - 1, first + 1)
-        ids, out = take_ragged(flat, starts, codes[ends[first]:ends[last]].astype(np.int64))
-        cuts = out[ends[first:last + 1] - ends[first]]
-        rows += [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        first = last
+    rows = [ids.tobytes() for ids in ragged_rows(flat, starts, codes, ends)]
     ids = pd.array(doc_ids.copy(), "Int64")
     ids[known == 0] = pd.NA
     return pd.DataFrame({"doc_id": ids, "ids": rows})
@@ -188,7 +180,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, buckets: int | None =
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     words = narrow.mapInArrow(partial(_words, buckets=buckets), PACKED)
     positions = narrow.mapInArrow(partial(_positions, buckets=buckets), PACKED)
-    answers = words.groupBy("bucket").applyInPandas(partial(_encode_bucket, path=ranks_path, pattern=pattern), PACKED)
+    answers = words.groupBy("bucket").applyInPandas(
+        lambda group: _encode_bucket(group, ranks_path, pattern), PACKED)
     return positions.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_reassemble, ENCODED)
 
 

@@ -83,3 +83,20 @@ def words_of(texts: pa.Array, separator: str = " ") -> tuple[np.ndarray, pa.Arra
     pieces = split.flatten().dictionary_encode()
     offsets = np.asarray(split.offsets.to_numpy(zero_copy_only=False), np.int64)
     return np.asarray(pieces.indices), pieces.dictionary, offsets - offsets[0]
+
+
+def ragged_rows(flat: np.ndarray, starts: np.ndarray, codes: np.ndarray, offsets: np.ndarray, step: int = 1 << 19
+                ) -> Iterator[np.ndarray]:
+    """The values of each row, a row being ``codes[offsets[i]:offsets[i + 1]]`` and a code a row of (flat, starts).
+
+    Some rows, of about ``step`` codes together, are put together at a time, so the
+    gathered arrays stay small.
+    """
+    first, rows = 0, len(offsets) - 1
+    while first < rows:
+        last = max(int(np.searchsorted(offsets, offsets[first] + step, side="right")) - 1, first + 1)
+        values, ends = take_ragged(flat, starts, codes[offsets[first]:offsets[last]])
+        cuts = ends[offsets[first:last + 1] - offsets[first]]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            yield values[a:b]
+        first = last

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.common import plain_text, text_blocks, written
-from sedimenta.llm.vocab import encode_by_words, load_tokenizer
+from sedimenta.llm.vocab import TEXT_BYTES, encode_by_words, load_tokenizer
 
 WINDOW = 2048
 END_ID = 1
@@ -33,11 +33,10 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     tokenizer, part, before = load_tokenizer(path), TaskContext.get().partitionId(), 0
-    for block in text_blocks(batches, "text"):
-        flat, offsets = encode_by_words(tokenizer, plain_text(block.column("text")))
-        ids = [np.append(flat[a:b], end_id).astype("<u4").tobytes()
-               for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        tokens = np.diff(offsets) + 1
+    for block in text_blocks(batches, "text", TEXT_BYTES):
+        ids = [np.append(row, end_id).astype("<u4").tobytes()
+               for row in encode_by_words(tokenizer, plain_text(block.column("text")))]
+        tokens = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         starts = before + np.cumsum(tokens) - tokens
         before += int(tokens.sum())
         yield pa.record_batch({

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sedimenta.llm import byte_bpe, packing, token_files
+from sedimenta.llm import byte_bpe, hnsw, line_quality, packing, pivots, simhash, token_files, toxicity
 from sedimenta.llm.common import read_table
+from sedimenta.llm.labelled import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +39,38 @@ def op6_token_files(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     folder = token_files.encode_to_files(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return token_files.digest(spark, folder)
+
+
+@query
+def op9_simhash(spark, sf_dir):
+    return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return classified(scored, toxicity.SCORE, 0.5)
+
+
+def classified(scored: DataFrame, score: str, threshold: float) -> DataFrame:
+    return scored.select("doc_id", held_out().alias("held_out"), F.col(score).alias("score"),
+                         (F.col(score) >= threshold).cast("int").alias("predicted"))
+
+
+@query
+def op8_line_quality(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = line_quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return classified(line_quality.score(docs, model), line_quality.SCORE, 0.3)
+
+
+@query
+def op1_pivots(spark, sf_dir):
+    return pivots.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_hnsw(spark, sf_dir):
+    return hnsw.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)

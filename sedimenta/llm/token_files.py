@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.common import plain_text, shuffle_partitions, text_blocks
-from sedimenta.llm.vocab import encode_by_spaced_words, load_tokenizer
+from sedimenta.llm.vocab import TEXT_BYTES, encode_by_spaced_words, load_tokenizer
 from sedimenta.sources.scratch import new_scratch
 
 END_ID = 2
@@ -91,10 +91,10 @@ def from_payload(payload: bytes) -> tuple[int | None, np.ndarray]:
 
 def _records(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     tokenizer = load_tokenizer(path)
-    for block in text_blocks(batches, "text"):
-        flat, offsets = encode_by_spaced_words(tokenizer, plain_text(block.column("text")))
-        records = [frame(to_payload(d, np.append(flat[a:b], end_id))) for d, a, b in zip(
-            block.column("doc_id").to_pylist(), offsets[:-1], offsets[1:], strict=True)]
+    for block in text_blocks(batches, "text", TEXT_BYTES):
+        encoded = encode_by_spaced_words(tokenizer, plain_text(block.column("text")))
+        records = [frame(to_payload(d, np.append(ids, end_id)))
+                   for d, ids in zip(block.column("doc_id").to_pylist(), encoded, strict=True)]
         yield pa.record_batch({"record": pa.array(records, pa.binary())})
 
 

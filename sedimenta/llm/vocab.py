@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from sedimenta.llm.common import take_ragged, words_of
+from sedimenta.llm.common import ragged_rows, words_of
 
 _LOADED: dict[str, object] = {}
+# Bytes of text whose words are encoded together: the more, the fewer words are encoded again.
+TEXT_BYTES = 32 << 20
 # Pieces handed to the tokenizer at a time: its result objects are large.
 PIECES = 20_000
 
@@ -38,8 +41,8 @@ def encode_strings(tokenizer, strings: list[str]) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(flats), np.cumsum(np.concatenate(lengths))
 
 
-def encode_by_words(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """For a tokenizer that drops white space and never joins across it.
+def encode_by_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
+    """The ids of every text. For a tokenizer that drops white space and never joins across it.
 
     No word crosses a space or a line feed, so the words between them are
     encoded once each and their ids put together.
@@ -47,12 +50,11 @@ def encode_by_words(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]
     spaced = pc.replace_substring(texts, "\n", " ")
     codes, words, offsets = words_of(spaced)
     flat, starts = encode_strings(tokenizer, words.to_pylist())
-    ids, ends = take_ragged(flat, starts, codes)
-    return ids, ends[offsets]
+    return ragged_rows(flat, starts, codes, offsets)
 
 
-def encode_by_spaced_words(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """For a byte-level tokenizer whose words carry the space before them.
+def encode_by_spaced_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
+    """The ids of every text. For a byte-level tokenizer whose words carry the space before them.
 
     A single space always starts a new word, so a text without two spaces in
     a row is cut before every space, and each distinct piece is encoded once.
@@ -60,8 +62,7 @@ def encode_by_spaced_words(tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.n
     """
     codes, pieces, offsets = spaced_pieces(texts)
     flat, starts = encode_strings(tokenizer, pieces.to_pylist())
-    ids, ends = take_ragged(flat, starts, codes)
-    return ids, ends[offsets]
+    return ragged_rows(flat, starts, codes, offsets)
 
 
 def spaced_pieces(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
