@@ -1,4 +1,4 @@
-"""The corpus pipeline: filters, near-dedup, suffix dedup and packing of ``documents``."""
+"""The corpus pipeline: toxicity, quality, near-dedup, repeated passages and packing of ``documents``."""
 
 from __future__ import annotations
 
@@ -7,16 +7,42 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import packing
+from sedimenta.llm import line_quality, packing, simhash, suffix_dedup, toxicity
 from sedimenta.llm.common import read_table, written
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below one half for toxicity, by a model learned from the labelled ones among them."""
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.toxicity_filter(docs, model)
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.3 or more for quality, by a model learned from the labelled ones among them."""
+    model = line_quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return line_quality.quality_filter(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    return simhash.keep_one_of_each_component(docs)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents without the bytes of strings of 200 bytes that occur more than once."""
+    return suffix_dedup.without_repeats(docs)
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in windows of 2048 tokens."""
     return packing.digest(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("quality classifier", drop_low_quality),
+    ("SimHash near-dedup", drop_near_copies),
+    ("suffix-array dedup", cut_repeated_passages),
     ("packing", pack_documents),
 ]
 

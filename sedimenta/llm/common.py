@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,19 @@ def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *used: DataFrame) -> None:
+    """Give up ``written`` frames that are not read again, and shuffle files that nothing refers to any more.
+
+    Shuffle files of finished stages stay on the executors' disks until the driver happens to collect
+    its garbage, so it is asked to.
+    """
+    for frame in used:
+        for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()[:1]}:
+            spark.createDataFrame([], frame.schema).write.mode("overwrite").parquet(folder)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

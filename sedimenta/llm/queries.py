@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import byte_bpe, hnsw, line_quality, packing, pivots, simhash, token_files, toxicity
+from sedimenta.llm import (
+    block_labeller, byte_bpe, hnsw, line_quality, packing, pivots, simhash, suffix_dedup, token_files, toxicity,
+)
 from sedimenta.llm.common import read_table
 from sedimenta.llm.labelled import held_out
 
@@ -74,3 +76,14 @@ def op1_pivots(spark, sf_dir):
 @query
 def op10_hnsw(spark, sf_dir):
     return hnsw.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digest(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_block_labeller(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return block_labeller.extract(pages, block_labeller.fit(pages))
