@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 GRAM = 64
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 _FACTORS = tuple(np.uint64(x) for x in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93,
     0xA0761D6478BD642F))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from sedimenta.llm.common import text_blocks, words_of
 from sedimenta.llm.html_blocks import Leaf, leaves
 
-TRAINING_ROWS = 300
+TRAINING_ROWS = 400
 PATH, WORDS, NUMBERS, HIDDEN = 48, 16, 8, 24
 INPUTS = PATH + WORDS + NUMBERS
 EPOCHS, PAGES_A_STEP = 14, 32
@@ -51,6 +51,7 @@ SURROUNDINGS = {
     "comments": ("section", ("comments", "comment-list", "replies", "respond"), "says Reply ago Great post wrote".split()),
     "footer": ("footer", ("footer", "site-footer", "legal", "copyright"), "All rights reserved Terms Imprint".split()),
 }
+INNER = ((), (), ("p",), ("p",), ("div",), ("h3",), ("h4",), ("span",), ("div", "p"))
 HOLDERS = (("article", ""), ("main", ""), ("div", "content"), ("div", "article-body"), ("div", "post entry"),
            ("section", "story"), ("div", "main"), ("div", ""), ("td", "text"))
 
@@ -87,7 +88,7 @@ def block_inputs(pages: list[list[Leaf]]) -> np.ndarray:
     count = np.diff(offsets).astype(float)
     row = np.repeat(np.arange(len(blocks)), np.diff(offsets))
     hashed = np.bincount(row * WORDS + at, sign, len(blocks) * WORDS).reshape(-1, WORDS)
-    out[:, PATH:PATH + WORDS] = np.clip(hashed / np.sqrt(count)[:, None], -2, 2)
+    out[:, PATH:PATH + WORDS] = np.clip(hashed / np.sqrt(count)[:, None], -1, 1) / 2
     length = np.array([len(leaf.text) for leaf in blocks], float)
     linked = np.array([leaf.linked for leaf in blocks], float)
     sizes = np.array([len(page) for page in pages])
@@ -210,7 +211,7 @@ def laid_out_anew(page: list[Leaf], labels: np.ndarray, draw: np.random.Generato
             size = int(draw.integers(3, 40 if kind in ("comments", "ad", "aside") else 9))
             mixed = own if draw.random() < 0.3 or not vocabulary else own + list(draw.choice(vocabulary, size))
             text = " ".join(mixed)
-            child = ("ul", "li") if kind == "nav" or draw.random() < 0.3 else ("p",) if draw.random() < 0.5 else ()
+            child = ("ul", "li") if kind == "nav" or draw.random() < 0.3 else INNER[draw.integers(len(INNER))]
             made.append(Leaf((*outer, *child), text, len(text) if kind == "nav" or draw.random() < 0.3 else 0))
         return made
 
@@ -218,12 +219,18 @@ def laid_out_anew(page: list[Leaf], labels: np.ndarray, draw: np.random.Generato
     before = [b for k in ("notice", "header", "nav", "ad") if pick[k] for b in around(k, base)]
     if pick["aside"] and draw.random() < 0.5:
         before += around("aside", base)
-    body = [(Leaf((*holder, "h1" if n == 0 and draw.random() < 0.7 else "p"), t, 0), 1.0) for n, t in enumerate(texts)]
+    inner = [("h1", "h2", "h3", "p")[draw.integers(4)] if n == 0 or draw.random() < 0.05 else "p" if draw.random() < 0.8
+             else str(draw.choice(["div", "blockquote", "li", "pre", "td", "section", "dd", "figcaption"]))
+             for n in range(len(texts))]
+    body = [(Leaf((*holder, tag), t, 0), 1.0) for tag, t in zip(inner, texts, strict=True)]
     if draw.random() < 0.3 and len(body) > 1:
         body[int(draw.integers(1, len(body))):0] = [(b, 0.0) for b in around("ad", holder)]
     if pick["comments"]:
         body += [(b, 0.0) for b in around("comments", holder if draw.random() < 0.5 else base)]
     after = [b for k in ("form", "aside", "footer") if pick[k] for b in around(k, base)]
+    if draw.random() < 0.5:  # names that mean nothing
+        noise = f".{''.join(draw.choice(list('bcdfghjklmnpqrstvwxz'), 5))}"
+        body = [(b._replace(path=(*holder, noise, *b.path[len(holder):])), y) if y else (b, y) for b, y in body]
     every = [*before, *(b for b, _ in body), *after]
     return every, np.array([0.0] * len(before) + [y for _, y in body] + [0.0] * len(after))
 
@@ -251,7 +258,8 @@ def fit_labeller(pages: list[list[Leaf]], seed: int = 7, epochs: int = EPOCHS, r
         parts = [order[k:k + PAGES_A_STEP] for k in range(0, len(order), PAGES_A_STEP)]
         for at in draw.permutation(len(parts)):
             x = np.vstack([inputs[e] for e in parts[at]])
-            x = x * np.where(np.arange(INPUTS) < PATH, (draw.random((len(x), 1)) > 0.1), 1.0)
+            x[:, :PATH] *= draw.random((len(x), 1)) > 0.1
+            x[:, PATH:PATH + WORDS] *= draw.random((len(x), 1)) > 0.4
             truth = np.concatenate([examples[e][1] for e in parts[at]])
             run = Run(model, x, np.array([len(inputs[e]) for e in parts[at]]))
             slopes = run.gradients(truth, np.full(len(truth), 1 / len(truth)))

@@ -43,7 +43,7 @@ from sedimenta.llm.induced import common_prefixes, suffix_array
 
 LENGTH = 200
 BLOCK = 1024
-SHARD_SEGMENTS = 12_000
+SHARD_SEGMENTS = 6000
 INNER = 128
 ROW = "__row"
 
@@ -61,7 +61,7 @@ def with_rows(docs: DataFrame) -> DataFrame:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    for block in text_blocks(batches, "text", 4 << 20):
+    for block in text_blocks(batches, "text", 2 << 20):
         data, offsets = utf8_bytes(plain_text(block.column("text")))
         place, gram, segment = anchors(data, offsets, length)
         row = np.searchsorted(offsets, place, side="right") - 1
@@ -72,7 +72,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
 def _cut_segments(batches: Iterator[pa.RecordBatch], length: int, shards: int) -> Iterator[pa.RecordBatch]:
     """The bytes around the wanted anchors of each text, packed for the shards they go to."""
-    for block in text_blocks(batches, "text", 4 << 20):
+    for block in text_blocks(batches, "text", 2 << 20):
         data, offsets = utf8_bytes(plain_text(block.column("text")))
         rows = block.column("row").to_numpy()
         wanted = block.column("wanted")
