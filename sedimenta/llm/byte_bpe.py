@@ -38,8 +38,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import plain_text, ragged_rows, shuffle_partitions, text_blocks
-from sedimenta.llm.vocab import TEXT_BYTES, spaced_pieces
+from sedimenta.llm.common import BLOCK_BYTES, plain_text, ragged_rows, shuffle_partitions, text_blocks
+from sedimenta.llm.vocab import spaced_pieces
 
 PACKED = "block long, bucket int, words long, data binary"
 ENCODED = "doc_id long, ids binary"
@@ -101,7 +101,7 @@ def _bucket_of(words: list[bytes], buckets: int) -> np.ndarray:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes], np.ndarray, np.ndarray]]:
     """Number, doc_ids, distinct words, codes and row offsets of every block of the task's texts."""
     part = TaskContext.get().partitionId()
-    for number, block in enumerate(text_blocks(batches, "text", TEXT_BYTES)):
+    for number, block in enumerate(text_blocks(batches, "text", BLOCK_BYTES)):
         codes, words, offsets = spaced_pieces(plain_text(block.column("text")))
         yield (part << 32) + number, block.column("doc_id").to_pylist(), [
             w.encode() for w in words.to_pylist()], codes, offsets
@@ -152,7 +152,8 @@ def _encode_bucket(group: pd.DataFrame, path: str, pattern: str) -> pd.DataFrame
                          "data": answers})
 
 
-def _reassemble(positions: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+def _reassemble(positions: pd.DataFrame, answers: pd.DataFrame) -> tuple[pd.api.extensions.ExtensionArray, Iterator]:
+    """The doc_ids of a block and the ids of its texts, some of which are put together at a time."""
     if len(positions) != 1 or positions["words"].iloc[0] != answers["words"].sum():
         raise RuntimeError("a block was not read alike twice; write the input before encoding it")
     lengths, flats = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
@@ -165,31 +166,41 @@ def _reassemble(positions: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     data = zstandard.decompress(positions["data"].iloc[0])
     docs = int(np.frombuffer(data, "<i8", 1)[0])
     known = np.frombuffer(data, np.uint8, docs, 16)
-    doc_ids = np.frombuffer(data, "<i8", docs, 16 + docs)
+    doc_ids = pd.array(np.frombuffer(data, "<i8", docs, 16 + docs).copy(), "Int64")
+    doc_ids[known == 0] = pd.NA
     ends = np.concatenate([[0], np.cumsum(np.frombuffer(data, "<i8", docs, 16 + 9 * docs))])
     codes = np.frombuffer(data, "<u4", offset=16 + 17 * docs)
-    rows = [ids.tobytes() for ids in ragged_rows(flat, starts, codes, ends)]
-    ids = pd.array(doc_ids.copy(), "Int64")
-    ids[known == 0] = pd.NA
-    return pd.DataFrame({"doc_id": ids, "ids": rows})
+    return doc_ids, ragged_rows(flat, starts, codes, ends)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, buckets: int | None = None) -> DataFrame:
-    """doc_id and ids (32-bit little endian) of every document."""
+def _ids(positions: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    doc_ids, rows = _reassemble(positions, answers)
+    return pd.DataFrame({"doc_id": doc_ids, "ids": [ids.tobytes() for ids in rows]})
+
+
+def _by_block(docs: DataFrame, ranks_path: str, pattern: str, buckets: int | None, finish, schema: str) -> DataFrame:
     buckets = buckets or shuffle_partitions(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     words = narrow.mapInArrow(partial(_words, buckets=buckets), PACKED)
     positions = narrow.mapInArrow(partial(_positions, buckets=buckets), PACKED)
     answers = words.groupBy("bucket").applyInPandas(
         lambda group: _encode_bucket(group, ranks_path, pattern), PACKED)
-    return positions.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_reassemble, ENCODED)
+    return positions.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, schema)
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, buckets: int | None = None) -> DataFrame:
+    """doc_id and ids (32-bit little endian) of every document."""
+    return _by_block(docs, ranks_path, pattern, buckets, _ids, ENCODED)
+
+
+def decode_ids(ids: np.ndarray, table: list[bytes]) -> bytes:
+    return b"".join(map(table.__getitem__, ids.tolist()))
 
 
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     table = byte_table(path)
     for batch in batches:
-        texts = [b"".join(map(table.__getitem__, np.frombuffer(i, "<u4").tolist()))
-                 for i in batch.column("ids").to_pylist()]
+        texts = [decode_ids(np.frombuffer(i, "<u4"), table) for i in batch.column("ids").to_pylist()]
         yield pa.record_batch({"doc_id": batch.column("doc_id"), "bytes": pa.array(texts, pa.binary())})
 
 
@@ -198,19 +209,18 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(partial(_decode, path=ranks_path), DECODED)
 
 
-def _round_trip(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, 500):
-            part = batch.slice(start, 500)
-            ids = part.column("ids").to_pylist()
-            decoded = next(_decode(iter([part]), path)).column("bytes").to_pylist()
-            yield pa.record_batch({
-                "doc_id": part.column("doc_id"), "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-                "decoded_sha256": pa.array([hashlib.sha256(b).hexdigest() for b in decoded], pa.string())})
-
-
-def digest(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """Length and checksum of the ids, and the checksum of what they decode to."""
-    return encoded.mapInArrow(partial(_round_trip, path=ranks_path),
-                              "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def _round_trip(positions: pd.DataFrame, answers: pd.DataFrame, path: str) -> pd.DataFrame:
+    table = byte_table(path)
+    doc_ids, rows = _reassemble(positions, answers)
+    out = [(len(ids), hashlib.sha256(ids.astype("<u4", copy=False)).hexdigest(),
+            hashlib.sha256(decode_ids(ids, table)).hexdigest()) for ids in rows]
+    return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"]).assign(doc_id=doc_ids)
+
+
+def digest(docs: DataFrame, ranks_path: str, pattern: str, buckets: int | None = None) -> DataFrame:
+    """Length and checksum of the ids of every document, and the checksum of what they decode to.
+
+    The same as ``decode`` after ``encode``, but a block's ids are not sent anywhere in between.
+    """
+    return _by_block(docs, ranks_path, pattern, buckets, lambda p, a: _round_trip(p, a, ranks_path),
+                     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -32,8 +32,7 @@ def op5_packing(spark, sf_dir):
 @query
 def op2_byte_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digest(encoded, ranks)
+    return byte_bpe.digest(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 @query
