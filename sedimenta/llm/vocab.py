@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from sedimenta.llm.common import ragged_rows, words_of
 
 _LOADED: dict[str, object] = {}
+_SEEN: dict[int, SeenWords] = {}
+KEPT_WORDS = 1_500_000
 # Bytes of text whose words are encoded together: the more, the fewer words are encoded again.
 TEXT_BYTES = 16 << 20
 # Pieces handed to the tokenizer at a time: its result objects are large.
@@ -41,6 +43,33 @@ def encode_strings(tokenizer, strings: list[str]) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(flats), np.cumsum(np.concatenate(lengths))
 
 
+class SeenWords:
+    """Words a worker has encoded, with their ids, for the next block or task; started anew beyond ``KEPT_WORDS``."""
+
+    def __init__(self):
+        self.words = pa.array([], pa.large_string())
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def encode(self, tokenizer, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids as a ragged array, and the row of it that each word has."""
+        known = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(known))
+        if len(self.words) + len(new) > KEPT_WORDS and len(self.words):
+            self.__init__()
+            return self.encode(tokenizer, words)
+        flat, starts = encode_strings(tokenizer, new.to_pylist())
+        row = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        row[row < 0] = np.arange(len(self.words), len(self.words) + len(new))
+        self.words = pa.concat_arrays([self.words, new])
+        self.starts = np.concatenate([self.starts, starts[1:] + len(self.flat)])
+        self.flat = np.concatenate([self.flat, flat])
+        return self.flat, self.starts, row
+
+
+def seen_words(tokenizer) -> SeenWords:
+    return _SEEN.setdefault(id(tokenizer), SeenWords())
+
+
 def encode_by_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
     """The ids of every text. For a tokenizer that drops white space and never joins across it.
 
@@ -49,8 +78,8 @@ def encode_by_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
     """
     spaced = pc.replace_substring(texts, "\n", " ")
     codes, words, offsets = words_of(spaced)
-    flat, starts = encode_strings(tokenizer, words.to_pylist())
-    return ragged_rows(flat, starts, codes, offsets)
+    flat, starts, row = seen_words(tokenizer).encode(tokenizer, words)
+    return ragged_rows(flat, starts, row[codes], offsets)
 
 
 def encode_by_spaced_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
@@ -61,8 +90,8 @@ def encode_by_spaced_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
     Other texts are given to the tokenizer whole.
     """
     codes, pieces, offsets = spaced_pieces(texts)
-    flat, starts = encode_strings(tokenizer, pieces.to_pylist())
-    return ragged_rows(flat, starts, codes, offsets)
+    flat, starts, row = seen_words(tokenizer).encode(tokenizer, pieces)
+    return ragged_rows(flat, starts, row[codes], offsets)
 
 
 def spaced_pieces(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
