@@ -25,7 +25,7 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 HEADLINE = [
     "dq_flagged", "dq_reason_counts", "dq_rule_totals", "silver_fato_vendas", "gold_uf_categoria", "gold_top10",
     "gate_reconciliation", "audit_quarantine_sample", "audit_silver_validity", "audit_silver_orphans",
-    "audit_silver_vs_gold", "orphan_detail_left_anti", "gen_pedidos_rule_counts",
+    "audit_silver_vs_gold", "orphan_detail_left_anti",
     "roundtrip_raw_csv", "published_gold", "audit_files",
 ]
 SHUFFLED = ["dq_flagged", "silver_fato_vendas", "gold_uf_categoria"]

@@ -20,22 +20,21 @@ class PipelineConfig:
     the narrow checked rows, the whole table sorted by order id) or ``files``
     (each file sorted, no shuffle), which is the better choice for the largest
     inputs. ``broadcast_limit`` is the largest dimension, in counted bytes,
-    that is broadcast. ``staging_uri`` overrides where a run stages its checked rows.
+    that is broadcast, by the process and by the audits. ``multi_line`` reads and
+    writes line breaks inside quoted raw fields, at the price of one task for
+    each raw file; without it they are refused. ``staging_uri`` overrides where a
+    run stages its rows and layers.
     """
 
     base_uri: str
     ingest_date: str = field(default_factory=lambda: date.today().isoformat())
     database: str = "medallion"
-    seed: int = 42
-    n_clientes: int = 200
-    n_produtos: int = 50
-    n_pedidos: int = 5000
-    anomaly_rate: float = 0.03
     silver_order: str = "global"
     silver_rows_per_file: int = 16_000_000
     broadcast_limit: int = 128 << 20
     drop_null_gold_keys: bool = True
     quarantine_raw_text: bool = True
+    multi_line: bool = False
     staging_uri: str | None = None
 
     def __post_init__(self):

@@ -1,4 +1,3 @@
 from sedimenta.functions.numeric import money_sum, round2, safe_number
-from sedimenta.functions.picks import exact_k_mask, pick_from, pick_int, pick_unit
 
-__all__ = ["exact_k_mask", "money_sum", "pick_from", "pick_int", "pick_unit", "round2", "safe_number"]
+__all__ = [ "money_sum", "round2", "safe_number"]

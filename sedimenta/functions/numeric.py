@@ -49,6 +49,9 @@ def safe_number(column: str, data_type: T.DataType) -> Column:
 
 
 def whole_number(column: str) -> Column:
-    """A text column as a long, also where it is written like ``7.0``; null where it is no whole number."""
-    number = safe_number(column, T.StringType())
-    return F.coalesce(F.col(column).try_cast("long"), F.when(F.rint(number) == number, number.try_cast("long")))
+    """A text column as a long, also where it is written like ``7.0``; null where it is no whole number.
+
+    Fractions are read as decimals: a double would change the last digits of a large key.
+    """
+    number = F.col(column).try_cast("decimal(38,18)")
+    return F.coalesce(F.col(column).try_cast("long"), F.when(F.floor(number) == number, number.try_cast("long")))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions.numeric import cents, money_sum
 from sedimenta.operators.gates import BROADCAST_LIMIT, key_lookups
-from sedimenta.operators.gold import gold_top
+from sedimenta.operators.gold import GOLD_KEYS, gold_top
 from sedimenta.operators.quality import REASON, reason_counts
 
 # The verdicts of the reconciliation.
@@ -28,7 +28,7 @@ SAMPLE_ROWS = 10
 
 @dataclass(frozen=True)
 class Layers:
-    """The six tables of one ingest date."""
+    """The six tables of one ingest date, and the largest dimension that an audit may broadcast."""
 
     raw_clientes: DataFrame
     raw_produtos: DataFrame
@@ -36,6 +36,10 @@ class Layers:
     quarantine_pedidos_rejeitados: DataFrame
     silver_fato_vendas: DataFrame
     gold_vendas_uf_categoria: DataFrame
+    broadcast_limit: int = BROADCAST_LIMIT
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: value for name, value in vars(self).items() if isinstance(value, DataFrame)}
 
 
 def physical_files(layers: Layers) -> DataFrame:
@@ -46,7 +50,7 @@ def physical_files(layers: Layers) -> DataFrame:
             F.col("_metadata.file_size").alias("tamanho_bytes"),
         ).agg(F.count(F.lit(1)).alias("linhas")).select(
             F.lit(name).alias("tabela"), "arquivo_s3", "tamanho_bytes", "linhas")
-        for name, df in vars(layers).items()
+        for name, df in layers.tables().items()
     ]
     return reduce(DataFrame.unionByName, branches).orderBy("tabela", "arquivo_s3")
 
@@ -58,10 +62,19 @@ def _tagged(tag: str, df: DataFrame, *values: Column) -> DataFrame:
 def reconciliation(pedidos: DataFrame, silver: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Q2: raw rows against silver plus quarantined rows."""
     rows = _tagged("raw", pedidos).unionAll(_tagged("silver", silver)).unionAll(_tagged("quarantine", quarantine))
+    return _reconciled(rows, *[F.col("camada") == tag for tag in ("raw", "silver", "quarantine")])
+
+
+def reconciliation_of_flagged(flagged: DataFrame) -> DataFrame:
+    """Q2 before anything is written: all checked rows against those without and with a reason, in one pass."""
+    return _reconciled(flagged, F.lit(True), F.col(REASON) == "", F.col(REASON) != "")
+
+
+def _reconciled(rows: DataFrame, *layers: Column) -> DataFrame:
     raw, good, bad = F.col("total_raw"), F.col("total_silver"), F.col("total_quarentena")
     return rows.agg(*[
-        F.count(F.when(F.col("camada") == tag, 1)).alias(name)
-        for tag, name in (("raw", "total_raw"), ("silver", "total_silver"), ("quarantine", "total_quarentena"))
+        F.count(F.when(layer, 1)).alias(name)
+        for layer, name in zip(layers, ("total_raw", "total_silver", "total_quarentena"), strict=True)
     ]).select(
         raw, good, bad,
         (good + bad).alias("silver_mais_quarentena"),
@@ -88,41 +101,52 @@ def silver_validity(silver: DataFrame) -> DataFrame:
     )
 
 
-def _keys(clientes: DataFrame, produtos: DataFrame) -> list[DataFrame]:
-    return key_lookups(BROADCAST_LIMIT, clientes=(clientes, "cliente_id"), produtos=(produtos, "product_id"))
+def _with_markers(facts: DataFrame, clientes: DataFrame, produtos: DataFrame, broadcast_limit: int,
+                  distinct: bool) -> DataFrame:
+    """The facts with ``__customer`` and ``__product``, null where the key does not exist."""
+    customers, products = key_lookups(
+        broadcast_limit, distinct, clientes=(clientes, "cliente_id"), produtos=(produtos, "product_id"))
+    customers = customers.withColumnRenamed("cliente_id", "__customer")
+    products = products.withColumnRenamed("product_id", "__product")
+    return (facts.join(customers, F.col("cliente_id") == F.col("__customer"), "left")
+            .join(products, F.col("product_id") == F.col("__product"), "left"))
 
 
-def silver_orphans(silver: DataFrame, clientes: DataFrame, produtos: DataFrame) -> DataFrame:
+def silver_orphans(silver: DataFrame, clientes: DataFrame, produtos: DataFrame,
+                   broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Q6: joined rows whose customer or product is missing; 0 for a sound silver layer."""
-    customers, products = _keys(clientes, produtos)
-    customers = customers.withColumnRenamed("cliente_id", "__customer")
-    products = products.withColumnRenamed("product_id", "__product")
-    joined = (
-        silver.select("cliente_id", "product_id")
-        .join(customers, F.col("cliente_id") == F.col("__customer"), "left")
-        .join(products, F.col("product_id") == F.col("__product"), "left")
-    )
+    joined = _with_markers(silver.select("cliente_id", "product_id"), clientes, produtos, broadcast_limit, False)
     missing = F.col("__customer").isNull() | F.col("__product").isNull()
     return joined.where(missing).agg(F.count(F.lit(1)).alias("silver_sem_cliente_ou_produto"))
 
 
-def orphan_detail(facts: DataFrame, clientes: DataFrame, produtos: DataFrame) -> DataFrame:
-    """Facts without their customer and facts without their product, one row for each missing key."""
-    def orphans(keys: DataFrame, key: str, name: str) -> DataFrame:
-        return facts.join(keys, key, "left_anti").select(
-            "pedido_id", F.lit(name).alias("dimensao"), F.col(key).alias("chave"))
-
-    customers, products = _keys(clientes, produtos)
-    return orphans(customers, "cliente_id", "clientes").unionByName(orphans(products, "product_id", "produtos"))
+def orphan_detail(facts: DataFrame, clientes: DataFrame, produtos: DataFrame,
+                  broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Facts without their customer and facts without their product, one row for each missing key, in one pass."""
+    joined = _with_markers(facts.select("pedido_id", "cliente_id", "product_id"), clientes, produtos, broadcast_limit, True)
+    missing = [F.when(F.col(marker).isNull(), F.struct(F.lit(name).alias("dimensao"), F.col(key).alias("chave")))
+               for marker, name, key in (("__customer", "clientes", "cliente_id"), ("__product", "produtos", "product_id"))]
+    found = joined.select("pedido_id", F.explode(F.array_compact(F.array(*missing))).alias("falta"))
+    return found.select("pedido_id", "falta.dimensao", "falta.chave")
 
 
 def silver_against_gold(silver: DataFrame, gold: DataFrame) -> DataFrame:
     """Q7: revenue of both layers and their difference."""
     rows = _tagged("silver", silver, cents(F.col("valor_total")).alias("centavos")).unionAll(
         _tagged("gold", gold, cents(F.col("receita_total")).alias("centavos")))
-    totals = rows.agg(*[
-        F.sum(F.when(F.col("camada") == tag, F.col("centavos"))).alias(tag) for tag in ("silver", "gold")
-    ])
+    return _revenues(rows, *[F.when(F.col("camada") == tag, F.col("centavos")) for tag in ("silver", "gold")])
+
+
+def silver_against_its_gold(silver: DataFrame) -> DataFrame:
+    """Q7 for the gold layer that ``build_gold`` makes of a silver frame, in one pass: gold is the
+    sum of the groups with a state and a category."""
+    groups = silver.groupBy(*GOLD_KEYS).agg(F.sum(cents(F.col("valor_total"))).alias("centavos"))
+    named = reduce(Column.__and__, [F.col(k).isNotNull() for k in GOLD_KEYS])
+    return _revenues(groups, F.col("centavos"), F.when(named, F.col("centavos")))
+
+
+def _revenues(rows: DataFrame, silver: Column, gold: Column) -> DataFrame:
+    totals = rows.agg(F.sum(silver).alias("silver"), F.sum(gold).alias("gold"))
     return totals.select(
         (F.col("silver") / 100).cast("double").alias("receita_silver"),
         (F.col("gold") / 100).cast("double").alias("receita_gold"),
@@ -137,7 +161,7 @@ AUDITS: dict[str, Callable[[Layers], DataFrame]] = {
     "Q3": lambda t: reason_counts(t.quarantine_pedidos_rejeitados),
     "Q4": lambda t: quarantine_sample(t.quarantine_pedidos_rejeitados),
     "Q5": lambda t: silver_validity(t.silver_fato_vendas),
-    "Q6": lambda t: silver_orphans(t.silver_fato_vendas, t.raw_clientes, t.raw_produtos),
+    "Q6": lambda t: silver_orphans(t.silver_fato_vendas, t.raw_clientes, t.raw_produtos, t.broadcast_limit),
     "Q7": lambda t: silver_against_gold(t.silver_fato_vendas, t.gold_vendas_uf_categoria),
     "Q8": lambda t: gold_top(t.gold_vendas_uf_categoria),
 }

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sedimenta.sources.scratch import new_scratch
+
 # A dimension up to this many counted bytes is sent whole to every executor.
 BROADCAST_LIMIT = 128 << 20
 # About what a row and a text cost in a hash relation beside their own bytes.
@@ -84,16 +86,30 @@ def measure_dimensions(**dimensions: tuple[DataFrame, str]) -> dict[str, Dimensi
     return measured
 
 
-def key_lookups(broadcast_limit: int, **dimensions: tuple[DataFrame, str]) -> list[DataFrame]:
-    """Only the keys of each ``name=(frame, key)``, marked for broadcast if their counted bytes fit the limit."""
+def key_lookups(broadcast_limit: int, distinct: bool = True, **dimensions: tuple[DataFrame, str]) -> list[DataFrame]:
+    """The keys of each ``name=(frame, key)``, distinct or as they come, marked for broadcast if their counted bytes fit the limit.
+
+    Keys that are unique already are used as they are. Repeated ones beyond
+    the limit are made distinct in a table of their own: an aggregate between
+    the exchange and the join would keep AQE from splitting the hot keys of the other side.
+    """
     keys = {name: df.select(key) for name, (df, key) in dimensions.items()}
-    sizes = reduce(DataFrame.unionByName, [
-        df.agg(F.count(F.lit(1)).alias("linhas"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("tamanho"))
-        .select(F.lit(name).alias("dimensao"), "linhas", "tamanho")
-        for name, df in keys.items()])
-    counted = {r.dimensao: r for r in sizes.collect()}
-    return [Dimension(df, counted[name].linhas, counted[name].tamanho).sized_for_join(broadcast_limit)
-            for name, df in keys.items()]
+    profiles = [
+        df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.count(F.lit(1)).alias("linhas"),
+            F.coalesce(F.sum(_row_bytes(df) * (1 if distinct else F.col("n"))), F.lit(0)).alias("tamanho"),
+            F.coalesce(F.max("n"), F.lit(0)).alias("maior")).select(F.lit(name).alias("dimensao"), "*")
+        for name, df in keys.items()]
+    lookups = {}
+    for row in reduce(DataFrame.unionByName, profiles).collect():
+        repeated = distinct and row.maior > 1
+        frame = keys[row.dimensao].distinct() if repeated else keys[row.dimensao]
+        if repeated and row.tamanho > broadcast_limit:
+            path = new_scratch(frame.sparkSession)
+            frame.write.parquet(path)
+            frame = frame.sparkSession.read.schema(frame.schema).parquet(path)
+        lookups[row.dimensao] = Dimension(frame, row.linhas, row.tamanho).sized_for_join(broadcast_limit)
+    return [lookups[name] for name in keys]
 
 
 def require_join_conserved(rows_before: int, rows_after: int) -> None:

@@ -15,13 +15,14 @@ def build_gold(silver: DataFrame, drop_null_keys: bool = True) -> DataFrame:
 
     The average divides the unrounded revenue. Rows without a state or category
     are left out by default; the silver-to-gold audit then shows their revenue
-    as a difference.
+    as a difference. Items are added as decimals; a total beyond a long is an error,
+    which a run meets before it publishes anything.
     """
     if drop_null_keys:
         silver = silver.dropna(subset=list(GOLD_KEYS))
     totals = silver.groupBy(*GOLD_KEYS).agg(
         F.count_distinct("pedido_id").alias("qtd_pedidos"),
-        F.coalesce(F.sum("quantidade"), F.lit(0)).cast("long").alias("qtd_itens"),
+        F.coalesce(F.sum(F.col("quantidade").cast("decimal(38,0)")), F.lit(0)).cast("long").alias("qtd_itens"),
         F.coalesce(money_sum(F.col("valor_total")), F.lit(0.0)).alias("receita_total"),
     )
     return totals.select(

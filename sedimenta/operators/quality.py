@@ -27,6 +27,7 @@ TOO_LARGE = 2.0**63
 BAD_QUANTITY = "QUANTIDADE_INVALIDA"
 UNKNOWN_CUSTOMER = "CLIENTE_INEXISTENTE"
 UNKNOWN_PRODUCT = "PRODUTO_INEXISTENTE"
+UNREADABLE = "LINHA_ILEGIVEL"
 
 
 @dataclass(frozen=True)
@@ -37,6 +38,14 @@ class PositiveRule:
     column: str
 
 
+@dataclass(frozen=True)
+class PresentRule:
+    """Violated where the column is null."""
+
+    name: str
+    column: str
+
+
 @dataclass(frozen=True)
 class ExistsRule:
     """Violated unless the column's value is a key of ``reference``; a null violates it.
@@ -58,7 +67,7 @@ class ExistsRule:
             raise ValueError(f"rule {self.name} carries attributes, so its reference needs unique keys")
 
 
-Rule = PositiveRule | ExistsRule
+Rule = PositiveRule | PresentRule | ExistsRule
 
 
 @dataclass(frozen=True)
@@ -108,6 +117,8 @@ def check_rows(rows: DataFrame, rules: Sequence[Rule]) -> CheckedRows:
             # NaN sorts above infinity in Spark, so the upper bound removes both.
             good = (value > 0) & (value < TOO_LARGE)
             violated[rule.name] = ~F.coalesce(good, F.lit(False))
+        elif isinstance(rule, PresentRule):
+            violated[rule.name] = F.col(rule.column).isNull()
         else:
             key = f"__key_{number}"
             clash = set(rule.attributes) & {*rows.columns, *attributes}
@@ -139,7 +150,7 @@ def check_orders(pedidos: DataFrame, clientes: DataFrame, produtos: DataFrame,
     """The order rules against the keys of the dimensions, which may repeat."""
     customers, products = key_lookups(
         broadcast_limit, clientes=(clientes, "cliente_id"), produtos=(produtos, "product_id"))
-    return check_rows(pedidos, order_rules(customers, products))
+    return check_rows(pedidos, order_rules(customers, products, unique_keys=True))
 
 
 def check_and_enrich(pedidos: DataFrame, clientes: DataFrame, produtos: DataFrame,

@@ -58,12 +58,19 @@ def build_silver(valid: DataFrame, clientes: DataFrame, produtos: DataFrame, *ex
     """Silver fact of valid orders by inner joins. ``extra`` names order columns to keep beside the twelve.
 
     Raises if a dimension repeats a key or, with ``verify_count``, if the joins
-    lose rows. That check counts both sides; the process job takes the counts
-    from the rows it stages instead.
+    lose rows. That check is one pass that counts all rows and those a dimension is missing for;
+    the process job takes the counts from the rows it stages instead.
     """
-    joined = join_dimensions(valid, *measure_order_dimensions(clientes, produtos), broadcast_limit)
+    customer, product = measure_order_dimensions(clientes, produtos)
+    joined = join_dimensions(valid, customer, product, broadcast_limit)
     if verify_count:
-        require_join_conserved(valid.count(), joined.count())
+        marked = valid.select("cliente_id", "product_id")
+        for key, dimension in (("cliente_id", customer), ("product_id", product)):
+            known = dimension.sized_for_join(broadcast_limit).select(key, F.lit(1).alias(f"__{key}"))
+            marked = marked.join(known, key, "left")
+        found = F.col("__cliente_id").isNotNull() & F.col("__product_id").isNotNull()
+        rows, kept = marked.agg(F.count(F.lit(1)), F.count(F.when(found, 1))).first()
+        require_join_conserved(rows, kept)
     return silver_projection(joined, *extra)
 
 

@@ -1,8 +1,11 @@
-"""The jobs: ingest, process, audit, and all three."""
+"""The jobs: process, audit, and both."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+import uuid
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,7 +16,9 @@ from sedimenta.operators import gates
 from sedimenta.operators.audit import AUDITS
 from sedimenta.operators.gates import Dimension
 from sedimenta.operators.gold import build_gold
-from sedimenta.operators.quality import REASON, check_rows, order_rules, reason_counts
+from sedimenta.operators.quality import (
+    REASON, UNREADABLE, PresentRule, check_rows, order_rules, reason_counts,
+)
 from sedimenta.operators.silver import (
     CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, join_dimensions, measure_order_dimensions, range_by_order,
     silver_projection,
@@ -21,22 +26,14 @@ from sedimenta.operators.silver import (
 from sedimenta.schemas import (
     GOLD_TABLE, QUARANTINE_TABLE, RAW_CLIENTES, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_TABLE,
 )
+from sedimenta.sinks.folders import remove_folder, replace_folder
 from sedimenta.sinks.layers import quarantine_projection, write_partition, write_report
 from sedimenta.sources.catalog import catalog_layers, create_catalog
-from sedimenta.sources.generate import generate_customers, generate_orders, generate_products
-from sedimenta.sources.layers import read_layer, read_raw
+from sedimenta.sources.layers import read_layer, read_raw, read_raw_orders, require_fitting_lines
 
 VERDICT, VALID, REJECTED = "situacao", "valid", "rejected"
 
 
-@dataclass(frozen=True)
-class IngestReport:
-    clientes: int
-    produtos: int
-    pedidos: int
-    injected: dict[str, int]
-
-
 @dataclass(frozen=True)
 class ProcessReport:
     raw: int
@@ -47,35 +44,26 @@ class ProcessReport:
     reasons: dict[str, int]
 
 
-def run_ingest(spark: SparkSession, cfg: PipelineConfig) -> IngestReport:
-    """Generate the three raw tables of the configured date."""
-    generated = generate_orders(spark, cfg.n_pedidos, cfg.n_clientes, cfg.n_produtos,
-                                cfg.ingest_date, cfg.anomaly_rate, cfg.seed)
-    write_raw(cfg, generate_customers(spark, cfg.n_clientes, cfg.ingest_date, cfg.seed),
-              generate_products(spark, cfg.n_produtos, cfg.seed), generated.orders)
-    return IngestReport(cfg.n_clientes, cfg.n_produtos, cfg.n_pedidos, generated.injected)
-
-
 def write_raw(cfg: PipelineConfig, clientes: DataFrame, produtos: DataFrame, pedidos: DataFrame) -> None:
     for table, df in ((RAW_CLIENTES, clientes), (RAW_PRODUTOS, produtos), (RAW_PEDIDOS, pedidos)):
         write_partition(df.select(*table.schema.fieldNames()), cfg, table)
 
 
 def staging_path(spark: SparkSession, cfg: PipelineConfig) -> str:
-    """Where a run keeps its checked rows: shared storage, one folder per lake and date.
+    """Where runs of a lake and date keep what they have not published yet: shared storage.
 
-    A run replaces it, and empties it once its layers are reconciled.
+    The name of the folder holds a hash of the whole URI, so lakes whose names differ in punctuation only stay apart.
     """
     root = cfg.staging_uri or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         return f"{cfg.base_uri.rstrip('/')}/_staging/{cfg.ingest_date}"
-    lake = "".join(c if c.isalnum() else "_" for c in cfg.base_uri)
+    lake = hashlib.sha256(cfg.base_uri.rstrip("/").encode()).hexdigest()[:32]
     return f"{root.rstrip('/')}/sedimenta/{lake}/{cfg.ingest_date}"
 
 
-def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dimension, product: Dimension
-                         ) -> tuple[DataFrame, int]:
-    """Check all raw orders once and write them as Parquet, split by verdict.
+def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dimension, product: Dimension,
+                         path: str) -> tuple[DataFrame, int]:
+    """Check all raw orders once and write them to ``path`` as Parquet, split by verdict.
 
     Both routes read their part from there, so the CSV is parsed and checked
     once, a lost executor costs no recomputation, and nothing is published
@@ -86,47 +74,56 @@ def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dim
     the number of raw rows seen by the scan.
     """
     limit = cfg.broadcast_limit
-    rules = order_rules(
+    rules = [PresentRule(UNREADABLE, "pedido_id"), *order_rules(
         customer.sized_for_join(limit), product.sized_for_join(limit), unique_keys=True,
         customer_attributes=None if customer.fits(limit) else CUSTOMER_ATTRIBUTES,
-        product_attributes=None if product.fits(limit) else PRODUCT_ATTRIBUTES)
+        product_attributes=None if product.fits(limit) else PRODUCT_ATTRIBUTES)]
     seen = Observation("raw orders")
-    pedidos = read_raw(spark, cfg, RAW_PEDIDOS)
+    pedidos = read_raw_orders(spark, cfg)
     observed = pedidos.observe(seen, F.count(F.lit(1)).alias("rows"))
     verdict = F.when(F.col(REASON) == "", VALID).otherwise(REJECTED)
     flagged = check_rows(observed, rules).flagged().withColumn(VERDICT, verdict)
-    path = staging_path(spark, cfg)
-    # Whatever the session says, all of an earlier run's staging goes.
-    writer = flagged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(VERDICT).parquet(path)
+    flagged.write.partitionBy(VERDICT).parquet(path)
     # AQE drops an empty input from the plan, and its observation with it.
     raw_rows = 0 if pedidos.isEmpty() else seen.get["rows"]
     return spark.read.schema(flagged.schema).parquet(path), raw_rows
 
 
 def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
-    """Raw to quarantine, silver and gold. Gates run first, so a failing run publishes nothing."""
+    """Raw to quarantine, silver and gold.
+
+    All three layers are written and checked in the staging folder of this run
+    before the first of them replaces what is published, so a run that fails changes nothing. What is not
+    atomic is the replacing: three folders, one after the other.
+    """
+    require_fitting_lines(spark, cfg, RAW_CLIENTES, RAW_PRODUTOS)
     customer, product = measure_order_dimensions(
         read_raw(spark, cfg, RAW_CLIENTES), read_raw(spark, cfg, RAW_PRODUTOS))
 
-    staged, raw_rows = stage_checked_orders(spark, cfg, customer, product)
-    # At most one row per combination of the three rules.
-    reasons = {r[REASON]: r["qtd"] for r in reason_counts(staged).collect()}
-    valid_rows = reasons.pop("", 0)
-    rejected_rows = sum(reasons.values())
-    if raw_rows != valid_rows + rejected_rows:
-        # A recomputed scan task is observed twice; only a real count may fail the run.
-        raw_rows = read_raw(spark, cfg, RAW_PEDIDOS, blank_missing=False).count()
-    gates.require_join_conserved(raw_rows, valid_rows + rejected_rows)
-
-    write_quarantine(cfg, staged)
-    write_silver(spark, cfg, staged, valid_rows, customer, product)
-    gold = build_gold(read_layer(spark, cfg, SILVER_TABLE), cfg.drop_null_gold_keys)
-    write_partition(gold, cfg, GOLD_TABLE)
-
-    written = published_rows(spark, cfg)
-    gates.require_reconciled(raw_rows, written[SILVER_TABLE.name], written[QUARANTINE_TABLE.name])
-    spark.createDataFrame([], staged.schema).write.mode("overwrite").parquet(staging_path(spark, cfg))
+    run = f"{staging_path(spark, cfg)}/{uuid.uuid4().hex}"
+    try:
+        staged, raw_rows = stage_checked_orders(spark, cfg, customer, product, f"{run}/checked")
+        # At most one row per combination of the rules.
+        reasons = {r[REASON]: r["qtd"] for r in reason_counts(staged).collect()}
+        valid_rows = reasons.pop("", 0)
+        rejected_rows = sum(reasons.values())
+        if raw_rows != valid_rows + rejected_rows:
+            # A recomputed scan task is observed twice; only a real count may fail the run.
+            raw_rows = read_raw(spark, cfg, RAW_PEDIDOS, blank_missing=False).count()
+        gates.require_join_conserved(raw_rows, valid_rows + rejected_rows)
+
+        beside = replace(cfg, base_uri=f"{run}/layers")
+        write_quarantine(beside, staged)
+        write_silver(spark, beside, staged, valid_rows, customer, product)
+        gold = build_gold(read_layer(spark, beside, SILVER_TABLE), cfg.drop_null_gold_keys)
+        write_partition(gold, beside, GOLD_TABLE)
+        written = published_rows(spark, beside)
+        gates.require_reconciled(raw_rows, written[SILVER_TABLE.name], written[QUARANTINE_TABLE.name])
+
+        for table in (QUARANTINE_TABLE, SILVER_TABLE, GOLD_TABLE):
+            replace_folder(spark, beside.partition_path(table), cfg.partition_path(table))
+    finally:
+        remove_folder(spark, run)
     return ProcessReport(raw_rows, valid_rows, rejected_rows, written[SILVER_TABLE.name],
                          written[GOLD_TABLE.name], reasons)
 
@@ -159,11 +156,12 @@ def write_silver(spark: SparkSession, cfg: PipelineConfig, staged: DataFrame, va
     write_partition(silver.sortWithinPartitions(F.asc_nulls_last("pedido_id")), cfg, SILVER_TABLE)
 
 
-def run_audit(spark: SparkSession, cfg: PipelineConfig, export: bool = True) -> dict[str, DataFrame]:
-    """Register the layers, run Q1 to Q8 over them and export each result as CSV."""
+def run_audit(spark: SparkSession, cfg: PipelineConfig, export: bool = True, titles: Iterable[str] = AUDITS
+              ) -> dict[str, DataFrame]:
+    """Register the layers, run Q1 to Q8, or those named, over them and export each result as CSV."""
     create_catalog(spark, cfg)
-    layers = catalog_layers(spark, cfg)
-    reports = {title: audit(layers) for title, audit in AUDITS.items()}
+    layers, wanted = catalog_layers(spark, cfg), set(titles)
+    reports = {title: audit(layers) for title, audit in AUDITS.items() if title in wanted}
     if export:
         for title, report in reports.items():
             write_report(report, cfg.base_uri, title)
@@ -171,7 +169,7 @@ def run_audit(spark: SparkSession, cfg: PipelineConfig, export: bool = True) ->
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig, skip_audit: bool = False
-                 ) -> tuple[IngestReport, ProcessReport, dict[str, DataFrame]]:
-    ingested = run_ingest(spark, cfg)
+                 ) -> tuple[ProcessReport, dict[str, DataFrame]]:
+    """Process the raw files of the date, then audit what is published."""
     processed = run_process(spark, cfg)
-    return ingested, processed, {} if skip_audit else run_audit(spark, cfg)
+    return processed, {} if skip_audit else run_audit(spark, cfg)

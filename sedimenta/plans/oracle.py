@@ -176,29 +176,46 @@ UNION ALL SELECT 'gold_vendas_uf_categoria', count(*) FROM gold""",
 SELECT '2026-09-20' AS ingest_date, count(*) AS linhas FROM silver
 UNION ALL SELECT '2026-09-21', count(*) FROM limpos""",
     "catalog_quarantine_scan": f"WITH {_CHECKED} {_QUARANTINE}, '2026-09-20' AS data FROM rejeitados",
-    "gen_pedidos_rule_counts": """WITH alvo AS (SELECT greatest(1, CAST(floor(count(*) * 0.03) AS BIGINT)) AS k
-                 FROM lineitem)
-SELECT 'QUANTIDADE_INVALIDA' AS regra, k AS violacoes FROM alvo
-UNION ALL SELECT 'CLIENTE_INEXISTENTE', k FROM alvo
-UNION ALL SELECT 'PRODUTO_INEXISTENTE', k FROM alvo""",
-    "gen_pedidos_profile": """SELECT count(*) AS linhas, count(*) AS ids, CAST(1 AS BIGINT) AS menor_id,
-       count(*) AS maior_id, CAST(0 AS BIGINT) AS quantidade_fora, CAST(0 AS BIGINT) AS data_fora
-FROM lineitem""",
-    "gen_clientes_profile": """SELECT count(*) AS linhas, count(*) AS ids, CAST(1 AS BIGINT) AS menor_id,
-       count(*) AS maior_id, CAST(10 AS BIGINT) AS ufs, CAST(0 AS BIGINT) AS cidade_fora,
-       CAST(0 AS BIGINT) AS email_fora, CAST(0 AS BIGINT) AS data_fora
-FROM customer""",
-    "gen_produtos_catalog": """WITH itens AS (
-  SELECT * FROM (VALUES (0, 'Notebook', 'Eletronicos'), (1, 'Smartphone', 'Eletronicos'),
-    (2, 'Monitor', 'Eletronicos'), (3, 'Fone de Ouvido', 'Eletronicos'), (4, 'Teclado', 'Informatica'),
-    (5, 'Mouse', 'Informatica'), (6, 'Webcam', 'Informatica'), (7, 'Hub USB', 'Informatica'),
-    (8, 'Cafeteira', 'Casa'), (9, 'Liquidificador', 'Casa'), (10, 'Aspirador', 'Casa'),
-    (11, 'Ventilador', 'Casa')) t (item, base, categoria)),
+    **{f"audit_report_q{n}": sql for n, sql in (
+        (3, f"WITH {_CHECKED} SELECT motivo_rejeicao, count(*) AS qtd FROM rejeitados GROUP BY motivo_rejeicao"),
+        (4, f"""WITH {_CHECKED}
+SELECT pedido_id, cliente_id, product_id, quantidade, motivo_rejeicao FROM rejeitados
+ORDER BY pedido_id, cliente_id, product_id, quantidade, motivo_rejeicao LIMIT 10"""),
+        (5, f"WITH {_SILVER} {_validity('silver')}"),
+        (6, f"WITH {_SILVER} {_orphans('silver')}"),
+        (7, f"WITH {_GOLD} {_revenue('silver', 'gold')}"),
+        (8, f"WITH {_GOLD} SELECT * FROM gold ORDER BY receita_total DESC, uf, categoria LIMIT 10"))},
+    "audit_files": f"""WITH {_GOLD}
+SELECT tabela, pasta, true AS com_bytes, linhas FROM (
+  SELECT 'raw_clientes' AS tabela, 'raw/clientes/ingest_date=2026-09-20' AS pasta, count(*) AS linhas FROM clientes
+  UNION ALL SELECT 'raw_produtos', 'raw/produtos/ingest_date=2026-09-20', count(*) FROM produtos
+  UNION ALL SELECT 'raw_pedidos', 'raw/pedidos/ingest_date=2026-09-20', count(*) FROM pedidos
+  UNION ALL SELECT 'quarantine_pedidos_rejeitados', 'quarantine/pedidos_rejeitados/data=2026-09-20', count(*)
+            FROM rejeitados
+  UNION ALL SELECT 'silver_fato_vendas', 'processed/fato_vendas/ingest_date=2026-09-20', count(*) FROM silver
+  UNION ALL SELECT 'gold_vendas_uf_categoria', 'gold/vendas_uf_categoria/ingest_date=2026-09-20', count(*) FROM gold)""",
+    "audit_text_keys": "SELECT CAST(0 AS BIGINT) AS silver_sem_cliente_ou_produto",
+    "run_counts": f"""WITH {_GOLD}
+SELECT 'raw' AS contagem, count(*) AS linhas FROM pedidos
+UNION ALL SELECT 'valid', count(*) FROM validos UNION ALL SELECT 'rejected', count(*) FROM rejeitados
+UNION ALL SELECT 'silver', count(*) FROM silver UNION ALL SELECT 'gold', count(*) FROM gold
+UNION ALL SELECT motivo_rejeicao, count(*) FROM rejeitados GROUP BY motivo_rejeicao""",
+    "silver_files_sorted": f"WITH {_SILVER} SELECT count(*) AS linhas, CAST(0 AS BIGINT) AS fora_de_ordem FROM silver",
+    "dq_text_keys": f"""WITH {_INJECTED},
+escritos AS (
+  SELECT pedido_id, linha, cliente_id, product_id, data_pedido, pedido_id % 8 AS tipo,
+         CASE pedido_id % 8 WHEN 1 THEN 'X' || pedido_id WHEN 2 THEN pedido_id || '.5' WHEN 3 THEN pedido_id || '.0'
+              ELSE CAST(pedido_id AS VARCHAR) END AS id_texto,
+         CASE pedido_id % 8 WHEN 4 THEN cliente_id || 'abc' WHEN 5 THEN cliente_id || '.0'
+              ELSE CAST(cliente_id AS VARCHAR) END AS cliente_texto
+  FROM limpos),
 linhas AS (
-  SELECT * FROM (VALUES (0, 'Basic'), (1, 'Plus'), (2, 'Pro'), (3, 'Max'), (4, 'Ultra')) t (linha, nome)),
-numeros AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part)
-SELECT i + 1 AS product_id,
-       base || ' ' || nome || CASE WHEN i < 60 THEN '' ELSE ' #' || i END AS nome_produto,
-       categoria, true AS preco_na_faixa
-FROM numeros JOIN itens ON i % 12 = item JOIN linhas ON (i // 12) % 5 = linha""",
+  SELECT *, id_texto || ',' || cliente_texto || ',' || product_id || ',' || linha || ',' || data_pedido
+         || CASE WHEN tipo = 6 THEN ',extra' ELSE '' END AS texto FROM escritos)
+SELECT CASE WHEN tipo NOT IN (1, 2, 6) THEN pedido_id END AS pedido_id, CASE WHEN tipo <> 4 THEN cliente_id END AS cliente_id,
+       product_id, linha AS quantidade,
+       CASE WHEN tipo IN (1, 2, 6) THEN 'LINHA_ILEGIVEL' WHEN tipo = 4 THEN 'CLIENTE_INEXISTENTE' ELSE '' END
+         AS motivo_rejeicao,
+       CASE WHEN tipo IN (1, 2, 4, 6) THEN texto END AS linha_raw
+FROM linhas""",
 }

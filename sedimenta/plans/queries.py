@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta.config import PipelineConfig
+from sedimenta.functions.numeric import round2, safe_number
 from sedimenta.operators import audit, gates
 from sedimenta.operators.gold import build_gold, gold_top
 from sedimenta.operators.quality import (
@@ -17,21 +18,17 @@ from sedimenta.operators.quality import (
 )
 from sedimenta.operators.silver import build_silver, silver_projection
 from sedimenta.plans.jobs import run_audit, run_process, write_raw
-from sedimenta.schemas import GOLD_TABLE, PEDIDOS, QUARANTINE_TABLE, RAW_PEDIDOS, SILVER_COLUMNS, SILVER_TABLE
+from sedimenta.schemas import (
+    GOLD_TABLE, PEDIDOS, QUARANTINE_TABLE, RAW_CLIENTES, RAW_LINE, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_COLUMNS, SILVER_TABLE,
+)
 from sedimenta.sinks.layers import quarantine_projection, write_partition
 from sedimenta.sources.adapters import RawFrames, orders, raw_frames, read_table
 from sedimenta.sources.catalog import catalog_layers, create_catalog, table_name
-from sedimenta.sources.generate import (
-    BAD_QUANTITIES, CITIES_BY_UF, EMAIL_DOMAIN, PRODUCT_CATALOG, generate_customers, generate_orders,
-    generate_products,
-)
 from sedimenta.sources.layers import read_layer, read_raw
 from sedimenta.sources.scratch import new_scratch
 
 INGEST_DATE = "2026-09-20"
 NEXT_DATE = "2026-09-21"
-SEED = 42
-ANOMALY_RATE = 0.03
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,12 +113,16 @@ def dq_text_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.concat(number, F.lit("d")), F.concat(F.lit("-"), number), F.lit(""), F.lit(None).cast("string")]
     text = F.element_at(F.array(*forms), (F.col("pedido_id") % len(forms) + 1).cast("int"))
     raw = replace(raw, pedidos=raw.pedidos.withColumn("quantidade", text))
-    valid = silver_projection(_enriched(raw), "linha")
-    good = valid.select("pedido_id", "linha", "quantidade", "valor_total", F.lit("").alias(REASON))
-    bad = quarantine_projection(_checked(raw).rejected()).select(
-        "pedido_id", F.lit(None).cast("long").alias("linha"), "quantidade",
-        F.lit(None).cast("double").alias("valor_total"), REASON)
-    return good.unionByName(bad)
+    return _judged(check_and_enrich(raw.pedidos, raw.clientes, raw.produtos).flagged())
+
+
+def _judged(flagged: DataFrame) -> DataFrame:
+    """Valid and rejected rows from one pass: line and total where valid, the quantity as both layers hold it."""
+    good = F.col(REASON) == ""
+    quantity = safe_number("quantidade", flagged.schema["quantidade"].dataType)
+    return flagged.select(
+        "pedido_id", F.when(good, F.col("linha")).alias("linha"), quantity.try_cast("long").alias("quantidade"),
+        F.when(good, round2(quantity * F.col("preco"))).alias("valor_total"), REASON)
 
 
 # --- silver and gold ----------------------------------------------------------------------
@@ -162,8 +163,7 @@ def gate_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_frames(spark, sf_dir)
-    return audit.reconciliation(raw.pedidos, _silver(spark, sf_dir), _rejected(spark, sf_dir))
+    return audit.reconciliation_of_flagged(_checked(raw_frames(spark, sf_dir)).flagged())
 
 
 def audit_quarantine_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,22 +200,24 @@ def orphan_detail_left_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_silver_vs_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = _silver(spark, sf_dir)
-    return audit.silver_against_gold(silver, build_gold(silver))
+    return audit.silver_against_its_gold(_silver(spark, sf_dir))
 
 
 def audit_gold_lost_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7 where the gold layer left out the rows without a state."""
-    silver = _without_some_states(spark, sf_dir)
-    return audit.silver_against_gold(silver, build_gold(silver))
+    return audit.silver_against_its_gold(_without_some_states(spark, sf_dir))
 
 
 # --- files and catalog --------------------------------------------------------------------
 
 def audit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 as far as it is the same in every run: folders of the tables, whether all files have bytes, and rows."""
     cfg = _published(spark, sf_dir)
     create_catalog(spark, cfg)
-    return audit.physical_files(catalog_layers(spark, cfg))
+    files = audit.physical_files(catalog_layers(spark, cfg))
+    folder = F.regexp_extract("arquivo_s3", "/([^/]+/[^/]+/[^/]+=[^/]+)/[^/]+$", 1)
+    return files.groupBy("tabela", folder.alias("pasta")).agg(
+        F.bool_and(F.col("tamanho_bytes") > 0).alias("com_bytes"), F.sum("linhas").alias("linhas"))
 
 
 def audit_files_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,11 +225,75 @@ def audit_files_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_files(spark, sf_dir).groupBy("tabela").agg(F.sum("linhas").alias("linhas"))
 
 
-def audit_reports_exported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q2 read back from its exported CSV."""
-    cfg = _published(spark, sf_dir)
-    schema = run_audit(spark, cfg)["Q2"].schema
-    return spark.read.schema(schema).option("header", True).csv(f"{cfg.base_uri}/reports/Q2")
+def _exported(title: str) -> Query:
+    def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cfg = _published(spark, sf_dir)
+        schema = run_audit(spark, cfg, titles=[title])[title].schema
+        return spark.read.schema(schema).option("header", True).csv(f"{cfg.base_uri}/reports/{title}")
+
+    read_back.__name__ = "audit_reports_exported" if title == "Q2" else f"audit_report_{title.lower()}"
+    read_back.__doc__ = f"{title} of a run, read back from its exported CSV."
+    return read_back
+
+
+def audit_text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 over catalog tables whose raw keys are written like ``7.0``: nothing is missing."""
+    cfg = _scratch_config(spark)
+    raw = raw_frames(spark, sf_dir)
+    for table, df in ((RAW_CLIENTES, raw.clientes), (RAW_PRODUTOS, raw.produtos), (RAW_PEDIDOS, raw.pedidos)):
+        text = [F.concat(F.col(f.name).cast("string"), F.lit(".0")).alias(f.name) if f.name.endswith("_id")
+                else F.col(f.name) for f in table.schema]
+        write_partition(df.select(*text), cfg, table)
+    run_process(spark, cfg)
+    return run_audit(spark, cfg, export=False, titles=["Q6"])["Q6"]
+
+
+def dq_text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with spoiled keys and extra fields, through the whole job: what is published of them, and the lines
+    of those that are not."""
+    cfg = _scratch_config(spark)
+    raw = raw_frames(spark, sf_dir, anomalies=False)
+    write_raw(cfg, raw.clientes, raw.produtos, raw.pedidos)
+    order, line = F.col("pedido_id").cast("string"), F.col("linha").cast("string")
+    customer, product = F.col("cliente_id").cast("string"), F.col("product_id").cast("string")
+    kind = F.col("pedido_id") % 8
+    ids = F.when(kind == 1, F.concat(F.lit("X"), order)).when(kind == 2, F.concat(order, F.lit(".5"))).when(
+        kind == 3, F.concat(order, F.lit(".0"))).otherwise(order)
+    customers = F.when(kind == 4, F.concat(customer, F.lit("abc"))).when(
+        kind == 5, F.concat(customer, F.lit(".0"))).otherwise(customer)
+    extra = F.when(kind == 6, F.lit(",extra")).otherwise(F.lit(""))
+    text = F.concat_ws(",", ids, customers, product, line, F.col("data_pedido"))
+    lines = raw.pedidos.select(F.concat(text, extra).alias("value"))
+    header = ",".join(PEDIDOS.fieldNames())
+    folder = cfg.partition_path(RAW_PEDIDOS)
+    # Every file starts with the header, as a CSV writer would have it.
+    lines.coalesce(8).select(F.col("value").alias(header)).write.mode("overwrite").options(
+        header=True, quote="", escapeQuotes=False, sep="\u0001").csv(folder)
+    run_process(spark, cfg)
+    silver = read_layer(spark, cfg, SILVER_TABLE).select(
+        "pedido_id", "cliente_id", "product_id", "quantidade", F.lit("").alias(REASON),
+        F.lit(None).cast("string").alias(RAW_LINE))
+    schema = f"{QUARANTINE_TABLE.schema.simpleString()[7:-1]},{RAW_LINE}:string"
+    bad = spark.read.schema(schema.replace(":", " ")).json(cfg.partition_path(QUARANTINE_TABLE))
+    return silver.unionByName(bad.select("pedido_id", "cliente_id", "product_id", "quantidade", REASON, RAW_LINE))
+
+
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run reports of itself, one row a count."""
+    cfg = _written_raw(spark, sf_dir)
+    report = run_process(spark, cfg)
+    counts = {"raw": report.raw, "valid": report.valid, "rejected": report.rejected, "silver": report.silver,
+              "gold": report.gold, **report.reasons}
+    return spark.createDataFrame(list(counts.items()), "contagem string, linhas long")
+
+
+def silver_files_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the published silver layer, and how many come after a larger order id in their own file."""
+    rows = read_layer(spark, _published(spark, sf_dir), SILVER_TABLE).select(
+        "pedido_id", F.col("_metadata.file_path").alias("arquivo"), F.col("_metadata.row_index").alias("lugar"))
+    before = F.lag("pedido_id").over(Window.partitionBy("arquivo").orderBy("lugar"))
+    return rows.withColumn("antes", before).agg(
+        F.count(F.lit(1)).alias("linhas"), F.count(F.when(F.col("antes") > F.col("pedido_id"), 1)).alias("fora_de_ordem"))
 
 
 def roundtrip_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,72 +353,14 @@ def catalog_quarantine_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog_layers(spark, cfg).quarantine_pedidos_rejeitados
 
 
-# --- generator ----------------------------------------------------------------------------
-
-def _count(spark: SparkSession, sf_dir: str, table: str) -> int:
-    return read_table(spark, sf_dir, table).count()
-
-
-def _generated_orders(spark: SparkSession, sf_dir: str):
-    return generate_orders(spark, _count(spark, sf_dir, "lineitem"), _count(spark, sf_dir, "customer"),
-                           _count(spark, sf_dir, "part"), INGEST_DATE, ANOMALY_RATE, SEED).orders
-
-
-def gen_pedidos_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many generated orders as there are order lines: exactly k rows break each rule."""
-    clientes = generate_customers(spark, _count(spark, sf_dir, "customer"), INGEST_DATE, SEED)
-    produtos = generate_products(spark, _count(spark, sf_dir, "part"), SEED)
-    return check_orders(_generated_orders(spark, sf_dir), clientes, produtos).rule_totals()
-
-
-def gen_pedidos_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quantity = F.col("quantidade")
-    age = F.date_diff(F.lit(INGEST_DATE).cast("date"), F.col("data_pedido").cast("date"))
-    return _generated_orders(spark, sf_dir).agg(
-        F.count(F.lit(1)).alias("linhas"),
-        F.count_distinct("pedido_id").alias("ids"),
-        F.min("pedido_id").alias("menor_id"), F.max("pedido_id").alias("maior_id"),
-        F.count(F.when(~(quantity.between(1, 10) | quantity.isin(*BAD_QUANTITIES)), 1)).alias("quantidade_fora"),
-        F.count(F.when(~age.between(0, 89), 1)).alias("data_fora"),
-    )
-
-
-def gen_clientes_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many generated customers as the customer table holds, checked against the vocabulary."""
-    people = generate_customers(spark, _count(spark, sf_dir, "customer"), INGEST_DATE, SEED)
-    cities = F.create_map(*[part for uf, names in CITIES_BY_UF.items()
-                            for part in (F.lit(uf), F.array(*[F.lit(n) for n in names]))])
-    age = F.date_diff(F.lit(INGEST_DATE).cast("date"), F.col("data_cadastro").cast("date"))
-    local_part = F.concat(F.replace(F.lower("nome"), F.lit(" "), F.lit(".")), F.lit("."), F.col("cliente_id"))
-    return people.agg(
-        F.count(F.lit(1)).alias("linhas"),
-        F.count_distinct("cliente_id").alias("ids"),
-        F.min("cliente_id").alias("menor_id"), F.max("cliente_id").alias("maior_id"),
-        F.count_distinct("uf").alias("ufs"),
-        F.count(F.when(~F.coalesce(F.array_contains(cities[F.col("uf")], F.col("cidade")), F.lit(False)), 1))
-        .alias("cidade_fora"),
-        F.count(F.when(F.col("email") != F.concat(local_part, F.lit(f"@{EMAIL_DOMAIN}")), 1)).alias("email_fora"),
-        F.count(F.when(~age.between(30, 1499), 1)).alias("data_fora"),
-    )
-
-
-def gen_produtos_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many generated products as the part table holds: every name, and prices within their range."""
-    products = generate_products(spark, _count(spark, sf_dir, "part"), SEED)
-    in_range = F.lit(False)
-    for category, (_, low, high) in PRODUCT_CATALOG.items():
-        in_range = in_range | ((F.col("categoria") == category) & F.col("preco").between(low, high))
-    return products.select("product_id", "nome_produto", "categoria", in_range.alias("preco_na_faixa"))
-
-
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     dq_flagged, dq_valid, dq_rejected, dq_reason_counts, dq_rule_totals, dq_customer_quality, dq_text_quantities,
     silver_fato_vendas, silver_from_valid, gold_uf_categoria, gold_top10, gold_null_keys,
     gate_duplicate_keys, gate_reconciliation,
     audit_quarantine_sample, audit_silver_validity, audit_validity_tampered, audit_silver_orphans,
     audit_orphans_tampered, orphan_detail_left_anti, audit_silver_vs_gold, audit_gold_lost_revenue,
-    audit_files, audit_files_rows, audit_reports_exported,
+    audit_files, audit_files_rows, *(_exported(f"Q{n}") for n in range(2, 9)),
+    dq_text_keys, audit_text_keys, run_counts, silver_files_sorted,
     roundtrip_raw_csv, roundtrip_quarantine_json, roundtrip_silver_parquet,
     published_gold, published_silver, idempotent_overwrite, partition_append, catalog_quarantine_scan,
-    gen_pedidos_rule_counts, gen_pedidos_profile, gen_clientes_profile, gen_produtos_catalog,
 )}

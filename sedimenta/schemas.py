@@ -32,6 +32,8 @@ PEDIDOS = _struct(
 PEDIDOS_TEXT = T.StructType(
     [T.StructField(f.name, _TEXT if f.name == "quantidade" else f.dataType) for f in PEDIDOS]
 )
+# The line of an order as it was read, where its typed columns do not hold all of it.
+RAW_LINE = "linha_raw"
 QUARANTINE = T.StructType([*PEDIDOS.fields, T.StructField("motivo_rejeicao", _TEXT)])
 SILVER = _struct(
     ("pedido_id", _LONG), ("data_pedido", _TEXT), ("cliente_id", _LONG), ("nome_cliente", _TEXT),

@@ -6,12 +6,13 @@ overwrite would leave the old rows in place when the new result is empty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimenta.config import PipelineConfig
 from sedimenta.functions.numeric import safe_number
-from sedimenta.schemas import QUARANTINE, LayerTable
+from sedimenta.schemas import QUARANTINE, RAW_LINE, LayerTable
 
 WRITE_OPTIONS = {
     "csv": {
@@ -27,18 +28,32 @@ RAW_TEXT_COLUMN = "quantidade_raw"
 def write_partition(df: DataFrame, cfg: PipelineConfig, table: LayerTable) -> str:
     """Replace the configured date of a table; other dates stay as they are."""
     path = cfg.partition_path(table)
+    if table.format == "csv" and not cfg.multi_line:
+        df = df.select(*[_one_line(f) for f in df.schema])
     df.write.mode("overwrite").options(**WRITE_OPTIONS[table.format]).format(table.format).save(path)
     return path
 
 
+def _one_line(field: T.StructField) -> Column:
+    """The column, which fails the write if a text of it holds a line break: no reader by lines could read it back."""
+    value = F.col(field.name)
+    if not isinstance(field.dataType, T.StringType):
+        return value
+    message = F.concat(F.lit(f"line break in {field.name}: "), F.left(value, F.lit(100)))
+    return F.when(value.rlike("[\\r\\n]"), F.raise_error(message)).otherwise(value).alias(field.name)
+
+
 def quarantine_projection(rejected: DataFrame, raw_text: bool = True) -> DataFrame:
     """Rejected rows in the quarantine schema. A quantity that is no whole number becomes
-    one or null there; ``raw_text`` keeps it as read in a further column."""
+    one or null there; ``raw_text`` keeps it as read in a further column, and the whole
+    line in another where the rows carry it."""
     quantity = safe_number("quantidade", rejected.schema["quantidade"].dataType).try_cast("long")
     columns = [quantity.alias(f.name) if f.name == "quantidade" else F.col(f.name).cast(f.dataType)
                for f in QUARANTINE]
     if raw_text:
         columns.append(F.col("quantidade").cast("string").alias(RAW_TEXT_COLUMN))
+        if RAW_LINE in rejected.columns:
+            columns.append(F.col(RAW_LINE))
     return rejected.select(*columns)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from sedimenta.config import PipelineConfig
 from sedimenta.operators.audit import Layers
 from sedimenta.schemas import LAYER_TABLES, LayerTable
-from sedimenta.sources.layers import CSV_OPTIONS
+from sedimenta.sources.layers import CSV_OPTIONS, text_schema, typed_raw
 
 
 def table_name(cfg: PipelineConfig, table: LayerTable) -> str:
@@ -22,12 +23,20 @@ def create_database(spark: SparkSession, cfg: PipelineConfig) -> None:
               args={"db": cfg.database, "place": f"{cfg.base_uri.rstrip('/')}/_database"})
 
 
+def as_written(table: LayerTable) -> LayerTable:
+    """The raw table beside the declared one, whose keys are the text in the files, for ``typed_raw`` to read.
+
+    A whole-number column of a CSV table is null where a file says ``7.0``, which the process takes as 7.
+    """
+    return replace(table, name=f"{table.name}_texto", schema=text_schema(table.schema))
+
+
 def create_table(spark: SparkSession, cfg: PipelineConfig, table: LayerTable) -> None:
     """External table over the folder, with the declared columns and a string partition."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
     options = ""
     if table.format == "csv":
-        options = "OPTIONS (" + ", ".join(f"{k} '{v}'" for k, v in CSV_OPTIONS.items()) + ")"
+        options = "OPTIONS (" + ", ".join(f"{k} '{v}'" for k, v in {**CSV_OPTIONS, "multiLine": str(cfg.multi_line).lower()}.items()) + ")"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:t) ({columns}, {table.partition} string) "
         f"USING {table.format} {options} PARTITIONED BY ({table.partition}) LOCATION :place",
@@ -54,15 +63,21 @@ def register_partitions(spark: SparkSession, cfg: PipelineConfig, table: LayerTa
 
 def create_catalog(spark: SparkSession, cfg: PipelineConfig) -> None:
     create_database(spark, cfg)
-    for table in LAYER_TABLES:
+    for table in (*LAYER_TABLES, *(as_written(t) for t in LAYER_TABLES if t.format == "csv")):
         create_table(spark, cfg, table)
         require_location(spark, cfg, table)
         register_partitions(spark, cfg, table)
 
 
 def catalog_layers(spark: SparkSession, cfg: PipelineConfig) -> Layers:
-    """The layers of the configured date, read from their tables with the partition pruned."""
-    return Layers(**{
-        table.name: spark.table(table_name(cfg, table)).where(F.col(table.partition) == cfg.ingest_date)
-        for table in LAYER_TABLES
-    })
+    """The layers of the configured date, read from their tables with the partition pruned.
+
+    Raw tables are typed by the rule of the process, so both see the same keys.
+    """
+    def layer(table: LayerTable):
+        raw = table.format == "csv"
+        rows = spark.table(table_name(cfg, as_written(table) if raw else table))
+        rows = rows.where(F.col(table.partition) == cfg.ingest_date)
+        return typed_raw(rows, table.schema, True, table.partition, "_metadata") if raw else rows
+
+    return Layers(**{table.name: layer(table) for table in LAYER_TABLES}, broadcast_limit=cfg.broadcast_limit)

@@ -2,15 +2,13 @@
 
 import math
 
+import generator as generate
 import pytest
+from generator import CITIES_BY_UF, PRODUCT_CATALOG, generate_customers, generate_orders, generate_products
+from picks import exact_k_mask
 from pyspark.sql import functions as F
 
-from sedimenta.functions.picks import exact_k_mask
 from sedimenta.operators.quality import check_orders
-from sedimenta.sources import generate
-from sedimenta.sources.generate import (
-    CITIES_BY_UF, PRODUCT_CATALOG, generate_customers, generate_orders, generate_products,
-)
 
 D = "2026-09-20"
 

@@ -6,18 +6,19 @@ from pathlib import Path
 
 import pytest
 from frames import C, P, Q
+from generator import generate_customers, generate_orders, generate_products
 from pyspark.sql import functions as F
 
 from sedimenta.config import PipelineConfig, layer_path
 from sedimenta.operators.gates import DuplicateKeyError, JoinLossError, ReconciliationError
 from sedimenta.plans import jobs
-from sedimenta.plans.jobs import run_audit, run_ingest, run_pipeline, run_process, staging_path
+from sedimenta.plans.jobs import run_audit, run_pipeline, run_process, staging_path, write_raw
 from sedimenta.schemas import (
     GOLD_TABLE, LAYER_TABLES, QUARANTINE_TABLE, RAW_CLIENTES, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_COLUMNS, SILVER_TABLE,
 )
 from sedimenta.sinks.layers import write_partition
 from sedimenta.sources.catalog import catalog_layers, create_catalog, table_name
-from sedimenta.sources.layers import read_layer, read_raw
+from sedimenta.sources.layers import MalformedLineError, read_layer, read_raw
 
 D = "2026-09-20"
 
@@ -49,13 +50,19 @@ def json_lines(cfg):
     return [json.loads(line) for f in files for line in f.read_text(encoding="utf-8").splitlines()]
 
 
+def generated(spark, cfg, orders=5000):
+    """Raw files with a known number of anomalies of each kind."""
+    made = generate_orders(spark, orders, 200, 50, D, 0.03, 42)
+    write_raw(cfg, generate_customers(spark, 200, D, 42), generate_products(spark, 50, 42), made.orders)
+    return made.injected
+
+
 # --- the whole run ------------------------------------------------------------------------
 
 def test_full_run_with_default_sizes(spark, lake):
     cfg = config(lake)
-    ingested, processed, reports = run_pipeline(spark, cfg)
-    assert (ingested.clientes, ingested.produtos, ingested.pedidos) == (200, 50, 5000)
-    assert ingested.injected == {Q: 150, C: 150, P: 150}
+    assert generated(spark, cfg) == {Q: 150, C: 150, P: 150}
+    processed, reports = run_pipeline(spark, cfg)
     assert processed.raw == 5000 == processed.silver + processed.rejected
     assert processed.gold == 30
     for rule in (Q, C, P):
@@ -84,18 +91,12 @@ def test_full_run_with_default_sizes(spark, lake):
 
 
 def test_audit_can_be_skipped(spark, lake):
-    *_, reports = run_pipeline(spark, config(lake, n_pedidos=50), skip_audit=True)
+    cfg = config(lake)
+    put_raw(cfg, "1,1,10,1,2026-01-01\n")
+    _, reports = run_pipeline(spark, cfg, skip_audit=True)
     assert reports == {} and not Path(f"{lake}/reports").exists()
 
 
-def test_same_seed_same_files(spark, lake):
-    cfg = config(lake, n_pedidos=300)
-    run_ingest(spark, cfg)
-    first = sorted(tuple(r) for r in read_raw(spark, cfg, RAW_PEDIDOS).collect())
-    run_ingest(spark, cfg)
-    assert sorted(tuple(r) for r in read_raw(spark, cfg, RAW_PEDIDOS).collect()) == first
-
-
 # --- text edge cases ----------------------------------------------------------------------
 
 def test_raw_text_reaches_the_right_layer(spark, lake):
@@ -260,7 +261,8 @@ def test_catalog_sees_rewritten_partitions(spark, lake):
 
 def test_catalog_declares_every_table(spark, lake):
     cfg = config(lake)
-    run_pipeline(spark, replace(cfg, n_pedidos=40), skip_audit=True)
+    put_raw(cfg, "1,1,10,1,2026-01-01\n2,9,10,1,2026-01-01\n")
+    run_process(spark, cfg)
     create_catalog(spark, cfg)
     for table in LAYER_TABLES:
         columns = [(f.name, f.dataType.simpleString()) for f in table.schema] + [(table.partition, "string")]
@@ -348,6 +350,89 @@ def test_rows_lost_while_publishing_are_found(spark, lake, monkeypatch):
     monkeypatch.setattr(jobs, "silver_projection", lambda rows: real(rows).where("pedido_id <> 2"))
     with pytest.raises(ReconciliationError):
         run_process(spark, cfg)
+    assert published(cfg) == []
+
+
+def layer_rows(spark, cfg):
+    return {t.name: sorted(map(str, read_layer(spark, cfg, t).collect()))
+            for t in (QUARANTINE_TABLE, SILVER_TABLE, GOLD_TABLE)}
+
+
+@pytest.mark.parametrize("failure, error", [
+    ("duplicate", DuplicateKeyError), ("loss", JoinLossError), ("reconciliation", ReconciliationError),
+    ("overflow", Exception), ("dimension line", MalformedLineError),
+])
+def test_a_failing_run_leaves_the_last_one_as_it_was(spark, lake, monkeypatch, failure, error):
+    cfg = config(lake)
+    put_raw(cfg, "1,1,10,1,2026-01-01\n2,9,10,1,2026-01-01\n")
+    run_process(spark, cfg)
+    before = layer_rows(spark, cfg)
+    changes = {"duplicate": {"customers": "1,a,,,,\n1,b,,,,\n"},
+               "dimension line": {"products": "10,a,b,1,9\n"}}.get(failure, {})
+    amount = "9000000000000000000" if failure == "overflow" else "1"
+    put_raw(cfg, f"3,1,10,{amount},2026-01-01\n4,1,10,{amount},2026-01-01\n", **changes)
+    if failure == "loss":
+        real = jobs.stage_checked_orders
+
+        def losing(*args):
+            rows, seen = real(*args)
+            return rows.where("pedido_id <> 3"), seen
+
+        monkeypatch.setattr(jobs, "stage_checked_orders", losing)
+    if failure == "reconciliation":
+        project = jobs.silver_projection
+        monkeypatch.setattr(jobs, "silver_projection", lambda rows: project(rows).where("pedido_id <> 3"))
+    with pytest.raises(error):
+        run_process(spark, cfg)
+    assert layer_rows(spark, cfg) == before
+    assert not any(Path(staging_path(spark, cfg)).iterdir())
+
+
+# --- nothing of a raw line is lost ---------------------------------------------------------
+
+def test_lines_and_ids_that_cannot_be_read_are_quarantined_whole(spark, lake):
+    cfg = config(lake)
+    lines = ["5,1,10,2,2026-01-01,extra,extra2", "X2,1,10,1,2026-01-01", "7.5,1,10,1,2026-01-01",
+             "9,1abc,10,1,2026-01-01", ",1,10,1,2026-01-01", "10,1,10"]
+    put_raw(cfg, "\n".join([*lines, "6,1,10,2,2026-01-01"]) + "\n")
+    report = run_process(spark, cfg)
+    assert (report.raw, report.silver) == (7, 1)
+    assert report.reasons == {"LINHA_ILEGIVEL": 4, C: 1, Q: 1}
+    held = {row["linha_raw"] for row in json_lines(cfg)}
+    assert held == {*lines[:5], None}  # the short line is held whole by the typed columns
+
+
+def test_large_keys_written_as_fractions_keep_their_digits(spark, lake):
+    cfg = config(lake)
+    put_raw(cfg, "1,9007199254740993.0,10,1,2026-01-01\n",
+            customers="9007199254740992,a,,SP,,\n9007199254740993,b,,SP,,\n")
+    run_process(spark, cfg)
+    assert [r.nome_cliente for r in read_layer(spark, cfg, SILVER_TABLE).collect()] == ["b"]
+
+
+def test_line_breaks_are_refused_or_read_by_an_option(spark, lake):
+    rows = spark.createDataFrame([(1, "Ana\nMaria", "e", "SP", "c", "d"), (2, "Rui", "e", "RJ", "c", "d")],
+                                 RAW_CLIENTES.schema)
+    cfg = config(lake)
+    with pytest.raises(Exception, match="line break in nome"):
+        write_partition(rows, cfg, RAW_CLIENTES)
+    wide = replace(cfg, multi_line=True)
+    write_partition(rows, wide, RAW_CLIENTES)
+    assert sorted(tuple(r) for r in read_raw(spark, wide, RAW_CLIENTES).collect()) == sorted(map(tuple, rows.collect()))
+    put_raw(cfg, "1,1,10,1,2026-01-01\n", customers='1,"Ana\nMaria",e,SP,c,d\n2,Rui,e,RJ,c,d\n')
+    with pytest.raises(MalformedLineError):
+        run_process(spark, cfg)
+    assert published(cfg) == []
+
+
+def test_the_audit_reads_keys_as_the_process_does(spark, lake):
+    cfg = config(lake)
+    put_raw(cfg, "1,1,10,1,2026-01-01\n2,2.0,10,1,2026-01-01\n",
+            customers="1.0,Ana,a@x,SP,Campinas,2020-01-01\n2.0,Rui,r@x,RJ,Niteroi,2020-01-01\n")
+    assert run_process(spark, cfg).valid == 2
+    reports = run_audit(spark, replace(cfg, broadcast_limit=-1), export=False)
+    assert (reports["Q2"].first().status, reports["Q6"].first()[0]) == ("OK - INTEGRIDADE CONFIRMADA", 0)
+    assert catalog_layers(spark, replace(cfg, broadcast_limit=5)).broadcast_limit == 5
 
 
 # --- places and parameters ----------------------------------------------------------------
@@ -362,12 +447,13 @@ def test_staging_follows_the_session_setting(spark, lake):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert staging_path(spark, config(lake)).startswith(f"{shared}/sedimenta/")
     assert staging_path(spark, config(lake, staging_uri="/elsewhere")).startswith("/elsewhere/")
-    assert staging_path(spark, config(lake)) != staging_path(spark, config(lake + "x"))
+    lakes = ["s3a://lake/a_b", "s3a://lake/a/b", "s3a://lake/a-b"]
+    assert len({staging_path(spark, PipelineConfig(uri, D)) for uri in lakes}) == 3
 
 
 def test_defaults_and_bad_parameters():
     cfg = PipelineConfig("/x")
-    assert (cfg.seed, cfg.n_clientes, cfg.n_produtos, cfg.n_pedidos, cfg.anomaly_rate) == (42, 200, 50, 5000, 0.03)
+    assert (cfg.broadcast_limit, cfg.silver_order, cfg.multi_line) == (128 << 20, "global", False)
     for bad in ({"ingest_date": "20260920"}, {"database": "a.b"}, {"silver_order": "none"}):
         with pytest.raises(ValueError):
             PipelineConfig("/x", **bad)
