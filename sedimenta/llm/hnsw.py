@@ -177,7 +177,7 @@ class Hnsw:
 def _search_shard(entries: pd.DataFrame, queries: pd.DataFrame, k: int, beam: int, links: int) -> pd.DataFrame:
     """The best ``k`` entries of a shard for each query, with the ids of their equal vectors."""
     if not len(entries) or not len(queries):
-        return pd.DataFrame({"query_rep": [], "ids": [], "score": []})
+        return pd.DataFrame({"query_rep": np.zeros(0, np.int64), "ids": np.zeros(0, object), "score": np.zeros(0)})
     entries = entries.sort_values("rep", ignore_index=True)
     vectors, asked = matrix(entries["v"]), matrix(queries["asked_v"])
     beam = max(beam, k)
@@ -195,7 +195,8 @@ def _search_shard(entries: pd.DataFrame, queries: pd.DataFrame, k: int, beam: in
         reps.append(np.repeat(queries["asking"].to_numpy()[first:first + 1024], hit.sum(1)))
         ids += list(held[found[hit]])
         scores.append(product[hit])
-    return pd.DataFrame({"query_rep": np.concatenate(reps), "ids": ids, "score": np.concatenate(scores)})
+    return pd.DataFrame({"query_rep": np.concatenate(reps), "ids": pd.Series(ids, dtype=object),
+                         "score": np.concatenate(scores)})
 
 
 def nearest(df: DataFrame, is_query: Column, k: int, shard_rows: int = SHARD_ROWS, beam: int = BEAM,
