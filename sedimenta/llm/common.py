@@ -32,6 +32,14 @@ def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, longer by as many underscores as keep it apart from the frame's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def release(spark: SparkSession, *used: DataFrame) -> None:
     """Give up ``written`` frames that are not read again, and shuffle files that nothing refers to any more.
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.llm.common import written
+from sedimenta.llm.common import free_name, written
 from sedimenta.llm.components import connected_nodes
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -147,5 +147,6 @@ def keep_one_of_each_component(docs: DataFrame, shingle: int = SHINGLE, max_bits
     repeated = prints.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
     if repeated.isEmpty():
         return kept
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return kept.withColumn("__row", F.row_number().over(first)).where("doc_id is null or __row = 1").drop("__row")
+    first, number = Window.partitionBy("doc_id").orderBy(F.xxhash64("text")), free_name(docs, "__number")
+    numbered = kept.withColumn(number, F.row_number().over(first))
+    return numbered.where(F.col("doc_id").isNull() | (F.col(number) == 1)).drop(number)

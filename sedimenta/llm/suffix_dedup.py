@@ -15,8 +15,8 @@ places that can match:
    last 128 bytes occur nowhere else in the shard, and sorts the suffixes of the rest (``induced``). Windows that share
    ``length`` bytes with their neighbour in the order repeat.
 
-Spans of all shards are merged per document. Row numbers stand for documents on the way, so ids may be null or repeated.
-The input must be read alike each time, as files are.
+Spans of all shards are merged per document. Row numbers stand for documents on the way, so ids may be null or repeated;
+the documents are written once with their numbers, and every step reads those files.
 
 Defined results: a null text is an empty one, and nothing is removed from texts shorter than ``length`` bytes; equal texts of that
 length lose all of their bytes; an empty table gives no rows; other columns are not touched.
@@ -38,26 +38,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.llm.anchors import GRAM, anchors, gram_hashes
-from sedimenta.llm.common import plain_text, release, text_blocks, utf8_bytes, written
+from sedimenta.llm.common import free_name, plain_text, release, text_blocks, utf8_bytes, written
 from sedimenta.llm.induced import common_prefixes, suffix_array
 
 LENGTH = 200
 BLOCK = 1024
 SHARD_SEGMENTS = 6000
 INNER = 128
-ROW = "__row"
 
 
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _number(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
     at = TaskContext.get().partitionId() << 33
     for batch in batches:
-        yield batch.append_column(ROW, pa.array(np.arange(at, at + batch.num_rows)))
+        yield batch.append_column(name, pa.array(np.arange(at, at + batch.num_rows)))
         at += batch.num_rows
 
 
-def with_rows(docs: DataFrame) -> DataFrame:
-    """The documents with a number for each row: its partition and its place there."""
-    return docs.mapInArrow(_number, T.StructType([*docs.schema.fields, T.StructField(ROW, T.LongType())]))
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents, written with a number for each row (its partition and its place there), and that column's name."""
+    name = free_name(docs, "__row")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
+    return written(docs.mapInArrow(partial(_number, name=name), schema)), name
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -66,7 +67,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         place, gram, segment = anchors(data, offsets, length)
         row = np.searchsorted(offsets, place, side="right") - 1
         yield pa.record_batch({
-            "row": block.column(ROW).to_numpy()[row], "pos": (place - offsets[row]),
+            "row": block.column("row").to_numpy()[row], "pos": (place - offsets[row]),
             "gram": gram.view(np.int64), "segment": segment.view(np.int64)})
 
 
@@ -178,15 +179,15 @@ def repeated_windows(data: np.ndarray, offsets: np.ndarray, length: int) -> np.n
     return np.sort(back[order[twice]])
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, block: int = BLOCK,
+def repeated_spans(texts: DataFrame, length: int = LENGTH, block: int = BLOCK,
                    shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
-    """(row, low, high): spans of bytes to remove, of the rows of ``with_rows``; they may overlap. Written."""
+    """(row, low, high): spans of bytes to remove from written texts (row, text); they may overlap. Written."""
     if length < GRAM:
         raise ValueError(f"strings have at least {GRAM} bytes")
-    spark = docs.sparkSession
-    texts = with_rows(docs.select("text"))
+    spark = texts.sparkSession
     placed = written(texts.mapInArrow(partial(_anchors, length=length), "row long, pos long, gram long, segment long"))
-    met = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # Written, like `several` below: an aggregate right below a join would keep AQE from splitting its hot grams.
+    met = written(placed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"))
     shared = written(placed.join(met, "gram"))
     release(spark, placed)
 
@@ -197,7 +198,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, block: int = BLOCK,
     whole = written(shared.join(copies, ["gram", "segment"]).select(
         "row", F.greatest(F.col("pos") - (length - GRAM), F.lit(0)).alias("low"),
         (F.col("pos") + length).alias("high")))
-    several = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    several = written(entries.groupBy("gram").agg(F.count(F.lit(1)).alias("many")).where("many > 1"))
     varied = written(entries.join(several, "gram").select("gram", "many", "first.row", "first.pos"))
     release(spark, shared, entries)
 
@@ -209,7 +210,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, block: int = BLOCK,
     pair = F.xxhash64("gram", F.least("own", "other"), F.greatest("own", "other"))
     wanted = dealt.select("row", "pos", F.pmod(pair, F.lit(shards)).cast("int").alias("shard")).distinct()
     lists = wanted.groupBy("row").agg(F.collect_list(F.struct("pos", "shard")).alias("wanted"))
-    joined = texts.join(lists.withColumnRenamed("row", ROW), ROW).select(F.col(ROW).alias("row"), "text", "wanted")
+    joined = texts.join(lists, "row").select("row", "text", "wanted")
     segments = joined.mapInArrow(partial(_cut_segments, length=length, shards=shards), "shard int, data binary")
     sorted_spans = segments.groupBy("shard").applyInPandas(
         lambda group: _sort_shard(group, length), "row long, low long, high long")
@@ -250,21 +251,22 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k, _, _ in out], pa.string())})
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    lists = spans.distinct().groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    return with_rows(docs).join(lists.withColumnRenamed("row", ROW), ROW, "left")
+def _span_lists(spans: DataFrame) -> DataFrame:
+    return spans.distinct().groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
 
-def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def digest(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
     """doc_id, sizes and the checksum of the bytes kept of every document."""
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = _with_spans(narrow, repeated_spans(narrow, length)).select("doc_id", "text", "spans")
+    rows, number = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    texts = rows.withColumnRenamed(number, "row")
+    spans = repeated_spans(texts.select("row", "text"), length, **sizes)
+    found = texts.join(_span_lists(spans), "row", "left").select("doc_id", "text", "spans")
     return found.mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def _rewrite(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+def _rewrite(batches: Iterator[pa.RecordBatch], names: list[str], spans_name: str) -> Iterator[pa.RecordBatch]:
     for block in text_blocks(batches, "text"):
-        texts, spans = block.column("text").to_pylist(), block.column("spans").to_pylist()
+        texts, spans = block.column("text").to_pylist(), block.column(spans_name).to_pylist()
         kept = [t if not s else _kept(t, s)[0].decode(errors="ignore") for t, s in zip(texts, spans, strict=True)]
         columns = [pa.array(kept, pa.string()) if n == "text" else block.column(n) for n in names]
         yield pa.record_batch(columns, names)
@@ -275,9 +277,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A character cut in two by the end of a passage goes with it. A column n_chars, if there is one, is counted again.
     """
-    spans = repeated_spans(docs, length)
-    joined = _with_spans(docs, spans)
-    cut = joined.select(*docs.columns, "spans").mapInArrow(partial(_rewrite, names=docs.columns), docs.schema)
+    rows, number = numbered(docs)
+    spans = repeated_spans(rows.select(F.col(number).alias("row"), "text"), length)
+    name = free_name(rows, "__spans")
+    lists = _span_lists(spans).select(F.col("row").alias(number), F.col("spans").alias(name))
+    joined = rows.join(lists, number, "left").select(*docs.columns, name)
+    cut = joined.mapInArrow(partial(_rewrite, names=docs.columns, spans_name=name), docs.schema)
     if "n_chars" in docs.columns:
         counted = F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
         cut = cut.withColumn("n_chars", counted)
