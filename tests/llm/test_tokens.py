@@ -1,0 +1,88 @@
+"""Packing, byte-level BPE and token files against the libraries themselves."""
+
+import hashlib
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from sedimenta.llm import byte_bpe, packing, token_files
+from sedimenta.llm.vocab import load_tokenizer
+
+WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+TEXTS = ["The quick brown fox", None, "", " ", "  two  spaces", "a b\nc  d\te", "It's 123 times, we'll see!", "été À Ç ñ ß",
+         "x \n\n y", "tail ", " lead", "日本語 テキスト", "a  b  c", "'s 's", "The quick brown fox", "z" * 5000,
+         "word " * 4000, "a\x00b \x1c c", "<|endoftext|> x"]
+ROWS = [*enumerate(TEXTS), (None, "no id"), (3, "again 3")]
+
+
+def expected_ids(path, texts):
+    return [e.ids for e in load_tokenizer(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("clashing", [False, True])
+def test_pieces_hold_every_id_once_in_full_windows(documents, clashing):
+    pieces = packing.pack(documents(ROWS, clashing), WORDS, window=64).collect()
+    want = sorted(np.array([*ids, 1], "<u4").tobytes() for ids in expected_ids(WORDS, [t for _, t in ROWS]))
+    stream = b"".join(p.ids for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)))
+    assert len(stream) == sum(map(len, want))
+    held, at = [], 0
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.sequence_id * 64 + p.offset == at and p.length * 4 == len(p.ids)
+        if p.start == 0:
+            held.append(stream[4 * at:4 * (at + p.doc_tokens)])
+        at += p.length
+    assert sorted(held) == want
+    assert [packing.padded_length(n, 64) for n in (1, 2, 3, 32, 33, 64)] == [1, 2, 64, 32, 64, 64]
+
+
+def test_bpe_equals_the_library_and_decodes_to_the_text(documents):
+    docs = documents(ROWS, True)
+    encoding = byte_bpe.load_encoding(RANKS, public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN, buckets=5)
+    want = sorted((str(i), np.array(encoding.encode_ordinary(t or ""), "<u4").tobytes()) for i, t in ROWS)
+    assert sorted((str(r.doc_id), bytes(r.ids)) for r in encoded.collect()) == want
+    decoded = byte_bpe.decode(encoded, RANKS).collect()
+    assert sorted((str(r.doc_id), bytes(r.bytes)) for r in decoded) == sorted((str(i), (t or "").encode()) for i, t in ROWS)
+    digests = byte_bpe.digest(docs, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted(r.decoded_sha256 for r in digests) == sorted(
+        hashlib.sha256((t or "").encode()).hexdigest() for _, t in ROWS)
+
+
+def test_token_files_are_read_back_in_order(spark, documents, lake):
+    folder = token_files.encode_to_files(documents(ROWS, True), BYTES, f"{lake}/out", files=3)
+    rows = sorted(token_files.digest(spark, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows[:2]] == [None, 0]
+    ids = dict(zip([i for i, _ in ROWS], expected_ids(BYTES, [t for _, t in ROWS])))
+    start = 0
+    for r in rows:
+        assert r.start == start
+        start += r.n_tokens
+        if r.doc_id != 3:
+            want = np.array([*ids[r.doc_id], 2], "<u4")
+            assert (r.n_tokens, r.ids_crc32) == (len(want), zlib.crc32(want.tobytes()))
+    index = spark.read.parquet(f"{folder}/index").collect()
+    assert len(index) == len(ROWS) and min(r.length for r in index) > 0
+
+
+def test_a_spoiled_record_is_found():
+    good = b"".join(token_files.frame(token_files.to_payload(7, np.array(ids))) + b"\n" for ids in ([1, 2], [70_000], []))
+    payloads = [token_files.from_payload(p) for _, p in token_files.unframe(good)]
+    assert [(d, ids.tolist()) for d, ids in payloads] == [(7, [1, 2]), (7, [70_000]), (7, [])]
+    for at in (0, 9, 13, 30, len(good) - 1):
+        bad = bytearray(good)
+        bad[at] ^= 1
+        with pytest.raises(token_files.CorruptRecord):
+            list(token_files.unframe(bytes(bad)))
+    with pytest.raises(token_files.CorruptRecord):
+        list(token_files.unframe(good[:-3]))
+
+
+def test_empty_tables(spark, documents, lake):
+    none = documents([])
+    assert packing.pack(none, WORDS).count() == 0
+    assert byte_bpe.digest(none, RANKS, public_tokenizers.PATTERN).count() == 0
+    folder = token_files.encode_to_files(none, BYTES, f"{lake}/out", files=2)
+    assert token_files.digest(spark, folder).count() == 0
