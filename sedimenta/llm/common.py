@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gc
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,16 @@ from sedimenta.sources.scratch import new_scratch
 BLOCK_BYTES = 8 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Let tasks import this package where it is not installed but lies in a folder that the executors see too."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, root]))
+
+
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

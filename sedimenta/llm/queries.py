@@ -86,3 +86,20 @@ def op7_suffix_dedup(spark, sf_dir):
 def op3_block_labeller(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return block_labeller.extract(pages, block_labeller.fit(pages))
+
+
+# At the size of the correctness run every link is found, so exact SQL gives the same rows.
+ORACLE["op1_pivots"] = """WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN counted ON counted.a = vec_id JOIN least ON least.a = vec_id"""
