@@ -4,14 +4,13 @@ import pytest
 from compare import MEDIUM, assert_same
 
 import __spark_entry__ as contract
+from sedimenta.plans.oracle import ORACLE
+from sedimenta.plans.queries import QUERIES
 
-ORACLE = contract.oracle_sql()
-QUERIES = contract.queries()
 
-
-def test_every_query_but_the_file_listing_has_an_oracle():
-    assert set(QUERIES) - set(ORACLE) == {"audit_files"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= contract.queries().items() and ORACLE.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -19,16 +18,6 @@ def test_query_matches_sql(spark, name):
     assert assert_same(QUERIES[name](spark, MEDIUM), ORACLE[name], MEDIUM) > 0
 
 
-def test_files_are_listed_with_path_and_size(spark):
-    rows = QUERIES["audit_files"](spark, MEDIUM).collect()
-    assert {r.tabela for r in rows} == {
-        "raw_clientes", "raw_produtos", "raw_pedidos", "quarantine_pedidos_rejeitados",
-        "silver_fato_vendas", "gold_vendas_uf_categoria"}
-    assert all(r.tamanho_bytes > 0 and r.linhas > 0 and "ingest_date=" in r.arquivo_s3 or "data=" in r.arquivo_s3
-               for r in rows)
-    assert [r.tabela for r in rows] == sorted(r.tabela for r in rows)
-
-
 def test_entry_runs(spark):
     gold = contract.entry(spark)
     assert gold.columns == ["uf", "categoria", "qtd_pedidos", "qtd_itens", "receita_total", "ticket_medio"]
