@@ -64,15 +64,15 @@ def anchors(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndar
         row = np.searchsorted(offsets, here, side="right") - 1
         begin = np.maximum(here - reach + 1, offsets[row])
         end = np.minimum(here + window, offsets[row + 1])
-        around.append(span_hashes(grams, begin - low, end - low) ^ (here - begin).astype(np.uint64) * _FACTORS[1])
+        around.append(span_hashes(grams, begin - low, end - low, window + reach) ^ (here - begin).astype(np.uint64) * _FACTORS[1])
     return np.concatenate(found), np.concatenate(hashes), np.concatenate(around)
 
 
-def span_hashes(grams: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of the bytes of each span, at least a gram long, from the grams that cover it."""
+def span_hashes(grams: np.ndarray, begin: np.ndarray, end: np.ndarray, longest: int) -> np.ndarray:
+    """A hash of the bytes of each span, from a gram to ``longest`` bytes long, from the grams that cover it."""
     length = end - begin
     held = length.astype(np.uint64) * _FACTORS[2]
-    for step in range(int(length.max(initial=0)) // GRAM + 1):
+    for step in range(longest // GRAM + 1):
         at = np.minimum(begin + step * GRAM, end - GRAM)
         held = (held ^ grams[at]) * _FACTORS[step % len(_FACTORS)]
         held ^= held >> np.uint64(32)

@@ -90,7 +90,7 @@ def corpus(rng):
     return [*texts, " ".join(near)]
 
 
-@pytest.mark.parametrize("block, shard", [(2, 5), (1024, 6000)])
+@pytest.mark.parametrize("block, shard", [(4, 100), (1024, 6000)])
 def test_removed_bytes_equal_brute_force(documents, block, shard):
     texts = corpus(random.Random(block))
     docs = documents(list(enumerate(texts)), True)
