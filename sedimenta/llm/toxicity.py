@@ -124,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, bits: int
     sample = training_sample(docs, labels, "toxic", rows)
     found = sample.mapInArrow(partial(_training_features, bits=bits), "doc_id long, label int, features binary")
     drawn = sorted(found.collect(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.features))
-    return fit_ftrl([(np.frombuffer(r.features, "<u4").astype(np.int64), int(r.label)) for r in drawn], bits)
+    return fit_ftrl([(np.frombuffer(r.features, "<u4"), int(r.label)) for r in drawn], bits)
 
 
 def _score(batches: Iterator[pa.RecordBatch], text: str, model: FtrlModel) -> Iterator[pa.RecordBatch]:
