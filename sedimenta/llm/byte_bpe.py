@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import BLOCK_BYTES, plain_text, ragged_rows, shuffle_partitions, text_blocks
+from sedimenta.llm.common import BLOCK_BYTES, give_back, plain_text, ragged_rows, shuffle_partitions, text_blocks
 from sedimenta.llm.vocab import spaced_pieces
 
 PACKED = "block long, bucket int, words long, data binary"
@@ -148,6 +148,8 @@ def _encode_bucket(group: pd.DataFrame, path: str, pattern: str) -> pd.DataFrame
         lengths = np.fromiter(map(len, ids), "<u4", len(ids))
         flat = np.fromiter((i for w in ids for i in w), "<u4")
         answers.append(_pack(np.concatenate([lengths, flat])))
+    del known
+    give_back()
     return pd.DataFrame({"block": group["block"], "bucket": group["bucket"], "words": group["words"],
                          "data": answers})
 
@@ -214,6 +216,8 @@ def _round_trip(positions: pd.DataFrame, answers: pd.DataFrame, path: str) -> pd
     doc_ids, rows = _reassemble(positions, answers)
     out = [(len(ids), hashlib.sha256(ids.astype("<u4", copy=False)).hexdigest(),
             hashlib.sha256(decode_ids(ids, table)).hexdigest()) for ids in rows]
+    del rows
+    give_back()
     return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"]).assign(doc_id=doc_ids)
 
 

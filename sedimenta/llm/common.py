@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 from collections.abc import Iterator
@@ -68,6 +70,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker waits for its next task with all it ever held."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def plain_text(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """A string column as one array with 64-bit offsets; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -77,7 +87,7 @@ def plain_text(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 
 def text_blocks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = BLOCK_BYTES
                 ) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of at most ``max_bytes`` of text, or of one row."""
+    """The same rows in slices of at most ``max_bytes`` of text, or of one row; freed memory goes back after each."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -88,6 +98,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int =
             before = ends[first - 1] if first else 0
             last = max(int(np.searchsorted(ends, before + max_bytes, side="right")), first + 1)
             yield batch.slice(first, last - first)
+            give_back()
             first = last
 
 

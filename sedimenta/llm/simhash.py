@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.llm.common import free_name, written
+from sedimenta.llm.common import free_name, give_back, written
 from sedimenta.llm.components import connected_nodes
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -63,6 +63,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], text: str, shingle: int, se
         found = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in batch.column(text)), "<u8",
                             batch.num_rows)
         yield batch.append_column(FINGERPRINT, pa.array(found.view("<i8")))
+        give_back()
 
 
 def with_fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:

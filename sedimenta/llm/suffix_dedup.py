@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.llm.anchors import GRAM, anchors, gram_hashes
-from sedimenta.llm.common import free_name, plain_text, release, text_blocks, utf8_bytes, written
+from sedimenta.llm.common import free_name, give_back, plain_text, release, text_blocks, utf8_bytes, written
 from sedimenta.llm.induced import common_prefixes, suffix_array
 
 LENGTH = 200
@@ -155,6 +155,7 @@ def _sort_shard(group: pd.DataFrame, length: int) -> pd.DataFrame:
     low, high = covered(found, length, offsets)
     run = np.searchsorted(offsets, low, side="right") - 1
     shift = run_start[run] - offsets[run]
+    give_back()
     return pd.DataFrame({"row": run_row[run], "low": low + shift, "high": high + shift})
 
 

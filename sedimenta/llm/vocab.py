@@ -14,7 +14,7 @@ from sedimenta.llm.common import ragged_rows, words_of
 
 _LOADED: dict[str, object] = {}
 _SEEN: dict[int, SeenWords] = {}
-KEPT_WORDS = 1_500_000
+KEPT_WORDS = 1_000_000
 # Bytes of text whose words are encoded together: the more, the fewer words are encoded again.
 TEXT_BYTES = 16 << 20
 # Pieces handed to the tokenizer at a time: its result objects are large.
