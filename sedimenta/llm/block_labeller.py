@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import text_blocks, words_of
+from sedimenta.llm.common import least_hashed, text_blocks, words_of
 from sedimenta.llm.html_blocks import Leaf, leaves
 
 TRAINING_ROWS = 400
@@ -274,9 +274,11 @@ def fit_labeller(pages: list[list[Leaf]], seed: int = 7, epochs: int = EPOCHS, r
 
 def fit(pages: DataFrame, rows: int = TRAINING_ROWS) -> Labeller | None:
     """Learn from ``rows`` pages at most, the only ones that come to the driver."""
-    some = (pages.where("html is not null").select("page_id", "html")
-            .orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(rows))
-    return fit_labeller([leaves(r.html) for r in some.collect()])
+    keyed = pages.where("html is not null").select(F.xxhash64("page_id", "html").alias("key"), "html")
+    chosen = least_hashed(keyed.select("key").distinct(), F.col("key"), rows)
+    # Copies of a page are one; what is joined and collected is at most ``rows`` pages.
+    some = keyed.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min("html").alias("html")).collect()
+    return fit_labeller([leaves(r.html) for r in sorted(some, key=lambda r: r.key)])
 
 
 def main_texts(sources: list[str | None], model: Labeller | None, side_by_side: int = 256) -> list[str]:

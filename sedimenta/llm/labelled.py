@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.llm.common import least_hashed
+
 FOLDS = 5
 
 
@@ -24,7 +26,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
     """
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = labels.where("doc_id is not null and label is not null").where(~held_out())
-    chosen = (known.groupBy("doc_id").agg(F.max("label").alias("label"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+    single = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    chosen = least_hashed(single, F.xxhash64("doc_id"), rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return texts.join(F.broadcast(chosen), "doc_id")

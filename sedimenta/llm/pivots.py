@@ -29,6 +29,7 @@ linked. Copies of an id count once. An empty table gives no rows.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import written
+from sedimenta.llm.common import least_hashed, written
 from sedimenta.llm.components import connected_nodes
 from sedimenta.llm.vectors import usable_vectors
 
@@ -52,7 +53,8 @@ DESCRIBED = "rep long, copies long, parts int, v binary, named binary"
 def draw_pivots(entries: DataFrame, size: int) -> np.ndarray:
     """About four times the root of ``size`` vectors that are not near each other, shorter ones filled with zeros."""
     wanted = min(max(4 * math.isqrt(size), MIN_PIVOTS), MAX_PIVOTS)
-    pool = [np.array(r.v) for r in entries.orderBy(F.xxhash64("rep"), "rep").limit(4 * wanted).select("v").collect()]
+    pool = least_hashed(entries.select("rep", "v"), F.xxhash64("rep"), 4 * wanted).collect()
+    pool = [np.array(r.v) for r in sorted(pool, key=lambda r: zlib.crc32(str(r.rep).encode()))]
     parts = max(map(len, pool), default=0)
     points = np.stack([np.pad(p, (0, parts - len(p))) for p in pool]) if pool else np.zeros((0, 0))
     points /= np.linalg.norm(points, axis=1, keepdims=True)
