@@ -1,6 +1,6 @@
 """Main text of web pages by a recurrent labeller of blocks.
 
-A page is a sequence of leaf blocks (``html_blocks``). A block is read as the
+A page is a sequence of leaf blocks (``html_blocks``). A block is read as all
 hashed names on its path, its hashed words and a few lengths; a bidirectional
 LSTM, in numpy, carries what stands before and after through the whole page
 and calls every block text or not. Pages of a task take each step together.
@@ -9,7 +9,7 @@ No page comes with labels, so the network learns from what pages say of
 themselves: blocks in ``article`` or ``main`` that are in no part named otherwise are
 text. It learns from ``rows`` pages of the table, those whose ids have the smallest hashes,
 and from two copies of each laid out anew, with other elements, names and kinds of
-surroundings, and with some names left out, so that it has to use words, lengths and context too.
+surroundings, half of them with many elements in between, and with some names left out, so that it has to use words, lengths and context too.
 
 Defined results: a null, empty or blank page has an empty text. Equal pages have equal texts, ids may be null or
 repeated. An empty table gives no rows. Pages of any length are read whole. If no page of the sample
@@ -19,6 +19,7 @@ says where its text is, the copies laid out anew are all that is learned from; w
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -35,6 +36,7 @@ TRAINING_ROWS = 400
 PATH, WORDS, NUMBERS, HIDDEN = 48, 16, 8, 24
 INPUTS = PATH + WORDS + NUMBERS
 EPOCHS, PAGES_A_STEP = 14, 32
+NAMES_AT_FULL = 12
 # Names of page parts that are no text, and words that stand in them.
 TEXT_PARTS = frozenset("article main".split())
 OTHER_PARTS = frozenset(
@@ -52,6 +54,8 @@ SURROUNDINGS = {
     "footer": ("footer", ("footer", "site-footer", "legal", "copyright"), "All rights reserved Terms Imprint".split()),
 }
 INNER = ((), (), ("p",), ("p",), ("div",), ("h3",), ("h4",), ("span",), ("div", "p"))
+# Names of elements that only lay a page out.
+WRAPPERS = ".container .row .col .md .inner .wrap .box .item .list .block .grid .cell .content .text .unstyled ul li".split()
 HOLDERS = (("article", ""), ("main", ""), ("div", "content"), ("div", "article-body"), ("div", "post entry"),
            ("section", "story"), ("div", "main"), ("div", ""), ("td", "text"))
 
@@ -62,14 +66,16 @@ def _bucket(token: str, size: int) -> tuple[int, float]:
 
 
 def path_vector(path: tuple[str, ...], known: dict) -> np.ndarray:
+    """All names of a path, the outermost too; those of a path of more than ``NAMES_AT_FULL`` weigh less each."""
     if path not in known:
         vector = np.zeros(PATH)
-        for token in path[-12:]:
+        counts = Counter(path)
+        for token, count in counts.items():
             # Two places for a name, so that two names seldom look the same.
             for salt in "ab":
                 at, sign = _bucket(salt + token, PATH)
-                vector[at] += sign
-        known[path] = vector
+                vector[at] += sign * np.sqrt(count)
+        known[path] = vector * min(1.0, np.sqrt(NAMES_AT_FULL / max(len(counts), 1)))
     return known[path]
 
 
@@ -198,13 +204,21 @@ def laid_out_anew(page: list[Leaf], labels: np.ndarray, draw: np.random.Generato
     tag, names = HOLDERS[draw.integers(len(HOLDERS))]
     base = ("html", "body", *(("div", f".{draw.choice(['page', 'wrapper', 'container', 'layout'])}") if draw.random() < 0.6 else ()))
     holder = (*base, tag, *(f".{n}" for n in names.replace("-", " ").split()))
+    deep = draw.random() < 0.5
+
+    def wrappers() -> tuple[str, ...]:
+        """Elements between a part and its blocks that say nothing, on the copies that are deep."""
+        if not deep:
+            return ()
+        return tuple(n for _ in range(int(draw.integers(0, 8)))
+                     for n in ("div", *draw.choice(WRAPPERS, int(draw.integers(0, 4))).tolist()))
 
     def around(kind: str, inside: tuple[str, ...]) -> list[Leaf]:
         element, classes, words = SURROUNDINGS[kind]
         named = draw.random() < 0.75
         plain = draw.random() < 0.4
         outer = (*inside, "div" if plain and named else element,
-                 *(f".{w}" for w in (str(draw.choice(classes)).replace("-", " ").split() if named else ())))
+                 *(f".{w}" for w in (str(draw.choice(classes)).replace("-", " ").split() if named else ())), *wrappers())
         made = []
         for _ in range(int(draw.integers(1, 9 if kind in ("nav", "comments") else 5))):
             own = list(draw.choice(words, min(len(words), int(draw.integers(1, 5)))))
@@ -222,7 +236,8 @@ def laid_out_anew(page: list[Leaf], labels: np.ndarray, draw: np.random.Generato
     inner = [("h1", "h2", "h3", "p")[draw.integers(4)] if n == 0 or draw.random() < 0.05 else "p" if draw.random() < 0.8
              else str(draw.choice(["div", "blockquote", "li", "pre", "td", "section", "dd", "figcaption"]))
              for n in range(len(texts))]
-    body = [(Leaf((*holder, tag), t, 0), 1.0) for tag, t in zip(inner, texts, strict=True)]
+    between = wrappers()
+    body = [(Leaf((*holder, *between, tag), t, 0), 1.0) for tag, t in zip(inner, texts, strict=True)]
     if draw.random() < 0.3 and len(body) > 1:
         body[int(draw.integers(1, len(body))):0] = [(b, 0.0) for b in around("ad", holder)]
     if pick["comments"]:

@@ -137,3 +137,27 @@ def test_empty_pages(spark):
     model = block_labeller.fit(pages)
     assert [(r.text, r.n_chars) for r in block_labeller.extract(pages, model).collect()] == [("", 0)] * 4
     assert block_labeller.extract(pages.where("false"), None).count() == 0
+
+
+INSIDE = ("<div class='container'><div class='row'><div class='col-md-4'><div class='box'><div class='inner wrap'>"
+          "<ul class='list-unstyled'><li class='item'><p class='lead small'>")
+OUTSIDE = "</p></li></ul>" + "</div>" * 5
+
+
+def test_the_outermost_names_of_a_long_path_count(spark):
+    inner = leaves(f"{INSIDE}x")[0].path
+    assert len(inner) >= 18
+    one, other = (block_labeller.path_vector(("body", name, *inner), {}) for name in ("main", "footer"))
+    assert not np.allclose(one, other)
+
+    pages = read_table(spark, MEDIUM, "pages")
+    model = block_labeller.fit(pages)
+    texts = [t for t in (article(r.html) for r in pages.select("html").collect()) if len(t) > 450][:40]
+    parts = [[("nav class=menu", "<a href='/'>Home</a>"), ("main", html.escape(t[:200])), ("main", html.escape(t[200:])),
+              ("section class=comments", "Bob says great post I wrote"),
+              ("footer class=site-footer", "Imprint Terms All rights reserved")] for t in texts]
+    deep = ["<body>" + "".join(f"<{name}>{INSIDE}{text}{OUTSIDE}</{name.split()[0]}>" for name, text in page)
+            for page in parts]
+    got = block_labeller.main_texts(deep, model)
+    want = [" ".join(f"{t[:200]} {t[200:]}".split()) for t in texts]
+    assert np.mean([g == w for g, w in zip(got, want)]) >= 0.8
