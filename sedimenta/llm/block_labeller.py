@@ -12,7 +12,8 @@ and from two copies of each laid out anew, with other elements, names and kinds
 surroundings, half of them with many elements in between, and with some names left out, so that it has to use words, lengths and context too.
 
 Defined results: a null, empty or blank page has an empty text. Equal pages have equal texts, ids may be null or
-repeated. An empty table gives no rows. Pages of any length are read whole. If no page of the sample
+repeated. An empty table gives no rows. Pages of any length are read whole: blocks are read ``BLOCKS_AT_ONCE``, and
+what stands before and after is carried on. A page over ``STRETCH`` blocks is learned from in stretches. If no page of the sample
 says where its text is, the copies laid out anew are all that is learned from; without any page, every block is text.
 """
 
@@ -37,6 +38,8 @@ PATH, WORDS, NUMBERS, HIDDEN = 48, 16, 8, 24
 INPUTS = PATH + WORDS + NUMBERS
 EPOCHS, PAGES_A_STEP = 14, 32
 NAMES_AT_FULL = 12
+# Blocks read together, and blocks of a page learned from in one stretch.
+BLOCKS_AT_ONCE, STRETCH = 1 << 14, 1 << 11
 # Names of page parts that are no text, and words that stand in them.
 TEXT_PARTS = frozenset("article main".split())
 OTHER_PARTS = frozenset(
@@ -79,8 +82,8 @@ def path_vector(path: tuple[str, ...], known: dict) -> np.ndarray:
     return known[path]
 
 
-def block_inputs(pages: list[list[Leaf]]) -> np.ndarray:
-    """One row for every block of the pages, in order."""
+def block_inputs(pages: list[list[Leaf]], before: int = 0, of_blocks: int | None = None) -> np.ndarray:
+    """One row for every block of the pages, in order; of a stretch of a page with ``before`` blocks before it."""
     blocks = [leaf for page in pages for leaf in page]
     out = np.zeros((len(blocks), INPUTS))
     if not blocks:
@@ -98,8 +101,8 @@ def block_inputs(pages: list[list[Leaf]]) -> np.ndarray:
     length = np.array([len(leaf.text) for leaf in blocks], float)
     linked = np.array([leaf.linked for leaf in blocks], float)
     sizes = np.array([len(page) for page in pages])
-    place = np.arange(len(blocks)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    of = np.repeat(np.maximum(sizes, 1), sizes)
+    place = before + np.arange(len(blocks)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    of = np.repeat(np.maximum(of_blocks or sizes, 1), sizes)
     stops = np.array([leaf.text.count(".") + leaf.text.count(",") for leaf in blocks], float)
     out[:, PATH + WORDS:] = np.column_stack([
         np.log1p(length) / 4, np.log1p(count) / 3, linked / length, stops / count, place / of,
@@ -189,6 +192,61 @@ class Run:
         return [d_inputs, d_states, d_label]
 
 
+def _steps(model: Labeller, fed: np.ndarray, at: np.ndarray, first: np.ndarray, hidden: np.ndarray, cells: np.ndarray,
+           logits: np.ndarray) -> None:
+    """Take the steps ``at`` (way, step, page) over what is fed in, for the pages from ``first`` of each step on.
+
+    Changes the states and fills what each way adds to the label of a block; no step is kept.
+    """
+    # With half of its input, a tanh is a sigmoid: one call gives all gates.
+    states, label = model.states.copy(), model.label[:-1].reshape(2, 1, HIDDEN)
+    states[:, :, :3 * HIDDEN] /= 2
+    ways = np.arange(2)[:, None]
+    for s, begin in enumerate(first.tolist()):
+        block = at[:, s, begin:]
+        g = np.tanh(fed[ways, block] + hidden[:, begin:] @ states)
+        i, f, o = ((g[:, :, k * HIDDEN:(k + 1) * HIDDEN] + 1) / 2 for k in range(3))
+        cell = f * cells[:, begin:] + i * g[:, :, 3 * HIDDEN:]
+        state = o * np.tanh(cell)
+        cells[:, begin:], hidden[:, begin:] = cell, state
+        logits[ways, block] = (state * label).sum(2)
+
+
+def _fed(model: Labeller, x: np.ndarray, way: int) -> np.ndarray:
+    fed = x @ model.inputs[way]
+    fed[:, :3 * HIDDEN] /= 2
+    return fed
+
+
+def probabilities(model: Labeller, pages: list[list[Leaf]], most: int | None = None) -> np.ndarray:
+    """The probability of every block of pages in order of length to be text, as ``Run`` has it.
+
+    Only the states of the step at hand are held. One page of more than ``most`` blocks is read in stretches, from
+    both ends at a time.
+    """
+    most = most or BLOCKS_AT_ONCE
+    sizes = np.array([len(p) for p in pages], int)
+    total = int(sizes.sum())
+    logits = np.zeros((2, total))
+    hidden, cells = np.zeros((2, 2, len(pages), HIDDEN))
+    if len(pages) == 1 and total > most:
+        for begin in range(0, total, most):
+            end = min(begin + most, total)
+            fed = np.stack([_fed(model, block_inputs([pages[0][a:b]], a, total), way)
+                            for way, (a, b) in enumerate([(begin, end), (total - end, total - begin)])])
+            t = np.arange(end - begin)
+            part = np.zeros((2, end - begin))
+            _steps(model, fed, np.stack([t, t[::-1]])[:, :, None], np.zeros_like(t), hidden, cells, part)
+            logits[0, begin:end], logits[1, total - end:total - begin] = part
+    elif total:
+        x = block_inputs(pages)
+        starts, t = np.cumsum(sizes) - sizes, np.arange(sizes[-1])
+        at = np.stack([starts[None] + t[:, None], (starts + sizes - 1)[None] - t[:, None]])
+        _steps(model, np.stack([_fed(model, x, way) for way in range(2)]), at,
+               np.searchsorted(sizes, t, side="right"), hidden, cells, logits)
+    return _sigmoid(logits.sum(0) + model.label[-1])
+
+
 def own_labels(page: list[Leaf]) -> np.ndarray | None:
     """What a page says of its blocks; None if it has no part for its text."""
     marked = [{t.lstrip(".") for t in leaf.path} for leaf in page]
@@ -250,6 +308,10 @@ def laid_out_anew(page: list[Leaf], labels: np.ndarray, draw: np.random.Generato
     return every, np.array([0.0] * len(before) + [y for _, y in body] + [0.0] * len(after))
 
 
+def _stretches(rows: np.ndarray) -> list[np.ndarray]:
+    return [rows[k:k + STRETCH] for k in range(0, len(rows), STRETCH)]
+
+
 def fit_labeller(pages: list[list[Leaf]], seed: int = 7, epochs: int = EPOCHS, rate: float = 0.01) -> Labeller | None:
     """Learn from the pages' own words about their parts, and from two new layouts of each."""
     draw = np.random.default_rng(seed)
@@ -264,18 +326,20 @@ def fit_labeller(pages: list[list[Leaf]], seed: int = 7, epochs: int = EPOCHS, r
     if not examples:
         return None
     model = Labeller.start(seed)
-    inputs = [block_inputs([p]) for p, _ in examples]
+    # A very long page is learned from in stretches, all of them, each with the places it has in the page.
+    inputs = [x for p, _ in examples for x in _stretches(block_inputs([p]))]
+    truths = [y for _, labels in examples for y in _stretches(labels)]
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in model.parameters()]
     step = 0
     for epoch in range(epochs):
-        order = draw.permutation(len(examples))
+        order = draw.permutation(len(inputs))
         order = order[np.argsort([len(inputs[e]) // 16 for e in order], kind="stable")]  # pages of like length together
         parts = [order[k:k + PAGES_A_STEP] for k in range(0, len(order), PAGES_A_STEP)]
         for at in draw.permutation(len(parts)):
             x = np.vstack([inputs[e] for e in parts[at]])
             x[:, :PATH] *= draw.random((len(x), 1)) > 0.1
             x[:, PATH:PATH + WORDS] *= draw.random((len(x), 1)) > 0.4
-            truth = np.concatenate([examples[e][1] for e in parts[at]])
+            truth = np.concatenate([truths[e] for e in parts[at]])
             run = Run(model, x, np.array([len(inputs[e]) for e in parts[at]]))
             slopes = run.gradients(truth, np.full(len(truth), 1 / len(truth)))
             step += 1
@@ -300,19 +364,21 @@ def main_texts(sources: list[str | None], model: Labeller | None, side_by_side:
     """The blocks called text of each page, joined by one space."""
     pages = [leaves(s) for s in sources]
     out = [""] * len(pages)
-    order = sorted(range(len(pages)), key=lambda p: len(pages[p]))
-    for first in range(0, len(order), side_by_side):
-        part = [p for p in order[first:first + side_by_side] if pages[p]]
+    order = [p for p in sorted(range(len(pages)), key=lambda p: len(pages[p])) if pages[p]]
+    first = 0
+    while first < len(order):
+        last, blocks = first + 1, len(pages[order[first]])
+        while last < min(first + side_by_side, len(order)) and blocks + len(pages[order[last]]) <= BLOCKS_AT_ONCE:
+            blocks += len(pages[order[last]])
+            last += 1
+        part = order[first:last]
         chosen = [pages[p] for p in part]
-        if model is None:
-            good = np.ones(sum(map(len, chosen)), bool)
-        else:
-            run = Run(model, block_inputs(chosen), np.array([len(p) for p in chosen], int))
-            good = run.probability >= 0.5
+        good = np.ones(blocks, bool) if model is None else probabilities(model, chosen) >= 0.5
         at = 0
         for p, page in zip(part, chosen, strict=True):
             out[p] = " ".join(leaf.text for leaf, g in zip(page, good[at:at + len(page)], strict=True) if g)
             at += len(page)
+        first = last
     return out
 
 

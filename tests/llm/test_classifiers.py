@@ -2,6 +2,7 @@
 
 import html
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -161,3 +162,43 @@ def test_the_outermost_names_of_a_long_path_count(spark):
     got = block_labeller.main_texts(deep, model)
     want = [" ".join(f"{t[:200]} {t[200:]}".split()) for t in texts]
     assert np.mean([g == w for g, w in zip(got, want)]) >= 0.8
+
+
+def test_reading_in_stretches_equals_one_pass(monkeypatch):
+    model = block_labeller.Labeller.start(3)
+    rng = np.random.default_rng(4)
+    pages = [[block_labeller.Leaf(("body", "div", f".n{rng.integers(9)}"), f"word {k} and more.", int(rng.integers(5)))
+              for k in range(size)] for size in (1, 1, 3, 7, 40)]
+    whole = block_labeller.Run(model, block_labeller.block_inputs(pages), np.array([len(p) for p in pages])).probability
+    assert np.allclose(block_labeller.probabilities(model, pages), whole)
+    assert np.allclose(block_labeller.probabilities(model, pages[-1:], most=9), whole[-40:])
+    together = block_labeller.main_texts(["<p>a<p>b."] * 5, model)
+    monkeypatch.setattr(block_labeller, "BLOCKS_AT_ONCE", 3)
+    assert block_labeller.main_texts(["<p>a<p>b."] * 5, model) == together
+
+
+def test_a_page_of_100_000_blocks_beside_short_ones_needs_little_memory():
+    model = block_labeller.Labeller.start(3)
+    model.label[-1] = 100  # every block is text
+    source = "".join(f"<p>{k}" for k in range(100_000))
+    tracemalloc.start()
+    texts = block_labeller.main_texts([source, *["<p>short"] * 100], model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert texts == [" ".join(map(str, range(100_000))), *["short"] * 100]
+    assert peak < 300 << 20
+
+
+def test_a_very_long_page_is_learned_from_whole(monkeypatch):
+    seen = []
+    whole = block_labeller.Run
+
+    def run(model, x, sizes):
+        seen.append(sizes)
+        return whole(model, x, sizes)
+
+    monkeypatch.setattr(block_labeller, "Run", run)
+    page = leaves("<main>" + "<p>text of it." * 5000 + "</main><footer>" + "<p>All rights" * 100 + "</footer>")
+    block_labeller.fit_labeller([page], epochs=1)
+    sizes = np.concatenate(seen)
+    assert sizes.max() <= block_labeller.STRETCH and sizes.sum() >= len(page) + 2 * 5000
