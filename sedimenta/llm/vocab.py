@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -19,17 +20,16 @@ KEPT_WORDS = 1_000_000
 TEXT_BYTES = 16 << 20
 # Pieces handed to the tokenizer at a time: its result objects are large.
 PIECES = 20_000
+LONE_SPACE = re.compile(r" (?<=\S )(?=\S)")
 
 
 def load_tokenizer(path: str):
-    """The tokenizer of a file, loaded once for each worker process; texts never hold special tokens."""
+    """The tokenizer of a file, loaded once for each worker process. A special token written out in a text is that token."""
     if path not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _LOADED[path] = tokenizer
+        _LOADED[path] = Tokenizer.from_file(path)
     return _LOADED[path]
 
 
@@ -73,8 +73,8 @@ def seen_words(tokenizer) -> SeenWords:
 def encode_by_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
     """The ids of every text. For a tokenizer that drops white space and never joins across it.
 
-    No word crosses a space or a line feed, so the words between them are
-    encoded once each and their ids put together.
+    No word and no special token crosses a space or a line feed, so the words between
+    them are encoded once each and their ids put together.
     """
     spaced = pc.replace_substring(texts, "\n", " ")
     codes, words, offsets = words_of(spaced)
@@ -87,22 +87,28 @@ def encode_by_spaced_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
 
     A single space always starts a new word, so a text without two spaces in
     a row is cut before every space, and each distinct piece is encoded once.
-    Other texts are given to the tokenizer whole.
+    Other texts are given to the tokenizer whole. White space that ends at a special
+    token is one run, so a text that holds one is cut only between characters other than white space.
     """
-    codes, pieces, offsets = spaced_pieces(texts)
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    codes, pieces, offsets = spaced_pieces(texts, special)
     flat, starts, row = seen_words(tokenizer).encode(tokenizer, pieces)
     return ragged_rows(flat, starts, row[codes], offsets)
 
 
-def spaced_pieces(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+def spaced_pieces(texts: pa.Array, special: Sequence[str] = ()) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Codes, distinct pieces and row offsets of texts cut before their single spaces.
 
     A text with two spaces in a row is one piece: there the white space rule
-    of the pattern looks further than one space.
+    of the pattern looks further than one space. One that holds a ``special`` token is
+    cut only at the spaces between two characters other than white space.
     """
-    wide = pc.match_substring(texts, "  ")
-    if pc.any(wide).as_py():
-        rows = [[t] if w else t.split(" ") for t, w in zip(texts.to_pylist(), wide.to_pylist(), strict=True)]
+    wide, marked = pc.match_substring(texts, "  "), pa.array(np.zeros(len(texts), bool))
+    for token in special:
+        marked = pc.or_(marked, pc.match_substring(texts, token))
+    if pc.any(pc.or_(wide, marked)).as_py():
+        rows = [[t] if w else LONE_SPACE.split(t) if m else t.split(" ")
+                for t, w, m in zip(texts.to_pylist(), wide.to_pylist(), marked.to_pylist(), strict=True)]
         split = pa.array(rows, pa.list_(pa.large_string()))
     else:
         split = pc.split_pattern(texts, " ")

@@ -5,10 +5,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 from sedimenta.llm import byte_bpe, packing, token_files
-from sedimenta.llm.vocab import load_tokenizer
+from sedimenta.llm.vocab import encode_by_spaced_words, encode_by_words, load_tokenizer
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -86,3 +88,28 @@ def test_empty_tables(spark, documents, lake):
     assert byte_bpe.digest(none, RANKS, public_tokenizers.PATTERN).count() == 0
     folder = token_files.encode_to_files(none, BYTES, f"{lake}/out", files=2)
     assert token_files.digest(spark, folder).count() == 0
+
+
+WHITE = ["", " ", "\n", "\n ", " \n", "  ", "\t ", " \t ", "\u3000 ", " \xa0"]
+MARKED = ["see <|endoftext|> here <|startoftext|>", "<|endoftext|>", "a<|endoftext|>b", "x\n <|endoftext|>\n y", "x \n<|endoftext|> \n y",
+          "two  <|endoftext|>  spaces", "\t <|endoftext|>　 z", "a <|endoftext|><|endoftext|> b\n \n <|startoftext|>",
+          "<|ENDOFTEXT|> c", "plain\n text", "é  <|endoftext|> 's", "<|endoftext|> 's \x1c <|endoftext|>"]
+
+
+@pytest.mark.parametrize("path, by_words", [(WORDS, encode_by_words), (BYTES, encode_by_spaced_words)])
+def test_special_tokens_in_texts_are_what_the_file_says(path, by_words):
+    texts = MARKED + [f"{a}{g}<|endoftext|>{h}{a}" for a in ("x", "", "!") for g in WHITE for h in WHITE]
+    plain = Tokenizer.from_file(path)
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    got = [ids.tolist() for ids in by_words(load_tokenizer(path), pa.array(texts, pa.large_string()))]
+    assert got == want
+
+
+def test_packing_and_token_files_keep_special_tokens(spark, documents, lake):
+    docs = documents([*enumerate(MARKED)])
+    for path, end, rows in (
+            (WORDS, 1, [(p.doc_id, p.ids_crc32) for p in packing.digest(packing.pack(docs, WORDS, 1 << 20)).collect()]),
+            (BYTES, 2, [(r.doc_id, r.ids_crc32) for r in token_files.digest(
+                spark, token_files.encode_to_files(docs, BYTES, f"{lake}/out", files=2)).collect()])):
+        ids = [e.ids for e in Tokenizer.from_file(path).encode_batch(MARKED, add_special_tokens=False)]
+        assert sorted(rows) == [(n, zlib.crc32(np.array([*i, end], "<u4").tobytes())) for n, i in enumerate(ids)]
