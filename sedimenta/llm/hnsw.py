@@ -8,8 +8,9 @@ that search the graph built so far; a batch takes every step of its beam
 search together. Vectors get one more part that gives all of a shard the same
 length, so that the largest inner product is the nearest point.
 
-Every query goes to every shard; each shard returns its best, and the best of
-these by (inner product, smaller id) are the result. The products are computed again in double
+Graphs are built once and written as rows of flat arrays. A task searches a group of
+shards for a block of queries, both of bounded size, and returns the best of the group
+for each query, so every query meets every shard. The best of all groups by (inner product, smaller id) are the result. The products are computed again in double
 precision on the vectors as given.
 
 Defined results: see ``vectors.usable_vectors`` for what takes part. Vectors of another length than a
@@ -19,17 +20,22 @@ fewer candidates, or its search met fewer. An empty table gives no rows.
 
 from __future__ import annotations
 
+import io
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import written
+from sedimenta.llm.common import give_back, take_ragged, written
 from sedimenta.llm.vectors import matrix, usable_vectors
 
 SHARD_ROWS = 4096
 LINKS, BEAM, WIDTH = 16, 96, 4
-HITS = "query_rep long, ids array<long>, score double"
+# The most shards and queries of one task, about 2 MB and half a KB each at 64 parts.
+GROUP_SHARDS, QUERY_BLOCK = 16, 16384
+GRAPHS = "parts int, shard long, data binary"
+HITS = "query_rep long, vec_id long, score double"
 
 
 class Layer:
@@ -132,10 +138,7 @@ class Hnsw:
     """A graph over the rows of a matrix, by inner product."""
 
     def __init__(self, vectors: np.ndarray, links: int = LINKS, beam: int = BEAM, seed: int = 0, batch: int = 256):
-        length = np.einsum("nd,nd->n", vectors, vectors)
-        lift = np.sqrt(np.maximum(length.max(initial=0) - length, 0))
-        scale = np.sqrt(length.max(initial=0)) or 1.0
-        self.points = (np.hstack([vectors, lift[:, None]]) / scale).astype(np.float32)
+        self.points = self._lifted(vectors)
         self.beam, size = beam, len(vectors)
         draw = np.random.default_rng(seed).random(size)
         level = np.floor(-np.log(1 - draw) / np.log(links)).astype(int)
@@ -154,6 +157,20 @@ class Hnsw:
                 done += len(now)
             self.layers.append(layer)
 
+    @staticmethod
+    def _lifted(vectors: np.ndarray) -> np.ndarray:
+        length = np.einsum("nd,nd->n", vectors, vectors)
+        lift = np.sqrt(np.maximum(length.max(initial=0) - length, 0))
+        scale = np.sqrt(length.max(initial=0)) or 1.0
+        return (np.hstack([vectors, lift[:, None]]) / scale).astype(np.float32)
+
+    @classmethod
+    def of(cls, vectors: np.ndarray, layers: list[Layer], entry: int, beam: int) -> Hnsw:
+        """A graph that was built before, from its layers."""
+        graph = cls.__new__(cls)
+        graph.points, graph.layers, graph.entry, graph.beam = cls._lifted(vectors), layers, entry, beam
+        return graph
+
     def _descend(self, queries: np.ndarray) -> np.ndarray:
         at = np.full(len(queries), self.entry)
         for layer in self.layers:
@@ -174,29 +191,77 @@ class Hnsw:
         return np.vstack(out)
 
 
-def _search_shard(entries: pd.DataFrame, queries: pd.DataFrame, k: int, beam: int, links: int) -> pd.DataFrame:
-    """The best ``k`` entries of a shard for each query, with the ids of their equal vectors."""
-    if not len(entries) or not len(queries):
-        return pd.DataFrame({"query_rep": np.zeros(0, np.int64), "ids": np.zeros(0, object), "score": np.zeros(0)})
+def _whole(found: np.ndarray, size: int) -> np.ndarray:
+    return found.astype(np.int16 if size < 1 << 15 else np.int32)
+
+
+def _build_shard(entries: pd.DataFrame, beam: int, links: int) -> pd.DataFrame:
+    """The flat arrays of a shard: its vectors, the ids of equal ones and the layers of its graph, as one row."""
     entries = entries.sort_values("rep", ignore_index=True)
-    vectors, asked = matrix(entries["v"]), matrix(queries["asked_v"])
-    beam = max(beam, k)
+    vectors = matrix(entries["v"])
     graph = Hnsw(vectors, links, beam)
-    reps, ids, scores = [], [], []
-    held = entries["ids"].to_numpy()
-    for first in range(0, len(asked), 1024):
-        part = asked[first:first + 1024]
-        found = graph.search(part, beam)
-        product = np.einsum("qcd,qd->qc", vectors[found], part)
-        product[found < 0] = -np.inf
-        best = np.argsort(-product, axis=1, kind="stable")[:, :k]
-        found, product = np.take_along_axis(found, best, 1), np.take_along_axis(product, best, 1)
-        hit = found >= 0
-        reps.append(np.repeat(queries["asking"].to_numpy()[first:first + 1024], hit.sum(1)))
-        ids += list(held[found[hit]])
-        scores.append(product[hit])
-    return pd.DataFrame({"query_rep": np.concatenate(reps), "ids": pd.Series(ids, dtype=object),
-                         "score": np.concatenate(scores)})
+    narrow = vectors.astype(np.float32)
+    lengths = entries["ids"].map(len).to_numpy()
+    arrays = {"vectors": narrow if np.array_equal(narrow, vectors) else vectors, "entry": np.array(graph.entry),
+              "ids": np.concatenate(entries["ids"].to_list()), "starts": np.concatenate([[0], np.cumsum(lengths)])}
+    for height, layer in enumerate(graph.layers):
+        rows = np.flatnonzero((layer.near >= 0).any(1))
+        arrays[f"rows{height}"] = rows
+        arrays[f"near{height}"] = _whole(layer.near[rows], len(vectors))
+    data = io.BytesIO()
+    np.savez(data, **arrays)
+    return pd.DataFrame({"parts": entries["parts"][:1], "shard": entries["shard"][:1], "data": [data.getvalue()]})
+
+
+def _read_shard(data: bytes, beam: int) -> tuple[Hnsw, np.ndarray, np.ndarray, np.ndarray]:
+    """The graph, the vectors, and the ids of each entry as a ragged array."""
+    held = np.load(io.BytesIO(data))
+    vectors = held["vectors"].astype(np.float64)
+    layers = []
+    for height in range(sum(name.startswith("rows") for name in held.files)):
+        near = held[f"near{height}"]
+        layer = Layer(len(vectors), near.shape[1])
+        layer.near[held[f"rows{height}"]] = near
+        layers.append(layer)
+    return Hnsw.of(vectors, layers, int(held["entry"]), beam), vectors, held["ids"], held["starts"]
+
+
+def _best_rows(asking: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The ``k`` best rows of each query by (score, smaller id)."""
+    order = np.lexsort((ids, -score, asking))
+    asking, ids, score = asking[order], ids[order], score[order]
+    _, first, many = np.unique(asking, return_index=True, return_counts=True)
+    kept = np.arange(len(asking)) - np.repeat(first, many) < k
+    return asking[kept], ids[kept], score[kept]
+
+
+def _search_group(shards: pd.DataFrame, queries: pd.DataFrame, k: int, beam: int) -> pd.DataFrame:
+    """The ``k`` best ids of a group of shards for each query of a block."""
+    best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    if len(shards) and len(queries):
+        queries = queries.sort_values("asking", ignore_index=True)
+        reps, asked = queries["asking"].to_numpy(np.int64), matrix(queries["asked_v"])
+        beam = max(beam, k)
+        for data in shards["data"]:
+            graph, vectors, ids, starts = _read_shard(data, beam)
+            hits = [best]
+            for first in range(0, len(asked), 1024):
+                part = asked[first:first + 1024]
+                found = graph.search(part, beam)
+                product = np.einsum("qcd,qd->qc", vectors[found], part)
+                product[found < 0] = -np.inf
+                # Entries are in the order of their smallest ids, so ties go to these.
+                order = np.lexsort((found, -product), axis=1)[:, :k]
+                found, product = np.take_along_axis(found, order, 1), np.take_along_axis(product, order, 1)
+                hit = found >= 0
+                own, ends = take_ragged(ids, starts, found[hit])
+                many = np.diff(ends)
+                hits.append((np.repeat(np.repeat(reps[first:first + 1024], hit.sum(1)), many), own,
+                             np.repeat(product[hit], many)))
+                hits[-1] = _best_rows(*hits[-1], k)
+            best = _best_rows(*(np.concatenate(column) for column in zip(*hits, strict=True)), k)
+        give_back()
+    return pd.DataFrame(dict(zip(["query_rep", "vec_id", "score"], best, strict=True)))
 
 
 def nearest(df: DataFrame, is_query: Column, k: int, shard_rows: int = SHARD_ROWS, beam: int = BEAM,
@@ -213,13 +278,21 @@ def nearest(df: DataFrame, is_query: Column, k: int, shard_rows: int = SHARD_ROW
     queries = entries.join(asked.select("rep").distinct(), "rep", "left_semi").select(
         F.col("rep").alias("asking"), F.col("v").alias("asked_v"), F.col("parts").alias("asked_parts"))
     placed = entries.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards)))
-    everywhere = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn(
-        "shard", F.col("shard").cast("long"))
-    hits = placed.groupBy("parts", "shard").cogroup(everywhere.groupBy("asked_parts", "shard")).applyInPandas(
-        lambda held, asking: _search_shard(held, asking, k + 1, beam, links), HITS)
+    graphs = written(placed.groupBy("parts", "shard").applyInPandas(
+        lambda held: _build_shard(held, max(beam, k + 1), links), GRAPHS))
+    # Shards searched by one task, and queries: both bounded, so a task does not grow with the table.
+    size = min(GROUP_SHARDS, max(shards // 8, 1))
+    groups, blocks = -(-shards // size), max(-(-queries.count() // QUERY_BLOCK), 1)
+    held = graphs.select("parts", (F.col("shard") % groups).alias("group"), "data", F.explode(
+        F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    asking = queries.withColumn("asked_block", F.pmod(F.xxhash64(F.lit(1), "asking"), F.lit(blocks)).cast("int")).withColumn(
+        "asked_group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    hits = held.groupBy("parts", "group", "block").cogroup(
+        asking.groupBy("asked_parts", "asked_group", "asked_block")).applyInPandas(
+        lambda graph, part: _search_group(graph, part, k + 1, beam), HITS)
     order = [F.desc("score"), F.asc("vec_id")]
-    merged = hits.select("query_rep", F.explode("ids").alias("vec_id"), "score").withColumn(
-        "n", F.row_number().over(Window.partitionBy("query_rep").orderBy(*order))).where(F.col("n") <= k + 1)
+    merged = hits.withColumn("n", F.row_number().over(Window.partitionBy("query_rep").orderBy(*order))).where(
+        F.col("n") <= k + 1)
     # An entry's own ids are among its best k + 1 only if it is near itself; leaving one row out leaves k.
     lists = written(merged.groupBy("query_rep").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("best")))
     joined = asked.join(lists, F.col("rep") == F.col("query_rep")).select(

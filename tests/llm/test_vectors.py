@@ -79,3 +79,25 @@ def test_few_vectors(spark, rows):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     assert hnsw.nearest(df, F.col("vec_id") >= 0, 3).count() == 0
     assert pivots.near_duplicates(df).count() == len(rows)
+
+
+def test_groups_of_shards_and_blocks_of_queries_give_the_same(spark, monkeypatch):
+    vectors = clustered(4)
+    vectors[-31:-1] = vectors[0]
+    df = table(spark, vectors)
+
+    def answers(shards, queries):
+        monkeypatch.setattr(hnsw, "GROUP_SHARDS", shards)
+        monkeypatch.setattr(hnsw, "QUERY_BLOCK", queries)
+        return sorted(map(tuple, hnsw.nearest(df, F.col("vec_id") % 4 == 0, 10, shard_rows=8).collect()))
+
+    search = hnsw._search_group
+
+    def searched(graphs, queries, k, beam):
+        hits = search(graphs, queries, k, beam)
+        assert len(graphs) <= 7 and len(queries) <= 40 and len(hits) <= k * len(queries)
+        return hits
+
+    alone = answers(1, 1 << 20)
+    monkeypatch.setattr(hnsw, "_search_group", searched)
+    assert answers(4, 16) == alone and len(alone) > 0
