@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm import (
-    block_labeller, byte_bpe, hnsw, line_quality, packing, pivots, simhash, suffix_dedup, token_files, toxicity,
+    block_labeller, byte_bpe, collocations, hnsw, line_dedup, line_quality, packing, pivots, resampling, simhash,
+    suffix_dedup, token_files, toxicity,
 )
 from sedimenta.llm.common import read_table
 from sedimenta.llm.labelled import held_out
@@ -88,6 +89,21 @@ def op3_block_labeller(spark, sf_dir):
     return block_labeller.extract(pages, block_labeller.fit(pages))
 
 
+@query
+def op11_line_dedup(spark, sf_dir):
+    return line_dedup.digest(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_resampling(spark, sf_dir):
+    return resampling.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 # At the size of the correctness run every link is found, so exact SQL gives the same rows.
 ORACLE["op1_pivots"] = """WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
@@ -103,3 +119,83 @@ counted AS (SELECT a, count(*) AS n FROM links GROUP BY a),
 least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings LEFT JOIN counted ON counted.a = vec_id JOIN least ON least.a = vec_id"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op11_line_dedup"] = """WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+repeated AS (
+  SELECT key, min(doc_id) AS keeper FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+marked AS (
+  SELECT doc_id, line, pos, keeper IS NOT NULL AND keeper <> doc_id AS dropped FROM keyed LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+# crc32 is spelled out, over the distinct features, because the engine has no function for it.
+ORACLE["op12_resampling"] = f"""WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, {_LOWER} AS t FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), {_LOWER} FROM benchmark),
+words AS (SELECT side, id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+found AS (
+  SELECT side, id, unnest(w) AS f FROM words
+  UNION ALL SELECT side, id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words),
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+          lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+hexed AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM found) f),
+hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i:
+           16 * (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1)),
+           lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM hexed, crc),
+placed AS (SELECT side, id, bucket FROM found JOIN hashed USING (f)),
+counted AS (
+  SELECT b.bucket, count(p.bucket) FILTER (WHERE side = 'd') AS s, count(p.bucket) FILTER (WHERE side = 'b') AS t
+  FROM range(10000) b(bucket) LEFT JOIN placed p ON p.bucket = b.bucket GROUP BY b.bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * (sum(s) OVER () + 10000)
+         / (CAST(s + 1 AS DOUBLE) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM counted),
+weights AS (
+  SELECT id, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id),
+scored AS (
+  SELECT id AS doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         list_reduce(list_prepend(0::BIGINT, list_transform(range(8), lambda i:
+           strpos('0123456789abcdef', sha256('7:' || id)[i + 1]) - 1)), lambda a, b: 16 * a + b) AS h
+  FROM words LEFT JOIN weights USING (id) WHERE side = 'd'),
+noisy AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able
+  FROM noisy WHERE n_words >= 20)
+SELECT n.doc_id, n_features, weight, score, CASE WHEN place <= 25 * able // 100 THEN place END AS rank
+FROM noisy n LEFT JOIN ranked r ON r.doc_id = n.doc_id"""
+
+ORACLE["op13_collocations"] = f"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+spoken AS (
+  SELECT lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+runs AS ({" UNION ALL ".join(
+    f"SELECT lang, unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: w[i:i + {n - 1}])) AS g FROM spoken "
+    f"WHERE len(w) >= {n}" for n in range(1, 5))}),
+counts AS (SELECT lang, g, count(*) AS f FROM runs GROUP BY lang, g),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE len(g) = 1 GROUP BY lang),
+candidates AS (SELECT lang, g, f AS a FROM counts WHERE len(g) > 1 AND f >= 30),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.g, a, k, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (l.f + r.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts l ON l.lang = c.lang AND l.g = c.g[1:k]
+  JOIN counts r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_sizes AS (SELECT lang, g, a, unnest(range(2, len(g))) AS m FROM candidates WHERE len(g) > 2),
+inside AS (SELECT lang, a, unnest(list_transform(range(1, len(g) - m + 2), lambda i: g[i:i + m - 1])) AS g FROM inner_sizes),
+covers AS (SELECT lang, g, max(a) AS longer FROM inside GROUP BY lang, g),
+kept AS (
+  SELECT l.lang, array_to_string(l.g, ' ') AS phrase, a, l, r, score
+  FROM lowest l LEFT JOIN covers c ON c.lang = l.lang AND c.g = l.g WHERE longer IS NULL OR 100 * longer < 80 * a),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+  QUALIFY rank <= 2000)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM best JOIN totals USING (lang)"""
