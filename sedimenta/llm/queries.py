@@ -178,22 +178,25 @@ ORACLE["op13_collocations"] = f"""WITH pieces AS (
 spoken AS (
   SELECT lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
 runs AS ({" UNION ALL ".join(
-    f"SELECT lang, unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: w[i:i + {n - 1}])) AS g FROM spoken "
-    f"WHERE len(w) >= {n}" for n in range(1, 5))}),
-counts AS (SELECT lang, g, count(*) AS f FROM runs GROUP BY lang, g),
-totals AS (SELECT lang, sum(f) AS n FROM counts WHERE len(g) = 1 GROUP BY lang),
-candidates AS (SELECT lang, g, f AS a FROM counts WHERE len(g) > 1 AND f >= 30),
-cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM candidates),
+    f"SELECT lang, {n} AS m, unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' '))) "
+    f"AS g FROM spoken WHERE len(w) >= {n}" for n in range(1, 5))}),
+counts AS MATERIALIZED (SELECT lang, m, g, count(*) AS f FROM runs GROUP BY lang, m, g),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE m = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, g, string_split(g, ' ') AS w, f AS a FROM counts WHERE m > 1 AND f >= 30),
+places AS (SELECT *, unnest(range(1, len(w))) AS k FROM candidates),
+cuts AS MATERIALIZED (
+  SELECT lang, g, a, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp FROM places),
+lefts AS MATERIALIZED (SELECT c.*, f AS l FROM cuts c JOIN counts n ON n.lang = c.lang AND n.g = c.lp),
 scored AS (
-  SELECT c.lang, c.g, a, k, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (l.f + r.f) AS BIGINT) AS score
-  FROM cuts c JOIN counts l ON l.lang = c.lang AND l.g = c.g[1:k]
-  JOIN counts r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+  SELECT c.lang, c.g, a, k, l, f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (l + f) AS BIGINT) AS score
+  FROM lefts c JOIN counts n ON n.lang = c.lang AND n.g = c.rp),
 lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
-inner_sizes AS (SELECT lang, g, a, unnest(range(2, len(g))) AS m FROM candidates WHERE len(g) > 2),
-inside AS (SELECT lang, a, unnest(list_transform(range(1, len(g) - m + 2), lambda i: g[i:i + m - 1])) AS g FROM inner_sizes),
+sizes AS (SELECT lang, w, a, unnest(range(2, len(w))) AS m FROM candidates WHERE len(w) > 2),
+inside AS (
+  SELECT lang, a, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS g FROM sizes),
 covers AS (SELECT lang, g, max(a) AS longer FROM inside GROUP BY lang, g),
 kept AS (
-  SELECT l.lang, array_to_string(l.g, ' ') AS phrase, a, l, r, score
+  SELECT l.lang, l.g AS phrase, a, l, r, score
   FROM lowest l LEFT JOIN covers c ON c.lang = l.lang AND c.g = l.g WHERE longer IS NULL OR 100 * longer < 80 * a),
 best AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
