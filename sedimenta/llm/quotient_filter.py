@@ -138,8 +138,10 @@ def decode(data: bytes, range_bits: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def cut(upper: np.ndarray, lower: np.ndarray, counts: np.ndarray, words: int, range_bits: int) -> list[tuple[int, bytes]]:
     """(range, filter) of ascending distinct keys, for each range that has any."""
+    if not len(upper):
+        return []
     place = (upper >> np.uint64(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(upper), np.int64)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else []
+    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     ends = [*first[1:], len(place)]
     return [(int(place[a]), encode(upper[a:b], lower[a:b], counts[a:b], words, range_bits))
             for a, b in zip(first, ends, strict=True)]
