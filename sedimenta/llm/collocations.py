@@ -39,7 +39,7 @@ MIN_COUNT, TOP, LONGEST = 30, 2000, 4
 SCORE_SCALE, COVER_PERCENT = 2_000_000, 80
 NO_LANG = "und"
 # Bytes of text in a shard, and for which there is one range of keys; the least number of ranges, as a power of two.
-SHARD_BYTES, RANGE_BYTES, MIN_RANGE_BITS = 16 << 20, 16 << 20, 6
+SHARD_BYTES, RANGE_BYTES, MIN_RANGE_BITS = 6 << 20, 16 << 20, 6
 
 SHARDS = "shard long, n_bytes long, fresh long, codes binary, vocabulary array<struct<lang:string,word:string,n:long>>"
 COUNTED = "kind string, shard long, range int, words int, fresh long, data binary"
@@ -78,9 +78,8 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     ends = np.flatnonzero(inside & (edge[1:] | ~np.concatenate([inside[1:], [False]]))) + 1
     rows = np.searchsorted(offsets, starts, side="right") - 1
     stops = np.flatnonzero(kind == 2)
-    before = np.searchsorted(stops, starts)
     parted = np.ones(len(starts), bool)
-    parted[1:] = (before[1:] > np.searchsorted(stops, ends[:-1])) | (rows[1:] != rows[:-1])
+    parted[1:] = (np.searchsorted(stops, starts[1:]) > np.searchsorted(stops, ends[:-1])) | (rows[1:] != rows[:-1])
     return starts, ends, rows, parted
 
 
