@@ -65,7 +65,8 @@ def dropped_lines(texts: DataFrame, min_chars: int = MIN_CHARS, min_documents: i
         (F.count_distinct("doc") + nameless).alias("documents"), F.min("doc").alias("keeper"))
     # Written, because an aggregate right below the join would keep AQE from splitting its hot lines.
     repeated = written(held.where(F.col("documents") >= min_documents).select("h1", "h2", "keeper"))
-    dropped = lines.join(repeated, ["h1", "h2"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
+    # Neither side has a proven size, so both joins are merges at every size.
+    dropped = lines.join(repeated.hint("merge"), ["h1", "h2"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
     lists = written(dropped.groupBy("row").agg(F.collect_list("pos").alias("dropped")))
     release(texts.sparkSession, lines, repeated)
     return lists
@@ -92,7 +93,7 @@ def digest(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: int = MIN
     """doc_id, lines, dropped lines and the checksum of the lines kept of every document."""
     rows, number = numbered(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"))
     texts = rows.withColumnRenamed(number, "row")
-    found = texts.join(dropped_lines(texts, min_chars, min_documents), "row", "left")
+    found = texts.join(dropped_lines(texts, min_chars, min_documents).hint("merge"), "row", "left")
     return found.select("doc", "text", "dropped").mapInArrow(
         _digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
@@ -113,7 +114,7 @@ def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docu
     texts = rows.select(F.col(number).alias("row"), F.col("doc_id").cast("long").alias("doc"), "text")
     name = free_name(rows, "__dropped")
     lists = dropped_lines(texts, min_chars, min_documents).select(F.col("row").alias(number), F.col("dropped").alias(name))
-    kept = rows.join(lists, number, "left").select(*docs.columns, name).mapInArrow(
+    kept = rows.join(lists.hint("merge"), number, "left").select(*docs.columns, name).mapInArrow(
         partial(_rewrite, names=docs.columns, dropped=name), docs.schema)
     if "n_chars" in docs.columns:
         counted = F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
