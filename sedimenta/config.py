@@ -23,7 +23,8 @@ class PipelineConfig:
     that is broadcast, by the process and by the audits. ``multi_line`` reads and
     writes line breaks inside quoted raw fields, at the price of one task for
     each raw file; without it they are refused. ``staging_uri`` overrides where a
-    run stages its rows and layers.
+    run stages its rows and layers. With ``versioned`` a run publishes its layers by
+    a pointer instead of replacing folders, see ``sinks.versions``.
     """
 
     base_uri: str
@@ -36,6 +37,7 @@ class PipelineConfig:
     quarantine_raw_text: bool = True
     multi_line: bool = False
     staging_uri: str | None = None
+    versioned: bool = False
 
     def __post_init__(self):
         if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", self.ingest_date):

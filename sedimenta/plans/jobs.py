@@ -24,11 +24,12 @@ from sedimenta.operators.silver import (
     silver_projection,
 )
 from sedimenta.schemas import (
-    GOLD_TABLE, QUARANTINE_TABLE, RAW_CLIENTES, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_TABLE,
+    DERIVED_TABLES, GOLD_TABLE, QUARANTINE_TABLE, RAW_CLIENTES, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_TABLE,
 )
 from sedimenta.sinks.folders import remove_folder, replace_folder
 from sedimenta.sinks.layers import quarantine_projection, write_partition, write_report
-from sedimenta.sources.catalog import catalog_layers, create_catalog
+from sedimenta.sinks.versions import publish_version, version_config
+from sedimenta.sources.catalog import catalog_layers, create_catalog, follow_version
 from sedimenta.sources.layers import read_layer, read_raw, read_raw_orders, require_fitting_lines
 
 VERDICT, VALID, REJECTED = "situacao", "valid", "rejected"
@@ -94,13 +95,17 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
 
     All three layers are written and checked in the staging folder of this run
     before the first of them replaces what is published, so a run that fails changes nothing. What is not
-    atomic is the replacing: three folders, one after the other.
+    atomic is the replacing: three folders, one after the other. With ``cfg.versioned`` the layers are written where they
+    stay, and one marker publishes all three at once.
     """
     require_fitting_lines(spark, cfg, RAW_CLIENTES, RAW_PRODUTOS)
     customer, product = measure_order_dimensions(
         read_raw(spark, cfg, RAW_CLIENTES), read_raw(spark, cfg, RAW_PRODUTOS))
 
-    run = f"{staging_path(spark, cfg)}/{uuid.uuid4().hex}"
+    version = uuid.uuid4().hex
+    run = f"{staging_path(spark, cfg)}/{version}"
+    beside = version_config(cfg, version) if cfg.versioned else replace(cfg, base_uri=f"{run}/layers")
+    beside, done = replace(beside, versioned=False), False
     try:
         staged, raw_rows = stage_checked_orders(spark, cfg, customer, product, f"{run}/checked")
         # At most one row per combination of the rules.
@@ -112,7 +117,6 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
             raw_rows = read_raw(spark, cfg, RAW_PEDIDOS, blank_missing=False).count()
         gates.require_join_conserved(raw_rows, valid_rows + rejected_rows)
 
-        beside = replace(cfg, base_uri=f"{run}/layers")
         write_quarantine(beside, staged)
         write_silver(spark, beside, staged, valid_rows, customer, product)
         gold = build_gold(read_layer(spark, beside, SILVER_TABLE), cfg.drop_null_gold_keys)
@@ -120,10 +124,17 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
         written = published_rows(spark, beside)
         gates.require_reconciled(raw_rows, written[SILVER_TABLE.name], written[QUARANTINE_TABLE.name])
 
-        for table in (QUARANTINE_TABLE, SILVER_TABLE, GOLD_TABLE):
-            replace_folder(spark, beside.partition_path(table), cfg.partition_path(table))
+        if cfg.versioned:
+            publish_version(spark, cfg, version)
+            done = True
+            follow_version(spark, cfg)
+        else:
+            for table in DERIVED_TABLES:
+                replace_folder(spark, beside.partition_path(table), cfg.partition_path(table))
     finally:
         remove_folder(spark, run)
+        if cfg.versioned and not done:
+            remove_folder(spark, beside.base_uri)
     return ProcessReport(raw_rows, valid_rows, rejected_rows, written[SILVER_TABLE.name],
                          written[GOLD_TABLE.name], reasons)
 

@@ -175,6 +175,11 @@ UNION ALL SELECT 'gold_vendas_uf_categoria', count(*) FROM gold""",
     "partition_append": f"""WITH {_SILVER}
 SELECT '2026-09-20' AS ingest_date, count(*) AS linhas FROM silver
 UNION ALL SELECT '2026-09-21', count(*) FROM limpos""",
+    "versioned_rerun": f"""WITH {_SILVER}
+SELECT 'antes' AS momento, count(*) AS linhas, CAST(sum(CAST(valor_total AS DECIMAL(18, 2))) AS DOUBLE) AS receita FROM silver
+UNION ALL
+SELECT 'depois', count(*), CAST(sum(CAST(round_even(quantidade * preco * 100, 0) / 100 AS DECIMAL(18, 2))) AS DOUBLE)
+FROM limpos JOIN produtos USING (product_id)""",
     "catalog_quarantine_scan": f"WITH {_CHECKED} {_QUARANTINE}, '2026-09-20' AS data FROM rejeitados",
     **{f"audit_report_q{n}": sql for n, sql in (
         (3, f"WITH {_CHECKED} SELECT motivo_rejeicao, count(*) AS qtd FROM rejeitados GROUP BY motivo_rejeicao"),

@@ -73,4 +73,5 @@ QUARANTINE_TABLE = LayerTable(
 SILVER_TABLE = LayerTable("silver_fato_vendas", "processed/fato_vendas", "ingest_date", SILVER, "parquet")
 GOLD_TABLE = LayerTable("gold_vendas_uf_categoria", "gold/vendas_uf_categoria", "ingest_date", GOLD, "parquet")
 
+DERIVED_TABLES = (QUARANTINE_TABLE, SILVER_TABLE, GOLD_TABLE)
 LAYER_TABLES = (RAW_CLIENTES, RAW_PRODUTOS, RAW_PEDIDOS, QUARANTINE_TABLE, SILVER_TABLE, GOLD_TABLE)

@@ -30,3 +30,21 @@ def replace_folder(spark: SparkSession, source: str, target: str) -> None:
         from_files, from_path, to_files, to_path, True, spark._jsc.hadoopConfiguration())
     if not copied:
         raise OSError(f"{source} could not be put in the place of {target}")
+
+
+def exists(spark: SparkSession, uri: str) -> bool:
+    files, path = _place(spark, uri)
+    return files.exists(path)
+
+
+def file_names(spark: SparkSession, uri: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no folder."""
+    files, path = _place(spark, uri)
+    return [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+
+
+def create_marker(spark: SparkSession, uri: str) -> None:
+    """An empty file that must not exist yet."""
+    files, path = _place(spark, uri)
+    files.mkdirs(path.getParent())
+    files.create(path, False).close()

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from sedimenta.config import PipelineConfig
 from sedimenta.functions.numeric import whole_number
 from sedimenta.schemas import NA_STRINGS, PEDIDOS_TEXT, RAW_LINE, RAW_PEDIDOS, LayerTable
+from sedimenta.sinks.versions import published_path
 
 # Quotes are doubled inside quoted fields, and blanks belong to the value. A header that
 # does not match the schema fails the scan instead of shifting columns.
@@ -121,4 +122,4 @@ def require_fitting_lines(spark: SparkSession, cfg: PipelineConfig, *tables: Lay
 
 def read_layer(spark: SparkSession, cfg: PipelineConfig, table: LayerTable) -> DataFrame:
     """One date of a published JSON or Parquet layer table."""
-    return spark.read.schema(table.schema).format(table.format).load(cfg.partition_path(table))
+    return spark.read.schema(table.schema).format(table.format).load(published_path(spark, cfg, table))
