@@ -24,7 +24,8 @@ class PipelineConfig:
     writes line breaks inside quoted raw fields, at the price of one task for
     each raw file; without it they are refused. ``staging_uri`` overrides where a
     run stages its rows and layers. With ``versioned`` a run publishes its layers by
-    a pointer instead of replacing folders, see ``sinks.versions``.
+    a pointer instead of replacing folders, see ``sinks.versions``. With ``order_sketches`` it keeps mergeable
+    sketches of the distinct orders beside gold, see ``operators.sketches``.
     """
 
     base_uri: str
@@ -38,6 +39,7 @@ class PipelineConfig:
     multi_line: bool = False
     staging_uri: str | None = None
     versioned: bool = False
+    order_sketches: bool = False
 
     def __post_init__(self):
         if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", self.ingest_date):

@@ -19,12 +19,13 @@ from sedimenta.operators.gold import build_gold
 from sedimenta.operators.quality import (
     REASON, UNREADABLE, PresentRule, check_rows, order_rules, reason_counts,
 )
+from sedimenta.operators.sketches import order_sketches
 from sedimenta.operators.silver import (
     CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, join_dimensions, measure_order_dimensions, range_by_order,
     silver_projection,
 )
 from sedimenta.schemas import (
-    DERIVED_TABLES, GOLD_TABLE, QUARANTINE_TABLE, RAW_CLIENTES, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_TABLE,
+    DERIVED_TABLES, GOLD_SKETCHES, GOLD_TABLE, QUARANTINE_TABLE, RAW_CLIENTES, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_TABLE,
 )
 from sedimenta.sinks.folders import remove_folder, replace_folder
 from sedimenta.sinks.layers import quarantine_projection, write_partition, write_report
@@ -121,6 +122,8 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
         write_silver(spark, beside, staged, valid_rows, customer, product)
         gold = build_gold(read_layer(spark, beside, SILVER_TABLE), cfg.drop_null_gold_keys)
         write_partition(gold, beside, GOLD_TABLE)
+        if cfg.order_sketches:
+            write_partition(order_sketches(read_layer(spark, beside, SILVER_TABLE), cfg.drop_null_gold_keys), beside, GOLD_SKETCHES)
         written = published_rows(spark, beside)
         gates.require_reconciled(raw_rows, written[SILVER_TABLE.name], written[QUARANTINE_TABLE.name])
 
@@ -129,7 +132,7 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
             done = True
             follow_version(spark, cfg)
         else:
-            for table in DERIVED_TABLES:
+            for table in (*DERIVED_TABLES, *([GOLD_SKETCHES] if cfg.order_sketches else [])):
                 replace_folder(spark, beside.partition_path(table), cfg.partition_path(table))
     finally:
         remove_folder(spark, run)

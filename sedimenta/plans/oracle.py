@@ -175,6 +175,17 @@ UNION ALL SELECT 'gold_vendas_uf_categoria', count(*) FROM gold""",
     "partition_append": f"""WITH {_SILVER}
 SELECT '2026-09-20' AS ingest_date, count(*) AS linhas FROM silver
 UNION ALL SELECT '2026-09-21', count(*) FROM limpos""",
+    "sample_exact_lines": """WITH linhas AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS qtd,
+         CAST(round_even(l_extendedprice * 100, 0) AS BIGINT) AS centavos FROM lineitem),
+ordenadas AS (
+  SELECT *, row_number() OVER (ORDER BY substr(md5(concat_ws('|', '42', l_orderkey, l_linenumber, l_partkey, l_suppkey, qtd,
+                                                             centavos)), 1, 12)) AS lugar, count(*) OVER () AS n FROM linhas)
+SELECT * EXCLUDE (lugar, n) FROM ordenadas WHERE lugar <= CAST(trunc(n * CAST(0.03 AS DOUBLE)) AS BIGINT)""",
+    "sketch_distinct_orders": f"WITH {_GOLD} SELECT uf, categoria, qtd_pedidos, true AS dentro_do_erro FROM gold",
+    "sketch_orders_of_two_dates": f"""WITH {_INJECTED}
+SELECT uf, count(DISTINCT pedido_id) AS qtd_pedidos, true AS dentro_do_erro
+FROM limpos JOIN clientes USING (cliente_id) GROUP BY uf""",
     "versioned_rerun": f"""WITH {_SILVER}
 SELECT 'antes' AS momento, count(*) AS linhas, CAST(sum(CAST(valor_total AS DECIMAL(18, 2))) AS DOUBLE) AS receita FROM silver
 UNION ALL

@@ -16,6 +16,8 @@ from sedimenta.operators.quality import (
     REASON, CheckedRows, ExistsRule, PositiveRule, apply_quality, check_and_enrich, check_orders, check_rows,
     reason_counts,
 )
+from sedimenta.operators.sampling import exact_sample, place_hash, value_hash
+from sedimenta.operators.sketches import distinct_orders, relative_error
 from sedimenta.operators.silver import build_silver, silver_projection
 from sedimenta.plans.jobs import run_audit, run_process, write_raw
 from sedimenta.schemas import (
@@ -24,11 +26,12 @@ from sedimenta.schemas import (
 from sedimenta.sinks.layers import quarantine_projection, write_partition
 from sedimenta.sources.adapters import RawFrames, orders, raw_frames, read_table
 from sedimenta.sources.catalog import catalog_layers, create_catalog, table_name
-from sedimenta.sources.layers import read_layer, read_raw
+from sedimenta.sources.layers import read_layer, read_raw, read_sketches
 from sedimenta.sources.scratch import new_scratch
 
 INGEST_DATE = "2026-09-20"
 NEXT_DATE = "2026-09-21"
+SAMPLE_SEED, SAMPLE_RATE = 42, 0.03
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -208,6 +211,48 @@ def audit_gold_lost_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.silver_against_its_gold(_without_some_states(spark, sf_dir))
 
 
+# --- samples and sketches -----------------------------------------------------------------
+
+SAMPLED = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def sample_exact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly three of a hundred order lines, the whole number below."""
+    lines = read_table(spark, sf_dir, "lineitem")
+    # The amounts are told apart as whole cents, which any engine writes alike.
+    keyed = lines.withColumn("centavos", F.rint(F.col("l_extendedprice") * 100).cast("long")).withColumn(
+        "qtd", F.col("l_quantity").cast("long"))
+    value = value_hash(keyed, SAMPLE_SEED, *SAMPLED, "qtd", "centavos")
+    return exact_sample(keyed, int(lines.count() * SAMPLE_RATE), value, place_hash(SAMPLE_SEED)).select(*SAMPLED, "qtd", "centavos")
+
+
+def sketch_distinct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders per state and category of a published run, and whether its stored sketch comes near enough."""
+    cfg = replace(_written_raw(spark, sf_dir), order_sketches=True)
+    run_process(spark, cfg)
+    return _near(read_layer(spark, cfg, GOLD_TABLE).select("uf", "categoria", "qtd_pedidos"),
+                 distinct_orders(read_sketches(spark, cfg)), "uf", "categoria")
+
+
+def sketch_orders_of_two_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders per state of two dates, whose orders overlap, from the stored sketches alone."""
+    first = replace(_written_raw(spark, sf_dir), order_sketches=True)
+    second = replace(first, ingest_date=NEXT_DATE)
+    raw = raw_frames(spark, sf_dir, anomalies=False)
+    write_raw(second, raw.clientes, raw.produtos, raw.pedidos)
+    for cfg in (first, second):
+        run_process(spark, cfg)
+    rows = read_layer(spark, first, SILVER_TABLE).unionAll(read_layer(spark, second, SILVER_TABLE))
+    exact = rows.groupBy("uf").agg(F.count_distinct("pedido_id").alias("qtd_pedidos"))
+    return _near(exact, distinct_orders(read_sketches(spark, first, INGEST_DATE, NEXT_DATE), "uf"), "uf")
+
+
+def _near(exact: DataFrame, estimated: DataFrame, *keys: str) -> DataFrame:
+    off = F.abs(F.col("qtd_pedidos_estimada") - F.col("qtd_pedidos"))
+    return exact.join(estimated, list(keys), "full").select(
+        *keys, "qtd_pedidos", (off <= F.ceil(4 * relative_error() * F.col("qtd_pedidos"))).alias("dentro_do_erro"))
+
+
 # --- files and catalog --------------------------------------------------------------------
 
 def audit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,11 +402,12 @@ def versioned_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rows.agg(F.lit(moment).alias("momento"), F.count(F.lit(1)).alias("linhas"),
                         money_sum(F.col("valor_total")).alias("receita"))
 
+    # One row, kept as it was: a table read by its name follows the version.
     before = seen("antes")
+    before = spark.createDataFrame(before.collect(), before.schema)
     raw = raw_frames(spark, sf_dir, anomalies=False)
     write_raw(cfg, raw.clientes, raw.produtos, raw.pedidos)
     run_process(spark, cfg)
-    # The plan made before the rerun reads the files of its version still.
     return before.unionAll(seen("depois"))
 
 
@@ -382,4 +428,5 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     dq_text_keys, audit_text_keys, run_counts, silver_files_sorted,
     roundtrip_raw_csv, roundtrip_quarantine_json, roundtrip_silver_parquet,
     published_gold, published_silver, idempotent_overwrite, partition_append, catalog_quarantine_scan, versioned_rerun,
+    sample_exact_lines, sketch_distinct_orders, sketch_orders_of_two_dates,
 )}

@@ -73,5 +73,9 @@ QUARANTINE_TABLE = LayerTable(
 SILVER_TABLE = LayerTable("silver_fato_vendas", "processed/fato_vendas", "ingest_date", SILVER, "parquet")
 GOLD_TABLE = LayerTable("gold_vendas_uf_categoria", "gold/vendas_uf_categoria", "ingest_date", GOLD, "parquet")
 
+# Beside gold, where a run keeps sketches; not one of the layer tables.
+GOLD_SKETCHES = LayerTable("gold_pedidos_sketch", "gold/pedidos_sketch", "ingest_date", T.StructType(
+    [T.StructField("uf", _TEXT), T.StructField("categoria", _TEXT), T.StructField("pedidos_sketch", T.BinaryType())]), "parquet")
+
 DERIVED_TABLES = (QUARANTINE_TABLE, SILVER_TABLE, GOLD_TABLE)
 LAYER_TABLES = (RAW_CLIENTES, RAW_PRODUTOS, RAW_PEDIDOS, QUARANTINE_TABLE, SILVER_TABLE, GOLD_TABLE)

@@ -16,7 +16,7 @@ from dataclasses import replace
 from pyspark.sql import SparkSession
 
 from sedimenta.config import PipelineConfig
-from sedimenta.schemas import DERIVED_TABLES, LayerTable
+from sedimenta.schemas import DERIVED_TABLES, GOLD_SKETCHES, LayerTable
 from sedimenta.sinks.folders import create_marker, file_names, remove_folder
 
 MARKER = re.compile(r"(\d{9,})\.([0-9a-z]+)")
@@ -55,5 +55,5 @@ def publish_version(spark: SparkSession, cfg: PipelineConfig, version: str) -> N
 
 def published_path(spark: SparkSession, cfg: PipelineConfig, table: LayerTable) -> str:
     """Where the date of a table lies: in its own folder, or in that of the current version."""
-    version = current_version(spark, cfg) if cfg.versioned and table in DERIVED_TABLES else None
+    version = current_version(spark, cfg) if cfg.versioned and table in (*DERIVED_TABLES, GOLD_SKETCHES) else None
     return (version_config(cfg, version) if version else cfg).partition_path(table)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.config import PipelineConfig
 from sedimenta.functions.numeric import whole_number
-from sedimenta.schemas import NA_STRINGS, PEDIDOS_TEXT, RAW_LINE, RAW_PEDIDOS, LayerTable
+from sedimenta.schemas import GOLD_SKETCHES, NA_STRINGS, PEDIDOS_TEXT, RAW_LINE, RAW_PEDIDOS, LayerTable
 from sedimenta.sinks.versions import published_path
 
 # Quotes are doubled inside quoted fields, and blanks belong to the value. A header that
@@ -120,6 +123,13 @@ def require_fitting_lines(spark: SparkSession, cfg: PipelineConfig, *tables: Lay
             raise MalformedLineError(f"{table.name} holds a line that does not fit: {bad[0][CORRUPT][:200]!r}")
 
 
+def read_sketches(spark: SparkSession, cfg: PipelineConfig, *dates: str) -> DataFrame:
+    """The order sketches of some dates, each with its date."""
+    return reduce(DataFrame.unionAll, [
+        read_layer(spark, replace(cfg, ingest_date=day), GOLD_SKETCHES).withColumn(GOLD_SKETCHES.partition, F.lit(day))
+        for day in dates or (cfg.ingest_date,)])
+
+
 def read_layer(spark: SparkSession, cfg: PipelineConfig, table: LayerTable) -> DataFrame:
     """One date of a published JSON or Parquet layer table."""
     return spark.read.schema(table.schema).format(table.format).load(published_path(spark, cfg, table))
