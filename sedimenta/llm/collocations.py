@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm import quotient_filter as qf
-from sedimenta.llm.common import give_back, plain_text, release, text_blocks, utf8_bytes, written
+from sedimenta.llm.common import give_back, plain_text, release, shuffle_partitions, text_blocks, utf8_bytes, written
 from sedimenta.sources.scratch import new_scratch
 
 MIN_COUNT, TOP, LONGEST = 30, 2000, 4
@@ -40,6 +40,8 @@ SCORE_SCALE, COVER_PERCENT = 2_000_000, 80
 NO_LANG = "und"
 # Bytes of text in a shard, and for which there is one range of keys; the least number of ranges, as a power of two.
 SHARD_BYTES, RANGE_BYTES, MIN_RANGE_BITS = 6 << 20, 16 << 20, 6
+# Bytes of text whose shards one task gets: Arrow hands them over together.
+TASK_BYTES = 12 << 20
 
 SHARDS = "shard long, n_bytes long, fresh long, codes binary, vocabulary array<struct<lang:string,word:string,n:long>>"
 COUNTED = "kind string, shard long, range int, words int, fresh long, data binary"
@@ -271,14 +273,15 @@ def count_phrases(docs: DataFrame, min_count: int = MIN_COUNT, shard_bytes: int
     totals = spoken.groupBy("lang").agg(F.sum("f").alias("n"))
     words = numbered_words(spoken.where(F.col("f") >= min_count))
 
-    known = listed.join(words, ["lang", "word"]).groupBy("shard").agg(F.collect_list(F.struct("at", "id")).alias("known"))
-    pairs = _written_by_kind(shards.join(known, "shard").select("shard", "fresh", "codes", "known").mapInArrow(
+    tasks = max(shuffle_partitions(docs.sparkSession), text_bytes // TASK_BYTES)
+    known = listed.join(words, ["lang", "word"]).repartition(tasks, "shard").groupBy("shard").agg(F.collect_list(F.struct("at", "id")).alias("known"))
+    pairs = _written_by_kind(shards.repartition(tasks, "shard").join(known, "shard").select("shard", "fresh", "codes", "known").mapInArrow(
         partial(_count_pairs, range_bits=range_bits), COUNTED))
     two = _merged(pairs, range_bits, min_count, True)
 
-    answers = two.where("kind = 'answer'").groupBy("shard").agg(F.collect_list("data").alias("known"))
+    answers = two.where("kind = 'answer'").repartition(tasks, "shard").groupBy("shard").agg(F.collect_list("data").alias("known"))
     streams = pairs.where("kind = 'stream'").select("shard", "fresh", "data")
-    longer = _written_by_kind(streams.join(answers, "shard").mapInArrow(
+    longer = _written_by_kind(streams.repartition(tasks, "shard").join(answers, "shard").mapInArrow(
         partial(_count_longer, range_bits=range_bits), COUNTED))
     more = _merged(longer, range_bits, min_count, False)
 
