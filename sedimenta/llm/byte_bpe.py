@@ -9,8 +9,8 @@ positions again. What is shuffled is compressed and grows with the distinct
 words of a block, so a word that is in every text costs one entry a block.
 
 A word here is a piece between single spaces, with the space before it: the
-pattern never joins anything across the place before a single space (a text
-with two spaces in a row is one piece), and the pattern is applied inside it.
+pattern never joins anything across the place before a space that has no white space
+beside it, and only there texts with longer runs of white space are cut. The pattern is applied inside a piece.
 
 Decoding joins the byte table: one entry for each id, at most the size of the
 vocabulary, which every task loads from the rank file.

@@ -11,16 +11,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from sedimenta.llm.common import ragged_rows, words_of
+from sedimenta.llm.common import ragged_rows, take_ragged, words_of
 
 _LOADED: dict[str, object] = {}
 _SEEN: dict[int, SeenWords] = {}
-KEPT_WORDS = 1_000_000
+# Bytes that the words a worker keeps, and their ids, take; words longer than the second are not kept.
+KEPT_BYTES, KEPT_WORD = 32 << 20, 64
 # Bytes of text whose words are encoded together: the more, the fewer words are encoded again.
 TEXT_BYTES = 16 << 20
 # Pieces handed to the tokenizer at a time: its result objects are large.
 PIECES = 20_000
 LONE_SPACE = re.compile(r" (?<=\S )(?=\S)")
+# All characters that are white space for any pattern here; one of them beside a space.
+_WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACE_IN_RUN = f" {_WHITE}|{_WHITE} "
 
 
 def load_tokenizer(path: str):
@@ -44,7 +48,7 @@ def encode_strings(tokenizer, strings: list[str]) -> tuple[np.ndarray, np.ndarra
 
 
 class SeenWords:
-    """Words a worker has encoded, with their ids, for the next block or task; started anew beyond ``KEPT_WORDS``."""
+    """Short words a worker has encoded, with their ids, for the next block or task; started anew beyond ``KEPT_BYTES``."""
 
     def __init__(self):
         self.words = pa.array([], pa.large_string())
@@ -54,16 +58,21 @@ class SeenWords:
         """Ids as a ragged array, and the row of it that each word has."""
         known = pc.index_in(words, value_set=self.words)
         new = words.filter(pc.is_null(known))
-        if len(self.words) + len(new) > KEPT_WORDS and len(self.words):
-            self.__init__()
-            return self.encode(tokenizer, words)
         flat, starts = encode_strings(tokenizer, new.to_pylist())
         row = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
         row[row < 0] = np.arange(len(self.words), len(self.words) + len(new))
-        self.words = pa.concat_arrays([self.words, new])
-        self.starts = np.concatenate([self.starts, starts[1:] + len(self.flat)])
-        self.flat = np.concatenate([self.flat, flat])
-        return self.flat, self.starts, row
+        every = np.concatenate([self.flat, flat]), np.concatenate([self.starts, starts[1:] + len(self.flat)]), row
+        short = np.flatnonzero(pc.less_equal(pc.binary_length(new), KEPT_WORD).to_numpy(zero_copy_only=False))
+        self.keep(new.take(pa.array(short)), *take_ragged(flat, starts, short))
+        return every
+
+    def keep(self, words: pa.Array, flat: np.ndarray, starts: np.ndarray) -> None:
+        if self.words.nbytes + words.nbytes + self.flat.nbytes + flat.nbytes + self.starts.nbytes + starts.nbytes > KEPT_BYTES:
+            self.__init__()
+        if words.nbytes + flat.nbytes + starts.nbytes <= KEPT_BYTES:
+            self.words = pa.concat_arrays([self.words, words])
+            self.starts = np.concatenate([self.starts, starts[1:] + len(self.flat)])
+            self.flat = np.concatenate([self.flat, flat])
 
 
 def seen_words(tokenizer) -> SeenWords:
@@ -85,10 +94,7 @@ def encode_by_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
 def encode_by_spaced_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
     """The ids of every text. For a byte-level tokenizer whose words carry the space before them.
 
-    A single space always starts a new word, so a text without two spaces in
-    a row is cut before every space, and each distinct piece is encoded once.
-    Other texts are given to the tokenizer whole. White space that ends at a special
-    token is one run, so a text that holds one is cut only between characters other than white space.
+    Texts are cut as ``spaced_pieces`` says, and each distinct piece is encoded once.
     """
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     codes, pieces, offsets = spaced_pieces(texts, special)
@@ -97,18 +103,19 @@ def encode_by_spaced_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
 
 
 def spaced_pieces(texts: pa.Array, special: Sequence[str] = ()) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Codes, distinct pieces and row offsets of texts cut before their single spaces.
+    """Codes, distinct pieces and row offsets of texts cut before single spaces.
 
-    A text with two spaces in a row is one piece: there the white space rule
-    of the pattern looks further than one space. One that holds a ``special`` token is
-    cut only at the spaces between two characters other than white space.
+    A space between two characters other than white space always starts a new word. Where white
+    space of any kind stands beside a space, both are one run, whose last character alone may go with the word after it, so a
+    text with such a run is cut only at the spaces that have none beside them; and so is one that holds a
+    ``special`` token, as a run may end at one.
     """
-    wide, marked = pc.match_substring(texts, "  "), pa.array(np.zeros(len(texts), bool))
+    careful = pc.match_substring_regex(texts, SPACE_IN_RUN)
     for token in special:
-        marked = pc.or_(marked, pc.match_substring(texts, token))
-    if pc.any(pc.or_(wide, marked)).as_py():
-        rows = [[t] if w else LONE_SPACE.split(t) if m else t.split(" ")
-                for t, w, m in zip(texts.to_pylist(), wide.to_pylist(), marked.to_pylist(), strict=True)]
+        careful = pc.or_(careful, pc.match_substring(texts, token))
+    if pc.any(careful).as_py():
+        rows = [LONE_SPACE.split(t) if c else t.split(" ")
+                for t, c in zip(texts.to_pylist(), careful.to_pylist(), strict=True)]
         split = pa.array(rows, pa.list_(pa.large_string()))
     else:
         split = pc.split_pattern(texts, " ")

@@ -1,6 +1,7 @@
 """Packing, byte-level BPE and token files against the libraries themselves."""
 
 import hashlib
+import itertools
 import zlib
 
 import numpy as np
@@ -9,8 +10,8 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from sedimenta.llm import byte_bpe, packing, token_files
-from sedimenta.llm.vocab import encode_by_spaced_words, encode_by_words, load_tokenizer
+from sedimenta.llm import byte_bpe, packing, token_files, vocab
+from sedimenta.llm.vocab import encode_by_spaced_words, encode_by_words, load_tokenizer, spaced_pieces
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -113,3 +114,51 @@ def test_packing_and_token_files_keep_special_tokens(spark, documents, lake):
                 spark, token_files.encode_to_files(docs, BYTES, f"{lake}/out", files=2)).collect()])):
         ids = [e.ids for e in Tokenizer.from_file(path).encode_batch(MARKED, add_special_tokens=False)]
         assert sorted(rows) == [(n, zlib.crc32(np.array([*i, end], "<u4").tobytes())) for n, i in enumerate(ids)]
+
+
+RUNS = ["".join(run) for size in range(1, 6) for run in itertools.product(" \xa0\n\t　", repeat=size)]
+
+
+def test_runs_of_white_space_are_cut_like_the_library_does():
+    """Every run of up to five characters of white space, between words and at both ends of a text."""
+    texts = [f"price{run}12" for run in RUNS] + [f"{run}a b{run}" for run in RUNS] + [
+        "Copyright \xa0 \xa0 \xa0 \xa0 2020 c", "\xa0 \xa0", "x \x85 y", "x    y z", "a \x1c b"]
+    column = pa.array(texts, pa.large_string())
+    plain = Tokenizer.from_file(BYTES)
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encode_by_spaced_words(load_tokenizer(BYTES), column)] == want
+    encoding = byte_bpe.load_encoding(RANKS, public_tokenizers.PATTERN)
+    codes, pieces, offsets = spaced_pieces(column)
+    ids = [encoding.encode_ordinary(p) for p in pieces.to_pylist()]
+    for n, text in enumerate(texts):
+        assert [i for c in codes[offsets[n]:offsets[n + 1]] for i in ids[c]] == encoding.encode_ordinary(text), repr(text)
+
+
+def test_kept_words_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(vocab, "KEPT_BYTES", 1 << 16)
+    tokenizer, seen = load_tokenizer(BYTES), vocab.SeenWords()
+    for n in range(30):
+        words = [f" w{n}x{k}" for k in range(300)] + [" " + "long" * 50 + str(n), "again"]
+        flat, starts, row = seen.encode(tokenizer, pa.array(words, pa.large_string()))
+        for at in (0, 299, 300, 301):
+            assert flat[starts[row[at]]:starts[row[at] + 1]].tolist() == tokenizer.encode(words[at]).ids
+        assert seen.words.nbytes + seen.flat.nbytes + seen.starts.nbytes <= 1 << 16
+        assert not any(len(w) > vocab.KEPT_WORD for w in seen.words.to_pylist())
+
+
+def test_texts_with_double_spaces_take_bounded_memory():
+    """200 MB of different texts with double spaces leave a worker with no more than it may keep."""
+    tokenizer = load_tokenizer(BYTES)
+    seen = vocab.seen_words(tokenizer)
+    for n in range(50):
+        texts = pa.array([f"{n}-{k}  " + "same words here " * 2500 for k in range(100)], pa.large_string())
+        sizes = [len(ids) for ids in encode_by_spaced_words(tokenizer, texts)]
+        assert len(sizes) == 100
+        assert seen.words.nbytes + seen.flat.nbytes + seen.starts.nbytes <= vocab.KEPT_BYTES
+
+
+def test_files_are_ordered_by_number(spark):
+    rows = [(f"file:/x/part-{n}-c000.txt", 0, 10) for n in ("99999", "100000", "00001")]
+    records = spark.createDataFrame(rows, "path string, before long, n_tokens long")
+    starts = {r.path.split("-")[1]: r.start for r in token_files.with_starts(records).collect()}
+    assert starts == {"00001": 0, "99999": 10, "100000": 20}
