@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import plain_text, shuffle_partitions, text_blocks
+from sedimenta.llm.common import plain_text, shuffle_partitions, text_blocks, written
 from sedimenta.llm.vocab import TEXT_BYTES, encode_by_spaced_words, load_tokenizer
 from sedimenta.sources.scratch import new_scratch
 
@@ -41,6 +41,8 @@ END_ID = 2
 MASK_DELTA = 0xA282EAD8
 HEAD, FLAGS = struct.Struct("<QI"), struct.Struct("<qB")
 NULL_ID, WIDE_IDS = 1, 2
+# Bytes of records that are handed on together.
+READ_BYTES = 4 << 20
 RECORDS = "doc_id long, offset long, length long, before long, n_tokens long, ids binary"
 
 
@@ -100,8 +102,11 @@ def _records(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Itera
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, files: int | None = None,
                       end_id: int = END_ID) -> None:
-    """Encode all documents and write them in ascending doc_id order as ``files`` record files."""
-    files = files or shuffle_partitions(docs.sparkSession)
+    """Encode all documents and write them in ascending doc_id order as ``files`` record files.
+
+    By default there are as many as the table has scan tasks, which grow with its bytes, or as the session has shuffle partitions.
+    """
+    files = files or max(shuffle_partitions(docs.sparkSession), docs.rdd.getNumPartitions())
     key = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                .repartitionByRange(files, *key).sortWithinPartitions(*key))
@@ -112,18 +117,26 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, files:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["path", "doc_id", "offset", "length", "before", "n_tokens", "ids"]
+    types = [pa.string(), *[pa.int64()] * 5, pa.binary()]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-            before, rows = 0, []
+            before, rows, held = 0, [], 0
             for offset, payload in unframe(memoryview(content.as_buffer())):
                 doc_id, ids = from_payload(payload)
                 size = HEAD.size + len(payload) + 5
                 rows.append((path, doc_id, offset, size, before, len(ids), ids.tobytes()))
                 before += len(ids)
-            names = ["path", "doc_id", "offset", "length", "before", "n_tokens", "ids"]
-            types = [pa.string(), *[pa.int64()] * 5, pa.binary()]
-            columns = list(zip(*rows, strict=True)) or [[]] * len(names)
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+                held += size
+                if held > READ_BYTES:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+            if rows:
+                yield batch_of(rows)
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,8 +146,9 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_starts(records: DataFrame) -> DataFrame:
-    """Adds ``start``, the ids before a record in all files in the order of their names; one row a file is summed."""
-    order = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    """Adds ``start``, the ids before a record in all files in the order of their numbers; one row a file is summed."""
+    number = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("long")
+    order = Window.orderBy(number, "path").rowsBetween(Window.unboundedPreceding, -1)
     totals = records.groupBy("path").agg(F.sum("n_tokens").alias("tokens"))
     bases = totals.select("path", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("base"))
     return (records.join(F.broadcast(bases), "path")
@@ -143,7 +157,8 @@ def with_starts(records: DataFrame) -> DataFrame:
 
 def write_index(spark: SparkSession, folder: str, index_folder: str) -> None:
     """The offset index: path, offset, length, doc_id, start and n_tokens of every record, as Parquet."""
-    records = read_token_files(spark, folder)
+    # The files are read once; what is summed and joined are the narrow rows written from that.
+    records = written(read_token_files(spark, folder).drop("ids"))
     with_starts(records).select("path", "offset", "length", "doc_id", "start", "n_tokens").write.mode(
         "errorifexists").parquet(index_folder)
 
