@@ -175,6 +175,8 @@ UNION ALL SELECT 'gold_vendas_uf_categoria', count(*) FROM gold""",
     "partition_append": f"""WITH {_SILVER}
 SELECT '2026-09-20' AS ingest_date, count(*) AS linhas FROM silver
 UNION ALL SELECT '2026-09-21', count(*) FROM limpos""",
+    "silver_bucketed": f"WITH {_SILVER} SELECT * FROM silver",
+    "orphans_bucketed": f"WITH {_INJECTED} {_orphans('pedidos')}",
     "sample_exact_lines": """WITH linhas AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS qtd,
          CAST(round_even(l_extendedprice * 100, 0) AS BIGINT) AS centavos FROM lineitem),

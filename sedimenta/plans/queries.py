@@ -13,12 +13,13 @@ from sedimenta.functions.numeric import money_sum, round2, safe_number
 from sedimenta.operators import audit, gates
 from sedimenta.operators.gold import build_gold, gold_top
 from sedimenta.operators.quality import (
-    REASON, CheckedRows, ExistsRule, PositiveRule, apply_quality, check_and_enrich, check_orders, check_rows,
-    reason_counts,
+    BAD_QUANTITY, REASON, UNKNOWN_CUSTOMER, UNKNOWN_PRODUCT, CheckedRows, ExistsRule, PositiveRule, PresentRule,
+    apply_quality, check_and_enrich, check_orders, check_rows, reason_counts,
 )
+from sedimenta.operators.lookups import LaidOut, hot_keys, join_laid_out, lay_out, require_unique
 from sedimenta.operators.sampling import exact_sample, place_hash, value_hash
 from sedimenta.operators.sketches import distinct_orders, relative_error
-from sedimenta.operators.silver import build_silver, silver_projection
+from sedimenta.operators.silver import CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, build_silver, silver_projection
 from sedimenta.plans.jobs import run_audit, run_process, write_raw
 from sedimenta.schemas import (
     GOLD_TABLE, PEDIDOS, QUARANTINE_TABLE, RAW_CLIENTES, RAW_LINE, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_COLUMNS, SILVER_TABLE,
@@ -211,6 +212,42 @@ def audit_gold_lost_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.silver_against_its_gold(_without_some_states(spark, sf_dir))
 
 
+# --- dimensions laid out by key -------------------------------------------------------------
+
+def _laid_out(spark: SparkSession, raw: RawFrames) -> tuple[LaidOut, LaidOut]:
+    base = new_scratch(spark)
+    tag = "".join(c for c in base.rsplit("/", 1)[-1] if c.isalnum())
+    made = []
+    for name, frame, key in (("clientes", raw.clientes, "cliente_id"), ("produtos", raw.produtos, "product_id")):
+        require_unique(frame, key)
+        made.append(lay_out(frame, key, f"{name}_{tag}", f"{base}/{name}"))
+    return made[0], made[1]
+
+
+def _looked_up(rows: DataFrame, customers: LaidOut, products: LaidOut, with_attributes: bool) -> DataFrame:
+    for dimension, attributes in ((customers, CUSTOMER_ATTRIBUTES), (products, PRODUCT_ATTRIBUTES)):
+        rows = join_laid_out(rows, dimension, dimension.key, f"__{dimension.key}", hot_keys(rows, dimension.key),
+                             attributes if with_attributes else None)
+    return rows
+
+
+def silver_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver fact by joins with bucketed dimensions."""
+    raw = raw_frames(spark, sf_dir)
+    joined = _looked_up(raw.pedidos, *_laid_out(spark, raw), True)
+    rules = [PositiveRule(BAD_QUANTITY, "quantidade"), PresentRule(UNKNOWN_CUSTOMER, "__cliente_id"),
+             PresentRule(UNKNOWN_PRODUCT, "__product_id")]
+    return silver_projection(check_rows(joined, rules).valid(), "linha")
+
+
+def orphans_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 over the unchecked orders, by the same layout."""
+    raw = raw_frames(spark, sf_dir)
+    joined = _looked_up(raw.pedidos, *_laid_out(spark, raw), False)
+    missing = F.col("__cliente_id").isNull() | F.col("__product_id").isNull()
+    return joined.where(missing).agg(F.count(F.lit(1)).alias("silver_sem_cliente_ou_produto"))
+
+
 # --- samples and sketches -----------------------------------------------------------------
 
 SAMPLED = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -274,7 +311,7 @@ def _exported(title: str) -> Query:
     def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
         cfg = _published(spark, sf_dir)
         schema = run_audit(spark, cfg, titles=[title])[title].schema
-        return spark.read.schema(schema).option("header", True).csv(f"{cfg.base_uri}/reports/{title}")
+        return spark.read.schema(schema).option("header", True).csv(f"{cfg.base_uri}/reports/{title}.csv")
 
     read_back.__name__ = "audit_reports_exported" if title == "Q2" else f"audit_report_{title.lower()}"
     read_back.__doc__ = f"{title} of a run, read back from its exported CSV."
@@ -428,5 +465,5 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     dq_text_keys, audit_text_keys, run_counts, silver_files_sorted,
     roundtrip_raw_csv, roundtrip_quarantine_json, roundtrip_silver_parquet,
     published_gold, published_silver, idempotent_overwrite, partition_append, catalog_quarantine_scan, versioned_rerun,
-    sample_exact_lines, sketch_distinct_orders, sketch_orders_of_two_dates,
+    silver_bucketed, orphans_bucketed, sample_exact_lines, sketch_distinct_orders, sketch_orders_of_two_dates,
 )}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -48,3 +50,29 @@ def create_marker(spark: SparkSession, uri: str) -> None:
     files, path = _place(spark, uri)
     files.mkdirs(path.getParent())
     files.create(path, False).close()
+
+
+def join_parts(spark: SparkSession, folder: str, target: str, header: bytes) -> None:
+    """The part files of a folder as one file: a header, then every part without its own, in the order of their names.
+
+    Written under a hidden name first and renamed over the target.
+    """
+    files, path = _place(spark, target)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    beside = jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{path.getName()}.{uuid.uuid4().hex}")
+    out = files.create(beside, True)
+    try:
+        out.write(bytearray(header))
+        for name in sorted(n for n in file_names(spark, folder) if n.startswith("part-")):
+            part = files.open(jvm.org.apache.hadoop.fs.Path(folder, name))
+            try:
+                part.seek(min(len(header), files.getFileStatus(jvm.org.apache.hadoop.fs.Path(folder, name)).getLen()))
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), conf).rename(beside, path, options)
