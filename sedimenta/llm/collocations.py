@@ -39,9 +39,9 @@ MIN_COUNT, TOP, LONGEST = 30, 2000, 4
 SCORE_SCALE, COVER_PERCENT = 2_000_000, 80
 NO_LANG = "und"
 # Bytes of text in a shard, and for which there is one range of keys; the least number of ranges, as a power of two.
-SHARD_BYTES, RANGE_BYTES, MIN_RANGE_BITS = 6 << 20, 16 << 20, 6
+SHARD_BYTES, RANGE_BYTES, MIN_RANGE_BITS = 4 << 20, 16 << 20, 6
 # Bytes of text whose shards one task gets: Arrow hands them over together.
-TASK_BYTES = 12 << 20
+TASK_BYTES = 8 << 20
 
 SHARDS = "shard long, n_bytes long, fresh long, codes binary, vocabulary array<struct<lang:string,word:string,n:long>>"
 COUNTED = "kind string, shard long, range int, words int, fresh long, data binary"
@@ -61,7 +61,7 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 def _gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``size`` bytes of text."""
     held, total = [], 0
-    for block in text_blocks(batches, "text", size):
+    for block in text_blocks(batches, "text", max(size // 4, 1)):
         held.append(block)
         total += pc.sum(pc.fill_null(pc.binary_length(block.column("text")), 0)).as_py()
         if total >= size:
@@ -76,10 +76,11 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     kind = _KIND[data]
     inside, edge = kind == 0, np.zeros(len(data) + 1, bool)
     edge[offsets] = True
-    starts = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate([[False], inside[:-1]])))
-    ends = np.flatnonzero(inside & (edge[1:] | ~np.concatenate([inside[1:], [False]]))) + 1
-    rows = np.searchsorted(offsets, starts, side="right") - 1
-    stops = np.flatnonzero(kind == 2)
+    # A part of a text, at most some megabytes: places have 32 bits.
+    starts = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate([[False], inside[:-1]]))).astype(np.int32)
+    ends = (np.flatnonzero(inside & (edge[1:] | ~np.concatenate([inside[1:], [False]]))) + 1).astype(np.int32)
+    rows = (np.searchsorted(offsets, starts, side="right") - 1).astype(np.int32)
+    stops = np.flatnonzero(kind == 2).astype(np.int32)
     parted = np.ones(len(starts), bool)
     parted[1:] = (np.searchsorted(stops, starts[1:]) > np.searchsorted(stops, ends[:-1])) | (rows[1:] != rows[:-1])
     return starts, ends, rows, parted
@@ -92,8 +93,12 @@ def _shard(data: np.ndarray, offsets: np.ndarray, langs: list[str], lang_of: np.
     ends_at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
     held = _LOWER[data[_KIND[data] == 0]]
     coded = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends_at), pa.py_buffer(held)).dictionary_encode()
-    word, count = np.asarray(coded.indices, np.int64), len(coded.dictionary)
-    pairs, code = np.unique(lang_of[rows] * max(count, 1) + word, return_inverse=True)
+    word, count = np.asarray(coded.indices), len(coded.dictionary)
+    pair = lang_of[rows] * max(count, 1) + word
+    pairs = np.flatnonzero(np.bincount(pair))
+    code_of = np.zeros(int(pairs[-1]) + 1 if len(pairs) else 0, np.int32)
+    code_of[pairs] = np.arange(len(pairs))
+    code = code_of[pair]
     n = np.bincount(code[again:], minlength=len(pairs))
     vocabulary = pa.StructArray.from_arrays(
         [pa.array(langs, pa.string()).take(pa.array(pairs // max(count, 1))),
