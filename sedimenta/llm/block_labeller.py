@@ -23,17 +23,17 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import least_hashed, text_blocks, words_of
-from sedimenta.llm.html_blocks import Leaf, leaves
+from sedimenta.llm.common import least_hashed, text_blocks, within_bytes, words_of
+from sedimenta.llm.html_blocks import Leaf, Path, leaves
 
-TRAINING_ROWS = 400
+TRAINING_ROWS, TRAINING_BYTES = 400, 64 << 20
 PATH, WORDS, NUMBERS, HIDDEN = 48, 16, 8, 24
 INPUTS = PATH + WORDS + NUMBERS
 EPOCHS, PAGES_A_STEP = 14, 32
@@ -63,32 +63,56 @@ HOLDERS = (("article", ""), ("main", ""), ("div", "content"), ("div", "article-b
            ("section", "story"), ("div", "main"), ("div", ""), ("td", "text"))
 
 
+@lru_cache(maxsize=1 << 16)
 def _bucket(token: str, size: int) -> tuple[int, float]:
     code = zlib.crc32(token.encode())
     return code % size, 1.0 if code >> 31 else -1.0
 
 
-def path_vector(path: tuple[str, ...], known: dict) -> np.ndarray:
-    """All names of a path, the outermost too; those of a path of more than ``NAMES_AT_FULL`` weigh less each."""
-    if path not in known:
-        vector = np.zeros(PATH)
-        counts = Counter(path)
-        for token, count in counts.items():
-            # Two places for a name, so that two names seldom look the same.
-            for salt in "ab":
-                at, sign = _bucket(salt + token, PATH)
-                vector[at] += sign * np.sqrt(count)
-        known[path] = vector * min(1.0, np.sqrt(NAMES_AT_FULL / max(len(counts), 1)))
-    return known[path]
+def _add_name(vector: np.ndarray, token: str, weight: float) -> None:
+    # Two places for a name, so that two names seldom look the same.
+    for salt in "ab":
+        at, sign = _bucket(salt + token, PATH)
+        vector[at] += sign * weight
 
 
-def block_inputs(pages: list[list[Leaf]], before: int = 0, of_blocks: int | None = None) -> np.ndarray:
-    """One row for every block of the pages, in order; of a stretch of a page with ``before`` blocks before it."""
+def path_vector(path: tuple[str, ...] | Path, known: dict) -> np.ndarray:
+    """All names of a path, the outermost too; those of a path of more than ``NAMES_AT_FULL`` weigh less each.
+
+    A name weighs the root of its count. A ``Path`` takes over the vector of the path around it and adds what its own names change.
+    """
+    if isinstance(path, Path):
+        fresh = []
+        for here in path.up():
+            if here in known:
+                break
+            fresh.append(here)
+        for here in reversed(fresh):
+            vector = known[here.parent].copy() if here.parent else np.zeros(PATH)
+            for token, count in zip(here.names, here.counts, strict=True):
+                _add_name(vector, token, np.sqrt(count) - np.sqrt(count - 1))
+            known[here] = vector
+        vector, distinct = known[path], path.distinct
+    else:
+        if path not in known:
+            vector = np.zeros(PATH)
+            for token, count in Counter(path).items():
+                _add_name(vector, token, np.sqrt(count))
+            known[path] = vector
+        vector, distinct = known[path], len(set(path))
+    return vector * min(1.0, np.sqrt(NAMES_AT_FULL / max(distinct, 1)))
+
+
+def block_inputs(pages: list[list[Leaf]], before: int = 0, of_blocks: int | None = None, known: dict | None = None) -> np.ndarray:
+    """One row for every block of the pages, in order; of a stretch of a page with ``before`` blocks before it.
+
+    ``known`` keeps the vectors of paths for the next stretch of the same page.
+    """
     blocks = [leaf for page in pages for leaf in page]
     out = np.zeros((len(blocks), INPUTS))
     if not blocks:
         return out
-    known: dict = {}
+    known = {} if known is None else known
     out[:, :PATH] = [path_vector(leaf.path, known) for leaf in blocks]
     codes, words, offsets = words_of(pa.array([leaf.text for leaf in blocks], pa.large_string()))
     places = [_bucket("w" + w.lower(), WORDS) for w in words.to_pylist()]
@@ -230,9 +254,10 @@ def probabilities(model: Labeller, pages: list[list[Leaf]], most: int | None = N
     logits = np.zeros((2, total))
     hidden, cells = np.zeros((2, 2, len(pages), HIDDEN))
     if len(pages) == 1 and total > most:
+        known: dict = {}
         for begin in range(0, total, most):
             end = min(begin + most, total)
-            fed = np.stack([_fed(model, block_inputs([pages[0][a:b]], a, total), way)
+            fed = np.stack([_fed(model, block_inputs([pages[0][a:b]], a, total, known), way)
                             for way, (a, b) in enumerate([(begin, end), (total - end, total - begin)])])
             t = np.arange(end - begin)
             part = np.zeros((2, end - begin))
@@ -249,10 +274,25 @@ def probabilities(model: Labeller, pages: list[list[Leaf]], most: int | None = N
 
 def own_labels(page: list[Leaf]) -> np.ndarray | None:
     """What a page says of its blocks; None if it has no part for its text."""
-    marked = [{t.lstrip(".") for t in leaf.path} for leaf in page]
-    if not any(names & TEXT_PARTS for names in marked):
+    marked: dict = {}
+    said = [_parts(leaf.path, marked) for leaf in page]
+    if not any(text for text, _ in said):
         return None
-    return np.array([bool(names & TEXT_PARTS) and not names & OTHER_PARTS for names in marked], float)
+    return np.array([text and not other for text, other in said], float)
+
+
+def _parts(path: tuple[str, ...] | Path, marked: dict) -> tuple[bool, bool]:
+    """Whether a part of text and whether another part is named on a path."""
+    fresh = []
+    for here in path.up() if isinstance(path, Path) else (path,):
+        if here in marked:
+            break
+        fresh.append(here)
+    for here in reversed(fresh):
+        own = {t.lstrip(".") for t in (here.names if isinstance(here, Path) else here)}
+        text, other = marked[here.parent] if isinstance(here, Path) and here.parent else (False, False)
+        marked[here] = text or bool(own & TEXT_PARTS), other or bool(own & OTHER_PARTS)
+    return marked[path]
 
 
 def laid_out_anew(page: list[Leaf], labels: np.ndarray, draw: np.random.Generator) -> tuple[list[Leaf], np.ndarray]:
@@ -351,10 +391,12 @@ def fit_labeller(pages: list[list[Leaf]], seed: int = 7, epochs: int = EPOCHS, r
     return model
 
 
-def fit(pages: DataFrame, rows: int = TRAINING_ROWS) -> Labeller | None:
-    """Learn from ``rows`` pages at most, the only ones that come to the driver."""
+def fit(pages: DataFrame, rows: int = TRAINING_ROWS, max_bytes: int = TRAINING_BYTES) -> Labeller | None:
+    """Learn from ``rows`` pages and ``max_bytes`` of them at most, the only ones that come to the driver."""
     keyed = pages.where("html is not null").select(F.xxhash64("page_id", "html").alias("key"), "html")
     chosen = least_hashed(keyed.select("key").distinct(), F.col("key"), rows)
+    sizes = keyed.join(F.broadcast(chosen), "key").groupBy("key").agg(F.max(F.octet_length("html")).alias("size"))
+    chosen = within_bytes(sizes, "key", "size", max_bytes)
     # Copies of a page are one; what is joined and collected is at most ``rows`` pages.
     some = keyed.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min("html").alias("html")).collect()
     return fit_labeller([leaves(r.html) for r in sorted(some, key=lambda r: r.key)])
