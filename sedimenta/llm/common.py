@@ -12,7 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta.sources.scratch import new_scratch
@@ -91,6 +91,16 @@ def least_hashed(df: DataFrame, hashed: Column, rows: int) -> DataFrame:
     return df.orderBy(place, *df.columns[:1]).limit(rows)
 
 
+def within_bytes(sizes: DataFrame, key: str, size: str, most: int) -> DataFrame:
+    """The keys of a bounded sample, in their order, as long as the sizes together are at most ``most``.
+
+    A row of over a sixteenth of that is left out, so that a single one cannot take the place of all others.
+    """
+    fitting = sizes.where(F.coalesce(F.col(size), F.lit(0)) <= most // 16)
+    before = F.sum(F.coalesce(F.col(size), F.lit(0))).over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
+    return fitting.withColumn("__sum", before).where(F.col("__sum") <= most).select(key)
+
+
 def plain_text(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """A string column as one array with 64-bit offsets; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):

@@ -1,7 +1,9 @@
 """Toxicity, line quality and HTML blocks: planted cases, edge cases, and held-out accuracy."""
 
 import html
+import math
 import re
+import time
 import tracemalloc
 
 import numpy as np
@@ -12,7 +14,7 @@ from compare import MEDIUM
 from sedimenta.llm import block_labeller, line_quality, toxicity
 from sedimenta.llm.common import read_table
 from sedimenta.llm.html_blocks import leaves
-from sedimenta.llm.labelled import held_out
+from sedimenta.llm.labelled import held_out, training_sample
 from sedimenta.llm.queries import QUERIES
 
 EDGE = ["", None, " \n ", "word", "a\n\n\nb", "x " * 30_000, "!!! ||| ###"]
@@ -202,3 +204,91 @@ def test_a_very_long_page_is_learned_from_whole(monkeypatch):
     block_labeller.fit_labeller([page], epochs=1)
     sizes = np.concatenate(seen)
     assert sizes.max() <= block_labeller.STRETCH and sizes.sum() >= len(page) + 2 * 5000
+
+
+@pytest.mark.parametrize("page", [
+    "<!doctype html><head><title>T</title><body><p>Hello", "<html><head><title>T</title><p>Hello",
+    "<head><title>T</title><p>Hello</p>", "<html><head><meta charset=x><link rel=y><title>T</title>Hello",
+    "<head><style>p {}</style><script>x</script></head><body>Hello", "<head> <noscript>no</noscript> <a href=x>Hello</a>"])
+def test_a_head_may_have_no_end_tag(page):
+    assert [leaf.text for leaf in leaves(page)] == ["Hello"]
+
+
+def test_paths_and_their_vectors_are_those_of_the_plain_names():
+    page = "<body class='a b'><div id=a><div class='b c'><p>x<b>y</b></p></div>z</div><ul><li>1<li class=a>2</ul>tail"
+    blocks = leaves(page)
+    assert [tuple(b.path) for b in blocks] == [
+        ("body", ".a", ".b", "div", ".a", "div", ".b", ".c", "p"), ("body", ".a", ".b", "div", ".a"),
+        ("body", ".a", ".b", "ul", "li"), ("body", ".a", ".b", "ul", "li", ".a"), ("body", ".a", ".b")]
+    known = {}
+    for block in blocks:
+        assert len(block.path) == len(tuple(block.path)) and block.path.distinct == len(set(block.path))
+        assert np.allclose(block_labeller.path_vector(block.path, known), block_labeller.path_vector(tuple(block.path), {}))
+    marked = [block_labeller.Leaf(tuple(b.path), b.text, 0) for b in leaves("<main><p>t<nav>n</nav></main><div>d")]
+    assert block_labeller.own_labels(leaves("<main><p>t<nav>n</nav></main><div>d")).tolist() == [1, 0, 0]
+    assert block_labeller.own_labels(marked).tolist() == [1, 0, 0]
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='wrap n'>x" * 100_000, "<foo>x" * 50_000, "<b>x" * 50_000 + "</u>" * 50_000,
+    "<div>" * 50_000 + "</section>" * 50_000 + "end", "".join(f"<div id={'abcdefghij'[n % 10]}{'xyz'[n % 3] * (n % 7)}>t" for n in range(30_000))])
+def test_very_deep_pages_are_read_in_seconds(page):
+    started = time.thread_time()
+    blocks = leaves(page)
+    scores = block_labeller.probabilities(block_labeller.Labeller.start(), [blocks])
+    block_labeller.own_labels(blocks)
+    assert len(scores) == len(blocks) > 0 and time.thread_time() - started < 60
+
+
+def test_a_very_deep_page_needs_little_memory():
+    page = "<div class=a><p>x" * 50_000
+    tracemalloc.start()
+    blocks = leaves(page)
+    vectors: dict = {}
+    block_labeller.block_inputs([blocks[-1000:]], known=vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(blocks) == 50_000 and len(vectors) > 50_000 and peak < 300 << 20
+
+
+def test_samples_are_bounded_in_bytes(spark, documents, labels):
+    docs = documents([(n, "w" * (900 if n % 10 else 9000)) for n in range(300)])
+    known = labels([(n, 1, n % 2) for n in range(300)])
+    every = training_sample(docs, known, "toxic", 1000).collect()
+    some = training_sample(docs, known, "toxic", 1000, 100_000).collect()
+    assert len(every) > 200 and {len(r.text) for r in every} == {900, 9000}
+    assert 60 < sum(len(r.text) for r in some) / 1000 <= 100 and {len(r.text) for r in some} == {900}
+
+
+@pytest.mark.parametrize("l1", [0.0, 0.5])
+def test_ftrl_equals_a_loop_over_coordinates(l1):
+    """The update rule against the plain algorithm, one coordinate at a time."""
+    draw = np.random.default_rng(5)
+    rows = [draw.choice(64, draw.integers(1, 12), replace=False) for _ in range(60)]
+    truth = [int(y) for y in draw.integers(0, 2, 60)]
+    alpha, beta, l2 = 0.7, 0.9, 0.2
+    model = toxicity.fit_ftrl(list(zip(rows, truth)), 6, alpha, beta, l1, l2, epochs=3)
+
+    rate = (sum(truth) + 0.5) / (len(truth) + 1)
+    z, n, bias, bias_n = [0.0] * 64, [0.0] * 64, math.log(rate / (1 - rate)), 0.0
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(3):
+        for row, y in zip(rows, truth):
+            held = {i: weight(i) for i in row}
+            g = 1 / (1 + math.exp(-(sum(held.values()) + bias))) - y
+            for i, w in held.items():
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * w
+                n[i] += g * g
+            bias_n += g * g
+            bias -= alpha * g / (beta + math.sqrt(bias_n))
+    want = np.array([weight(i) for i in range(64)])
+    got = np.zeros(64)
+    got[model.index] = model.weight
+    assert np.allclose(got, want, atol=1e-6) and math.isclose(model.bias, bias, rel_tol=1e-9)
+    assert l1 == 0 or (want == 0).any()
