@@ -10,7 +10,8 @@ of first symbols in turn, so it is a priority queue of runs: what is sent to
 a range stays in the order it came, and is kept in files beyond a number of
 items. A step takes a whole range; where the names are many, a range holds
 many symbols, and suffixes that follow each other inside it are ordered by
-doubling the distance looked ahead.
+doubling the distance looked ahead. A string of a few ten thousand names, where recursion ends up, is sorted by such
+doubling as a whole: a pass through its ranges would cost more than the names do.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ import numpy as np
 
 MEMORY_ITEMS = 1 << 24
 RANGES = 256
+# Suffixes that a range of many symbols has at least, and the longest string sorted without a recursion.
+RANGE_ITEMS, DOUBLED = 1 << 12, 1 << 16
 
 
 class RunQueue:
@@ -187,17 +190,38 @@ def _induce(text: np.ndarray, wanted: np.ndarray, seeds: np.ndarray, range_of: n
     return out
 
 
-def suffix_array(text: np.ndarray, memory: int = MEMORY_ITEMS) -> np.ndarray:
-    """Positions of the suffixes of a string of numbers from 0 on, in ascending order; a prefix comes first."""
+def doubled(text: np.ndarray) -> np.ndarray:
+    """The suffix array of a short string: ranks by 1, 2, 4... symbols until all differ."""
+    rank, step = np.unique(text, return_inverse=True)[1].astype(np.int64) + 1, 1
+    while True:
+        ahead = np.zeros(len(rank), np.int64)  # nothing is below every rank
+        ahead[:-step or None] = rank[step:]
+        key = rank * (len(rank) + 2) + ahead
+        order = np.argsort(key, kind="stable")
+        new = np.concatenate([[True], np.diff(key[order]) != 0])
+        rank = np.empty(len(rank), np.int64)
+        rank[order] = np.cumsum(new)
+        if new.all():
+            return order
+        step *= 2
+
+
+def suffix_array(text: np.ndarray, memory: int = MEMORY_ITEMS, short: int = 0) -> np.ndarray:
+    """Positions of the suffixes of a string of numbers from 0 on, in ascending order; a prefix comes first.
+
+    Strings of names of at most ``short`` symbols are sorted by doubling.
+    """
     size = len(text)
     if size < 2:
         return np.arange(size)
+    if size <= short:
+        return doubled(text)
     is_s = suffix_types(text)
     stars = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     if len(stars):
         names = _name(text, is_s, stars)
         distinct = int(names.max()) + 1
-        ordered = np.argsort(names) if distinct == len(stars) else suffix_array(names, memory)
+        ordered = np.argsort(names) if distinct == len(stars) else suffix_array(names, memory, short)
         stars = stars[ordered]
     top = int(text.max())
     single = top < RANGES + 2
@@ -205,7 +229,8 @@ def suffix_array(text: np.ndarray, memory: int = MEMORY_ITEMS) -> np.ndarray:
         range_of, ranges = text.astype(np.uint16), top + 1
     else:  # about as many suffixes in each range
         counts = np.cumsum(np.bincount(text))
-        range_of = (counts * RANGES // (counts[-1] + 1)).astype(np.uint16)[text]
+        wanted = min(RANGES, max(size // RANGE_ITEMS, 2)) if short else RANGES
+        range_of = (counts * wanted // (counts[-1] + 1)).astype(np.uint16)[text]
         ranges = int(range_of.max()) + 1
     lower = _induce(text, ~is_s, stars, range_of, ranges, np.array([size - 1]), single, memory)
     # Downwards is upwards with the symbols and the order of the seeds turned round.

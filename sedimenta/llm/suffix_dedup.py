@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from sedimenta.llm.anchors import GRAM, anchors, gram_hashes
 from sedimenta.llm.common import free_name, give_back, plain_text, release, text_blocks, utf8_bytes, written
-from sedimenta.llm.induced import common_prefixes, suffix_array
+from sedimenta.llm.induced import DOUBLED, common_prefixes, suffix_array
 
 LENGTH = 200
 BLOCK = 1024
@@ -171,7 +171,7 @@ def repeated_windows(data: np.ndarray, offsets: np.ndarray, length: int) -> np.n
     back = np.insert(place, np.cumsum(sizes), 0)
     ends = np.cumsum(sizes) + np.arange(len(sizes))
     room = np.repeat(ends, sizes + 1) - np.arange(len(text))
-    order = suffix_array(text)
+    order = suffix_array(text, short=DOUBLED)
     order = order[room[order] >= length]
     common = common_prefixes((text - (text > 0)).astype(np.uint8), order, room, length)
     again = common >= length
