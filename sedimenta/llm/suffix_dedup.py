@@ -33,7 +33,7 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,8 @@ LENGTH = 200
 BLOCK = 1024
 SHARD_SEGMENTS = 6000
 INNER = 128
+# Spans that start in one such part of a text are merged before the spans of the text meet.
+CHUNK_BITS = 20
 
 
 def _number(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
@@ -66,9 +68,48 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         data, offsets = utf8_bytes(plain_text(block.column("text")))
         place, gram, segment = anchors(data, offsets, length)
         row = np.searchsorted(offsets, place, side="right") - 1
+        low, high, inner = periodic_runs(data, place, gram, row, length)
+        place, gram, segment, row = place[~inner], gram[~inner], segment[~inner], row[~inner]
+        rows = block.column("row").to_numpy()
         yield pa.record_batch({
-            "row": block.column("row").to_numpy()[row], "pos": (place - offsets[row]),
-            "gram": gram.view(np.int64), "segment": segment.view(np.int64)})
+            "row": rows[row], "pos": (place - offsets[row]), "gram": gram.view(np.int64), "segment": segment.view(np.int64),
+            "high": pa.nulls(len(row), pa.int64())})
+        if len(low):
+            row = np.searchsorted(offsets, low, side="right") - 1
+            none = pa.nulls(len(row), pa.int64())
+            yield pa.record_batch({"row": rows[row], "pos": low - offsets[row], "gram": none, "segment": none,
+                                   "high": high - offsets[row]})
+
+
+def periodic_runs(data: np.ndarray, place: np.ndarray, gram: np.ndarray, row: np.ndarray, length: int
+                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of bytes that repeat themselves at a short distance, as spans, and which anchors stand inside them only.
+
+    In a run longer than a window by its period every window starts again one period on, so the run is removed whole, and
+    anchors whose windows all lie in it add nothing. Those near its ends stay, for the windows that reach over them and
+    for equal windows elsewhere. Without this, a run of one byte would have an anchor at every byte.
+    """
+    none = np.zeros(0, np.int64)
+    inner = np.zeros(len(place), bool)
+    if len(place) < 3:
+        return none, none, inner
+    step = np.diff(place)
+    held = (gram[1:] == gram[:-1]) & (row[1:] == row[:-1]) & (step <= GRAM)
+    new = np.concatenate([[True], ~held[1:] | ~held[:-1] | (step[1:] != step[:-1])])
+    first = np.flatnonzero(new & held)
+    ends = np.append(np.flatnonzero(new), len(step))
+    last = ends[np.searchsorted(ends, first, side="right")]
+    long = place[last] + GRAM - place[first] >= length + step[first]
+    low, high = [], []
+    for a, b, period in zip(first[long].tolist(), last[long].tolist(), step[first[long]].tolist(), strict=True):
+        begin, end = int(place[a]), int(place[b]) + GRAM
+        if not np.array_equal(data[begin:end - period], data[begin + period:end]):
+            continue  # grams that are equal by their hash only
+        low.append(begin)
+        high.append(end)
+        own = place[a:b + 1]
+        inner[a:b + 1] |= (own - (length - GRAM) >= begin) & (own + length <= end)
+    return np.array(low, np.int64), np.array(high, np.int64), inner
 
 
 def _cut_segments(batches: Iterator[pa.RecordBatch], length: int, shards: int) -> Iterator[pa.RecordBatch]:
@@ -186,11 +227,13 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, block: int = BLOCK,
     if length < GRAM:
         raise ValueError(f"strings have at least {GRAM} bytes")
     spark = texts.sparkSession
-    placed = written(texts.mapInArrow(partial(_anchors, length=length), "row long, pos long, gram long, segment long"))
+    found = written(texts.mapInArrow(partial(_anchors, length=length), "row long, pos long, gram long, segment long, high long"))
+    runs = written(found.where("gram is null").select("row", F.col("pos").alias("low"), "high"))
+    placed = found.where("gram is not null").drop("high")
     # Written, like `several` below: an aggregate right below a join would keep AQE from splitting its hot grams.
     met = written(placed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"))
     shared = written(placed.join(met, "gram"))
-    release(spark, placed)
+    release(spark, found)
 
     # One entry for each different segment, and the entries of the grams that have several.
     entries = written(shared.groupBy("gram", "segment").agg(
@@ -217,7 +260,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, block: int = BLOCK,
         lambda group: _sort_shard(group, length), "row long, low long, high long")
     partly = written(sorted_spans)
     release(spark, varied)
-    return whole.unionAll(partly)
+    return whole.unionAll(partly).unionAll(runs)
 
 
 def _merge(spans: list, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -252,8 +295,18 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k, _, _ in out], pa.string())})
 
 
+def merged_spans(spans: DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFrame:
+    """The same spans without overlaps among those that start in one chunk of a row: a row has few, however many cover it."""
+    order = Window.partitionBy("row", "chunk").orderBy("low", "high")
+    reach = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = spans.withColumn("chunk", F.shiftright("low", chunk_bits)).withColumn(
+        "opens", F.coalesce((F.col("low") > reach).cast("int"), F.lit(1)))
+    numbered_ = opened.withColumn("span", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return numbered_.groupBy("row", "chunk", "span").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+
 def _span_lists(spans: DataFrame) -> DataFrame:
-    return spans.distinct().groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    return merged_spans(spans).groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
 
 def digest(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:

@@ -23,6 +23,8 @@ def test_suffix_array_equals_sorting(memory):
     cases += [rng.integers(0, 400, 900)]
     for text in cases:
         assert induced.suffix_array(text, memory).tolist() == plain_order(text)
+        assert induced.suffix_array(text, memory, short=12).tolist() == plain_order(text)
+        assert len(text) == 0 or induced.doubled(text).tolist() == plain_order(text)
 
 
 def test_common_prefixes_stop_at_the_row_and_the_limit():
@@ -110,3 +112,34 @@ def test_documents_are_rewritten_in_place(documents):
     assert suffix_dedup.without_repeats(documents([])).count() == 0
     with pytest.raises(ValueError):
         suffix_dedup.digest(docs, length=10)
+
+
+def test_runs_with_a_short_period_equal_brute_force(documents):
+    """Runs of one byte and of a few, of every length near the limit, alone, inside texts, and in several texts."""
+    rng = random.Random(4)
+
+    def words(n):
+        return " ".join("".join(rng.choices("abcdef", k=5)) for _ in range(n))
+
+    texts = [words(30) + "=" * n + words(30) for n in (199, 200, 201, 202, 263, 264, 400, 1000, 5000)]
+    texts += [words(9) + ("xyz" * 400)[:n] + words(9) for n in (150, 200, 202, 203, 300, 900)]
+    texts += ["-" * 200, "-" * 201, "~" * 200, "~" * 200 + "q", " " * 3000, "ab\n" * 900, ("abc" * 21 + "d") * 40, "é" * 700,
+              "x" * 600 + "y" * 600 + "x" * 600, words(3) + "=" * 210 + "." + "=" * 230, ("0123456789" * 7)[:65] * 20, ("0123456789" * 7)[:64] * 20]
+    docs = documents(list(enumerate(texts)), False, 1)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digest(docs).collect()}
+    assert got == dict(enumerate(plain(texts, 200)))
+
+
+def test_a_long_run_leaves_few_anchors_and_spans(spark, documents):
+    data = np.frombuffer(b"start" * 3 + b"=" * 3_000_000 + b"abc" * 500_000, np.uint8)
+    place, gram, _ = anchors(data, np.array([0, len(data)]), 200)
+    low, high, inner = suffix_dedup.periodic_runs(data, place, gram, np.zeros(len(place), int), 200)
+    assert len(place) > 3_000_000 and (~inner).sum() < 2000
+    assert high[0] - low[0] > 2_999_000 and len(low) <= 3
+    spans = spark.range(0, 400_000).selectExpr("0L row", "id as low", "id + 200 as high")
+    merged = suffix_dedup.merged_spans(spans, 16)
+    assert sorted((r.low, r.high) for r in merged.collect()) == [
+        (n << 16, min((n + 1) << 16, 400_000) + 199) for n in range(7)]
+    text = "=" * 8_000_000
+    row = suffix_dedup.digest(documents([(1, text)])).first()
+    assert (row.n_bytes, row.n_removed, row.n_spans) == (8_000_000, 8_000_000, 1)
