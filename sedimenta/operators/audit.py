@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.numeric import cents, money_sum
-from sedimenta.operators.gates import BROADCAST_LIMIT, key_lookups
+from sedimenta.operators.gates import BROADCAST_LIMIT, Dimension, key_lookups
 from sedimenta.operators.gold import GOLD_KEYS, gold_top
 from sedimenta.operators.quality import REASON, reason_counts
 
@@ -101,18 +101,25 @@ def silver_validity(silver: DataFrame) -> DataFrame:
     )
 
 
-def _with_markers(facts: DataFrame, clientes: DataFrame, produtos: DataFrame, broadcast_limit: int,
+def _with_markers(facts: DataFrame, clientes: DataFrame | Dimension, produtos: DataFrame | Dimension, broadcast_limit: int,
                   distinct: bool) -> DataFrame:
-    """The facts with ``__customer`` and ``__product``, null where the key does not exist."""
-    customers, products = key_lookups(
-        broadcast_limit, distinct, clientes=(clientes, "cliente_id"), produtos=(produtos, "product_id"))
+    """The facts with ``__customer`` and ``__product``, null where the key does not exist.
+
+    Dimensions that have been measured, so their keys are unique, are not counted again.
+    """
+    sides = {"cliente_id": clientes, "product_id": produtos}
+    lookups = {key: d.sized_for_join(broadcast_limit).select(key) for key, d in sides.items() if isinstance(d, Dimension)}
+    unknown = {key: (d, key) for key, d in sides.items() if not isinstance(d, Dimension)}
+    if unknown:
+        lookups |= dict(zip(unknown, key_lookups(broadcast_limit, distinct, **unknown), strict=True))
+    customers, products = lookups["cliente_id"], lookups["product_id"]
     customers = customers.withColumnRenamed("cliente_id", "__customer")
     products = products.withColumnRenamed("product_id", "__product")
     return (facts.join(customers, F.col("cliente_id") == F.col("__customer"), "left")
             .join(products, F.col("product_id") == F.col("__product"), "left"))
 
 
-def silver_orphans(silver: DataFrame, clientes: DataFrame, produtos: DataFrame,
+def silver_orphans(silver: DataFrame, clientes: DataFrame | Dimension, produtos: DataFrame | Dimension,
                    broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Q6: joined rows whose customer or product is missing; 0 for a sound silver layer."""
     joined = _with_markers(silver.select("cliente_id", "product_id"), clientes, produtos, broadcast_limit, False)
@@ -120,7 +127,7 @@ def silver_orphans(silver: DataFrame, clientes: DataFrame, produtos: DataFrame,
     return joined.where(missing).agg(F.count(F.lit(1)).alias("silver_sem_cliente_ou_produto"))
 
 
-def orphan_detail(facts: DataFrame, clientes: DataFrame, produtos: DataFrame,
+def orphan_detail(facts: DataFrame, clientes: DataFrame | Dimension, produtos: DataFrame | Dimension,
                   broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Facts without their customer and facts without their product, one row for each missing key, in one pass."""
     joined = _with_markers(facts.select("pedido_id", "cliente_id", "product_id"), clientes, produtos, broadcast_limit, True)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.numeric import safe_number
-from sedimenta.operators.gates import BROADCAST_LIMIT, key_lookups
+from sedimenta.operators.gates import BROADCAST_LIMIT, Dimension, key_lookups
 from sedimenta.operators.silver import CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, measure_order_dimensions
 
 REASON = "motivo_rejeicao"
@@ -153,10 +153,16 @@ def check_orders(pedidos: DataFrame, clientes: DataFrame, produtos: DataFrame,
     return check_rows(pedidos, order_rules(customers, products, unique_keys=True))
 
 
-def check_and_enrich(pedidos: DataFrame, clientes: DataFrame, produtos: DataFrame,
+def check_and_enrich(pedidos: DataFrame, clientes: DataFrame | Dimension, produtos: DataFrame | Dimension,
                      broadcast_limit: int = BROADCAST_LIMIT) -> CheckedRows:
-    """The order rules, with all dimension columns brought along by the same two joins."""
-    customer, product = (d.sized_for_join(broadcast_limit) for d in measure_order_dimensions(clientes, produtos))
+    """The order rules, with all dimension columns brought along by the same two joins.
+
+    Dimensions that come from ``measure_order_dimensions`` are not measured again.
+    """
+    measured = clientes, produtos
+    if not all(isinstance(d, Dimension) for d in measured):
+        measured = measure_order_dimensions(clientes, produtos)
+    customer, product = (d.sized_for_join(broadcast_limit) for d in measured)
     return check_rows(pedidos, order_rules(customer, product, True, CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES))
 
 

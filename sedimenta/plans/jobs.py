@@ -33,7 +33,8 @@ from sedimenta.sinks.versions import publish_version, version_config
 from sedimenta.sources.catalog import catalog_layers, create_catalog, follow_version
 from sedimenta.sources.layers import read_layer, read_raw, read_raw_orders, require_fitting_lines
 
-VERDICT, VALID, REJECTED = "situacao", "valid", "rejected"
+# Rows in a quarantine file.
+QUARANTINE_ROWS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -64,16 +65,16 @@ def staging_path(spark: SparkSession, cfg: PipelineConfig) -> str:
 
 
 def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dimension, product: Dimension,
-                         path: str) -> tuple[DataFrame, int]:
-    """Check all raw orders once and write them to ``path`` as Parquet, split by verdict.
+                         path: str) -> tuple[DataFrame, Observation]:
+    """Check all raw orders once and write them to ``path`` as Parquet, one file a scan task.
 
-    Both routes read their part from there, so the CSV is parsed and checked
+    Both routes read their rows from there, so the CSV is parsed and checked
     once, a lost executor costs no recomputation, and nothing is published
     before the gates have seen the counts. A dimension too large to broadcast
     brings its silver columns along in this one shuffle join; one that fits is
     only probed here and joined again, without a shuffle, when silver is
     written, which keeps the staged rows narrow. Returns the staged rows and
-    the number of raw rows seen by the scan.
+    an observation of the raw ``rows`` seen by the scan, which an empty scan never makes.
     """
     limit = cfg.broadcast_limit
     rules = [PresentRule(UNREADABLE, "pedido_id"), *order_rules(
@@ -81,14 +82,10 @@ def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dim
         customer_attributes=None if customer.fits(limit) else CUSTOMER_ATTRIBUTES,
         product_attributes=None if product.fits(limit) else PRODUCT_ATTRIBUTES)]
     seen = Observation("raw orders")
-    pedidos = read_raw_orders(spark, cfg)
-    observed = pedidos.observe(seen, F.count(F.lit(1)).alias("rows"))
-    verdict = F.when(F.col(REASON) == "", VALID).otherwise(REJECTED)
-    flagged = check_rows(observed, rules).flagged().withColumn(VERDICT, verdict)
-    flagged.write.partitionBy(VERDICT).parquet(path)
-    # AQE drops an empty input from the plan, and its observation with it.
-    raw_rows = 0 if pedidos.isEmpty() else seen.get["rows"]
-    return spark.read.schema(flagged.schema).parquet(path), raw_rows
+    observed = read_raw_orders(spark, cfg).observe(seen, F.count(F.lit(1)).alias("rows"))
+    flagged = check_rows(observed, rules).flagged()
+    flagged.write.parquet(path)
+    return spark.read.schema(flagged.schema).parquet(path), seen
 
 
 def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
@@ -108,17 +105,19 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
     beside = version_config(cfg, version) if cfg.versioned else replace(cfg, base_uri=f"{run}/layers")
     beside, done = replace(beside, versioned=False), False
     try:
-        staged, raw_rows = stage_checked_orders(spark, cfg, customer, product, f"{run}/checked")
+        staged, seen = stage_checked_orders(spark, cfg, customer, product, f"{run}/checked")
         # At most one row per combination of the rules.
         reasons = {r[REASON]: r["qtd"] for r in reason_counts(staged).collect()}
         valid_rows = reasons.pop("", 0)
         rejected_rows = sum(reasons.values())
+        # AQE drops an empty input from the plan, and its observation with it.
+        raw_rows = seen.get["rows"] if valid_rows + rejected_rows else -1
         if raw_rows != valid_rows + rejected_rows:
             # A recomputed scan task is observed twice; only a real count may fail the run.
             raw_rows = read_raw(spark, cfg, RAW_PEDIDOS, blank_missing=False).count()
         gates.require_join_conserved(raw_rows, valid_rows + rejected_rows)
 
-        write_quarantine(beside, staged)
+        write_quarantine(beside, staged, rejected_rows)
         write_silver(spark, beside, staged, valid_rows, customer, product)
         gold = build_gold(read_layer(spark, beside, SILVER_TABLE), cfg.drop_null_gold_keys)
         write_partition(gold, beside, GOLD_TABLE)
@@ -151,15 +150,16 @@ def published_rows(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     return {t.name: counts.get(t.name, 0) for t in tables}
 
 
-def write_quarantine(cfg: PipelineConfig, staged: DataFrame) -> None:
-    rejected = staged.where(F.col(VERDICT) == REJECTED)
+def write_quarantine(cfg: PipelineConfig, staged: DataFrame, rejected_rows: int) -> None:
+    """The few rejected rows of all staged files, dealt to as many files as their number needs."""
+    rejected = staged.where(F.col(REASON) != "").repartition(max(-(-rejected_rows // QUARANTINE_ROWS), 1))
     write_partition(quarantine_projection(rejected, cfg.quarantine_raw_text), cfg, QUARANTINE_TABLE)
 
 
 def write_silver(spark: SparkSession, cfg: PipelineConfig, staged: DataFrame, valid_rows: int,
                  customer: Dimension, product: Dimension) -> None:
     """Silver sorted by order id. The narrow staged rows are shuffled, before the broadcast joins widen them."""
-    valid = staged.where(F.col(VERDICT) == VALID)
+    valid = staged.where(F.col(REASON) == "")
     if cfg.silver_order == "global":
         # A hash of the staged row's place is unique and the same after a retry, so
         # equal rows spread over the sorted files.

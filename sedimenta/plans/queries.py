@@ -19,7 +19,9 @@ from sedimenta.operators.quality import (
 from sedimenta.operators.lookups import LaidOut, hot_keys, join_laid_out, lay_out, require_unique
 from sedimenta.operators.sampling import exact_sample, place_hash, value_hash
 from sedimenta.operators.sketches import distinct_orders, relative_error
-from sedimenta.operators.silver import CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, build_silver, silver_projection
+from sedimenta.operators.silver import (
+    CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, build_silver, measure_order_dimensions, silver_projection,
+)
 from sedimenta.plans.jobs import run_audit, run_process, write_raw
 from sedimenta.schemas import (
     GOLD_TABLE, PEDIDOS, QUARANTINE_TABLE, RAW_CLIENTES, RAW_LINE, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_COLUMNS, SILVER_TABLE,
@@ -189,7 +191,10 @@ def audit_validity_tampered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_silver_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_frames(spark, sf_dir)
-    return audit.silver_orphans(_silver(spark, sf_dir), raw.clientes, raw.produtos)
+    # Measured once, for the rules and for the audit.
+    customer, product = measure_order_dimensions(raw.clientes, raw.produtos)
+    silver = silver_projection(check_and_enrich(raw.pedidos, customer, product).valid(with_attributes=True))
+    return audit.silver_orphans(silver, customer, product)
 
 
 def audit_orphans_tampered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,7 +354,7 @@ def dq_text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = ",".join(PEDIDOS.fieldNames())
     folder = cfg.partition_path(RAW_PEDIDOS)
     # Every file starts with the header, as a CSV writer would have it.
-    lines.coalesce(8).select(F.col("value").alias(header)).write.mode("overwrite").options(
+    lines.select(F.col("value").alias(header)).write.mode("overwrite").options(
         header=True, quote="", escapeQuotes=False, sep="\u0001").csv(folder)
     run_process(spark, cfg)
     silver = read_layer(spark, cfg, SILVER_TABLE).select(
