@@ -16,7 +16,7 @@ from sedimenta.llm.common import ragged_rows, take_ragged, words_of
 _LOADED: dict[str, object] = {}
 _SEEN: dict[int, SeenWords] = {}
 # Bytes that the words a worker keeps, and their ids, take; words longer than the second are not kept.
-KEPT_BYTES, KEPT_WORD = 32 << 20, 64
+KEPT_BYTES, KEPT_WORD = 96 << 20, 64
 # Bytes of text whose words are encoded together: the more, the fewer words are encoded again.
 TEXT_BYTES = 16 << 20
 # Pieces handed to the tokenizer at a time: its result objects are large.
