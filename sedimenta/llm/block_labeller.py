@@ -88,19 +88,20 @@ def path_vector(path: tuple[str, ...] | Path, known: dict) -> np.ndarray:
                 break
             fresh.append(here)
         for here in reversed(fresh):
-            vector = known[here.parent].copy() if here.parent else np.zeros(PATH)
+            vector = known[here.parent][0].copy() if here.parent else np.zeros(PATH)
             for token, count in zip(here.names, here.counts, strict=True):
-                _add_name(vector, token, np.sqrt(count) - np.sqrt(count - 1))
-            known[here] = vector
-        vector, distinct = known[path], path.distinct
-    else:
-        if path not in known:
-            vector = np.zeros(PATH)
-            for token, count in Counter(path).items():
-                _add_name(vector, token, np.sqrt(count))
-            known[path] = vector
-        vector, distinct = known[path], len(set(path))
-    return vector * min(1.0, np.sqrt(NAMES_AT_FULL / max(distinct, 1)))
+                _add_name(vector, token, count**0.5 - (count - 1)**0.5)
+            known[here] = vector, _scaled(vector, here.distinct)
+    elif path not in known:
+        vector, counts = np.zeros(PATH), Counter(path)
+        for token, count in counts.items():
+            _add_name(vector, token, count**0.5)
+        known[path] = vector, _scaled(vector, len(counts))
+    return known[path][1]
+
+
+def _scaled(vector: np.ndarray, distinct: int) -> np.ndarray:
+    return vector if distinct <= NAMES_AT_FULL else vector * np.sqrt(NAMES_AT_FULL / distinct)
 
 
 def block_inputs(pages: list[list[Leaf]], before: int = 0, of_blocks: int | None = None, known: dict | None = None) -> np.ndarray:
@@ -404,7 +405,8 @@ def fit(pages: DataFrame, rows: int = TRAINING_ROWS, max_bytes: int = TRAINING_B
 
 def main_texts(sources: list[str | None], model: Labeller | None, side_by_side: int = 256) -> list[str]:
     """The blocks called text of each page, joined by one space."""
-    pages = [leaves(s) for s in sources]
+    root = Path()
+    pages = [leaves(s, root) for s in sources]
     out = [""] * len(pages)
     order = [p for p in sorted(range(len(pages)), key=lambda p: len(pages[p])) if pages[p]]
     first = 0

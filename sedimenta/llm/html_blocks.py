@@ -29,16 +29,18 @@ BOUNDARY = frozenset("ul ol dl table select article section main div nav aside b
 class Path:
     """The names of the open elements, outermost first: those of the innermost one, and the path of the others.
 
-    Paths share what they have in common, so a page takes room in proportion to its length however deep it is. ``counts``
-    says how often each own name stands on the whole path, ``distinct`` how many different names do.
+    Paths share what they have in common, so a page takes room in proportion to its length however deep it is, and equal
+    elements in equal places are one object. ``counts`` says how often each own name stands on the whole path, ``distinct`` how
+    many different names do.
     """
 
-    __slots__ = ("parent", "names", "counts", "distinct", "size")
+    __slots__ = ("parent", "names", "counts", "distinct", "size", "inside")
 
     def __init__(self, parent: Path | None = None, names: tuple[str, ...] = (), counts: tuple[int, ...] = ()):
         self.parent, self.names, self.counts = parent, names, counts
         self.size = len(names) + (parent.size if parent else 0)
         self.distinct = sum(c == 1 for c in counts) + (parent.distinct if parent else 0)
+        self.inside: dict[tuple[str, str], Path] = {}
 
     def up(self) -> Iterator[Path]:
         """This path, the one without the innermost element, and so on."""
@@ -65,11 +67,11 @@ def _tokens(tag: str, attributes: str) -> tuple[str, ...]:
     return (tag, *(f".{w}" for w in dict.fromkeys(words)))
 
 
-def leaves(source: str | None) -> list[Leaf]:
+def leaves(source: str | None, root: Path | None = None) -> list[Leaf]:
     """The blocks of a page in order: references decoded, white space made one space, no empty ones.
 
     A path holds the names of the open elements and, marked with a dot, the words of their classes, ids and
-    roles. ``linked`` counts the characters inside links. Raw elements, comments and the head hold no text; a head
+    roles. Pages read with one ``root`` share their paths. ``linked`` counts the characters inside links. Raw elements, comments and the head hold no text; a head
     ends at its end tag or at the first thing that may not stand in it.
     """
     source = source or ""
@@ -77,7 +79,7 @@ def leaves(source: str | None) -> list[Leaf]:
     stack: list[tuple[str, Path]] = []
     opened: Counter[str] = Counter()  # open elements by name
     standing: Counter[str] = Counter()  # names on the path
-    root = Path()
+    root = Path() if root is None else root
     parts: list[str] = []
     linked = links = at = 0
 
@@ -104,7 +106,8 @@ def leaves(source: str | None) -> list[Leaf]:
             links -= tag == "a"
             opened[tag] -= 1
             if tag not in INLINE:
-                standing.subtract(path.names)
+                for name in path.names:
+                    standing[name] -= 1
         del stack[index:]
 
     def leave_head() -> None:
@@ -116,9 +119,13 @@ def leaves(source: str | None) -> list[Leaf]:
         nonlocal links
         path = stack[-1][1] if stack else root
         if tag not in INLINE:
-            names = _tokens(tag, attributes)
-            standing.update(names)
-            path = Path(path, names, tuple(standing[n] for n in names))
+            known = path.inside.get((tag, attributes))
+            if known is None:
+                names = _tokens(tag, attributes)
+                known = Path(path, names, tuple(standing[n] + 1 for n in names))
+                path.inside[tag, attributes] = known
+            path = known
+            standing.update(path.names)
         stack.append((tag, path))
         opened[tag] += 1
         links += tag == "a"
