@@ -65,7 +65,7 @@ def staging_path(spark: SparkSession, cfg: PipelineConfig) -> str:
 
 
 def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dimension, product: Dimension,
-                         path: str) -> tuple[DataFrame, Observation]:
+                         path: str) -> tuple[DataFrame, int]:
     """Check all raw orders once and write them to ``path`` as Parquet, one file a scan task.
 
     Both routes read their rows from there, so the CSV is parsed and checked
@@ -74,7 +74,7 @@ def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dim
     brings its silver columns along in this one shuffle join; one that fits is
     only probed here and joined again, without a shuffle, when silver is
     written, which keeps the staged rows narrow. Returns the staged rows and
-    an observation of the raw ``rows`` seen by the scan, which an empty scan never makes.
+    the number of raw rows seen by the scan.
     """
     limit = cfg.broadcast_limit
     rules = [PresentRule(UNREADABLE, "pedido_id"), *order_rules(
@@ -85,7 +85,9 @@ def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dim
     observed = read_raw_orders(spark, cfg).observe(seen, F.count(F.lit(1)).alias("rows"))
     flagged = check_rows(observed, rules).flagged()
     flagged.write.parquet(path)
-    return spark.read.schema(flagged.schema).parquet(path), seen
+    staged = spark.read.schema(flagged.schema).parquet(path)
+    # AQE drops an empty input from the plan, and its observation with it. Should rows have been lost, they are counted.
+    return staged, 0 if staged.isEmpty() else seen.get["rows"]
 
 
 def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
@@ -105,14 +107,12 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
     beside = version_config(cfg, version) if cfg.versioned else replace(cfg, base_uri=f"{run}/layers")
     beside, done = replace(beside, versioned=False), False
     try:
-        staged, seen = stage_checked_orders(spark, cfg, customer, product, f"{run}/checked")
+        staged, raw_rows = stage_checked_orders(spark, cfg, customer, product, f"{run}/checked")
         # At most one row per combination of the rules.
         reasons = {r[REASON]: r["qtd"] for r in reason_counts(staged).collect()}
         valid_rows = reasons.pop("", 0)
         rejected_rows = sum(reasons.values())
-        # AQE drops an empty input from the plan, and its observation with it.
-        raw_rows = seen.get["rows"] if valid_rows + rejected_rows else -1
-        if raw_rows != valid_rows + rejected_rows:
+        if not raw_rows or raw_rows != valid_rows + rejected_rows:
             # A recomputed scan task is observed twice; only a real count may fail the run.
             raw_rows = read_raw(spark, cfg, RAW_PEDIDOS, blank_missing=False).count()
         gates.require_join_conserved(raw_rows, valid_rows + rejected_rows)
