@@ -237,3 +237,6 @@ SELECT CASE WHEN tipo NOT IN (1, 2, 6) THEN pedido_id END AS pedido_id, CASE WHE
        CASE WHEN tipo IN (1, 2, 4, 6) THEN texto END AS linha_raw
 FROM linhas""",
 }
+
+# The audits by their SQL text give what the exported reports give.
+ORACLE |= {"audit_sql_q2": ORACLE["audit_reports_exported"], **{f"audit_sql_q{n}": ORACLE[f"audit_report_q{n}"] for n in range(3, 9)}}

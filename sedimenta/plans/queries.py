@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sedimenta.config import PipelineConfig
 from sedimenta.functions.numeric import money_sum, round2, safe_number
 from sedimenta.operators import audit, gates
+from sedimenta.operators.audit_sql import AUDIT_SQL, audit_by_sql
 from sedimenta.operators.gold import build_gold, gold_top
 from sedimenta.operators.quality import (
     BAD_QUANTITY, REASON, UNKNOWN_CUSTOMER, UNKNOWN_PRODUCT, CheckedRows, ExistsRule, PositiveRule, PresentRule,
@@ -323,6 +324,17 @@ def _exported(title: str) -> Query:
     return read_back
 
 
+def _by_sql(title: str) -> Query:
+    def of_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cfg = _published(spark, sf_dir)
+        create_catalog(spark, cfg)
+        return audit_by_sql(spark, cfg, title)
+
+    of_catalog.__name__ = f"audit_sql_{title.lower()}"
+    of_catalog.__doc__ = f"{title} by its SQL text, over the catalog of a published run."
+    return of_catalog
+
+
 def audit_text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q6 over catalog tables whose raw keys are written like ``7.0``: nothing is missing."""
     cfg = _scratch_config(spark)
@@ -467,6 +479,7 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     audit_quarantine_sample, audit_silver_validity, audit_validity_tampered, audit_silver_orphans,
     audit_orphans_tampered, orphan_detail_left_anti, audit_silver_vs_gold, audit_gold_lost_revenue,
     audit_files, audit_files_rows, *(_exported(f"Q{n}") for n in range(2, 9)),
+    *(_by_sql(title) for title in AUDIT_SQL),
     dq_text_keys, audit_text_keys, run_counts, silver_files_sorted,
     roundtrip_raw_csv, roundtrip_quarantine_json, roundtrip_silver_parquet,
     published_gold, published_silver, idempotent_overwrite, partition_append, catalog_quarantine_scan, versioned_rerun,

@@ -87,10 +87,10 @@ def test_customers(spark):
 
 def test_products(spark):
     rows = generate_products(spark, 62, 42).collect()
-    assert [r.nome_produto for r in rows[:13]][::12] == ["Notebook Basic", "Notebook Plus"]
-    assert rows[59].nome_produto == "Ventilador Ultra"
-    assert rows[60].nome_produto == "Notebook Basic #60"
-    assert rows[61].nome_produto == "Smartphone Basic #61"
+    assert [r.nome_produto for r in rows[:13]][::12] == ["Item x0 Line0", "Item x0 Line1"]
+    assert rows[59].nome_produto == "Item z3 Line4"
+    assert rows[60].nome_produto == "Item x0 Line0 #60"
+    assert rows[61].nome_produto == "Item x1 Line0 #61"
     for r in rows:
         _, low, high = PRODUCT_CATALOG[r.categoria]
         assert low <= r.preco <= high and round(r.preco, 2) == r.preco
