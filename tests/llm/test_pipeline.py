@@ -34,3 +34,33 @@ def test_each_stage_takes_effect_on_what_is_left(spark):
     whole = corpus_pipeline.run(spark, SMALL).collect()
     assert {(p.doc_id, p.doc_tokens) for p in whole} == {(p.doc_id, p.doc_tokens) for p in pieces}
     assert sum(p.length for p in whole) == sum(p.length for p in pieces)
+
+
+def tables(spark, folder, rows, labels):
+    """A folder with documents, of columns that the stages use inside too, and their labels."""
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, __row long, spans string, fp long, "
+                                "score double").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+
+
+def test_nulls_repeats_and_clashing_columns(spark, lake):
+    passage = "this long passage is in more than one of the texts and goes on and on " * 4
+    texts = [None, "", " \n ", "alone here " * 30, passage + "first end of it", "second start " + passage, "=" * 900, "word", "same text twice",
+             "same text twice"]
+    rows = [(n, t, "en", "s", n, 7, "x", 8, 0.5) for n, t in enumerate(texts)]
+    rows += [(None, "no id at all", None, None, None, None, None, None, None), rows[3], rows[3]]
+    tables(spark, lake, rows, [(n, 1, 0) for n in range(8)] + [(None, 1, 0), (3, None, None), (77, 0, 1)])
+    docs, kept = read_table(spark, lake, "documents"), None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, lake))
+        kept = docs.collect()
+        assert docs.columns == read_table(spark, lake, "documents").columns, name
+        assert {r.doc_id for r in kept} <= {None, *range(10)}
+    pieces = corpus_pipeline.run(spark, lake).collect()
+    assert {p.doc_id for p in pieces} == {r.doc_id for r in kept}
+    assert not {8, 9} <= {r.doc_id for r in kept}
+
+
+def test_an_empty_table_gives_no_piece(spark, lake):
+    tables(spark, lake, [], [])
+    assert corpus_pipeline.run(spark, lake).count() == 0
