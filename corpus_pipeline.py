@@ -1,4 +1,10 @@
-"""The corpus pipeline: toxicity, quality, near-dedup, repeated passages and packing of ``documents``."""
+"""The corpus pipeline: toxicity, quality, near-dedup, repeated passages and packing of ``documents``.
+
+Each stage works on all that the one before kept and returns the columns of documents, whatever they are called; the last one
+returns pieces. Defined results: a null or empty text is scored like any other, and packed as its end token. Of rows with equal
+texts one stays, that with the smallest id; rows with one id and one text stay or go together. A null id stays null. Without labels
+the classifiers give every document their prior, and an empty table gives no piece.
+"""
 
 from __future__ import annotations
 
