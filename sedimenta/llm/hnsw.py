@@ -8,9 +8,10 @@ that search the graph built so far; a batch takes every step of its beam
 search together. Vectors get one more part that gives all of a shard the same
 length, so that the largest inner product is the nearest point.
 
-Graphs are built once and written as rows of flat arrays. A task searches a group of
-shards for a block of queries, both of bounded size, and returns the best of the group
-for each query, so every query meets every shard. The best of all groups by (inner product, smaller id) are the result. The products are computed again in double
+Graphs are built once and written as rows of flat arrays. A task gets a group of them, of bounded size, and then the
+queries as a stream, block by block, and returns the best of the group for each query. Every query meets every group;
+a graph goes to one task, or to a few on a cluster with more cores than groups, however many queries there are. The
+best of all groups by (inner product, smaller id) are the result. The products are computed again in double
 precision on the vectors as given.
 
 Defined results: see ``vectors.usable_vectors`` for what takes part. Vectors of another length than a
@@ -21,6 +22,8 @@ fewer candidates, or its search met fewer. An empty table gives no rows.
 from __future__ import annotations
 
 import io
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,8 +35,8 @@ from sedimenta.llm.vectors import matrix, usable_vectors
 
 SHARD_ROWS = 4096
 LINKS, BEAM, WIDTH = 16, 96, 4
-# The most shards and queries of one task, about 2 MB and half a KB each at 64 parts.
-GROUP_SHARDS, QUERY_BLOCK = 16, 16384
+# The most shards a task holds and the most queries it searches at a time, about 2 MB and half a KB each at 64 parts.
+GROUP_SHARDS, QUERY_BLOCK = 64, 16384
 GRAPHS = "parts int, shard long, data binary"
 HITS = "query_rep long, vec_id long, score double"
 
@@ -264,6 +267,30 @@ def _search_group(shards: pd.DataFrame, queries: pd.DataFrame, k: int, beam: int
     return pd.DataFrame(dict(zip(["query_rep", "vec_id", "score"], best, strict=True)))
 
 
+def _search_stream(frames: Iterator[pd.DataFrame], search: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+                   block: int) -> Iterator[pd.DataFrame]:
+    """Hits of the queries of one task, whose rows come after those of its graphs."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        is_query = frame["is_query"].to_numpy(bool)
+        if not is_query.all():
+            held = [pd.concat([*held, frame.loc[~is_query, ["parts", "data"]]], ignore_index=True)]
+        asking = frame.loc[is_query, ["parts", "asking", "asked_v"]]
+        for first in range(0, len(asking) if held else 0, block):
+            for parts, queries in asking[first:first + block].groupby("parts"):
+                yield search(held[0][held[0]["parts"] == parts], queries)
+
+
+def _tasks(shards: int, queries: int, slots: int) -> tuple[int, int]:
+    """Groups of shards, and tasks among which the queries of one group are divided.
+
+    Groups grow in number with the shards once ``GROUP_SHARDS`` is reached. Below that, a graph is copied about a
+    sixteenth as often as a query, as it is some sixteen times larger for each row of the table.
+    """
+    groups = max(-(-shards // GROUP_SHARDS), min(shards, 4 * math.isqrt(slots)))
+    return groups, max(min(slots // groups, -(-queries // QUERY_BLOCK)), 1)
+
+
 def nearest(df: DataFrame, is_query: Column, k: int, shard_rows: int = SHARD_ROWS, beam: int = BEAM,
             links: int = LINKS) -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` nearest other rows to each row that ``is_query`` (of vec_id) marks."""
@@ -276,20 +303,23 @@ def nearest(df: DataFrame, is_query: Column, k: int, shard_rows: int = SHARD_ROW
     asked = vectors.where(is_query).select(F.col("vec_id").alias("query_id"), "v")
     asked = written(asked.join(entries.select("rep", "v"), "v").select("query_id", "rep"))
     queries = entries.join(asked.select("rep").distinct(), "rep", "left_semi").select(
-        F.col("rep").alias("asking"), F.col("v").alias("asked_v"), F.col("parts").alias("asked_parts"))
+        "parts", F.col("rep").alias("asking"), F.col("v").alias("asked_v"))
     placed = entries.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards)))
     graphs = written(placed.groupBy("parts", "shard").applyInPandas(
         lambda held: _build_shard(held, max(beam, k + 1), links), GRAPHS))
-    # Shards searched by one task, and queries: both bounded, so a task does not grow with the table.
-    size = min(GROUP_SHARDS, max(shards // 8, 1))
-    groups, blocks = -(-shards // size), max(-(-queries.count() // QUERY_BLOCK), 1)
-    held = graphs.select("parts", (F.col("shard") % groups).alias("group"), "data", F.explode(
-        F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    asking = queries.withColumn("asked_block", F.pmod(F.xxhash64(F.lit(1), "asking"), F.lit(blocks)).cast("int")).withColumn(
-        "asked_group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    hits = held.groupBy("parts", "group", "block").cogroup(
-        asking.groupBy("asked_parts", "asked_group", "asked_block")).applyInPandas(
-        lambda graph, part: _search_group(graph, part, k + 1, beam), HITS)
+    groups, copies = _tasks(shards, queries.count(), df.sparkSession.sparkContext.defaultParallelism)
+    group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    held = graphs.select(F.lit(False).alias("is_query"), "parts", "data", (F.col("shard") % groups).alias("group"),
+                         copy.alias("copy"))
+    asking = queries.select(F.lit(True).alias("is_query"), "*", F.pmod(
+        F.xxhash64(F.lit(1), "asking"), F.lit(copies)).alias("copy"), group.alias("group"))
+    # One task a partition: its graphs, then its queries.
+    dealt = held.unionByName(asking, allowMissingColumns=True).repartitionById(
+        groups * copies, (F.col("group") * copies + F.col("copy")).cast("int")).sortWithinPartitions("is_query", "asking")
+    block = QUERY_BLOCK
+    hits = dealt.select("is_query", "parts", "data", "asking", "asked_v").mapInPandas(
+        lambda frames: _search_stream(frames, lambda shard, part: _search_group(shard, part, k + 1, beam), block), HITS)
     order = [F.desc("score"), F.asc("vec_id")]
     merged = hits.withColumn("n", F.row_number().over(Window.partitionBy("query_rep").orderBy(*order))).where(
         F.col("n") <= k + 1)

@@ -101,3 +101,13 @@ def test_groups_of_shards_and_blocks_of_queries_give_the_same(spark, monkeypatch
     alone = answers(1, 1 << 20)
     monkeypatch.setattr(hnsw, "_search_group", searched)
     assert answers(4, 16) == alone and len(alone) > 0
+
+
+def test_graphs_are_not_copied_as_queries_grow():
+    assert hnsw._tasks(shards=13, queries=2564, slots=6) == (8, 1)
+    for queries in (10 ** 6, 10 ** 8):
+        groups, copies = hnsw._tasks(10 ** 4, queries, 64)
+        assert copies == 1 and -(-10 ** 4 // groups) <= hnsw.GROUP_SHARDS
+    groups, copies = hnsw._tasks(1000, 10 ** 6, 1024)
+    assert copies * 16 <= groups <= 1024 // copies
+    assert hnsw._tasks(1, 0, 8) == (1, 1)
