@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 GRAM = 64
@@ -39,10 +41,10 @@ def anchors(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndar
 
     Equal windows have equal grams, so the same places of them are anchors.
     Works on chunks of the bytes, so rows of any length need little memory. Returned are positions, hashes of
-    the grams, and hashes of all bytes that windows with this anchor can cover.
+    the grams, and begin and end of all bytes that windows with this anchor can cover.
     """
     reach = window - GRAM + 1
-    found, hashes, around = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    found, hashes, around = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros((0, 2), np.int64)]
     if window < GRAM:
         raise ValueError(f"a window has at least {GRAM} bytes")
     for first in range(0, len(data), CHUNK):
@@ -64,16 +66,15 @@ def anchors(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndar
         row = np.searchsorted(offsets, here, side="right") - 1
         begin = np.maximum(here - reach + 1, offsets[row])
         end = np.minimum(here + window, offsets[row + 1])
-        around.append(span_hashes(grams, begin - low, end - low, window + reach) ^ (here - begin).astype(np.uint64) * _FACTORS[1])
+        around.append(np.stack([begin, end], 1))
     return np.concatenate(found), np.concatenate(hashes), np.concatenate(around)
 
 
-def span_hashes(grams: np.ndarray, begin: np.ndarray, end: np.ndarray, longest: int) -> np.ndarray:
-    """A hash of the bytes of each span, from a gram to ``longest`` bytes long, from the grams that cover it."""
-    length = end - begin
-    held = length.astype(np.uint64) * _FACTORS[2]
-    for step in range(longest // GRAM + 1):
-        at = np.minimum(begin + step * GRAM, end - GRAM)
-        held = (held ^ grams[at]) * _FACTORS[step % len(_FACTORS)]
-        held ^= held >> np.uint64(32)
-    return held
+def segment_digests(data: np.ndarray, place: np.ndarray, around: np.ndarray, key: bytes) -> np.ndarray:
+    """A keyed digest of the bytes around each anchor and of where it stands in them.
+
+    Who writes the texts does not know the key, so nobody can make different bytes that count as equal.
+    """
+    held = memoryview(np.ascontiguousarray(data))
+    digests = b"".join([hashlib.blake2b(held[a:b], digest_size=8, key=key).digest() for a, b in around.tolist()])
+    return np.frombuffer(digests, "<u8") ^ (place - around[:, 0]).astype(np.uint64) * _FACTORS[1]

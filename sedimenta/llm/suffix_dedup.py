@@ -7,8 +7,8 @@ places that can match:
 
 1. Every window of ``length`` bytes has an anchor, its least gram by hash (see ``anchors``); equal windows have equal
    ones. Grams that occur once, most of them, end here.
-2. The bytes that windows of an anchor can cover are its segment. Segments that are equal byte for byte,
-   by two 64-bit hashes, repeat as a whole; one of them goes on in place of all, however many there are.
+2. The bytes that windows of an anchor can cover are its segment. Segments of one gram that are equal,
+   by a 64-bit digest under a key drawn for the run, repeat as a whole; one of them goes on in place of all, however many there are.
 3. The different segments of a gram meet in a shard. Grams with more than ``block`` different segments
    are cut into blocks, and every pair of blocks meets.
 4. A shard lays its segments out as one string, each byte of a document once, leaves out windows whose first or
@@ -25,6 +25,7 @@ length lose all of their bytes; an empty table gives no rows; other columns are
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 from functools import partial
 
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.llm.anchors import GRAM, anchors, gram_hashes
+from sedimenta.llm.anchors import GRAM, anchors, gram_hashes, segment_digests
 from sedimenta.llm.common import free_name, give_back, plain_text, release, text_blocks, utf8_bytes, written
 from sedimenta.llm.induced import DOUBLED, common_prefixes, suffix_array
 
@@ -63,13 +64,14 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     return written(docs.mapInArrow(partial(_number, name=name), schema)), name
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _anchors(batches: Iterator[pa.RecordBatch], length: int, key: bytes) -> Iterator[pa.RecordBatch]:
     for block in text_blocks(batches, "text", 2 << 20):
         data, offsets = utf8_bytes(plain_text(block.column("text")))
-        place, gram, segment = anchors(data, offsets, length)
+        place, gram, around = anchors(data, offsets, length)
         row = np.searchsorted(offsets, place, side="right") - 1
         low, high, inner = periodic_runs(data, place, gram, row, length)
-        place, gram, segment, row = place[~inner], gram[~inner], segment[~inner], row[~inner]
+        place, gram, row = place[~inner], gram[~inner], row[~inner]
+        segment = segment_digests(data, place, around[~inner], key)
         rows = block.column("row").to_numpy()
         yield pa.record_batch({
             "row": rows[row], "pos": (place - offsets[row]), "gram": gram.view(np.int64), "segment": segment.view(np.int64),
@@ -227,7 +229,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, block: int = BLOCK,
     if length < GRAM:
         raise ValueError(f"strings have at least {GRAM} bytes")
     spark = texts.sparkSession
-    found = written(texts.mapInArrow(partial(_anchors, length=length), "row long, pos long, gram long, segment long, high long"))
+    found = written(texts.mapInArrow(partial(_anchors, length=length, key=secrets.token_bytes(16)), "row long, pos long, gram long, segment long, high long"))
     runs = written(found.where("gram is null").select("row", F.col("pos").alias("low"), "high"))
     placed = found.where("gram is not null").drop("high")
     # Written, like `several` below: an aggregate right below a join would keep AQE from splitting its hot grams.

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from sedimenta.llm import induced, suffix_dedup
-from sedimenta.llm.anchors import anchors
+from sedimenta.llm.anchors import anchors, segment_digests
 
 
 def plain_order(text):
@@ -60,6 +60,20 @@ def test_equal_windows_share_an_anchor(monkeypatch):
         assert set.intersection(*held)
 
 
+def test_digests_tell_bytes_places_and_keys_apart():
+    rng = random.Random(9)
+    data = np.frombuffer(bytes(rng.randrange(97, 123) for _ in range(336)) * 2 + b"!" * 336, np.uint8)
+    around = np.array([[0, 336], [336, 672], [0, 336], [0, 335], [672, 1008]])
+    place = np.array([136, 472, 135, 136, 808])
+    held = segment_digests(data, place, around, b"one")
+    assert held[0] == held[1] and len(set(held.tolist())) == 4
+    other = data.copy()
+    other[200] ^= 1
+    assert segment_digests(other, place, around, b"one")[0] != held[0]
+    assert not set(segment_digests(data, place, around, b"two").tolist()) & set(held.tolist())
+    assert len(segment_digests(data, place[:0], around[:0], b"one")) == 0
+
+
 def plain(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = {}
