@@ -35,6 +35,8 @@ from sedimenta.llm.common import plain_text, text_blocks, utf8_bytes, words_of
 from sedimenta.llm.labelled import training_sample
 
 TRAINING_ROWS = 12_000
+# Bytes of text whose lines are scored at a time.
+TEXT_BYTES = 2 << 20
 SCORE = "__quality"
 FEATURES = 17
 
@@ -210,7 +212,7 @@ def _fit_scale(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _training_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in text_blocks(batches, "text"):
+    for block in text_blocks(batches, "text", TEXT_BYTES):
         features, size, offsets = line_features(plain_text(block.column("text")))
         both = np.hstack([features, size[:, None]]).astype("<f4")
         yield pa.record_batch({
@@ -245,7 +247,7 @@ def document_scores(texts: pa.Array, model: CrfModel) -> np.ndarray:
 
 
 def _score(batches: Iterator[pa.RecordBatch], text: str, model: CrfModel) -> Iterator[pa.RecordBatch]:
-    for block in text_blocks(batches, text):
+    for block in text_blocks(batches, text, TEXT_BYTES):
         yield block.append_column(SCORE, pa.array(document_scores(plain_text(block.column(text)), model)))
 
 

@@ -34,6 +34,8 @@ from sedimenta.llm.labelled import training_sample
 
 BITS = 20
 TRAINING_ROWS = 12_000
+# Bytes of text scored at a time: features take some twenty times as much.
+TEXT_BYTES = 4 << 20
 SCORE = "__toxicity"
 # Odd multipliers that spread word hashes over 64 bits, one for each place in a feature.
 FIRST, SECOND, SKIPPED = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -76,7 +78,7 @@ def features(hashes: np.ndarray, offsets: np.ndarray, bits: int) -> Iterator[tup
 
 
 def _training_features(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    for block in text_blocks(batches, "text"):
+    for block in text_blocks(batches, "text", TEXT_BYTES):
         hashes, offsets = word_hashes(plain_text(block.column("text")))
         found = [np.zeros(0, np.int64)]
         for row, index in features(hashes, offsets, bits):
@@ -129,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, bits: int
 
 def _score(batches: Iterator[pa.RecordBatch], text: str, model: FtrlModel) -> Iterator[pa.RecordBatch]:
     weights = model.dense()
-    for block in text_blocks(batches, text):
+    for block in text_blocks(batches, text, TEXT_BYTES):
         hashes, offsets = word_hashes(plain_text(block.column(text)))
         total = np.full(block.num_rows, model.bias)
         held = [np.zeros(0, np.int64)]
