@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.common import plain_text, text_blocks, written
-from sedimenta.llm.vocab import TEXT_BYTES, encode_by_words, load_tokenizer
+from sedimenta.llm.vocab import KEPT_BYTES, TEXT_BYTES, encode_by_words, load_tokenizer
 
 WINDOW = 2048
 END_ID = 1
@@ -31,11 +31,12 @@ STAGED = "doc_id long, part int, before long, doc_tokens long, ids binary"
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int, text_bytes: int, kept_bytes: int
+            ) -> Iterator[pa.RecordBatch]:
     tokenizer, part, before = load_tokenizer(path), TaskContext.get().partitionId(), 0
-    for block in text_blocks(batches, "text", TEXT_BYTES):
+    for block in text_blocks(batches, "text", text_bytes):
         ids = [np.append(row, end_id).astype("<u4").tobytes()
-               for row in encode_by_words(tokenizer, plain_text(block.column("text")))]
+               for row in encode_by_words(tokenizer, plain_text(block.column("text")), kept_bytes)]
         tokens = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         starts = before + np.cumsum(tokens) - tokens
         before += int(tokens.sum())
@@ -66,15 +67,22 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
             "ids": pa.array(cut, pa.binary())})
 
 
-def stage_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
+def stage_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, text_bytes: int = TEXT_BYTES,
+                 kept_bytes: int = KEPT_BYTES) -> DataFrame:
     """First pass: ids of every document (32-bit little endian) and the tokens before it in its partition."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return written(narrow.mapInArrow(partial(_encode, path=tokenizer_path, end_id=end_id), STAGED))
+    return written(narrow.mapInArrow(partial(
+        _encode, path=tokenizer_path, end_id=end_id, text_bytes=text_bytes, kept_bytes=kept_bytes), STAGED))
 
 
-def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """Pieces of the documents with their place in the stream; see the module for the rules."""
-    staged = stage_tokens(docs, tokenizer_path, end_id)
+def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, text_bytes: int = TEXT_BYTES,
+         kept_bytes: int = KEPT_BYTES) -> DataFrame:
+    """Pieces of the documents with their place in the stream; see the module for the rules.
+
+    ``text_bytes`` of text are encoded at a time, and a worker keeps ``kept_bytes`` of words for its next task. With less of
+    both, workers that other steps use too take less memory and encode more words again; the pieces are the same.
+    """
+    staged = stage_tokens(docs, tokenizer_path, end_id, text_bytes, kept_bytes)
     totals = staged.groupBy("part").agg(F.sum("doc_tokens").alias("tokens"))
     # One row for each partition of the input: the prefix sum over them is small.
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -48,9 +48,10 @@ def encode_strings(tokenizer, strings: list[str]) -> tuple[np.ndarray, np.ndarra
 
 
 class SeenWords:
-    """Short words a worker has encoded, with their ids, for the next block or task; started anew beyond ``KEPT_BYTES``."""
+    """Short words a worker has encoded, with their ids, for the next block or task; started anew beyond ``kept_bytes``."""
 
-    def __init__(self):
+    def __init__(self, kept_bytes: int | None = None):
+        self.kept_bytes = KEPT_BYTES if kept_bytes is None else kept_bytes
         self.words = pa.array([], pa.large_string())
         self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
@@ -67,19 +68,22 @@ class SeenWords:
         return every
 
     def keep(self, words: pa.Array, flat: np.ndarray, starts: np.ndarray) -> None:
-        if self.words.nbytes + words.nbytes + self.flat.nbytes + flat.nbytes + self.starts.nbytes + starts.nbytes > KEPT_BYTES:
-            self.__init__()
-        if words.nbytes + flat.nbytes + starts.nbytes <= KEPT_BYTES:
+        if self.words.nbytes + words.nbytes + self.flat.nbytes + flat.nbytes + self.starts.nbytes + starts.nbytes > self.kept_bytes:
+            self.__init__(self.kept_bytes)
+        if words.nbytes + flat.nbytes + starts.nbytes <= self.kept_bytes:
             self.words = pa.concat_arrays([self.words, words])
             self.starts = np.concatenate([self.starts, starts[1:] + len(self.flat)])
             self.flat = np.concatenate([self.flat, flat])
 
 
-def seen_words(tokenizer) -> SeenWords:
-    return _SEEN.setdefault(id(tokenizer), SeenWords())
+def seen_words(tokenizer, kept_bytes: int | None = None) -> SeenWords:
+    """What this worker keeps for a tokenizer, within the bound its present task names."""
+    seen = _SEEN.setdefault(id(tokenizer), SeenWords(kept_bytes))
+    seen.kept_bytes = KEPT_BYTES if kept_bytes is None else kept_bytes
+    return seen
 
 
-def encode_by_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
+def encode_by_words(tokenizer, texts: pa.Array, kept_bytes: int | None = None) -> Iterator[np.ndarray]:
     """The ids of every text. For a tokenizer that drops white space and never joins across it.
 
     No word and no special token crosses a space or a line feed, so the words between
@@ -87,7 +91,7 @@ def encode_by_words(tokenizer, texts: pa.Array) -> Iterator[np.ndarray]:
     """
     spaced = pc.replace_substring(texts, "\n", " ")
     codes, words, offsets = words_of(spaced)
-    flat, starts, row = seen_words(tokenizer).encode(tokenizer, words)
+    flat, starts, row = seen_words(tokenizer, kept_bytes).encode(tokenizer, words)
     return ragged_rows(flat, starts, row[codes], offsets)
 
 

@@ -157,6 +157,23 @@ def test_texts_with_double_spaces_take_bounded_memory():
         assert seen.words.nbytes + seen.flat.nbytes + seen.starts.nbytes <= vocab.KEPT_BYTES
 
 
+def test_pieces_do_not_depend_on_what_a_worker_keeps(documents):
+    docs = documents(ROWS * 3)
+    pieces = [sorted((p.sequence_id, p.offset, p.length, p.ids_crc32, p.start) for p in packing.digest(
+        packing.pack(docs, WORDS, 64, **sizes)).collect()) for sizes in ({}, {"text_bytes": 50, "kept_bytes": 100})]
+    assert pieces[0] == pieces[1]
+
+
+def test_the_kept_words_follow_the_bound_of_the_task():
+    tokenizer = load_tokenizer(WORDS)
+    texts = pa.array([" ".join(f"word{n}" for n in range(4000))], pa.large_string())
+    want = [ids.tolist() for ids in encode_by_words(tokenizer, texts)]
+    for kept in (1 << 10, 1 << 20, 0):
+        assert [ids.tolist() for ids in encode_by_words(tokenizer, texts, kept)] == want
+        seen = vocab.seen_words(tokenizer, kept)
+        assert seen.words.nbytes + seen.flat.nbytes + seen.starts.nbytes <= max(kept, 8)
+
+
 def test_files_are_ordered_by_number(spark):
     rows = [(f"file:/x/part-{n}-c000.txt", 0, 10) for n in ("99999", "100000", "00001")]
     records = spark.createDataFrame(rows, "path string, before long, n_tokens long")
