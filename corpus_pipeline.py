@@ -41,7 +41,8 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in windows of 2048 tokens."""
-    return packing.digest(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
+    # The workers have the other stages' memory to hold as well, so they keep less between their tasks than they would alone.
+    return packing.digest(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), text_bytes=8 << 20, kept_bytes=24 << 20))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
