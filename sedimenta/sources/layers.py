@@ -102,14 +102,17 @@ def read_raw_orders(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     keys = [f.name for f in PEDIDOS_TEXT if isinstance(f.dataType, T.LongType)]
     with_line = T.StructType([*text_schema(PEDIDOS_TEXT), T.StructField(CORRUPT, T.StringType())])
     scanned = _scan(spark, cfg, RAW_PEDIDOS, with_line)
+    # Each key is parsed once, in a projection of its own: both the typed column and the line depend on it.
+    parsed = scanned.select("*", *[whole_number(key).alias(f"__{key}") for key in keys])
     lost = F.lit(False)
     for key in keys:
         written = F.col(key).isNotNull() & ~F.col(key).isin(*NA_STRINGS)
-        lost = lost | (whole_number(key).isNull() & (written if key != "pedido_id" else F.lit(True)))
+        lost = lost | (F.col(f"__{key}").isNull() & (written if key != "pedido_id" else F.lit(True)))
     misfit = _does_not_fit(PEDIDOS_TEXT)
     line = F.when(misfit, F.col(CORRUPT)).when(
         lost, F.to_csv(F.struct(*PEDIDOS_TEXT.fieldNames()), FIELD_OPTIONS))
-    typed = typed_raw(scanned, PEDIDOS_TEXT, True, line.alias(RAW_LINE), misfit.alias("__misfit"))
+    columns = [F.col(f"__{f.name}").alias(f.name) if f.name in keys else _raw_column(f, True) for f in PEDIDOS_TEXT]
+    typed = parsed.select(*columns, line.alias(RAW_LINE), misfit.alias("__misfit"))
     return typed.withColumn("pedido_id", F.when(~F.col("__misfit"), F.col("pedido_id"))).drop("__misfit")
 
 
