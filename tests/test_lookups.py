@@ -10,6 +10,7 @@ from test_jobs import config, put_raw
 from sedimenta.operators.gates import DuplicateKeyError
 from sedimenta.operators.lookups import hot_keys, join_laid_out, lay_out, require_unique
 from sedimenta.plans.jobs import run_pipeline
+from sedimenta.plans.queries import _looked_up
 from sedimenta.sinks.layers import write_report
 
 
@@ -86,6 +87,24 @@ def test_edges(spark, customers, facts):
     require_unique(customers.frame(spark), "k")
 
 
+def test_orders_are_made_once_for_all_passes(spark, customers, facts, lake):
+    """Counting, hot keys and joins of both dimensions read the kept orders, not what the orders were made of."""
+    name = "other_" + "".join(c for c in lake if c.isalnum())
+    products = lay_out(spark.range(100).select(F.col("id").alias("p"), F.lit("z").alias("kind")), "p", name, f"{lake}/other", buckets=8)
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for batch in rows:
+            calls.add(batch.num_rows)
+            yield batch
+
+    orders = facts.withColumn("p", F.col("id") % 120).mapInArrow(seen, "id long, k long, p long")
+    joined = _looked_up(orders, customers, products, False)
+    assert joined.where("__p is null").count() == 12_000 // 6
+    assert joined.where("__k is null").count() == facts.where("k is null or k >= 500").count()
+    assert calls.value == 12_000
+
+
 # --- reports --------------------------------------------------------------------------------
 
 def test_reports_are_single_named_files(spark, lake):
