@@ -8,18 +8,25 @@ from pyspark.sql import functions as F
 from sedimenta.functions.numeric import money_sum, round2
 
 GOLD_KEYS = ("uf", "categoria")
+# Rows of one task of the distinct count: nearly each is an order of its own in the task's hash table.
+DISTINCT_ROWS = 1_000_000
 
 
-def build_gold(silver: DataFrame, drop_null_keys: bool = True) -> DataFrame:
+def build_gold(silver: DataFrame, drop_null_keys: bool = True, rows: int | None = None) -> DataFrame:
     """Orders, items, revenue and average ticket per (uf, categoria), highest revenue first.
 
     The average divides the unrounded revenue. Rows without a state or category
     are left out by default; the silver-to-gold audit then shows their revenue
     as a difference. Items are added as decimals; a total beyond a long is an error,
-    which a run meets before it publishes anything.
+    which a run meets before it publishes anything. ``rows``, about how many silver has, bounds the rows, and with them the
+    hash table, of a task: many are dealt by group and order to as many tasks as they need, where the tasks of a scan, or
+    of a join, would hold as many as their bytes allow.
     """
     if drop_null_keys:
         silver = silver.dropna(subset=list(GOLD_KEYS))
+    if rows and rows > DISTINCT_ROWS:
+        silver = silver.select(*GOLD_KEYS, "pedido_id", "quantidade", "valor_total").repartition(
+            -(-rows // DISTINCT_ROWS), *GOLD_KEYS, "pedido_id")
     totals = silver.groupBy(*GOLD_KEYS).agg(
         F.count_distinct("pedido_id").alias("qtd_pedidos"),
         F.coalesce(F.sum(F.col("quantidade").cast("decimal(38,0)")), F.lit(0)).cast("long").alias("qtd_itens"),

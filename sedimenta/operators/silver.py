@@ -78,12 +78,14 @@ def range_by_order(rows: DataFrame, min_files: int = 1, spread: str | None = Non
     """Range-partition by ``pedido_id``, so that locally sorted pieces make a globally sorted table.
 
     There are as many pieces as the session's shuffle partitions, merged by AQE
-    where small, or ``min_files`` if that is more. A column of distinct values
+    where small, which keeps all cores busy, or ``min_files`` if that is more than the partitions or the cores: AQE
+    merges by bytes, and the rows of a merged piece may be many. A column of distinct values
     named by ``spread`` breaks ties, so the copies of one order id can span
     many pieces.
     """
     ranges = [F.col(k).asc_nulls_last() for k in ("pedido_id", spread) if k]
-    session_partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if min_files > session_partitions:
+    spark = rows.sparkSession
+    session_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if min_files > min(session_partitions, spark.sparkContext.defaultParallelism):
         return rows.repartitionByRange(min_files, *ranges)
     return rows.repartitionByRange(*ranges)

@@ -35,6 +35,8 @@ from sedimenta.sources.layers import read_layer, read_raw, read_raw_orders, requ
 
 # Rows in a quarantine file.
 QUARANTINE_ROWS = 4_000_000
+# Rows that one task sorts for silver.
+SORTED_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -119,7 +121,7 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
 
         write_quarantine(beside, staged, rejected_rows)
         write_silver(spark, beside, staged, valid_rows, customer, product)
-        gold = build_gold(read_layer(spark, beside, SILVER_TABLE), cfg.drop_null_gold_keys)
+        gold = build_gold(read_layer(spark, beside, SILVER_TABLE), cfg.drop_null_gold_keys, valid_rows)
         write_partition(gold, beside, GOLD_TABLE)
         if cfg.order_sketches:
             write_partition(order_sketches(read_layer(spark, beside, SILVER_TABLE), cfg.drop_null_gold_keys), beside, GOLD_SKETCHES)
@@ -164,7 +166,7 @@ def write_silver(spark: SparkSession, cfg: PipelineConfig, staged: DataFrame, va
         # A hash of the staged row's place is unique and the same after a retry, so
         # equal rows spread over the sorted files.
         place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__place")
-        files = -(-valid_rows // cfg.silver_rows_per_file)
+        files = -(-valid_rows // min(cfg.silver_rows_per_file, SORTED_ROWS))
         valid = range_by_order(valid.select("*", place), files, spread="__place")
     silver = silver_projection(join_dimensions(valid, customer, product, cfg.broadcast_limit))
     write_partition(silver.sortWithinPartitions(F.asc_nulls_last("pedido_id")), cfg, SILVER_TABLE)

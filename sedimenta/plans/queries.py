@@ -23,7 +23,7 @@ from sedimenta.operators.sketches import distinct_orders, relative_error
 from sedimenta.operators.silver import (
     CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, build_silver, measure_order_dimensions, silver_projection,
 )
-from sedimenta.plans.jobs import run_audit, run_process, write_raw
+from sedimenta.plans.jobs import SORTED_ROWS, run_audit, run_process, write_raw
 from sedimenta.schemas import (
     GOLD_TABLE, PEDIDOS, QUARANTINE_TABLE, RAW_CLIENTES, RAW_LINE, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_COLUMNS, SILVER_TABLE,
 )
@@ -36,6 +36,8 @@ from sedimenta.sources.scratch import new_scratch
 INGEST_DATE = "2026-09-20"
 NEXT_DATE = "2026-09-21"
 SAMPLE_SEED, SAMPLE_RATE = 42, 0.03
+# Rows of a file whose order is looked at together.
+ORDER_BLOCK = 1 << 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -145,8 +147,13 @@ def silver_from_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_silver(valid, raw.clientes, raw.produtos, "linha")
 
 
+def _order_lines(spark: SparkSession, sf_dir: str) -> int:
+    """About as many rows as silver has, from the footers of the files."""
+    return read_table(spark, sf_dir, "lineitem").count()
+
+
 def gold_uf_categoria(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_gold(_silver(spark, sf_dir))
+    return build_gold(_silver(spark, sf_dir), rows=_order_lines(spark, sf_dir))
 
 
 def gold_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +162,7 @@ def gold_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold that keeps the groups without a state."""
-    return build_gold(_without_some_states(spark, sf_dir), drop_null_keys=False)
+    return build_gold(_without_some_states(spark, sf_dir), drop_null_keys=False, rows=_order_lines(spark, sf_dir))
 
 
 def _without_some_states(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,11 +402,22 @@ def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_files_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the published silver layer, and how many come after a larger order id in their own file."""
-    rows = read_layer(spark, _published(spark, sf_dir), SILVER_TABLE).select(
-        "pedido_id", F.col("_metadata.file_path").alias("arquivo"), F.col("_metadata.row_index").alias("lugar"))
-    before = F.lag("pedido_id").over(Window.partitionBy("arquivo").orderBy("lugar"))
+    return _out_of_order(read_layer(spark, _published(spark, sf_dir), SILVER_TABLE))
+
+
+def _out_of_order(silver: DataFrame, block: int = ORDER_BLOCK, task_rows: int = SORTED_ROWS) -> DataFrame:
+    """Files are looked at in blocks of rows. The last row of a block also opens the next one, where it is not counted."""
+    place = F.col("_metadata.row_index")
+    opens = F.when((place + 1) % block == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = silver.select("pedido_id", F.col("_metadata.file_name").alias("arquivo"), place.alias("lugar"),
+                         F.explode(opens).alias("seguinte"))
+    rows = rows.withColumn("bloco", F.floor(F.col("lugar") / block) + F.col("seguinte"))
+    rows = rows.repartition(-(-silver.count() // task_rows) or 1, "arquivo", "bloco")
+    before = F.lag("pedido_id").over(Window.partitionBy("arquivo", "bloco").orderBy("lugar"))
+    own = F.col("seguinte") == 0
     return rows.withColumn("antes", before).agg(
-        F.count(F.lit(1)).alias("linhas"), F.count(F.when(F.col("antes") > F.col("pedido_id"), 1)).alias("fora_de_ordem"))
+        F.count(F.when(own, 1)).alias("linhas"),
+        F.count(F.when(own & (F.col("antes") > F.col("pedido_id")), 1)).alias("fora_de_ordem"))
 
 
 def roundtrip_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,11 @@ import __spark_entry__ as contract
 from sedimenta.config import PipelineConfig
 from sedimenta.operators.audit import silver_orphans
 from sedimenta.operators.quality import check_and_enrich, check_orders
+from sedimenta.operators import gold
+from sedimenta.operators.gold import build_gold
+from sedimenta.plans import jobs
 from sedimenta.plans.jobs import run_process, staging_path, write_raw
+from sedimenta.plans.queries import _out_of_order
 from sedimenta.schemas import GOLD_TABLE, QUARANTINE_TABLE, SILVER_TABLE
 from sedimenta.session import recommended_conf
 from sedimenta.sources.catalog import catalog_layers, create_catalog
@@ -195,6 +199,33 @@ def test_more_rows_make_more_silver_files(spark, lake):
     assert len(list(Path(cfg.partition_path(SILVER_TABLE)).glob("*.parquet"))) == -(-report.silver // 5_000)
 
 
+def test_rows_of_a_task_are_bounded_whatever_their_bytes(spark, lake, monkeypatch):
+    """One task neither sorts more rows of silver than set, nor counts the orders of more, although AQE would merge them."""
+    monkeypatch.setattr(jobs, "SORTED_ROWS", 500)
+    monkeypatch.setattr(gold, "DISTINCT_ROWS", 500)
+    whole = build_gold(read_layer(spark, run(spark, lake)[0], SILVER_TABLE)).collect()
+    cfg, report = run(spark, lake)
+    files = list(Path(cfg.partition_path(SILVER_TABLE)).glob("*.parquet"))
+    assert report.silver > 8 * 500 and len(files) == -(-report.silver // 500)
+    silver = read_layer(spark, cfg, SILVER_TABLE)
+    dealt = build_gold(silver, rows=report.silver)
+    assert dealt.collect() == whole == read_layer(spark, cfg, GOLD_TABLE).orderBy(
+        F.desc("receita_total"), "uf", "categoria").collect()
+    assert f", {-(-report.silver // 500)})" in plan(dealt) and "REPARTITION_BY_NUM" in plan(dealt)
+
+
+def test_order_of_files_is_seen_across_blocks(spark, lake):
+    """Rows before a smaller one are found inside blocks and where blocks meet, however the rows are dealt."""
+    ids = [1, 5, 5, 4, 9, 3, 3, 8, None, 2, 7, 6]
+    spark.createDataFrame([(i,) for i in ids], "pedido_id long").coalesce(1).write.parquet(f"{lake}/one")
+    spark.createDataFrame([(i,) for i in (0, 9, 8)], "pedido_id long").coalesce(1).write.mode("append").parquet(f"{lake}/one")
+    rows = spark.read.parquet(f"{lake}/one")
+    expected = sum(a is not None and b is not None and a > b for a, b in zip(ids, ids[1:])) + 1
+    for block in (1, 2, 3, 5, 12, 100):
+        for task_rows in (2, 1000):
+            assert tuple(_out_of_order(rows, block, task_rows).first()) == (15, expected)
+
+
 def test_audit_scans_are_pruned_to_the_date(spark, lake):
     cfg, _ = run(spark, lake)
     create_catalog(spark, cfg)
