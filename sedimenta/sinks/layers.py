@@ -41,7 +41,7 @@ def _one_line(field: T.StructField) -> Column:
     if not isinstance(field.dataType, T.StringType):
         return value
     message = F.concat(F.lit(f"line break in {field.name}: "), F.left(value, F.lit(100)))
-    return F.when(value.rlike("[\\r\\n]"), F.raise_error(message)).otherwise(value).alias(field.name)
+    return F.when(F.contains(value, F.lit("\n")) | F.contains(value, F.lit("\r")), F.raise_error(message)).otherwise(value).alias(field.name)
 
 
 def quarantine_projection(rejected: DataFrame, raw_text: bool = True) -> DataFrame:
