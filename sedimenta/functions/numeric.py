@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 LONG_CENTS = 9e16
 
-# All texts that a cast takes, and few others. Any other text costs ``try_cast`` an exception, some 15 times the work of a number,
+# All texts that a cast takes, and few others. Any other text costs ``try_cast`` an exception, far more work than a number,
 # so it is told by its form. Blanks and control characters around a number belong to it; decimals may have digits of any script.
 _BLANK = "[\\x00-\\x20\\x7F]*"
 WHOLE_TEXT = f"^{_BLANK}[+-]?[0-9]+{_BLANK}$"
