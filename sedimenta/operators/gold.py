@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from sedimenta.functions.numeric import money_sum, round2
 
 GOLD_KEYS = ("uf", "categoria")
-# Rows of one task of the distinct count: nearly each is an order of its own in the task's hash table.
-DISTINCT_ROWS = 1_000_000
+# Rows of one task of the distinct count: nearly each is an order of its own in the task's hash tables.
+DISTINCT_ROWS = 250_000
+# Rows of so many tasks are not worth a shuffle of their own.
+UNDEALT_TASKS = 4
 
 
 def build_gold(silver: DataFrame, drop_null_keys: bool = True, rows: int | None = None) -> DataFrame:
@@ -24,7 +26,7 @@ def build_gold(silver: DataFrame, drop_null_keys: bool = True, rows: int | None
     """
     if drop_null_keys:
         silver = silver.dropna(subset=list(GOLD_KEYS))
-    if rows and rows > DISTINCT_ROWS:
+    if rows and rows > UNDEALT_TASKS * DISTINCT_ROWS:
         silver = silver.select(*GOLD_KEYS, "pedido_id", "quantidade", "valor_total").repartition(
             -(-rows // DISTINCT_ROWS), *GOLD_KEYS, "pedido_id")
     totals = silver.groupBy(*GOLD_KEYS).agg(

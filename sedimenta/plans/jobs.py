@@ -35,8 +35,8 @@ from sedimenta.sources.layers import read_layer, read_raw, read_raw_orders, requ
 
 # Rows in a quarantine file.
 QUARANTINE_ROWS = 4_000_000
-# Rows that one task sorts for silver.
-SORTED_ROWS = 1_000_000
+# Rows that one task sorts for silver, beside the broadcast dimensions that it holds.
+SORTED_ROWS = 500_000
 
 
 @dataclass(frozen=True)

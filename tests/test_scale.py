@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from sedimenta.config import PipelineConfig
 from sedimenta.operators.audit import silver_orphans
-from sedimenta.operators.quality import check_and_enrich, check_orders
+from sedimenta.operators.quality import REASON, check_and_enrich, check_orders
 from sedimenta.operators import gold
 from sedimenta.operators.gold import build_gold
+from sedimenta.operators.silver import measure_order_dimensions
 from sedimenta.plans import jobs
 from sedimenta.plans.jobs import run_process, staging_path, write_raw
 from sedimenta.plans.queries import _out_of_order
-from sedimenta.schemas import GOLD_TABLE, QUARANTINE_TABLE, SILVER_TABLE
+from sedimenta.schemas import GOLD_TABLE, PEDIDOS_TEXT, QUARANTINE_TABLE, SILVER_TABLE
 from sedimenta.session import recommended_conf
 from sedimenta.sources.catalog import catalog_layers, create_catalog
 from sedimenta.sources.layers import read_layer
@@ -214,6 +215,21 @@ def test_rows_of_a_task_are_bounded_whatever_their_bytes(spark, lake, monkeypatc
     assert f", {-(-report.silver // 500)})" in plan(dealt) and "REPARTITION_BY_NUM" in plan(dealt)
 
 
+def test_a_run_of_millions_is_cut_in_small_tasks(spark, lake, monkeypatch):
+    """What the audits of a run share: silver sorts half a million rows a task, gold counts the orders of a quarter."""
+    cfg, _ = run(spark, lake)
+    cut = []
+    monkeypatch.setattr(jobs, "range_by_order", lambda rows, files, spread: cut.append(files) or rows)
+    staged = spark.createDataFrame([], f"{PEDIDOS_TEXT.simpleString()[7:-1]},{REASON}:string".replace(":", " "))
+    staged.write.parquet(f"{lake}/staged")
+    dims = measure_order_dimensions(*dimensions(spark))
+    jobs.write_silver(spark, cfg, spark.read.parquet(f"{lake}/staged"), 3_000_000, *dims)
+    assert cut == [6]
+    silver = read_layer(spark, cfg, SILVER_TABLE)
+    assert ", 12), REPARTITION_BY_NUM" in plan(build_gold(silver, rows=3_000_000))
+    assert "REPARTITION_BY_NUM" not in plan(build_gold(silver, rows=1_000_000))
+
+
 def test_order_of_files_is_seen_across_blocks(spark, lake):
     """Rows before a smaller one are found inside blocks and where blocks meet, however the rows are dealt."""
     ids = [1, 5, 5, 4, 9, 3, 3, 8, None, 2, 7, 6]
