@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.numeric import money_sum, round2
+from sedimenta.operators.silver import tasks_for
 
 GOLD_KEYS = ("uf", "categoria")
 # Rows of one task of the distinct count: nearly each is an order of its own in the task's hash tables.
@@ -28,7 +29,7 @@ def build_gold(silver: DataFrame, drop_null_keys: bool = True, rows: int | None
         silver = silver.dropna(subset=list(GOLD_KEYS))
     if rows and rows > UNDEALT_TASKS * DISTINCT_ROWS:
         silver = silver.select(*GOLD_KEYS, "pedido_id", "quantidade", "valor_total").repartition(
-            -(-rows // DISTINCT_ROWS), *GOLD_KEYS, "pedido_id")
+            tasks_for(rows, DISTINCT_ROWS), *GOLD_KEYS, "pedido_id")
     totals = silver.groupBy(*GOLD_KEYS).agg(
         F.count_distinct("pedido_id").alias("qtd_pedidos"),
         F.coalesce(F.sum(F.col("quantidade").cast("decimal(38,0)")), F.lit(0)).cast("long").alias("qtd_itens"),

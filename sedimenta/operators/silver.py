@@ -74,6 +74,18 @@ def build_silver(valid: DataFrame, clientes: DataFrame, produtos: DataFrame, *ex
     return silver_projection(joined, *extra)
 
 
+# A shuffle to so many partitions is written as the rows come (spark.shuffle.sort.bypassMergeThreshold); for more, a task
+# holds the rows that it writes.
+UNHELD_PARTITIONS = 200
+# Rows of a task where there are more partitions than that.
+MOST_ROWS = 1_000_000
+
+
+def tasks_for(rows: int, few: int, most: int = MOST_ROWS) -> int:
+    """Tasks of ``few`` rows as far as the shuffle to them holds no rows itself, of more, up to ``most``, beyond."""
+    return max(-(-rows // most), min(-(-rows // few), UNHELD_PARTITIONS))
+
+
 def range_by_order(rows: DataFrame, min_files: int = 1, spread: str | None = None) -> DataFrame:
     """Range-partition by ``pedido_id``, so that locally sorted pieces make a globally sorted table.
 

@@ -21,8 +21,8 @@ from sedimenta.operators.quality import (
 )
 from sedimenta.operators.sketches import order_sketches
 from sedimenta.operators.silver import (
-    CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, join_dimensions, measure_order_dimensions, range_by_order,
-    silver_projection,
+    CUSTOMER_ATTRIBUTES, MOST_ROWS, PRODUCT_ATTRIBUTES, join_dimensions, measure_order_dimensions, range_by_order,
+    silver_projection, tasks_for,
 )
 from sedimenta.schemas import (
     DERIVED_TABLES, GOLD_SKETCHES, GOLD_TABLE, QUARANTINE_TABLE, RAW_CLIENTES, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_TABLE,
@@ -35,7 +35,7 @@ from sedimenta.sources.layers import read_layer, read_raw, read_raw_orders, requ
 
 # Rows in a quarantine file.
 QUARANTINE_ROWS = 4_000_000
-# Rows that one task sorts for silver, beside the broadcast dimensions that it holds.
+# Rows that one task sorts for silver, beside the broadcast dimensions that it holds; of a large table see ``tasks_for``.
 SORTED_ROWS = 500_000
 
 
@@ -166,7 +166,8 @@ def write_silver(spark: SparkSession, cfg: PipelineConfig, staged: DataFrame, va
         # A hash of the staged row's place is unique and the same after a retry, so
         # equal rows spread over the sorted files.
         place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__place")
-        files = -(-valid_rows // min(cfg.silver_rows_per_file, SORTED_ROWS))
+        most = cfg.silver_rows_per_file
+        files = tasks_for(valid_rows, min(most, SORTED_ROWS), min(most, MOST_ROWS))
         valid = range_by_order(valid.select("*", place), files, spread="__place")
     silver = silver_projection(join_dimensions(valid, customer, product, cfg.broadcast_limit))
     write_partition(silver.sortWithinPartitions(F.asc_nulls_last("pedido_id")), cfg, SILVER_TABLE)

@@ -14,7 +14,7 @@ from sedimenta.operators.audit import silver_orphans
 from sedimenta.operators.quality import REASON, check_and_enrich, check_orders
 from sedimenta.operators import gold
 from sedimenta.operators.gold import build_gold
-from sedimenta.operators.silver import measure_order_dimensions
+from sedimenta.operators.silver import measure_order_dimensions, tasks_for
 from sedimenta.plans import jobs
 from sedimenta.plans.jobs import run_process, staging_path, write_raw
 from sedimenta.plans.queries import _out_of_order
@@ -230,6 +230,13 @@ def test_a_run_of_millions_is_cut_in_small_tasks(spark, lake, monkeypatch):
     assert "REPARTITION_BY_NUM" not in plan(build_gold(silver, rows=1_000_000))
 
 
+def test_a_shuffle_to_more_tasks_does_not_make_its_writers_hold_rows():
+    """Up to 200 partitions are written as the rows come, so up to 200 million rows make no more; a task never has over a million."""
+    assert [tasks_for(n, 250_000) for n in (0, 1, 1_000_000, 36_000_000, 72_000_000, 200_000_000, 200_000_001)] == [
+        0, 1, 4, 144, 200, 200, 201]
+    assert tasks_for(10 ** 11, 250_000) == 10 ** 5 and tasks_for(36_000_000, 5_000, 5_000) == 7_200
+
+
 def test_order_of_files_is_seen_across_blocks(spark, lake):
     """Rows before a smaller one are found inside blocks and where blocks meet, however the rows are dealt."""
     ids = [1, 5, 5, 4, 9, 3, 3, 8, None, 2, 7, 6]
