@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import gc
 import os
 from collections.abc import Iterator
@@ -71,9 +72,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@functools.cache
+def _freeze() -> None:
+    gc.freeze()
+
+
 def give_back() -> None:
-    """Return freed memory to the system: a Python worker waits for its next task with all it ever held."""
+    """Return freed memory to the system: a Python worker waits for its next task with all it ever held.
+
+    What a worker holds at its first call, mostly imported modules, is not searched for garbage again.
+    """
     gc.collect()
+    _freeze()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not every C library can
         ctypes.CDLL(None).malloc_trim(0)

@@ -184,8 +184,9 @@ def _induce(text: np.ndarray, wanted: np.ndarray, seeds: np.ndarray, range_of: n
         if len(before):
             target = range_of[before]
             order, starts = _runs_of(target)
-            for part in np.split(before[order], starts[1:]):
-                queue.push(int(range_of[part[0]]), part)
+            dealt, cuts = before[order], [*starts.tolist(), len(order)]
+            for at, begin, end in zip(target[order[starts]].tolist(), cuts[:-1], cuts[1:], strict=True):
+                queue.push(at, dealt[begin:end])
     queue.close()
     return out
 

@@ -9,8 +9,10 @@ places that can match:
    ones. Grams that occur once, most of them, end here.
 2. The bytes that windows of an anchor can cover are its segment. Segments of one gram that are equal,
    by a 64-bit digest under a key drawn for the run, repeat as a whole; one of them goes on in place of all, however many there are.
-3. The different segments of a gram meet in a shard. Grams with more than ``block`` different segments
-   are cut into blocks, and every pair of blocks meets.
+3. The different segments of a gram meet in a shard. Those of a gram with more than ``block`` of them are narrowed first (see
+   ``_narrowed``): to the windows that start at some of the places before the gram, in groups that share the bytes which all of
+   these windows hold. Step 2 follows for each group, and groups that are still too large are narrowed again, down to single
+   windows, which are equal in a group. So the work grows with the segments and not with their pairs.
 4. A shard lays its segments out as one string, each byte of a document once, leaves out windows whose first or
    last 128 bytes occur nowhere else in the shard, and sorts the suffixes of the rest (``induced``). Windows that share
    ``length`` bytes with their neighbour in the order repeat.
@@ -27,11 +29,12 @@ from __future__ import annotations
 import hashlib
 import secrets
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -39,12 +42,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.llm.anchors import GRAM, anchors, gram_hashes, segment_digests
-from sedimenta.llm.common import free_name, give_back, plain_text, release, text_blocks, utf8_bytes, written
+from sedimenta.llm.common import free_name, give_back, plain_text, release, take_ragged, text_blocks, utf8_bytes, written
 from sedimenta.llm.induced import DOUBLED, common_prefixes, suffix_array
 
 LENGTH = 200
 BLOCK = 1024
 SHARD_SEGMENTS = 6000
+# Parts that the windows of a large group are dealt to at a time, and segments whose bytes are hashed together.
+PARTS, HASHED = 12, 2048
 INNER = 128
 # Spans that start in one such part of a text are merged before the spans of the text meet.
 CHUNK_BITS = 20
@@ -114,17 +119,80 @@ def periodic_runs(data: np.ndarray, place: np.ndarray, gram: np.ndarray, row: np
     return np.array(low, np.int64), np.array(high, np.int64), inner
 
 
-def _cut_segments(batches: Iterator[pa.RecordBatch], length: int, shards: int) -> Iterator[pa.RecordBatch]:
-    """The bytes around the wanted anchors of each text, packed for the shards they go to."""
+def _held(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The bytes of the segments around the wanted anchors of each text, as groups of all their windows for ``_narrowed``."""
+    for block in text_blocks(batches, "text", 2 << 20):
+        data, offsets = utf8_bytes(plain_text(block.column("text")))
+        wanted = block.column("wanted")
+        owner = np.repeat(np.arange(block.num_rows), np.diff(wanted.offsets.to_numpy()))
+        every, rows = wanted.flatten().to_numpy(), block.column("row").to_numpy()
+        for begin in range(0, len(every), HASHED):
+            pos, text = every[begin:begin + HASHED], owner[begin:begin + HASHED]
+            lead, start = np.minimum(pos, length - GRAM), offsets[text]
+            end = np.minimum(start + pos + length, offsets[text + 1])
+            yield pa.record_batch({
+                "row": rows[text], "pos": pos, "first": pa.array(np.zeros(len(pos), np.int32)),
+                "last": pa.array(np.full(len(pos), length - GRAM + 1, np.int32)), "lead": pa.array(lead, pa.int32()),
+                "data": _pieces(data, start + pos - lead, end)})
+
+
+def _pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes from each start to its end, as a binary column."""
+    flat, cuts = take_ragged(data, np.append(np.stack([start, end], 1).ravel(), 0), 2 * np.arange(len(start)))
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(flat)])
+
+
+def _narrowed(batches: Iterator[pa.RecordBatch], length: int, key: bytes) -> Iterator[pa.RecordBatch]:
+    """Segments of large groups, each as its parts: some of the windows, their group and a digest of their bytes.
+
+    A part holds the windows that start from ``first`` up to before ``last`` bytes before the anchor. Its group is a hash of the bytes that all of
+    these hold, so equal windows stay together. Both hashes are sums of the bytes times secret numbers of their places, which lie
+    at the same distance from the anchor in all members of a group: who does not know the numbers makes
+    two parts that are wrongly taken as equal with a chance of 2**-56.
+    """
+    reach = length - GRAM + 1
+    width = reach - 1 + length  # column reach - 1 is the anchor's
+    secret = np.frombuffer(hashlib.shake_256(key).digest(8 * (width + 3)), "<u8")
+    for batch in batches:
+        for begin in range(0, batch.num_rows, HASHED):
+            part = batch.slice(begin, HASHED)
+            first, last, lead = (part.column(c).to_numpy().astype(np.int64) for c in ("first", "last", "lead"))
+            size = pc.binary_length(part.column("data")).to_numpy().astype(np.int64)
+            starts = np.cumsum(size) - size
+            flat = np.frombuffer(b"".join(part.column("data").to_pylist()), np.uint8)
+            tail, every = size - lead, np.arange(len(size))
+            sums = np.zeros((len(size), width + 1), np.uint64)
+            column = np.arange(len(flat)) + np.repeat(reach - 1 - lead - starts, size)
+            sums[np.repeat(every, size), column + 1] = flat * secret[column]
+            np.cumsum(sums, axis=1, out=sums)
+            step = -(-(last - first) // PARTS)
+            for number in range(PARTS):
+                low = first + number * step
+                high = np.minimum(low + step, last)
+                good = np.flatnonzero((low < high) & (np.maximum(low, length - tail) < np.minimum(high, lead + 1)))
+                a, b, w = low[good], high[good], reach - 1
+                before, after = np.minimum(lead[good], b - 1), np.minimum(tail[good], length - a)
+                core = sums[good, w + length - b + 1] - sums[good, w - a] + secret[-1] * a.astype(np.uint64)
+                whole = (sums[good, w + after] - sums[good, w - before] + secret[-2] * before.astype(np.uint64)
+                         + secret[-3] * after.astype(np.uint64))
+                middle = starts[good] + lead[good]
+                yield pa.record_batch({
+                    "key": core.view(np.int64), "segment": whole.view(np.int64),
+                    "row": part.column("row").take(pa.array(good)), "pos": part.column("pos").take(pa.array(good)),
+                    "first": pa.array(a, pa.int32()), "last": pa.array(b, pa.int32()), "lead": pa.array(before, pa.int32()),
+                    "data": _pieces(flat, middle - before, middle + after)})
+
+
+def _cut_segments(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """The wanted bytes of each text, packed for the shards they go to."""
     for block in text_blocks(batches, "text", 2 << 20):
         data, offsets = utf8_bytes(plain_text(block.column("text")))
         rows = block.column("row").to_numpy()
         wanted = block.column("wanted")
         owner = np.repeat(np.arange(block.num_rows), np.diff(wanted.offsets.to_numpy()))
-        pos = wanted.flatten().field("pos").to_numpy()
         shard = wanted.flatten().field("shard").to_numpy()
-        start = np.maximum(pos - (length - GRAM), 0) + offsets[owner]
-        end = np.minimum(pos + length + offsets[owner], offsets[owner + 1])
+        start = wanted.flatten().field("low").to_numpy() + offsets[owner]
+        end = np.minimum(wanted.flatten().field("high").to_numpy() + offsets[owner], offsets[owner + 1])
         order = np.argsort(shard, kind="stable")
         cuts = np.flatnonzero(np.concatenate([[True], shard[order][1:] != shard[order][:-1]])) if len(order) else []
         ids, blobs = [], []
@@ -166,7 +234,7 @@ def promising(data: np.ndarray, offsets: np.ndarray, length: int) -> np.ndarray:
     room = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(data))
     at = np.flatnonzero(room >= inner)
     held = (grams[at] * np.uint64(0x9E3779B97F4A7C15)) ^ grams[at + inner - GRAM]
-    order = np.argsort(held, kind="stable")
+    order = np.argsort(held)
     ranked = held[order]
     same = ranked[1:] == ranked[:-1]
     twice = np.zeros(len(data), bool)
@@ -229,7 +297,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, block: int = BLOCK,
     if length < GRAM:
         raise ValueError(f"strings have at least {GRAM} bytes")
     spark = texts.sparkSession
-    found = written(texts.mapInArrow(partial(_anchors, length=length, key=secrets.token_bytes(16)), "row long, pos long, gram long, segment long, high long"))
+    key = secrets.token_bytes(16)
+    found = written(texts.mapInArrow(partial(_anchors, length=length, key=key), "row long, pos long, gram long, segment long, high long"))
     runs = written(found.where("gram is null").select("row", F.col("pos").alias("low"), "high"))
     placed = found.where("gram is not null").drop("high")
     # Written, like `several` below: an aggregate right below a join would keep AQE from splitting its hot grams.
@@ -248,21 +317,46 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, block: int = BLOCK,
     varied = written(entries.join(several, "gram").select("gram", "many", "first.row", "first.pos"))
     release(spark, shared, entries)
 
-    blocks = F.ceil(F.col("many") / block).cast("int")
-    own = F.pmod(F.xxhash64("row", "pos"), F.col("blocks")).cast("int")
-    dealt = varied.withColumn("blocks", blocks).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low = F.greatest(F.col("pos") - (length - GRAM), F.lit(0))
+    meeting = varied.where(F.col("many") <= block).select("row", low.alias("low"), (F.col("pos") + length).alias("high"), F.col("gram").alias("key"))
+    parts, repeated = _narrow(texts, varied.where(F.col("many") > block), length, block, key)
+    dealt = written(reduce(DataFrame.unionAll, [meeting, *parts]))
+    release(spark, varied, *parts)
     shards = max(-(-dealt.count() // shard_segments), 1)
-    pair = F.xxhash64("gram", F.least("own", "other"), F.greatest("own", "other"))
-    wanted = dealt.select("row", "pos", F.pmod(pair, F.lit(shards)).cast("int").alias("shard")).distinct()
-    lists = wanted.groupBy("row").agg(F.collect_list(F.struct("pos", "shard")).alias("wanted"))
+    wanted = dealt.select("row", "low", "high", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")).distinct()
+    lists = wanted.groupBy("row").agg(F.collect_list(F.struct("low", "high", "shard")).alias("wanted"))
     joined = texts.join(lists, "row").select("row", "text", "wanted")
-    segments = joined.mapInArrow(partial(_cut_segments, length=length, shards=shards), "shard int, data binary")
+    segments = joined.mapInArrow(partial(_cut_segments, shards=shards), "shard int, data binary")
     sorted_spans = segments.groupBy("shard").applyInPandas(
         lambda group: _sort_shard(group, length), "row long, low long, high long")
     partly = written(sorted_spans)
-    release(spark, varied)
-    return whole.unionAll(partly).unionAll(runs)
+    release(spark, dealt)
+    return reduce(DataFrame.unionAll, [whole, *repeated, partly, runs])
+
+
+def _narrow(texts: DataFrame, large: DataFrame, length: int, block: int, key: bytes) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(row, low, high, key) to sort, at most ``block`` of a key, in place of the segments (row, pos) of large groups, and the spans found to
+    repeat on the way. Written."""
+    spark, parts, repeated = texts.sparkSession, [], []
+    if large.isEmpty():
+        return parts, repeated
+    wanted = large.groupBy("row").agg(F.collect_list("pos").alias("wanted"))
+    fields = "row long, pos long, first int, last int, lead int, data binary"
+    groups = written(texts.join(wanted, "row").select("row", "text", "wanted").mapInArrow(partial(_held, length=length), fields))
+    span = ["row", F.greatest(F.col("pos") - F.col("last") + 1, F.lit(0)).alias("low"), (F.col("pos") + length - F.col("first")).alias("high")]
+    while True:
+        made = written(groups.mapInArrow(partial(_narrowed, length=length, key=key), f"key long, segment long, {fields}"))
+        entries = written(made.groupBy("key", "segment").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "pos")).alias("one")))
+        copies = entries.where("n > 1").select("key", "segment")
+        repeated.append(written(made.join(copies, ["key", "segment"]).select(*span)))
+        several = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1"))
+        ones = entries.join(several, "key").select("key", "many", "one.row", "one.pos")
+        varied = written(made.join(ones, ["key", "row", "pos"]))
+        parts.append(written(varied.where(F.col("many") <= block).select(*span, "key")))
+        used, groups = groups, written(varied.where(F.col("many") > block).select(*made.columns[2:]))
+        release(spark, used, made, entries, varied)
+        if groups.isEmpty():
+            return parts, repeated
 
 
 def _merge(spans: list, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -115,6 +115,28 @@ def test_removed_bytes_equal_brute_force(documents, block, shard):
     assert got == dict(enumerate(plain(texts, 200)))
 
 
+def test_segments_of_a_common_passage_are_not_dealt_in_pairs(documents, monkeypatch):
+    """A passage that many texts hold between words of their own: what is sorted grows with the texts, not with their square."""
+    rng, dealt = random.Random(8), []
+
+    def words(n):
+        return " ".join("".join(rng.choices("abcde", k=rng.randrange(2, 8))) for _ in range(n))
+
+    passage, cut = words(70), words(45)
+    for texts in (40, 160):
+        held = [words(30) + passage + words(30) for _ in range(texts)] + [words(20) + cut[n % 9:200 + n % 30] + words(9) for n in range(texts)]
+        held += [passage, passage[7:], words(3) + passage[:201]]
+        docs, counts = documents(list(enumerate(held))), []
+        frame, count = type(docs), type(docs).count
+        with monkeypatch.context() as patch:
+            patch.setattr(frame, "count", lambda self: counts.append(count(self)) or counts[-1])
+            got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+                   for r in suffix_dedup.digest(docs, block=8, shard_segments=200).collect()}
+        assert got == dict(enumerate(plain(held, 200)))
+        dealt.append(max(counts))
+    assert dealt[1] < 6 * dealt[0]
+
+
 def test_documents_are_rewritten_in_place(documents):
     passage = "".join(random.Random(1).choices("abcdefgh ", k=300))
     docs = documents([(1, "first " + passage), (2, passage + " second"), (3, None), (None, "alone"), (4, "é" * 150), (5, "é" * 150)], True)
