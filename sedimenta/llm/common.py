@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.sources.scratch import new_scratch
+from sedimenta.sources.scratch import new_scratch, release_shuffles
 
 # Bytes of text that one vectorised step works on at a time.
 BLOCK_BYTES = 8 << 20
@@ -56,16 +56,11 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def release(spark: SparkSession, *used: DataFrame) -> None:
-    """Give up ``written`` frames that are not read again, and shuffle files that nothing refers to any more.
-
-    Shuffle files of finished stages stay on the executors' disks until the driver happens to collect
-    its garbage, so it is asked to.
-    """
+    """Give up ``written`` frames that are not read again, and shuffle files that nothing refers to any more."""
     for frame in used:
         for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()[:1]}:
             spark.createDataFrame([], frame.schema).write.mode("overwrite").parquet(folder)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    release_shuffles(spark)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -25,13 +25,14 @@ from sedimenta.operators.silver import (
     silver_projection, tasks_for,
 )
 from sedimenta.schemas import (
-    DERIVED_TABLES, GOLD_SKETCHES, GOLD_TABLE, QUARANTINE_TABLE, RAW_CLIENTES, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_TABLE,
+    DERIVED_TABLES, GOLD_SKETCHES, GOLD_TABLE, QUARANTINE_TABLE, RAW_CLIENTES, RAW_LINE, RAW_PEDIDOS, RAW_PRODUTOS, SILVER_TABLE,
 )
 from sedimenta.sinks.folders import remove_folder, replace_folder
 from sedimenta.sinks.layers import quarantine_projection, write_partition, write_report
 from sedimenta.sinks.versions import publish_version, version_config
 from sedimenta.sources.catalog import catalog_layers, create_catalog, follow_version
 from sedimenta.sources.layers import read_layer, read_raw, read_raw_orders, require_fitting_lines
+from sedimenta.sources.scratch import release_shuffles
 
 # Rows in a quarantine file.
 QUARANTINE_ROWS = 4_000_000
@@ -52,6 +53,7 @@ class ProcessReport:
 def write_raw(cfg: PipelineConfig, clientes: DataFrame, produtos: DataFrame, pedidos: DataFrame) -> None:
     for table, df in ((RAW_CLIENTES, clientes), (RAW_PRODUTOS, produtos), (RAW_PEDIDOS, pedidos)):
         write_partition(df.select(*table.schema.fieldNames()), cfg, table)
+    release_shuffles(pedidos.sparkSession)
 
 
 def staging_path(spark: SparkSession, cfg: PipelineConfig) -> str:
@@ -86,7 +88,7 @@ def stage_checked_orders(spark: SparkSession, cfg: PipelineConfig, customer: Dim
     seen = Observation("raw orders")
     observed = read_raw_orders(spark, cfg).observe(seen, F.count(F.lit(1)).alias("rows"))
     flagged = check_rows(observed, rules).flagged()
-    flagged.write.parquet(path)
+    flagged.write.option("compression", "zstd").parquet(path)
     staged = spark.read.schema(flagged.schema).parquet(path)
     # AQE drops an empty input from the plan, and its observation with it. Should rows have been lost, they are counted.
     return staged, 0 if staged.isEmpty() else seen.get["rows"]
@@ -118,14 +120,17 @@ def run_process(spark: SparkSession, cfg: PipelineConfig) -> ProcessReport:
             # A recomputed scan task is observed twice; only a real count may fail the run.
             raw_rows = read_raw(spark, cfg, RAW_PEDIDOS, blank_missing=False).count()
         gates.require_join_conserved(raw_rows, valid_rows + rejected_rows)
+        release_shuffles(spark)
 
         write_quarantine(beside, staged, rejected_rows)
         write_silver(spark, beside, staged, valid_rows, customer, product)
+        release_shuffles(spark)
         gold = build_gold(read_layer(spark, beside, SILVER_TABLE), cfg.drop_null_gold_keys, valid_rows)
         write_partition(gold, beside, GOLD_TABLE)
         if cfg.order_sketches:
             write_partition(order_sketches(read_layer(spark, beside, SILVER_TABLE), cfg.drop_null_gold_keys), beside, GOLD_SKETCHES)
         written = published_rows(spark, beside)
+        release_shuffles(spark)
         gates.require_reconciled(raw_rows, written[SILVER_TABLE.name], written[QUARANTINE_TABLE.name])
 
         if cfg.versioned:
@@ -163,12 +168,13 @@ def write_silver(spark: SparkSession, cfg: PipelineConfig, staged: DataFrame, va
     """Silver sorted by order id. The narrow staged rows are shuffled, before the broadcast joins widen them."""
     valid = staged.where(F.col(REASON) == "")
     if cfg.silver_order == "global":
-        # A hash of the staged row's place is unique and the same after a retry, so
-        # equal rows spread over the sorted files.
-        place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__place")
+        # A hash of the staged row's place is the same after a retry, so equal rows spread over the sorted files. Its
+        # 24 bits, and no column that silver has not, are what the shuffle carries beside the rows.
+        place = F.xxhash64("_metadata.file_path", "_metadata.row_index").bitwiseAND(F.lit((1 << 24) - 1)).alias("__place")
         most = cfg.silver_rows_per_file
         files = tasks_for(valid_rows, min(most, SORTED_ROWS), min(most, MOST_ROWS))
-        valid = range_by_order(valid.select("*", place), files, spread="__place")
+        columns = [c for c in valid.columns if c not in (REASON, RAW_LINE)]
+        valid = range_by_order(valid.select(*columns, place), files, spread="__place")
     silver = silver_projection(join_dimensions(valid, customer, product, cfg.broadcast_limit))
     write_partition(silver.sortWithinPartitions(F.asc_nulls_last("pedido_id")), cfg, SILVER_TABLE)
 

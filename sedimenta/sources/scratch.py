@@ -1,7 +1,8 @@
-"""A fresh folder for queries that write layers before they read them."""
+"""A fresh folder for queries that write layers before they read them, and the room that finished steps took."""
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -16,3 +17,13 @@ def new_scratch(spark: SparkSession) -> str:
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix="run-")
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Give up shuffle files that nothing refers to any more.
+
+    Those of finished stages stay on the executors' disks until the driver happens to collect its garbage, which a driver with
+    much memory does rarely, so it is asked to.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import time
 from pathlib import Path
 
 import pytest
@@ -20,6 +21,7 @@ from sedimenta.plans.jobs import run_process, staging_path, write_raw
 from sedimenta.plans.queries import _out_of_order
 from sedimenta.schemas import GOLD_TABLE, PEDIDOS_TEXT, QUARANTINE_TABLE, SILVER_TABLE
 from sedimenta.session import recommended_conf
+from sedimenta.sources.adapters import raw_frames
 from sedimenta.sources.catalog import catalog_layers, create_catalog
 from sedimenta.sources.layers import read_layer
 
@@ -282,3 +284,42 @@ def test_settings_follow_the_input():
     assert large["spark.sql.shuffle.partitions"] == "40000"
     assert (100 << 40) // int(large["spark.sql.files.maxPartitionBytes"]) <= 200_000
     assert recommended_conf(10 << 30)["spark.sql.shuffle.partitions"] == "80"
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(n).getName() for n in range(files.size())]
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_a_run_leaves_no_shuffle_files_behind(spark, lake):
+    """The next step, or the run of the next date, has the room that finished ones took."""
+    cfg, raw = PipelineConfig(lake, D, broadcast_limit=1), raw_frames(spark, SMALL)
+    before = shuffle_files(spark)
+
+    def left(most):
+        until = time.time() + 15
+        while len(shuffle_files(spark) - before) > most and time.time() < until:
+            time.sleep(0.2)
+        return len(shuffle_files(spark) - before)
+
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        write_raw(cfg, raw.clientes, raw.produtos, raw.pedidos)
+        assert left(0) == 0
+        run_process(spark, cfg)
+        assert left(2) <= 2  # of the keys of the two dimensions, counted at the start
+
+
+def test_the_silver_shuffle_carries_what_silver_has(spark, lake, monkeypatch):
+    carried = []
+    ranged = jobs.range_by_order
+
+    def spy(rows, *args, **named):
+        carried.append(set(rows.columns))
+        return ranged(rows, *args, **named)
+
+    monkeypatch.setattr(jobs, "range_by_order", spy)
+    cfg, raw = PipelineConfig(lake, D), raw_frames(spark, SMALL)
+    write_raw(cfg, raw.clientes, raw.produtos, raw.pedidos)
+    run_process(spark, cfg)
+    assert carried == [{"pedido_id", "cliente_id", "product_id", "quantidade", "data_pedido", "__place"}]
