@@ -23,7 +23,8 @@ def release_shuffles(spark: SparkSession) -> None:
     """Give up shuffle files that nothing refers to any more.
 
     Those of finished stages stay on the executors' disks until the driver happens to collect its garbage, which a driver with
-    much memory does rarely, so it is asked to.
+    much memory does rarely, so it is asked to. The last query is held by the event of its end until another one ends.
     """
+    spark.sql("SELECT 1").collect()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
